@@ -193,3 +193,18 @@ def mart_sql(as_of: str, tx_view: str = V_TX) -> str:
         views[f"price_{kind}"] = v_price(kind)
         views[f"item_{kind}"] = v_item(f"{kind}_id")
     return with_views(branches, **views)
+
+
+# --- tables --------------------------------------------------------------
+
+def flat_tx(src: str) -> str:
+    return (f"SELECT * EXCLUDE (customer), customer.email AS customer_email, "
+            f"customer.name AS customer_name FROM ({src})")
+
+
+def attr_replaced(as_of: str) -> str:
+    return f"""
+SELECT * FROM ({V_ATTR}) WHERE date <> DATE '{as_of}'
+UNION ALL
+SELECT id, date, sales, leads, revenue + 1 AS revenue, total_revenue, cost
+FROM ({V_ATTR}) WHERE date = DATE '{as_of}'"""

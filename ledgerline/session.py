@@ -75,7 +75,7 @@ class Workspace:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.name}` LOCATION '{self.root}'")
 
     def table(self, name: str) -> str:
-        return f"`{self.name}`.`{name}`"
+        return f"{self.name}.{name}"
 
     def path(self, *parts: str) -> str:
         """A folder for landing files, stream checkpoints and the like."""
