@@ -208,3 +208,61 @@ SELECT * FROM ({V_ATTR}) WHERE date <> DATE '{as_of}'
 UNION ALL
 SELECT id, date, sales, leads, revenue + 1 AS revenue, total_revenue, cost
 FROM ({V_ATTR}) WHERE date = DATE '{as_of}'"""
+
+
+# --- type repair -----------------------------------------------------------
+
+NARROW_NUMERIC = """
+SELECT p_partkey AS key_txt, CAST(p_size AS BIGINT) AS size_txt, p_retailprice AS price_txt,
+  p_brand AS brand, CAST(p_size AS BIGINT) AS size_d, p_retailprice AS price
+FROM part"""
+
+NARROW_NUMERIC_EDGES = """
+SELECT p_partkey AS key_txt,
+  CAST(CASE WHEN p_partkey % 10 = 3 THEN 0 ELSE p_size END AS BIGINT) AS blank_txt,
+  CAST(p_size AS BIGINT) AS padded_txt,
+  CAST(CASE WHEN p_partkey % 7 = 0 THEN 1000 ELSE p_size END AS BIGINT) AS sci_txt,
+  CASE WHEN p_partkey % 97 = 0 THEN '0x' || CAST(p_size AS VARCHAR)
+       ELSE CAST(p_size AS VARCHAR) END AS hex_txt,
+  CAST(CASE WHEN p_size > 25 THEN 1 ELSE 0 END AS BIGINT) AS flag,
+  CAST(0 AS BIGINT) AS nothing,
+  CAST(CASE WHEN p_partkey % 9 = 0 THEN 0 ELSE p_size END AS BIGINT) AS inf_txt,
+  CASE WHEN p_partkey % 4 <> 0 THEN CAST(p_size AS DOUBLE) / 2 END AS half
+FROM part"""
+
+_FMT = "'%a, %d %b %Y, %I:%M %p'"
+PARSE_SIGNUP_TS = f"""
+SELECT CAST(id AS BIGINT) AS id,
+  try_strptime(signup_date, {_FMT}) AS signup_date,
+  try_strptime(event, {_FMT}) AS event,
+  try_strptime(date_live, {_FMT}) AS date_live,
+  try_strptime(gdpr_status_date, {_FMT}) AS gdpr_status_date
+FROM ({V_REGISTRANT_TEXT})"""
+
+DURATION_MINUTES = """
+SELECT event_id AS id,
+  CASE WHEN event_id % 17 = 0 THEN NULL ELSE floor(value) / 60 END AS time_live,
+  CASE WHEN event_id % 19 = 0 THEN NULL ELSE floor(value) / 60 END AS entered_live,
+  CAST(NULL AS DOUBLE) AS time_replay
+FROM events"""
+
+STRINGIFY_THEN_IDS = f"""
+SELECT * REPLACE (CAST(id AS BIGINT) AS id, CAST(lead_id AS BIGINT) AS lead_id)
+FROM ({V_REGISTRANT_TEXT})"""
+
+PARSE_CREATION_TS = """
+SELECT user_id AS id, event_id,
+  CASE WHEN event_id % 2 = 0 THEN epoch_ms(epoch_us(ts) // 1000) ELSE ts END AS creationDate
+FROM events"""
+
+_X = "CAST(x AS DOUBLE)"
+FLATTEN_LISTS = f"""
+SELECT vec_id, label,
+  array_to_string(list_transform(embedding,
+      lambda x: CAST(CAST(round({_X} * 1000) AS INTEGER) AS VARCHAR)), ',') AS scaled,
+  array_to_string(list_transform(embedding,
+      lambda x: CASE WHEN {_X} > 0 THEN 'True' ELSE 'False' END), ',') AS positive,
+  array_to_string(list_transform(embedding,
+      lambda x: CASE WHEN {_X} > 0.5 THEN CAST(CAST(round({_X} * 10) AS INTEGER) AS VARCHAR)
+           ELSE 'None' END), ',') AS high
+FROM embeddings"""

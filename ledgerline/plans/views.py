@@ -194,3 +194,50 @@ def registrants_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(eid % 19 == 0, F.lit("nan")).otherwise(hms).alias("entered_live"),
         F.lit(None).cast("string").alias("time_replay"),
         F.col("event_type").alias("status"))
+
+
+def part_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part attributes as a service sends them: numbers as text."""
+    p = table(spark, sf_dir, "part")
+    return p.select(_s(F.col("p_partkey")).alias("key_txt"), _s(F.col("p_size")).alias("size_txt"),
+                    _s(F.col("p_retailprice")).alias("price_txt"), F.col("p_brand").alias("brand"),
+                    F.col("p_size").cast("double").alias("size_d"),
+                    F.col("p_retailprice").alias("price"))
+
+
+def part_text_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Corner cases of numeric text: blanks, padding, scientific notation,
+    hex, booleans, all-null, infinities, non-whole values with nulls."""
+    p = table(spark, sf_dir, "part")
+    key, size = F.col("p_partkey"), F.col("p_size")
+    return p.select(
+        _s(key).alias("key_txt"),
+        F.when(key % 10 == 3, F.lit("")).otherwise(_s(size)).alias("blank_txt"),
+        F.concat(F.lit(" "), _s(size), F.lit(" ")).alias("padded_txt"),
+        F.when(key % 7 == 0, F.lit("1e3")).otherwise(_s(size)).alias("sci_txt"),
+        F.when(key % 97 == 0, F.concat(F.lit("0x"), _s(size))).otherwise(_s(size)).alias("hex_txt"),
+        (size > 25).alias("flag"),
+        F.lit(None).cast("string").alias("nothing"),
+        F.when(key % 9 == 0, F.lit("inf")).otherwise(_s(size)).alias("inf_txt"),
+        F.when(key % 4 != 0, size.cast("double") / 2).alias("half"))
+
+
+def embedding_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """List columns: scaled integers, booleans, and values with gaps."""
+    e = table(spark, sf_dir, "embeddings")
+    x = "CAST(x AS DOUBLE)"
+    return e.select(
+        "vec_id", "label",
+        F.expr(f"transform(embedding, x -> CAST(round({x} * 1000) AS INT))").alias("scaled"),
+        F.expr(f"transform(embedding, x -> {x} > 0)").alias("positive"),
+        F.expr(f"transform(embedding, x -> CASE WHEN {x} > 0.5 THEN CAST(round({x} * 10) AS INT) END)")
+         .alias("high"))
+
+
+def leads_mixed_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lead creation times as ISO text with offset, or as epoch milliseconds."""
+    ev = table(spark, sf_dir, "events")
+    iso = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
+    ms = _s(F.unix_millis(F.col("ts").cast("timestamp")))
+    return ev.select(F.col("user_id").alias("id"), "event_id",
+                     F.when(F.col("event_id") % 2 == 0, ms).otherwise(iso).alias("creationDate"))
