@@ -266,3 +266,53 @@ SELECT vec_id, label,
       lambda x: CASE WHEN {_X} > 0.5 THEN CAST(CAST(round({_X} * 10) AS INTEGER) AS VARCHAR)
            ELSE 'None' END), ',') AS high
 FROM embeddings"""
+
+
+# --- landing sources -----------------------------------------------------------
+
+PART_ROWS = "SELECT p_partkey AS id, p_name AS name, CAST(p_size AS BIGINT) AS size FROM part"
+
+SRC_NDJSON_INFERRED = """
+SELECT c_custkey AS affiliate_id, c_acctbal AS balance, c_name AS name,
+  CAST(c_nationkey AS BIGINT) AS nation, c_mktsegment AS segment FROM customer"""
+
+SRC_ROWS_LIST = f"""
+{PART_ROWS}
+UNION ALL
+SELECT CAST(NULL AS BIGINT), CAST(NULL AS VARCHAR), CAST(NULL AS BIGINT)
+FROM (SELECT DISTINCT p_partkey // 10 AS g FROM part) WHERE g % 5 = 0"""
+
+SRC_KEYED_LIST = "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders"
+
+SRC_KEYED_DOC = """
+SELECT conv_id AS webinar_id, count(*) AS turns, min(role) AS first_role, max(turn) AS last_turn
+FROM conversations GROUP BY conv_id"""
+
+SRC_TWO_LEVEL = """
+SELECT conv_id AS webinar_id, turn, role, text FROM conversations WHERE conv_id % 10 <> 3"""
+
+SRC_RESULT_FLATTEN = f"""
+SELECT id, event_id, creationDate, email_domain, detail.kind AS detail_kind,
+  detail.props.k AS detail_props_k FROM ({V_LEAD})"""
+
+SRC_RESULT_NESTED = f"""
+SELECT id, event_id, creationDate, email_domain, CAST(to_json(detail) AS VARCHAR) AS detail
+FROM ({V_LEAD})"""
+
+SRC_DROP_BAD_DOCS = """
+SELECT c_custkey AS affiliate_id, c_name AS name, c_acctbal AS balance
+FROM customer WHERE c_custkey % 50 <> 7"""
+
+SRC_LENIENT_JSON = """
+SELECT c_custkey AS affiliate_id, c_name AS name, c_acctbal > 5000 AS vip,
+  CASE WHEN c_custkey % 2 = 0 THEN NULL ELSE 'x' || CAST(c_nationkey AS VARCHAR) END AS note
+FROM customer"""
+
+RECENT_WINDOW_TOPN = """
+SELECT event_id, ts, user_id, event_type FROM events
+WHERE ts >= TIMESTAMP '2023-12-31 00:00:00'
+ORDER BY ts DESC, event_id DESC LIMIT 100"""
+
+CONCAT_PAGES = """
+SELECT user_id AS id, event_id,
+  CASE WHEN event_type <> 'click' THEN event_type END AS email_domain FROM events"""
