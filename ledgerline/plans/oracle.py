@@ -316,3 +316,95 @@ ORDER BY ts DESC, event_id DESC LIMIT 100"""
 CONCAT_PAGES = """
 SELECT user_id AS id, event_id,
   CASE WHEN event_type <> 'click' THEN event_type END AS email_domain FROM events"""
+
+
+# --- ids, projections, joins ---------------------------------------------------
+
+LIVE_IDS = f"""SELECT DISTINCT product_id FROM ({v_item('product_id')})
+WHERE statusString = 'live' AND product_id IS NOT NULL"""
+
+DISTINCT_IDS = "SELECT DISTINCT o_custkey FROM orders WHERE o_custkey IS NOT NULL"
+
+FILTER_DAY = f"SELECT * FROM ({flat_tx(V_TX)}) WHERE date = DATE '1998-01-01'"
+
+FILTER_FROM_DAY = """SELECT event_id, user_id, ts FROM events
+WHERE CAST(ts AS DATE) >= DATE '2024-01-30'"""
+
+IDS_CREATED_SINCE = """SELECT DISTINCT user_id AS id FROM events
+WHERE date_trunc('day', ts) >= TIMESTAMP '2024-01-30 00:00:00'"""
+
+NESTED_PATH_DISTINCT = f"""SELECT DISTINCT lead.firstSource.adSource.adSourceId AS adSourceId
+FROM ({V_JOURNEY}) WHERE lead.firstSource.adSource.adSourceId IS NOT NULL"""
+
+PROJECT_STRUCT_FIELDS = f"""SELECT id, name,
+  affiliate_commissions.type AS commissions_type,
+  affiliate_commissions.custom AS commissions_custom,
+  affiliate_commissions.upfront_percentage AS commissions_upfront_percentage
+FROM ({v_price('product')})"""
+
+TAG_COLUMNS = f"""SELECT *, TIMESTAMP '2024-01-30 12:00:00' AS fetched_at,
+  'FACEBOOK' AS integration_type, 'true' AS include_disregarded, 'false' AS include_organic
+FROM ({V_ATTR})"""
+
+
+def select_metrics(metrics, present) -> str:
+    cols = ", ".join(m if m in present else f"CAST(NULL AS DOUBLE) AS {m}" for m in metrics)
+    return f"SELECT id, date, {cols} FROM ({V_ATTR})"
+
+
+FILTER_DATE_RANGE = """SELECT event_id, ts FROM events
+WHERE ts >= TIMESTAMP '2024-01-10 00:00:00' AND ts <= TIMESTAMP '2024-01-12 23:59:59'"""
+
+JOIN_LEFT_TWO_KEY = f"""
+SELECT t.transaction_id, p.type AS option_type, p.price AS option_price
+FROM ({V_TX}) t
+LEFT JOIN (SELECT DISTINCT id, name, type, price FROM ({v_price('product')})) p
+  ON t.item_pricing_option_id = p.id AND t.item_pricing_option_name = p.name
+WHERE t.date = DATE '1998-01-01'"""
+
+JOIN_LEFT_ONE_KEY = f"""
+SELECT t.transaction_id, i.label, i.statusString AS status
+FROM ({V_TX}) t
+LEFT JOIN (SELECT DISTINCT product_id, label, statusString FROM ({v_item('product_id')})) i
+  ON t.item_id = i.product_id
+WHERE t.date = DATE '1998-01-01'"""
+
+DISTINCT_ROWS = f"""SELECT DISTINCT id, name, type, price, subscription_price, frequency, payments,
+  affiliate_commissions.balance_delay AS affiliate_commissions_balance_delay,
+  affiliate_commissions.bump_percentage AS affiliate_commissions_bump_percentage,
+  affiliate_commissions.type AS affiliate_commissions_type,
+  affiliate_commissions.custom AS affiliate_commissions_custom,
+  affiliate_commissions.payout_schedule AS affiliate_commissions_payout_schedule,
+  affiliate_commissions.recurring_percentage AS affiliate_commissions_recurring_percentage,
+  affiliate_commissions.upfront_amount AS affiliate_commissions_upfront_amount,
+  affiliate_commissions.upfront_percentage AS affiliate_commissions_upfront_percentage
+FROM ({v_price('product')})"""
+
+_CUST_IDS = "SELECT DISTINCT o_custkey AS id FROM orders"
+CHUNK_IDS = f"""
+SELECT CAST((rn - 1) // 50 AS BIGINT) AS chunk,
+  string_agg(CAST(id AS VARCHAR), ',' ORDER BY id) AS ids
+FROM (SELECT id, row_number() OVER (ORDER BY id) AS rn FROM ({_CUST_IDS})) GROUP BY 1"""
+
+_GRID = """(SELECT * FROM (VALUES ('FACEBOOK'), ('GOOGLE'), ('SNAPCHAT'), ('TIKTOK'),
+  ('TWITTER'), ('LINKEDIN')) i(integration_type),
+  (VALUES ('true'), ('false')) d(include_disregarded),
+  (VALUES ('true'), ('false')) o(include_organic))"""
+
+REQUEST_GRID = f"SELECT c.*, g.* FROM ({CHUNK_IDS}) c, {_GRID} g"
+
+FIRST_IDS = f"""SELECT adSourceId FROM ({NESTED_PATH_DISTINCT}) ORDER BY adSourceId LIMIT 9"""
+
+ONLY_NEW_IDS = """
+SELECT DISTINCT user_id AS id FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-30'
+  AND user_id NOT IN (SELECT user_id FROM events
+                      WHERE CAST(ts AS DATE) < DATE '2024-01-30' AND event_type = 'purchase')"""
+
+SYNC_GAP = """
+WITH g AS (SELECT (SELECT count(*) FROM customer)
+                - (SELECT count(*) FROM customer WHERE c_mktsegment = 'BUILDING') AS missing)
+SELECT CAST(unnest(generate_series(missing // 100 + 1, 1, -1)) AS BIGINT) AS page
+FROM g WHERE missing > 0"""
+
+PER_ID_REQUESTS = f"""SELECT product_id, '/api/external/products/' || CAST(product_id AS VARCHAR)
+  || '/pricing_options' AS request FROM ({LIVE_IDS})"""
