@@ -398,7 +398,7 @@ FIRST_IDS = f"""SELECT adSourceId FROM ({NESTED_PATH_DISTINCT}) ORDER BY adSourc
 ONLY_NEW_IDS = """
 SELECT DISTINCT user_id AS id FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-30'
   AND user_id NOT IN (SELECT user_id FROM events
-                      WHERE CAST(ts AS DATE) < DATE '2024-01-30' AND event_type = 'purchase')"""
+                      WHERE CAST(ts AS DATE) < DATE '2024-01-04' AND event_type = 'purchase')"""
 
 SYNC_GAP = """
 WITH g AS (SELECT (SELECT count(*) FROM customer)
