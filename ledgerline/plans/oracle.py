@@ -408,3 +408,20 @@ FROM g WHERE missing > 0"""
 
 PER_ID_REQUESTS = f"""SELECT product_id, '/api/external/products/' || CAST(product_id AS VARCHAR)
   || '/pricing_options' AS request FROM ({LIVE_IDS})"""
+
+
+# --- aligned append and streams -------------------------------------------------
+
+ALIGN_APPEND = f"""
+SELECT user_id AS id, event_id, ts AS creationDate, CAST(NULL AS VARCHAR) AS email_domain,
+  CAST(NULL AS VARCHAR) AS detail, CAST(NULL AS VARCHAR) AS tags
+FROM events WHERE event_type = 'click'
+UNION ALL
+SELECT id, event_id, CAST(NULL AS TIMESTAMP), email_domain, CAST(to_json(detail) AS VARCHAR),
+  email_domain || ',' || CAST(id AS VARCHAR)
+FROM ({V_LEAD}) WHERE email_domain <> 'click'"""
+
+STREAM_ROWS = """
+SELECT user_id AS id, event_id, ts AS creationDate, event_type AS email_domain,
+  event_type AS detail_kind, CAST(json_extract(props, '$.k') AS BIGINT) AS detail_props_k
+FROM events"""

@@ -283,3 +283,46 @@ def read_state(spark: SparkSession, table: str, default: int = 1) -> int:
 def save_state(spark: SparkSession, table: str, page_id: int) -> None:
     state = spark.range(1).select(F.lit(int(page_id)).cast("bigint").alias("page_id"))
     write(state, table, "overwrite")
+
+
+# --- aligned append ----------------------------------------------------------
+
+def align_append(df: DataFrame, table: str, partition_by: Sequence[str] | None = None,
+                 replace_partitions: bool = False) -> list[str]:
+    """K6: append ``df`` to ``table`` whose schema may differ.
+
+    List columns become comma text (T6); columns new to the table are added
+    with ``ALTER TABLE .. ADD COLUMNS`` (type from K9; records are stored as
+    JSON text) and keep their values; table columns missing from ``df`` are
+    null; rows are written in the table's column order. An absent table is
+    created from the first batch. With ``replace_partitions`` the batch
+    replaces the partitions it touches (idempotent re-runs, e.g. per stream
+    batch id). Returns the added column names.
+    """
+    from ledgerline.functions.shape import flatten_lists
+
+    spark = _spark(df)
+    df = flatten_lists(df)
+    df = df.select(*[(F.to_json(F.col(f"`{f.name}`")).alias(f.name)
+                      if isinstance(f.dataType, (T.StructType, T.MapType)) else F.col(f"`{f.name}`"))
+                     for f in df.schema.fields])
+    if not exists(spark, table):
+        _create(df, table, partition_by, None)
+        return list(df.columns)
+    current = {f.name: f.dataType for f in spark.table(table).schema.fields}
+    added = [f for f in df.schema.fields if f.name not in current]
+    if added:
+        cols = ", ".join(f"`{f.name}` {spark_ddl_type(f.dataType)}" for f in added)
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({cols})")
+        spark.catalog.refreshTable(table)
+    target = spark.table(table).schema
+    have = set(df.columns)
+    aligned = df.select(*[
+        (F.col(f"`{f.name}`") if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in target.fields])
+    writer = aligned.write
+    if replace_partitions:
+        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
+    else:
+        writer.mode("append").insertInto(table)
+    return [f.name for f in added]
