@@ -8,6 +8,8 @@ executors, so a job fails instead of loading wrong values.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -158,21 +160,26 @@ def as_text(c: Column, dtype: T.DataType) -> Column:
     return c.cast("string")
 
 
-def stringify_then_ids(df: DataFrame, id_columns: list[str]) -> DataFrame:
-    """T5: every column to text (null stays null), then the id columns to BIGINT."""
+def stringify_then_ids(df: DataFrame, id_columns: list[str],
+                       keep: Sequence[str] = ()) -> DataFrame:
+    """T5: every column to text (null stays null), then the id columns to
+    BIGINT; ``keep`` columns (added by the job, not the response) untouched."""
     out = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
-        if f.name in id_columns:
+        if f.name in keep:
+            out.append(c)
+        elif f.name in id_columns:
             out.append(F.trim(as_text(c, f.dataType)).cast("bigint").alias(f.name))
         else:
             out.append(as_text(c, f.dataType).alias(f.name))
     return df.select(*out)
 
 
-def repair_registrants(df: DataFrame, ts_fields, duration_fields, id_fields) -> DataFrame:
+def repair_registrants(df: DataFrame, ts_fields, duration_fields, id_fields,
+                       keep: Sequence[str] = ()) -> DataFrame:
     """Registrant rows: T5, then T3 on the timestamp fields and T4 on the durations."""
-    df = stringify_then_ids(df, [c for c in id_fields if c in df.columns])
+    df = stringify_then_ids(df, [c for c in id_fields if c in df.columns], keep)
     cols = {}
     for c in ts_fields:
         if c in df.columns:

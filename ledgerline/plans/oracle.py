@@ -425,3 +425,113 @@ STREAM_ROWS = """
 SELECT user_id AS id, event_id, ts AS creationDate, event_type AS email_domain,
   event_type AS detail_kind, CAST(json_extract(props, '$.k') AS BIGINT) AS detail_props_k
 FROM events"""
+
+
+# --- composite jobs ------------------------------------------------------------
+
+_LIVE = f"SELECT product_id FROM ({LIVE_IDS})"
+_AC_FLAT = ",\n  ".join(
+    f"affiliate_commissions.{f} AS affiliate_commissions_{f}" for f in (
+        "balance_delay", "bump_percentage", "type", "custom", "payout_schedule",
+        "recurring_percentage", "upfront_amount", "upfront_percentage"))
+
+STORE_ENTITY_PRICES = f"""
+SELECT DISTINCT id, name, type, price, COALESCE(subscription_price, 0) AS subscription_price,
+  frequency, payments,
+  {_AC_FLAT}
+FROM ({v_price('product')}) WHERE id IN ({_LIVE})"""
+
+STORE_ENTITY_INFO = f"""
+SELECT DISTINCT p_partkey AS product_id, p_brand AS label,
+  'https://shop.example.com/item/' || CAST(p_partkey AS VARCHAR) AS url,
+  CASE WHEN p_size % 3 = 0 THEN 'draft' ELSE 'live' END AS statusString,
+  p_name AS name, CAST(p_size AS BIGINT) AS size
+FROM part WHERE p_partkey IN ({_LIVE})"""
+
+AFFILIATES_SYNC = """
+WITH m AS (SELECT (SELECT count(*) FROM customer)
+                - (SELECT count(*) FROM customer WHERE c_mktsegment = 'BUILDING') AS missing)
+SELECT DISTINCT c_custkey AS affiliate_id, c_acctbal AS balance, c_name AS name,
+  c_mktsegment AS segment
+FROM customer, m
+WHERE c_mktsegment = 'BUILDING' OR (missing > 0 AND c_custkey // 100 + 1 <= missing // 100 + 1)"""
+
+
+def transactions_sync(as_of: str) -> str:
+    return f"""
+WITH tx AS ({flat_tx(V_TX)}),
+num AS (SELECT *, row_number() OVER (ORDER BY transaction_id) - 1 AS rn FROM tx),
+m AS (SELECT (SELECT count(*) FROM tx) - (SELECT count(*) FROM tx WHERE invoice_id % 10 = 1)
+      AS missing),
+allrows AS (
+  SELECT * FROM tx WHERE invoice_id % 10 = 1
+  UNION ALL
+  SELECT num.* EXCLUDE (rn) FROM num, m
+  WHERE missing > 0 AND rn // 100 + 1 <= missing // 100 + 1)
+SELECT * FROM allrows WHERE date <> DATE '{as_of}'
+UNION ALL SELECT DISTINCT * FROM allrows WHERE date = DATE '{as_of}'"""
+
+
+def _dur(c: str) -> str:
+    return (f"CASE WHEN {c} IS NULL OR trim({c}) IN ('', 'nan') THEN NULL ELSE "
+            f"(CAST(split_part({c}, ':', 1) AS DOUBLE) * 3600 "
+            f"+ CAST(split_part({c}, ':', 2) AS DOUBLE) * 60 "
+            f"+ CAST(split_part({c}, ':', 3) AS DOUBLE)) / 60 END")
+
+
+def registrants_sync(as_of: str) -> str:
+    one = f"""
+WITH r AS (
+  SELECT CAST(lead_id AS BIGINT) % 20 AS webinar_id, CAST(id AS BIGINT) AS id,
+    CAST(lead_id AS BIGINT) AS lead_id,
+    try_strptime(signup_date, {_FMT}) AS signup_date,
+    try_strptime(event, {_FMT}) AS event,
+    try_strptime(date_live, {_FMT}) AS date_live,
+    CAST(NULL AS TIMESTAMP) AS gdpr_status_date,
+    {_dur('time_live')} AS time_live, {_dur('entered_live')} AS entered_live,
+    CAST(NULL AS DOUBLE) AS time_replay, status,
+    (CAST(id AS BIGINT) // 100) % 2 = 0 AS dup
+  FROM ({V_REGISTRANT_TEXT})),
+a AS (SELECT * EXCLUDE (dup) FROM r UNION ALL SELECT * EXCLUDE (dup) FROM r WHERE dup)
+SELECT * FROM a WHERE NOT coalesce(CAST(signup_date AS DATE) >= DATE '{as_of}', false)
+UNION ALL SELECT DISTINCT * FROM a WHERE CAST(signup_date AS DATE) >= DATE '{as_of}'"""
+    return (f"SELECT 'webinarjam' AS platform, * FROM ({one}) "
+            f"UNION ALL SELECT 'everwebinar' AS platform, * FROM ({one})")
+
+
+PAGED_ENTITY_SYNC = """
+SELECT user_id AS id, event_id, ts AS creationDate, event_type AS detail_kind,
+  CAST(json_extract(props, '$.k') AS BIGINT) AS detail_props_k,
+  CASE WHEN ts >= TIMESTAMP '2024-01-16 00:00:00' THEN event_type END AS email_domain,
+  CASE WHEN ts >= TIMESTAMP '2024-01-16 00:00:00'
+       THEN event_type || ',' || CAST(user_id AS VARCHAR) END AS tags
+FROM events"""
+
+
+def attribution_replace(metrics, present, as_of: str) -> str:
+    cols = ", ".join(f"CAST({m} AS DOUBLE) AS {m}" if m in present
+                     else f"CAST(NULL AS DOUBLE) AS {m}" for m in metrics)
+    return f"""
+SELECT id, date, {cols} FROM (
+  SELECT id, date, sales, leads,
+    CASE WHEN date = DATE '{as_of}' AND id <> 'error' THEN revenue + 1 ELSE revenue END AS revenue,
+    total_revenue, cost
+  FROM ({V_ATTR}))"""
+
+
+_NEW_LEADS = ("SELECT DISTINCT user_id FROM events "
+              "WHERE date_trunc('day', ts) >= TIMESTAMP '2024-01-30 00:00:00'")
+
+JOURNEY_SYNC = f"""
+SELECT event_id, leadId, lead.firstSource.adSource.adSourceId AS adSourceId,
+  TIMESTAMP '2024-01-30 12:00:00' AS fetched_at
+FROM ({V_JOURNEY}) WHERE leadId IN ({_NEW_LEADS})"""
+
+SOURCES_SYNC = f"""
+WITH j AS (SELECT lead.firstSource.adSource.adSourceId AS adSourceId, leadId FROM ({V_JOURNEY})),
+stats AS (SELECT adSourceId, count(*) AS clicks, 'source ' || adSourceId AS name
+          FROM j WHERE adSourceId IS NOT NULL GROUP BY adSourceId),
+ids AS (SELECT DISTINCT adSourceId FROM j WHERE leadId IN ({_NEW_LEADS}) AND adSourceId IS NOT NULL)
+SELECT s.adSourceId, s.clicks, s.name, g.integration_type, g.include_disregarded,
+  g.include_organic, TIMESTAMP '2024-01-30 12:00:00' AS fetched_at
+FROM stats s JOIN ids USING (adSourceId), {_GRID} g"""

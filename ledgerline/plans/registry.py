@@ -34,4 +34,4 @@ def register(name: str, sql: str | None = None):
 
 
 # Query modules register themselves on import.
-from ledgerline.plans import q_landing, q_mart, q_ops, q_stream, q_tables, q_types  # noqa: E402,F401
+from ledgerline.plans import q_jobs, q_landing, q_mart, q_ops, q_stream, q_tables, q_types  # noqa: E402,F401

@@ -34,7 +34,7 @@ def land_text(docs: DataFrame, path: str, column: str = "value") -> str:
 
 
 def page_documents(rows: DataFrame, key: str, page: Column, total: int | None = None,
-                   next_page: bool = False) -> DataFrame:
+                   next_page: bool = False, keep_nulls: bool = False) -> DataFrame:
     """Group rows into response pages ``{key: [rows], meta: {total}, nextPageId}``.
 
     ``page`` must give bounded groups (e.g. a dense id divided by the page
@@ -47,7 +47,8 @@ def page_documents(rows: DataFrame, key: str, page: Column, total: int | None =
         out.append(F.struct(F.lit(total).cast("bigint").alias("total")).alias("meta"))
     if next_page:
         out.append((F.col("_page") + 1).alias("nextPageId"))
-    return grouped.select(F.to_json(F.struct(*out)).alias("value"), F.col("_page"))
+    opts = {"ignoreNullFields": "false"} if keep_nulls else None
+    return grouped.select(F.to_json(F.struct(*out), opts).alias("value"), F.col("_page"))
 
 
 # --- readers -------------------------------------------------------------
@@ -87,6 +88,18 @@ def read_ndjson_typed(spark: SparkSession, path: str, schema: T.StructType | str
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
     raw = spark.read.schema(_string_schema(schema)).json(path)
+    return _cast_fields(raw, schema)
+
+
+def typed_rows(texts: DataFrame, column: str, schema: T.StructType | str) -> DataFrame:
+    """S1 on JSON object text held in a column (e.g. rows exploded from pages)."""
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    raw = texts.select(F.from_json(F.col(column), _string_schema(schema)).alias("_r")).select("_r.*")
+    return _cast_fields(raw, schema)
+
+
+def _cast_fields(raw: DataFrame, schema: T.StructType) -> DataFrame:
     return raw.select(*[_typed(F.col(f"`{f.name}`"), f.dataType, f.name).alias(f.name)
                         for f in schema.fields])
 
@@ -119,6 +132,18 @@ def response_rows(docs: DataFrame, schema: T.StructType | str, column: str = "va
                 .select("r.*")
 
 
+def response_rows_inferred(docs: DataFrame, stage: str, column: str = "value") -> DataFrame:
+    """S3 when the row schema is not known: the row objects are written once
+    to ``stage`` (one JSON line each, ``{}`` for non-object items) and read
+    back with Spark's schema inference. Only valid rows take part in the
+    inference, and the stage cuts the lineage to the landing files."""
+    items = docs.select(F.explode(_elements(F.col(column))).alias("item"))
+    obj = F.trim(F.col("item")).startswith("{")
+    items.select(F.when(obj, F.col("item")).otherwise(F.lit("{}")).alias("value")) \
+         .write.mode("errorifexists").text(stage)
+    return docs.sparkSession.read.json(stage)
+
+
 def read_documents(spark: SparkSession, path: str, schema: T.StructType | str | None = None):
     """Response documents, one per line, typed by ``schema`` or inferred."""
     reader = spark.read

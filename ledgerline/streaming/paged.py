@@ -9,14 +9,16 @@ each batch and appends it to the target table with schema alignment.
   interrupted run continues with the next page on restart (no state table
   to keep in step).
 * Reset: a date range gets its own checkpoint folder; a new range starts fresh.
-* Exactly once: each micro-batch is written into its own ``_batch_id``
-  partition with dynamic overwrite, so a batch replayed after a failure
-  replaces its earlier output instead of appending it twice.
+* Exactly once: each micro-batch is written into its own (``_run``,
+  ``_batch_id``) partition with dynamic overwrite, so a batch replayed after
+  a failure replaces its earlier output instead of appending it twice; the
+  run key (from the checkpoint path) keeps date ranges apart.
 * A failed write fails the batch; the checkpoint does not advance past it.
 """
 
 from __future__ import annotations
 
+import hashlib
 import posixpath
 from collections.abc import Callable
 
@@ -28,6 +30,7 @@ from ledgerline.schemas import PAGED_FLUSH_PAGES
 from ledgerline.sinks.tables import align_append
 
 BATCH_COLUMN = "_batch_id"
+RUN_COLUMN = "_run"
 
 
 def page_stream(spark: SparkSession, landing_dir: str, page_schema: T.StructType | str,
@@ -39,16 +42,25 @@ def page_stream(spark: SparkSession, landing_dir: str, page_schema: T.StructType
     return pages.select(F.inline(F.col(key)))
 
 
-def batch_writer(table: str, shape: Callable[[DataFrame], DataFrame] | None = None):
-    """The ``foreachBatch`` function: shape, tag with the batch id, aligned
-    append replacing that batch's partition (X5)."""
+def batch_writer(table: str, shape: Callable[[DataFrame], DataFrame] | None = None,
+                 run: str = "run"):
+    """The ``foreachBatch`` function: shape, tag with the run (one per
+    checkpoint) and batch id, aligned append replacing that (run, batch)
+    partition (X5)."""
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         shaped = shape(batch) if shape is not None else batch
-        shaped = shaped.withColumn(BATCH_COLUMN, F.lit(batch_id).cast("bigint"))
-        align_append(shaped, table, partition_by=[BATCH_COLUMN], replace_partitions=True)
+        shaped = shaped.withColumns({RUN_COLUMN: F.lit(run),
+                                     BATCH_COLUMN: F.lit(batch_id).cast("bigint")})
+        align_append(shaped, table, partition_by=[RUN_COLUMN, BATCH_COLUMN],
+                     replace_partitions=True)
     return write_batch
 
 
+def run_key(checkpoint: str) -> str:
+    """Short stable name of a checkpoint, used as the run partition value."""
+    return hashlib.sha1(checkpoint.encode()).hexdigest()[:16]
+
+
 def checkpoint_for(root: str, table: str, range_key: str) -> str:
     """One checkpoint per (table, date range)."""
     return posixpath.join(root, "_checkpoints", table.replace(".", "__"), range_key)
@@ -62,7 +74,7 @@ def run_paged_ingest(spark: SparkSession, landing_dir: str, page_schema: T.Struc
     micro-batch, and stop. Returns the per-batch progress (batch id, rows)."""
     rows = page_stream(spark, landing_dir, page_schema, pages_per_batch)
     query = (rows.writeStream
-             .foreachBatch(batch_writer(table, shape))
+             .foreachBatch(batch_writer(table, shape, run_key(checkpoint)))
              .option("checkpointLocation", checkpoint)
              .trigger(availableNow=True)
              .start())
@@ -74,4 +86,4 @@ def run_paged_ingest(spark: SparkSession, landing_dir: str, page_schema: T.Struc
 
 def table_rows(spark: SparkSession, table: str) -> DataFrame:
     """The ingested rows without the bookkeeping column."""
-    return spark.table(table).drop(BATCH_COLUMN)
+    return spark.table(table).drop(RUN_COLUMN, BATCH_COLUMN)
