@@ -54,17 +54,19 @@ def sales_mart(transactions: DataFrame, prices: Mapping[str, DataFrame],
     for kind in kinds:
         p = prices[kind]
         have = set(p.columns)
-        p = p.select(F.lit(kind).alias("p_kind"), F.col("id").alias("p_id"),
-                     F.col("name").alias("p_name"),
-                     *[F.col(c) for c in price_cols if c in have]).distinct()
+        p = (p.select(F.col("id").alias("p_id"), F.col("name").alias("p_name"),
+                      *[F.col(c) for c in price_cols if c in have])
+              .distinct()
+              .withColumn("p_kind", F.lit(kind)))
         tagged_prices = p if tagged_prices is None else tagged_prices.unionByName(
             p, allowMissingColumns=True)
 
     tagged_items = None
     for kind in ("product", "downsell", "upsell"):
-        i = item_lists[kind].select(
-            F.lit(kind).alias("i_kind"), F.col(ITEM_KINDS[kind]).alias("i_id"),
-            "label", "url", F.col("statusString")).distinct()
+        i = (item_lists[kind].select(F.col(ITEM_KINDS[kind]).alias("i_id"),
+                                     "label", "url", "statusString")
+             .distinct()
+             .withColumn("i_kind", F.lit(kind)))
         tagged_items = i if tagged_items is None else tagged_items.unionByName(i)
 
     joined = (tx.join(tagged_prices.alias("p"),

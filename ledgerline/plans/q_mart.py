@@ -2,20 +2,10 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
-from pyspark.sql import functions as F
-
 from ledgerline.plans import mart, views
 from ledgerline.plans import oracle as O
 from ledgerline.plans.registry import register
-from ledgerline.schemas import ITEM_KINDS
-
-
-def mart_inputs(spark: SparkSession, sf_dir: str):
-    prices = {k: views.prices(spark, sf_dir, k) for k in ITEM_KINDS}
-    lists = {k: views.items(spark, sf_dir, k) for k in ITEM_KINDS}
-    return prices, lists
+from ledgerline.plans.views import mart_inputs
 
 
 @register("sales_mart", O.mart_sql(str(views.MART_AS_OF)))
@@ -24,11 +14,3 @@ def q_sales_mart(spark, sf_dir):
     prices, lists = mart_inputs(spark, sf_dir)
     tx = views.transactions(spark, sf_dir, year=views.MART_AS_OF.year)
     return mart.sales_mart(tx, prices, lists, views.MART_AS_OF)
-
-
-def mart_for(spark, sf_dir, day: dt.date, kinds=None):
-    prices, lists = mart_inputs(spark, sf_dir)
-    tx = views.transactions(spark, sf_dir, year=day.year)
-    if kinds is not None:
-        tx = tx.filter(F.col("item_type").isin(kinds))
-    return mart.sales_mart(tx, prices, lists, day)

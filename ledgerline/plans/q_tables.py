@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions.shape import flat_output
 from ledgerline.plans import views
 from ledgerline.plans import oracle as O
-from ledgerline.plans.q_mart import mart_for
+from ledgerline.plans.views import mart_for
 from ledgerline.plans.registry import register
 from ledgerline.schemas import MART_COLUMNS
 from ledgerline.session import Workspace

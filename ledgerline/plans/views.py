@@ -12,14 +12,25 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.plans.mart import sales_mart
 from ledgerline.schemas import ITEM_KINDS, TRANSACTION_FIELDS
 
 MART_AS_OF = dt.date(1998, 1, 1)     # transactions are dated on Jan 1 of the order year
 LEAD_AS_OF = dt.date(2024, 1, 30)    # events span January 2024
 
 
+_TABLES: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table. The relation (file listing, footer schema) is built
+    once per session and path; the inputs are read-only."""
+    path = f"{sf_dir}/{name}.parquet"
+    key = (id(spark), path)
+    df = _TABLES.get(key)
+    if df is None or df.sparkSession is not spark or spark.sparkContext._jsc is None:
+        df = _TABLES[key] = spark.read.parquet(path)
+    return df
 
 
 def _s(c: Column) -> Column:
@@ -123,21 +134,27 @@ def prices(spark: SparkSession, sf_dir: str, kind: str = "product") -> DataFrame
                   .otherwise("year").alias("frequency"),
                  (size % 12).cast("bigint").alias("payments"),
                  _commissions().alias("affiliate_commissions")]
-    base = part.select(*cols, "p_size", "p_partkey")
-    second = (base.filter(size % 10 == 0).withColumn("price", F.col("price") + 500))
-    again = base.filter(F.col("p_partkey") % 7 == 0)
-    return base.unionByName(second).unionByName(again).drop("p_size", "p_partkey")
+    # one scan of part; each part yields its base version, a second version
+    # (price + 500) when p_size % 10 = 0 and an exact re-delivery when
+    # p_partkey % 7 = 0
+    versions = F.array(F.lit(0),
+                       F.when(size % 10 == 0, F.lit(1)),
+                       F.when(F.col("p_partkey") % 7 == 0, F.lit(2)))
+    base = part.select(*cols, F.explode(F.array_compact(versions)).alias("_v"))
+    return base.withColumn("price", F.when(F.col("_v") == 1, F.col("price") + 500)
+                           .otherwise(F.col("price"))).drop("_v")
 
 
 def items(spark: SparkSession, sf_dir: str, kind: str = "product") -> DataFrame:
     """Item list of one kind; some parts are absent, some delivered twice."""
     part = table(spark, sf_dir, "part")
     key = F.col("p_partkey")
-    base = part.filter(key % 11 != 0).select(
+    copies = F.explode(F.array_compact(F.array(F.lit(0), F.when(key % 13 == 0, F.lit(1)))))
+    return part.filter(key % 11 != 0).select(
         key.alias(ITEM_KINDS[kind]), F.col("p_brand").alias("label"),
         F.concat(F.lit("https://shop.example.com/item/"), _s(key)).alias("url"),
-        F.when(F.col("p_size") % 3 == 0, "draft").otherwise("live").alias("statusString"))
-    return base.unionByName(base.filter(key % 13 == 0))
+        F.when(F.col("p_size") % 3 == 0, "draft").otherwise("live").alias("statusString"),
+        copies.alias("_copy")).drop("_copy")
 
 
 def attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -241,3 +258,19 @@ def leads_mixed_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     ms = _s(F.unix_millis(F.col("ts").cast("timestamp")))
     return ev.select(F.col("user_id").alias("id"), "event_id",
                      F.when(F.col("event_id") % 2 == 0, ms).otherwise(iso).alias("creationDate"))
+
+
+def mart_inputs(spark: SparkSession, sf_dir: str):
+    """Price tables and item lists of the four item kinds."""
+    prices_by_kind = {k: prices(spark, sf_dir, k) for k in ITEM_KINDS}
+    lists = {k: items(spark, sf_dir, k) for k in ITEM_KINDS}
+    return prices_by_kind, lists
+
+
+def mart_for(spark: SparkSession, sf_dir: str, day: dt.date, kinds=None) -> DataFrame:
+    """The sales mart of ``day`` over the derived tables."""
+    price_tables, lists = mart_inputs(spark, sf_dir)
+    tx = transactions(spark, sf_dir, year=day.year)
+    if kinds is not None:
+        tx = tx.filter(F.col("item_type").isin(kinds))
+    return sales_mart(tx, price_tables, lists, day)
