@@ -60,7 +60,8 @@ def sync_gap(spark: SparkSession, total: int, loaded: int, page_size: int = 100)
 
 
 def number_rows(ids: DataFrame, id_col: str, partitions: int | None = None) -> DataFrame:
-    """Consecutive 0-based numbers in id order, without a single-partition window.
+    """Consecutive 0-based numbers of the distinct ids in id order (a dense
+    rank), without a single-partition window.
 
     Ids are range-partitioned and sorted within partitions; each row's number
     is its partition's offset (a running sum over one count per partition,

@@ -460,7 +460,7 @@ WHERE c_mktsegment = 'BUILDING' OR (missing > 0 AND c_custkey // 100 + 1 <= miss
 def transactions_sync(as_of: str) -> str:
     return f"""
 WITH tx AS ({flat_tx(V_TX)}),
-num AS (SELECT *, row_number() OVER (ORDER BY transaction_id) - 1 AS rn FROM tx),
+num AS (SELECT *, dense_rank() OVER (ORDER BY transaction_id) - 1 AS rn FROM tx),
 m AS (SELECT (SELECT count(*) FROM tx) - (SELECT count(*) FROM tx WHERE invoice_id % 10 = 1)
       AS missing),
 allrows AS (

@@ -15,6 +15,7 @@ Rules that keep rewrites safe on parquet tables:
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from py4j.protocol import Py4JJavaError
@@ -65,18 +66,23 @@ def _create(df: DataFrame, table: str, partition_by: Sequence[str] | None,
     writer.saveAsTable(table)
 
 
+def _stage_name(table: str, kind: str) -> str:
+    """A fresh stage table next to ``table``; leftovers of a failed run are
+    never reused."""
+    return f"{table}__{kind}_{uuid.uuid4().hex[:10]}"
+
+
 def replace_table(df: DataFrame, table: str, partition_by: Sequence[str] | None = None,
                   cluster_by: Sequence[str] | None = None) -> None:
     """K8: create or replace ``table`` with ``df`` (which may read ``table``).
 
-    The result is written to ``<table>__stage`` first; only after that job has
+    The result is written to a stage table first; only after that job has
     succeeded is the old table dropped and the stage renamed.
     """
     spark = _spark(df)
     if partition_by is None and exists(spark, table):
         partition_by = partition_columns(spark, table)
-    stage = f"{table}__stage"
-    drop_table(spark, stage)
+    stage = _stage_name(table, "stage")
     _create(df, stage, partition_by, cluster_by)
     drop_table(spark, table)
     spark.sql(f"ALTER TABLE {stage} RENAME TO {table}")
@@ -235,8 +241,7 @@ def replace_slice(df: DataFrame, table: str, values: Mapping[str, object],
     for k, v in values.items():
         c = F.col(k) == F.lit(v)
         cond = c if cond is None else cond & c
-    stage = f"{table}__slice"
-    drop_table(spark, stage)
+    stage = _stage_name(table, "slice")
     _create(df, stage, None, None)
     staged = spark.table(stage)
     if not staged.filter(~cond).isEmpty():
