@@ -479,8 +479,10 @@ def _dur(c: str) -> str:
             f"+ CAST(split_part({c}, ':', 3) AS DOUBLE)) / 60 END")
 
 
-def registrants_sync(as_of: str) -> str:
-    one = f"""
+def registrants_one(as_of: str) -> str:
+    """Registrants of one platform after repair, duplicate deliveries and
+    the de-duplication of the days from ``as_of`` on."""
+    return f"""
 WITH r AS (
   SELECT CAST(lead_id AS BIGINT) % 20 AS webinar_id, CAST(id AS BIGINT) AS id,
     CAST(lead_id AS BIGINT) AS lead_id,
@@ -495,6 +497,10 @@ WITH r AS (
 a AS (SELECT * EXCLUDE (dup) FROM r UNION ALL SELECT * EXCLUDE (dup) FROM r WHERE dup)
 SELECT * FROM a WHERE NOT coalesce(CAST(signup_date AS DATE) >= DATE '{as_of}', false)
 UNION ALL SELECT DISTINCT * FROM a WHERE CAST(signup_date AS DATE) >= DATE '{as_of}'"""
+
+
+def registrants_sync(as_of: str) -> str:
+    one = registrants_one(as_of)
     return (f"SELECT 'webinarjam' AS platform, * FROM ({one}) "
             f"UNION ALL SELECT 'everwebinar' AS platform, * FROM ({one})")
 

@@ -10,12 +10,14 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from ledgerline.functions.repair import repair_registrants
 from ledgerline.functions.shape import flat_output
 from ledgerline.plans import views
 from ledgerline.plans import oracle as O
 from ledgerline.plans.views import mart_for
 from ledgerline.plans.registry import register
-from ledgerline.schemas import MART_COLUMNS
+from ledgerline.schemas import (MART_COLUMNS, REGISTRANT_DURATION_FIELDS, REGISTRANT_ID_FIELDS,
+                                REGISTRANT_TIMESTAMP_FIELDS, TRANSACTION_DDL)
 from ledgerline.session import Workspace
 from ledgerline.sinks import tables as K
 
@@ -161,3 +163,38 @@ def q_resume_state(spark, sf_dir):
     K.save_state(spark, t, 1)
     K.save_state(spark, t, last // 250 + 2)
     return spark.table(t).limit(1)
+
+
+@register("sink_bad_record_cap", _TX_FLAT)
+def q_sink_bad_record_cap(spark, sf_dir):
+    """K5: malformed lines (one per early order, at most 500) go to
+    <table>_bad_records; every good line loads; above the cap nothing would."""
+    ws = Workspace(spark)
+    tx = views.transactions(spark, sf_dir)
+    good = tx.select(F.to_json(F.struct(*[F.col(c) for c in tx.columns])).alias("value"))
+    bad = (tx.filter((F.col("order_id") < 500) & (F.col("invoice_id") % 10 == 1))
+             .select(F.concat(F.lit('{"transaction_id": "'), F.col("transaction_id"),
+                              F.lit('", "amount": ')).alias("value")))
+    path = ws.path("landing", "transactions")
+    good.unionByName(bad).write.text(path)
+    t = ws.table("transactions")
+    stats = K.load_json_capped(spark, path, TRANSACTION_DDL, t)
+    assert 0 < stats["bad_records"] <= 500, stats
+    return flat_output(spark.table(t))
+
+
+@register("dedup_tail_slice", O.registrants_one(str(views.LEAD_AS_OF)))
+def q_dedup_tail_slice(spark, sf_dir):
+    """M3: registrants from the as-of day on are de-duplicated; earlier days
+    keep their duplicates. The table is partitioned by signup day."""
+    ws = Workspace(spark)
+    t = ws.table("registrants")
+    reg = views.registrants_text(spark, sf_dir)
+    rows = repair_registrants(reg, REGISTRANT_TIMESTAMP_FIELDS, REGISTRANT_DURATION_FIELDS,
+                              REGISTRANT_ID_FIELDS)
+    rows = rows.withColumns({"webinar_id": F.col("lead_id") % 20,
+                             "signup_day": F.to_date("signup_date")})
+    dup = rows.filter(F.expr("(id div 100) % 2 = 0"))
+    K.write(rows.unionByName(dup), t, "append", partition_by=["signup_day"])
+    K.dedup_slice(spark, t, f"signup_day >= DATE'{views.LEAD_AS_OF}'")
+    return spark.table(t).drop("signup_day")
