@@ -121,7 +121,8 @@ def q_src_two_level_explode(spark, sf_dir):
     """Rows under registrants.data; documents where it is not a list give none."""
     ws = Workspace(spark)
     conv = views.table(spark, sf_dir, "conversations")
-    per = conv.groupBy("conv_id").agg(
+    # one document per (conversation, 100 turns): no group grows with the data
+    per = conv.groupBy("conv_id", F.expr("turn div 100").alias("pg")).agg(
         F.to_json(F.collect_list(F.struct("turn", "role", "text"))).alias("data"))
     data = F.when(F.col("conv_id") % 10 == 3, F.lit('"none"')).otherwise(F.col("data"))
     docs = per.select(F.concat(F.lit('{"webinar_id":'), F.col("conv_id").cast("string"),
