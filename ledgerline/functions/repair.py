@@ -125,10 +125,10 @@ def duration_minutes(c: Column) -> Column:
     minutes as DOUBLE. Null, blank and ``nan`` give null; any other text
     fails the job."""
     txt = F.trim(c)
-    seconds = (F.regexp_extract(txt, DURATION, 2).cast("double") * 3600
-               + F.regexp_extract(txt, DURATION, 3).cast("double") * 60
-               + F.regexp_extract(txt, DURATION, 4).cast("double"))
-    sign = F.when(F.regexp_extract(txt, DURATION, 1) == "-", F.lit(-1.0)).otherwise(F.lit(1.0))
+    parts = F.split(F.regexp_replace(txt, r"^[+-]", ""), ":")
+    seconds = (parts.getItem(0).cast("double") * 3600 + parts.getItem(1).cast("double") * 60
+               + parts.getItem(2).cast("double"))
+    sign = F.when(txt.startswith("-"), F.lit(-1.0)).otherwise(F.lit(1.0))
     return (F.when(c.isNull() | (txt == "") | (F.lower(txt).isin("nan", "nat")),
                    F.lit(None).cast("double"))
              .when(txt.rlike(DURATION), sign * seconds / 60)
