@@ -44,8 +44,9 @@ def ensure_engine_conf(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when nothing is configured (local tests) a
-    folder is created and registered as the checkpoint directory.
+    Read from the session. Only on a local master with nothing configured
+    (tests) is a folder created and registered; on a cluster an unset
+    setting is an error, never a machine-local folder.
     """
     sc = spark.sparkContext
     found = (spark.conf.get("spark.checkpoint.dir", None)
@@ -55,6 +56,9 @@ def shared_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(found)
         return found
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach "
+                           "(stage tables, checkpoints and stream state live there)")
     local = tempfile.mkdtemp(prefix="ledgerline-shared-")
     sc.setCheckpointDir(local)
     spark.conf.set("spark.checkpoint.dir", local)

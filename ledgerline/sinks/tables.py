@@ -244,12 +244,14 @@ def replace_slice(df: DataFrame, table: str, values: Mapping[str, object],
     stage = _stage_name(table, "slice")
     _create(df, stage, None, None)
     staged = spark.table(stage)
-    if not staged.filter(~cond).isEmpty():
+    counts = staged.agg(F.count(F.lit(1)).alias("n"),
+                        F.count_if(~F.coalesce(cond, F.lit(False))).alias("outside")).first()
+    if counts["outside"]:
         drop_table(spark, stage)
         raise ValueError(f"rows outside the slice {dict(values)} in the result for {table}")
     if not exists(spark, table):
         _create(staged, table, partition_by or list(values), None)
-    elif staged.isEmpty():
+    elif counts["n"] == 0:
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({_partition_spec(values)})")
     else:
         overwrite_partitions(staged, table)
