@@ -68,12 +68,13 @@ def number_rows(ids: DataFrame, id_col: str, partitions: int | None = None) -> D
     a table as small as the partition count) plus its position in the
     partition. The ranged ids are checkpointed so both uses see one layout.
     """
-    spark = ids.sparkSession
-    shared_dir(spark)
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shared_dir(ids.sparkSession)
     mid = F.monotonically_increasing_id()
-    ranged = (ids.select(F.col(id_col).alias("_id")).distinct()
-                 .repartitionByRange(parts, "_id").sortWithinPartitions("_id")
+    distinct = ids.select(F.col(id_col).alias("_id")).distinct()
+    # without a fixed count AQE may merge adjacent ranges; they stay in order
+    by_range = (distinct.repartitionByRange(partitions, "_id") if partitions
+                else distinct.repartitionByRange("_id"))
+    ranged = (by_range.sortWithinPartitions("_id")
                  .withColumn("_mid", mid)
                  .withColumn("_part", F.shiftright(F.col("_mid"), 33))
                  .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)))
