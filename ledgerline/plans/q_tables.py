@@ -53,7 +53,7 @@ def q_sink_if_empty(spark, sf_dir):
     ws = Workspace(spark)
     t = ws.table("transactions")
     tx = views.transactions(spark, sf_dir)
-    K.write(tx.limit(0), t, "empty")
+    K.write(spark.createDataFrame([], tx.schema), t, "empty")
     K.write(tx, t, "empty")
     try:
         K.write(tx, t, "empty")
@@ -70,7 +70,7 @@ def q_sink_dead_letter(spark, sf_dir):
     ws = Workspace(spark)
     t = ws.table("transactions")
     tx = views.transactions(spark, sf_dir)
-    K.write(tx.limit(0), t, "overwrite")
+    K.write(spark.createDataFrame([], tx.schema), t, "overwrite")
     bad = tx.withColumn("amount", F.concat(F.col("amount").cast("string"), F.lit(" cents")))
     if K.write_or_dead_letter(bad, t, "append"):
         raise AssertionError("a text amount was loaded into a BIGINT column")

@@ -69,9 +69,13 @@ def q_to_ndjson(spark, sf_dir):
 
 @register("infer_column_type")
 def q_infer_column_type(spark, sf_dir):
-    """K9: table column type for each flattened lead column (rows-only check)."""
+    """K9: table column type for each flattened lead column, with the number
+    of values seen (one aggregate over all rows; rows-only check)."""
     leads = S.flatten_structs(views.leads(spark, sf_dir))
-    kinds = [(f.name, spark_ddl_type(f.dataType)) for f in leads.schema.fields]
-    # The schema is data: one row per column of the frame derived from the tables.
-    return leads.limit(1).select(F.inline(F.array(*[
-        F.struct(F.lit(n).alias("column_name"), F.lit(t).alias("column_type")) for n, t in kinds])))
+    fields = leads.schema.fields
+    counts = leads.agg(*[F.count(F.col(f"`{f.name}`")).alias(f"n{i}") for i, f in enumerate(fields)])
+    return counts.select(F.inline(F.array(*[
+        F.struct(F.lit(f.name).alias("column_name"),
+                 F.lit(spark_ddl_type(f.dataType)).alias("column_type"),
+                 F.col(f"n{i}").alias("values"))
+        for i, f in enumerate(fields)])))
