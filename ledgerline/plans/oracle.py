@@ -541,3 +541,12 @@ ids AS (SELECT DISTINCT adSourceId FROM j WHERE leadId IN ({_NEW_LEADS}) AND adS
 SELECT s.adSourceId, s.clicks, s.name, g.integration_type, g.include_disregarded,
   g.include_organic, TIMESTAMP '2024-01-30 12:00:00' AS fetched_at
 FROM stats s JOIN ids USING (adSourceId), {_GRID} g"""
+
+
+_LEAD_COLUMNS = [("id", "BIGINT", "user_id"), ("event_id", "BIGINT", "event_id"),
+                 ("creationDate", "STRING", "ts"), ("email_domain", "STRING", "event_type"),
+                 ("detail_kind", "STRING", "event_type"),
+                 ("detail_props_k", "BIGINT", "json_extract(props, '$.k')")]
+INFER_COLUMN_TYPE = "\nUNION ALL\n".join(
+    f"SELECT '{n}' AS column_name, '{t}' AS column_type, count({e}) AS non_null FROM events"
+    for n, t, e in _LEAD_COLUMNS)

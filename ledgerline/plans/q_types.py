@@ -67,15 +67,15 @@ def q_to_ndjson(spark, sf_dir):
     return S.to_ndjson(views.transactions(spark, sf_dir))
 
 
-@register("infer_column_type")
+@register("infer_column_type", O.INFER_COLUMN_TYPE)
 def q_infer_column_type(spark, sf_dir):
     """K9: table column type for each flattened lead column, with the number
-    of values seen (one aggregate over all rows; rows-only check)."""
+    of values seen (one aggregate over all rows)."""
     leads = S.flatten_structs(views.leads(spark, sf_dir))
     fields = leads.schema.fields
     counts = leads.agg(*[F.count(F.col(f"`{f.name}`")).alias(f"n{i}") for i, f in enumerate(fields)])
     return counts.select(F.inline(F.array(*[
         F.struct(F.lit(f.name).alias("column_name"),
                  F.lit(spark_ddl_type(f.dataType)).alias("column_type"),
-                 F.col(f"n{i}").alias("values"))
+                 F.col(f"n{i}").alias("non_null"))
         for i, f in enumerate(fields)])))

@@ -21,7 +21,7 @@ def duck(sf_dir):
 
 def test_every_query_has_an_oracle_or_is_rows_only():
     assert set(ORACLE) <= set(QUERIES)
-    assert sorted(set(QUERIES) - set(ORACLE)) == ["infer_column_type", "to_ndjson"]
+    assert sorted(set(QUERIES) - set(ORACLE)) == ["to_ndjson"]
 
 
 def test_entry_smoke(spark):
@@ -42,6 +42,6 @@ def test_matches_oracle(spark, duck, sf_dir, name):
     assert digest(df.columns, rows)[0] == digest(ocols, orows)[0]
 
 
-@pytest.mark.parametrize("name", ["infer_column_type", "to_ndjson"])
+@pytest.mark.parametrize("name", ["to_ndjson"])
 def test_rows_only(spark, sf_dir, name):
     assert QUERIES[name](spark, sf_dir).count() > 0
