@@ -65,3 +65,13 @@ def test_typed_ndjson_rejects_text_in_number(spark, ws):
     spark.createDataFrame([('{"q": "twelve"}',)], "value string").write.text(path2)
     with pytest.raises(Exception):
         L.read_ndjson_typed(spark, path2, "q bigint").collect()
+
+
+def test_flatten_then_select_equals_path_access(spark, sf_dir):
+    from ledgerline.plans import views
+
+    leads = views.leads(spark, sf_dir)
+    flat = S.flatten_structs(leads).select("event_id", "detail_kind", "detail_props_k")
+    direct = leads.select("event_id", F.col("detail.kind").alias("detail_kind"),
+                          F.col("detail.props.k").alias("detail_props_k"))
+    assert flat.exceptAll(direct).count() == 0 and direct.exceptAll(flat).count() == 0

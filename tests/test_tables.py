@@ -124,3 +124,14 @@ def test_state_default_and_overwrite(spark, ws):
     K.save_state(spark, t, 7)
     K.save_state(spark, t, 9)
     assert K.read_state(spark, t) == 9 and spark.table(t).count() == 1
+
+
+def test_failed_slice_replacement_keeps_old_slice(spark, ws):
+    t = ws.table("t")
+    d = dt.date(2024, 1, 1)
+    K.replace_slice(spark.createDataFrame([(1, d)], "id bigint, date date"), t, {"date": d})
+    bad = spark.createDataFrame([(2, d)], "id bigint, date date").withColumn(
+        "id", F.raise_error(F.lit("mid-write failure")).cast("bigint"))
+    with pytest.raises(Exception):
+        K.replace_slice(bad, t, {"date": d})
+    assert rows(spark, t) == [(1, d)]
