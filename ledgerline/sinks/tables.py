@@ -299,6 +299,35 @@ def save_state(spark: SparkSession, table: str, page_id: int) -> None:
 
 # --- aligned append ----------------------------------------------------------
 
+def align_to_table(df: DataFrame, table: str) -> tuple[DataFrame, list[str]]:
+    """The K6 alignment of ``df`` to an existing ``table``: list columns as
+    comma text (T6), records as JSON text, new columns added to the table
+    with ``ALTER TABLE .. ADD COLUMNS`` (type from K9), missing ones null, in
+    the table's column order. Returns the aligned frame and the added names."""
+    spark = _spark(df)
+    current = {f.name: f.dataType for f in spark.table(table).schema.fields}
+    added = [f for f in df.schema.fields if f.name not in current]
+    if added:
+        cols = ", ".join(f"`{f.name}` {spark_ddl_type(f.dataType)}" for f in added)
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({cols})")
+        spark.catalog.refreshTable(table)
+    target = spark.table(table).schema
+    have = set(df.columns)
+    aligned = df.select(*[
+        (F.col(f"`{f.name}`") if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in target.fields])
+    return aligned, [f.name for f in added]
+
+
+def _shape_for_table(df: DataFrame) -> DataFrame:
+    from ledgerline.functions.shape import flatten_lists
+
+    df = flatten_lists(df)
+    return df.select(*[(F.to_json(F.col(f"`{f.name}`")).alias(f.name)
+                        if isinstance(f.dataType, (T.StructType, T.MapType)) else F.col(f"`{f.name}`"))
+                       for f in df.schema.fields])
+
+
 def align_append(df: DataFrame, table: str, partition_by: Sequence[str] | None = None,
                  replace_partitions: bool = False) -> list[str]:
     """K6: append ``df`` to ``table`` whose schema may differ.
@@ -308,33 +337,44 @@ def align_append(df: DataFrame, table: str, partition_by: Sequence[str] | None =
     JSON text) and keep their values; table columns missing from ``df`` are
     null; rows are written in the table's column order. An absent table is
     created from the first batch. With ``replace_partitions`` the batch
-    replaces the partitions it touches (idempotent re-runs, e.g. per stream
-    batch id). Returns the added column names.
+    replaces the partitions it touches. Returns the added column names.
     """
-    from ledgerline.functions.shape import flatten_lists
-
     spark = _spark(df)
-    df = flatten_lists(df)
-    df = df.select(*[(F.to_json(F.col(f"`{f.name}`")).alias(f.name)
-                      if isinstance(f.dataType, (T.StructType, T.MapType)) else F.col(f"`{f.name}`"))
-                     for f in df.schema.fields])
+    df = _shape_for_table(df)
     if not exists(spark, table):
         _create(df, table, partition_by, None)
         return list(df.columns)
-    current = {f.name: f.dataType for f in spark.table(table).schema.fields}
-    added = [f for f in df.schema.fields if f.name not in current]
-    if added:
-        cols = ", ".join(f"`{f.name}` {spark_ddl_type(f.dataType)}" for f in added)
-        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({cols})")
-        spark.catalog.refreshTable(table)
-    target = spark.table(table).schema
-    have = set(df.columns)
-    aligned = df.select(*[
-        (F.col(f"`{f.name}`") if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
-        for f in target.fields])
+    aligned, added = align_to_table(df, table)
     writer = aligned.write
     if replace_partitions:
         writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
     else:
         writer.mode("append").insertInto(table)
-    return [f.name for f in added]
+    return added
+
+
+def align_append_once(df: DataFrame, table: str, run_col: str, run: str,
+                      batch_col: str, batch_id: int) -> bool:
+    """K6 for one stream micro-batch, exactly once.
+
+    The table is partitioned by run only; the batch id is a column. Normally
+    the batch is appended. If rows of this (run, batch id) are already there
+    (the batch was written but its commit was not recorded, so the stream
+    replays it), the run's partition is rewritten without the earlier copy
+    (dynamic overwrite of that one partition). Returns True on a replay.
+    """
+    spark = _spark(df)
+    df = _shape_for_table(df).withColumns({batch_col: F.lit(batch_id).cast("bigint"),
+                                           run_col: F.lit(run)})
+    if not exists(spark, table):
+        _create(df, table, [run_col], None)
+        return False
+    mine = (F.col(run_col) == F.lit(run)) & (F.col(batch_col) == F.lit(batch_id))
+    replay = not spark.table(table).filter(mine).isEmpty()
+    aligned, _ = align_to_table(df, table)
+    if not replay:
+        aligned.write.mode("append").insertInto(table)
+        return False
+    kept = spark.table(table).filter((F.col(run_col) == F.lit(run)) & ~mine)
+    overwrite_partitions(kept.unionByName(aligned), table)
+    return True

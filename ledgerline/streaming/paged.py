@@ -9,10 +9,11 @@ each batch and appends it to the target table with schema alignment.
   interrupted run continues with the next page on restart (no state table
   to keep in step).
 * Reset: a date range gets its own checkpoint folder; a new range starts fresh.
-* Exactly once: each micro-batch is written into its own (``_run``,
-  ``_batch_id``) partition with dynamic overwrite, so a batch replayed after
-  a failure replaces its earlier output instead of appending it twice; the
-  run key (from the checkpoint path) keeps date ranges apart.
+* Exactly once: rows carry the run (from the checkpoint path, one per date
+  range; the table's only partition column) and the batch id. A batch is
+  appended; a batch replayed after a failure between write and commit finds
+  its earlier rows and rewrites just its run's partition without them, so
+  it is never counted twice. Partitions grow with runs, not micro-batches.
 * A failed write fails the batch; the checkpoint does not advance past it.
 """
 
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.schemas import PAGED_FLUSH_PAGES
-from ledgerline.sinks.tables import align_append
+from ledgerline.sinks.tables import align_append_once
 
 BATCH_COLUMN = "_batch_id"
 RUN_COLUMN = "_run"
@@ -44,15 +45,11 @@ def page_stream(spark: SparkSession, landing_dir: str, page_schema: T.StructType
 
 def batch_writer(table: str, shape: Callable[[DataFrame], DataFrame] | None = None,
                  run: str = "run"):
-    """The ``foreachBatch`` function: shape, tag with the run (one per
-    checkpoint) and batch id, aligned append replacing that (run, batch)
-    partition (X5)."""
+    """The ``foreachBatch`` function: shape, then an exactly-once aligned
+    append tagged with the run (one per checkpoint) and the batch id (X5)."""
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         shaped = shape(batch) if shape is not None else batch
-        shaped = shaped.withColumns({RUN_COLUMN: F.lit(run),
-                                     BATCH_COLUMN: F.lit(batch_id).cast("bigint")})
-        align_append(shaped, table, partition_by=[RUN_COLUMN, BATCH_COLUMN],
-                     replace_partitions=True)
+        align_append_once(shaped, table, RUN_COLUMN, run, BATCH_COLUMN, batch_id)
     return write_batch
 
 

@@ -47,3 +47,16 @@ def test_new_range_starts_fresh(spark, ws):
     X.run_paged_ingest(spark, landing, SCHEMA, t, X.checkpoint_for(ws.root, t, "a"))
     X.run_paged_ingest(spark, landing, SCHEMA, t, X.checkpoint_for(ws.root, t, "b"))
     assert X.table_rows(spark, t).count() == 6
+
+
+def test_replay_keeps_other_batches_and_runs(spark, ws):
+    t = ws.table("rows")
+    frame = lambda ids: spark.createDataFrame([(i, "v") for i in ids], "id bigint, v string")
+    a, b = X.batch_writer(t, run="a"), X.batch_writer(t, run="b")
+    a(frame([1, 2]), 0)
+    a(frame([3]), 1)
+    b(frame([1, 2]), 0)
+    a(frame([1, 2]), 0)          # replay of run a, batch 0
+    got = sorted((r["_run"], r["_batch_id"], r.id) for r in spark.table(t).collect())
+    assert got == [("a", 0, 1), ("a", 0, 2), ("a", 1, 3), ("b", 0, 1), ("b", 0, 2)]
+    assert [c.name for c in spark.catalog.listColumns(t) if c.isPartition] == ["_run"]
