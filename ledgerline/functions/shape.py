@@ -81,14 +81,29 @@ def list_text(c: Column, element_type: T.DataType) -> Column:
     return F.array_join(F.transform(c, lambda x: _element_text(element_type, x)), ",", "None")
 
 
-def flatten_lists(df: DataFrame) -> DataFrame:
-    """Every list column becomes comma-joined text; other columns untouched."""
+def text_list_text(c: Column) -> Column:
+    """T6 for a text column whose values may be JSON lists (a key that mixes
+    lists and scalars is read as text): list values are joined like list
+    columns, other values are kept."""
+    items = F.from_json(c, "array<string>")
+    words = F.transform(items, lambda x: F.when(x == "true", F.lit("True"))
+                        .when(x == "false", F.lit("False")).otherwise(x))
+    return F.when(F.trim(c).startswith("[") & items.isNotNull(),
+                  F.array_join(words, ",", "None")).otherwise(c)
+
+
+def flatten_lists(df: DataFrame, text_lists: Sequence[str] = ()) -> DataFrame:
+    """Every list column becomes comma-joined text; ``text_lists`` names
+    text columns holding JSON lists among scalars; other columns untouched."""
     cols = []
     for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, T.ArrayType):
-            cols.append(list_text(F.col(f"`{f.name}`"), f.dataType.elementType).alias(f.name))
+            cols.append(list_text(c, f.dataType.elementType).alias(f.name))
+        elif f.name in text_lists and isinstance(f.dataType, T.StringType):
+            cols.append(text_list_text(c).alias(f.name))
         else:
-            cols.append(F.col(f"`{f.name}`"))
+            cols.append(c)
     return df.select(*cols)
 
 

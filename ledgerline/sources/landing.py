@@ -104,6 +104,17 @@ def _cast_fields(raw: DataFrame, schema: T.StructType) -> DataFrame:
                         for f in schema.fields])
 
 
+def fields_outside_schema(spark: SparkSession, path: str, schema: T.StructType | str) -> int:
+    """Number of JSON lines carrying top-level fields the fixed schema does
+    not have (those fields are not loaded; this reports them). One pass."""
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    known = F.array(*[F.lit(f.name) for f in schema.fields])
+    keys = F.json_object_keys("value")
+    extra = F.size(F.array_except(F.coalesce(keys, F.array().cast("array<string>")), known)) > 0
+    return spark.read.text(path).agg(F.count_if(extra)).first()[0]
+
+
 def read_ndjson_inferred(spark: SparkSession, path: str, sampling_ratio: float = 1.0) -> DataFrame:
     """JSON lines with the schema inferred by Spark (a scan over a
     ``sampling_ratio`` sample before the read)."""

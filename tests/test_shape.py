@@ -75,3 +75,16 @@ def test_flatten_then_select_equals_path_access(spark, sf_dir):
     direct = leads.select("event_id", F.col("detail.kind").alias("detail_kind"),
                           F.col("detail.props.k").alias("detail_props_k"))
     assert flat.exceptAll(direct).count() == 0 and direct.exceptAll(flat).count() == 0
+
+
+def test_lists_among_scalars_in_text(spark):
+    df = spark.createDataFrame([("[1, null, true]",), ("plain",), ("[note]",), (None,)], "c string")
+    got = [r.c for r in S.flatten_lists(df, text_lists=["c"]).collect()]
+    assert got == ["1,None,True", "plain", "[note]", None]
+
+
+def test_fields_outside_schema_counted(spark, ws):
+    path = ws.path("extra")
+    spark.createDataFrame([('{"q": 1}',), ('{"q": 2, "new_field": 3}',), ("junk",)],
+                          "value string").write.text(path)
+    assert L.fields_outside_schema(spark, path, "q bigint") == 1
