@@ -88,9 +88,9 @@ V_ATTR = """
 SELECT event_type AS id, CAST(ts AS DATE) AS date,
   COUNT(*) AS sales,
   COUNT(DISTINCT user_id) AS leads,
-  SUM(CAST(round(value * 100) AS BIGINT)) AS revenue,
-  SUM(CASE WHEN event_type = 'purchase' THEN CAST(round(value * 100) AS BIGINT) ELSE 0 END)
-    AS total_revenue,
+  CAST(SUM(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS revenue,
+  CAST(SUM(CASE WHEN event_type = 'purchase' THEN CAST(round(value * 100) AS BIGINT) ELSE 0 END)
+       AS BIGINT) AS total_revenue,
   MAX(CAST(round(value * 100) AS BIGINT)) AS cost
 FROM events GROUP BY 1, 2
 """
