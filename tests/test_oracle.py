@@ -7,6 +7,9 @@ from check_oracle import TABLES, digest
 
 QUERIES = E.queries()
 ORACLE = E.oracle_sql()
+DUCK_TYPE = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
+             "date": "DATE", "timestamp": "TIMESTAMP", "timestamp_ntz": "TIMESTAMP",
+             "boolean": "BOOLEAN"}
 
 
 @pytest.fixture(scope="module")
@@ -34,10 +37,14 @@ def test_entry_smoke(spark):
 def test_matches_oracle(spark, duck, sf_dir, name):
     df = QUERIES[name](spark, sf_dir)
     rows = [tuple(r) for r in df.collect()]
-    cur = duck.execute(ORACLE[name])
-    ocols = [d[0] for d in cur.description]
-    orows = cur.fetchall()
+    rel = duck.sql(ORACLE[name])
+    ocols = rel.columns
+    otypes = {c: str(t) for c, t in zip(ocols, rel.types)}
+    orows = rel.fetchall()
     assert sorted(df.columns) == sorted(ocols)
+    stypes = {f.name: DUCK_TYPE.get(f.dataType.simpleString(), f.dataType.simpleString())
+              for f in df.schema.fields}
+    assert stypes == otypes
     assert len(rows) == len(orows)
     assert digest(df.columns, rows)[0] == digest(ocols, orows)[0]
 
