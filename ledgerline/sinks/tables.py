@@ -354,14 +354,16 @@ def align_append(df: DataFrame, table: str, partition_by: Sequence[str] | None =
 
 
 def align_append_once(df: DataFrame, table: str, run_col: str, run: str,
-                      batch_col: str, batch_id: int) -> bool:
+                      batch_col: str, batch_id: int, may_be_replay: bool = True) -> bool:
     """K6 for one stream micro-batch, exactly once.
 
     The table is partitioned by run only; the batch id is a column. Normally
     the batch is appended. If rows of this (run, batch id) are already there
     (the batch was written but its commit was not recorded, so the stream
     replays it), the run's partition is rewritten without the earlier copy
-    (dynamic overwrite of that one partition). Returns True on a replay.
+    (dynamic overwrite of that one partition). ``may_be_replay=False``
+    skips that check when the caller knows the batch is new. Returns True on
+    a replay.
     """
     spark = _spark(df)
     df = _shape_for_table(df).withColumns({batch_col: F.lit(batch_id).cast("bigint"),
@@ -370,7 +372,7 @@ def align_append_once(df: DataFrame, table: str, run_col: str, run: str,
         _create(df, table, [run_col], None)
         return False
     mine = (F.col(run_col) == F.lit(run)) & (F.col(batch_col) == F.lit(batch_id))
-    replay = not spark.table(table).filter(mine).isEmpty()
+    replay = may_be_replay and not spark.table(table).filter(mine).isEmpty()
     aligned, _ = align_to_table(df, table)
     if not replay:
         aligned.write.mode("append").insertInto(table)

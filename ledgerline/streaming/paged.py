@@ -46,10 +46,19 @@ def page_stream(spark: SparkSession, landing_dir: str, page_schema: T.StructType
 def batch_writer(table: str, shape: Callable[[DataFrame], DataFrame] | None = None,
                  run: str = "run"):
     """The ``foreachBatch`` function: shape, then an exactly-once aligned
-    append tagged with the run (one per checkpoint) and the batch id (X5)."""
+    append tagged with the run (one per checkpoint) and the batch id (X5).
+
+    Only the first batch a query runs after a (re)start can be a replay (a
+    failed batch stops the query), so only that one is checked against the
+    table; later batches of the same query are appended directly.
+    """
+    started = {"first": True}
+
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         shaped = shape(batch) if shape is not None else batch
-        align_append_once(shaped, table, RUN_COLUMN, run, BATCH_COLUMN, batch_id)
+        align_append_once(shaped, table, RUN_COLUMN, run, BATCH_COLUMN, batch_id,
+                          may_be_replay=started["first"])
+        started["first"] = False
     return write_batch
 
 

@@ -32,9 +32,9 @@ def test_batches_of_ten_pages_and_resume(spark, ws):
 
 def test_replayed_batch_replaces_its_output(spark, ws):
     t = ws.table("rows")
-    write = X.batch_writer(t, run="r")
     batch = spark.createDataFrame([(1, "a"), (2, "b")], "id bigint, v string")
-    write(batch, 0)
+    X.batch_writer(t, run="r")(batch, 0)
+    write = X.batch_writer(t, run="r")           # the restarted query
     write(batch, 0)
     write(spark.createDataFrame([(3, "c")], "id bigint, v string"), 1)
     assert sorted(r.id for r in X.table_rows(spark, t).collect()) == [1, 2, 3]
@@ -56,7 +56,7 @@ def test_replay_keeps_other_batches_and_runs(spark, ws):
     a(frame([1, 2]), 0)
     a(frame([3]), 1)
     b(frame([1, 2]), 0)
-    a(frame([1, 2]), 0)          # replay of run a, batch 0
+    X.batch_writer(t, run="a")(frame([1, 2]), 0)   # restarted query replays batch 0
     got = sorted((r["_run"], r["_batch_id"], r.id) for r in spark.table(t).collect())
     assert got == [("a", 0, 1), ("a", 0, 2), ("a", 1, 3), ("b", 0, 1), ("b", 0, 2)]
     assert [c.name for c in spark.catalog.listColumns(t) if c.isPartition] == ["_run"]
