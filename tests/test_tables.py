@@ -135,3 +135,15 @@ def test_failed_slice_replacement_keeps_old_slice(spark, ws):
     with pytest.raises(Exception):
         K.replace_slice(bad, t, {"date": d})
     assert rows(spark, t) == [(1, d)]
+
+
+def test_new_column_types():
+    from pyspark.sql import types as T
+
+    cases = {T.StringType(): "STRING", T.BooleanType(): "BOOLEAN", T.IntegerType(): "BIGINT",
+             T.LongType(): "BIGINT", T.DoubleType(): "DOUBLE", T.FloatType(): "DOUBLE",
+             T.TimestampType(): "TIMESTAMP", T.TimestampNTZType(): "TIMESTAMP",
+             T.DateType(): "DATE", T.StructType([]): "STRING",
+             T.ArrayType(T.LongType()): "STRING", T.NullType(): "STRING"}
+    assert {k.simpleString(): K.spark_ddl_type(k) for k in cases} == \
+           {k.simpleString(): v for k, v in cases.items()}
