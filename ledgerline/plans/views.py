@@ -33,9 +33,11 @@ def spread(df: DataFrame) -> DataFrame:
     parallelism (e.g. one file with one row group), so per-row work before
     the first shuffle runs on every core. A scan of many files already has
     enough partitions and is returned unchanged (no extra shuffle at scale)."""
-    spark = df.sparkSession
-    parallelism = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= parallelism:
+    try:
+        parallelism = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= parallelism:
+            return df
+    except Exception:  # no RDD view of the plan (e.g. a Connect session): leave as is
         return df
     return df.repartition(parallelism)
 

@@ -228,9 +228,10 @@ def _reads_only_partitions(spark: SparkSession, table: str, where: str) -> bool:
     parts = partition_columns(spark, table)
     if not parts:
         return False
-    # The predicate reads only partition columns iff it resolves against them.
+    # The predicate reads only partition columns iff it resolves against them
+    # (``.schema`` forces analysis also where DataFrames are analysed lazily).
     try:
-        spark.table(table).select(*parts).filter(where)
+        spark.table(table).select(*parts).filter(where).schema
         return True
     except PySparkException:
         return False
