@@ -147,3 +147,12 @@ def test_new_column_types():
              T.ArrayType(T.LongType()): "STRING", T.NullType(): "STRING"}
     assert {k.simpleString(): K.spark_ddl_type(k) for k in cases} == \
            {k.simpleString(): v for k, v in cases.items()}
+
+
+def test_dedup_slice_on_non_partition_column_keeps_neighbours(spark, ws):
+    t = ws.table("t")
+    d = dt.date(2024, 1, 1)
+    df = spark.createDataFrame([(1, d), (1, d), (2, d), (2, d)], "id bigint, date date")
+    K.write(df, t, "append", partition_by=["date"])
+    K.dedup_slice(spark, t, "id = 1")
+    assert rows(spark, t) == [(1, d), (2, d), (2, d)]
