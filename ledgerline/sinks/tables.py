@@ -91,6 +91,11 @@ def replace_table(df: DataFrame, table: str, partition_by: Sequence[str] | None
     _create(df, stage, partition_by, cluster_by)
     drop_table(spark, table)
     spark.sql(f"ALTER TABLE {stage} RENAME TO {table}")
+    if partition_by:
+        # the catalog keeps the stage folder as each partition's location
+        # after a rename; re-sync partitions with the renamed folder
+        spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
+        spark.catalog.refreshTable(table)
 
 
 def write(df: DataFrame, table: str, mode: str = "overwrite",
@@ -228,10 +233,13 @@ def _reads_only_partitions(spark: SparkSession, table: str, where: str) -> bool:
     parts = partition_columns(spark, table)
     if not parts:
         return False
-    # The predicate reads only partition columns iff it resolves against them
-    # (``.schema`` forces analysis also where DataFrames are analysed lazily).
+    # The predicate reads only partition columns iff it resolves against a
+    # frame that has nothing else: a projection of the table would not do,
+    # since the analyzer resolves filter references to projected-away columns.
+    # ``.schema`` forces analysis also where DataFrames are analysed lazily.
+    fields = [f for f in spark.table(table).schema.fields if f.name in parts]
     try:
-        spark.table(table).select(*parts).filter(where).schema
+        spark.createDataFrame([], T.StructType(fields)).filter(where).schema
         return True
     except PySparkException:
         return False

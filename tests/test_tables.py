@@ -156,3 +156,14 @@ def test_dedup_slice_on_non_partition_column_keeps_neighbours(spark, ws):
     K.write(df, t, "append", partition_by=["date"])
     K.dedup_slice(spark, t, "id = 1")
     assert rows(spark, t) == [(1, d), (2, d), (2, d)]
+
+
+def test_overwrite_of_partitioned_table_reads_back(spark, ws):
+    t = ws.table("t")
+    d1, d2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    K.write(spark.createDataFrame([(1, d1), (2, d2)], "id bigint, date date"), t, "append",
+            partition_by=["date"])
+    K.write(spark.table(t).filter("id = 2"), t, "overwrite")
+    assert rows(spark, t) == [(2, d2)]
+    K.dedup_table(spark, t)
+    assert rows(spark, t) == [(2, d2)]
