@@ -206,10 +206,12 @@ def lenient_json(c: Column, schema: T.StructType | str) -> Column:
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
     full = T.StructType(list(schema.fields) + [T.StructField("_corrupt_record", T.StringType())])
+    # a bare word outside quoted text: an even number of quotes follows it
+    outside = r"(?![\w'\"])(?=(?:[^']*'[^']*')*[^']*$)"
     words = F.regexp_replace(F.regexp_replace(F.regexp_replace(
-        c, r"(?<![\w'\"])None(?![\w'\"])", "null"),
-        r"(?<![\w'\"])True(?![\w'\"])", "true"),
-        r"(?<![\w'\"])False(?![\w'\"])", "false")
+        c, r"(?<![\w'\"])None" + outside, "null"),
+        r"(?<![\w'\"])True" + outside, "true"),
+        r"(?<![\w'\"])False" + outside, "false")
     parsed = F.from_json(words, full, {"allowSingleQuotes": "true",
                                        "columnNameOfCorruptRecord": "_corrupt_record"})
     ok = c.isNull() | parsed["_corrupt_record"].isNull()

@@ -44,11 +44,12 @@ def test_response_rows_shapes(spark):
 
 
 def test_lenient_json(spark):
-    df = spark.createDataFrame([("{'a': 1, 'b': None, 'c': True}",), ('{"a": 2, "c": false}',)],
-                               "v string")
+    df = spark.createDataFrame([("{'a': 1, 'b': None, 'c': True}",), ('{"a": 2, "c": false}',),
+                                ("{'a': 3, 'b': 'Call None or True', 'c': False}",)], "v string")
     rows = df.select(L.lenient_json(F.col("v"), "a bigint, b string, c boolean").alias("r")) \
              .select("r.*").collect()
-    assert [tuple(r) for r in rows] == [(1, None, True), (2, None, False)]
+    assert [tuple(r) for r in rows] == [(1, None, True), (2, None, False),
+                                        (3, "Call None or True", False)]
 
 
 def test_lenient_json_rejects_garbage(spark):
