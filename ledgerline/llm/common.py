@@ -97,6 +97,21 @@ def utf8(batch: pa.RecordBatch, name: str = "text") -> list[bytes | None]:
     return column.cast(kind).to_pylist()
 
 
+def text_key(text: Column) -> Column:
+    """128 bits of a text, as two longs in hex; null for null."""
+    raw = text.cast("string")
+    return F.concat(F.hex(F.xxhash64(raw, F.lit(1))), F.hex(F.xxhash64(raw, F.lit(2))))
+
+
+def without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose (doc_id, text_key) is not among ``rejected`` (doc_id, __text); nulls compare equal."""
+    gone = written(rejected.distinct(), "rejected").select(
+        F.col("doc_id").alias("__gone_id"), F.col("__text").alias("__gone_text"))
+    keyed = docs.withColumn("__text", text_key(F.col("text")))
+    same = F.col("doc_id").eqNullSafe(F.col("__gone_id")) & F.col("__text").eqNullSafe(F.col("__gone_text"))
+    return keyed.join(gone, same, "left_anti").select(*docs.columns)
+
+
 def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     """(node, root) of every node of ``edges`` (a, b); root is the smallest node reachable.
 
