@@ -4,9 +4,10 @@ import pytest
 
 import __spark_entry__ as E
 from check_oracle import TABLES, digest
+from ledgerline.plans import registry
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+QUERIES = registry.QUERIES
+ORACLE = registry.ORACLE
 DUCK_TYPE = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
              "date": "DATE", "timestamp": "TIMESTAMP", "timestamp_ntz": "TIMESTAMP",
              "boolean": "BOOLEAN"}
