@@ -22,7 +22,8 @@ Counting is a shuffle per order: tasks send their distinct n-grams, compressed
 and dealt by hash (no word or context meets in one task), sums come back, are
 range-sorted by (context, successor) - so a frequent context spans segments -
 and every task writes its segment into the shared folder, atomically. The
-model grows with the corpus; each worker maps it and reads what it needs. The
+model grows with the corpus; each worker maps it and reads what it needs. Texts
+are turned into word ids once, in a table in the shared folder. The
 shared folder must be reachable as a file path (a mounted file system).
 
 Cases: a null text is empty and scores its end token; null ids are learned
@@ -36,8 +37,10 @@ from __future__ import annotations
 import math
 import os
 import shutil
+from array import array
+from collections import Counter
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import lru_cache
 
 import numpy as np
@@ -56,8 +59,10 @@ LEAST_COUNT = 2
 FOLDS, HELD_OUT = 7, 2
 END = b" "  # no word holds a space
 SEGMENT_ROWS = 2_000_000
-SHARD_TOKENS = 4_000_000
-REMEMBERED = 600_000
+SHARD_TOKENS = 2_000_000
+SLICE_TOKENS = 250_000
+RUN_GRAMS = 2_000_000
+REMEMBERED = 300_000
 _SELECT = np.array([[next((i for i in range(8) if b >> i & 1 and bin(b & ((1 << i) - 1)).count("1") == r), 0)
                      for r in range(8)] for b in range(256)], np.uint8)
 
@@ -155,6 +160,11 @@ class Model:
     documents: int
     levels: list[list[Segment]]
 
+    @property
+    def width(self) -> str:
+        """The array type of word ids."""
+        return "i" if self.words < (1 << 31) - 1 else "q"
+
 
 class Words:
     """Level 1."""
@@ -264,54 +274,61 @@ class Reader:
         self.levels = [Level(model, n) for n in range(2, len(model.levels) + 1)]
         self.ids: dict[bytes, int] = {}
 
-    def tokens(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the texts' tokens (words, then the end) and the texts' first places."""
-        if len(self.ids) > REMEMBERED:
-            self.ids.clear()
-        split = [(t or b"").lower().split() for t in texts]
-        for own in split:
-            own.append(END)
-        flat = [w for own in split for w in own]
-        ids = self.ids
-        new = [w for w in set(flat) if w not in ids]
-        if new:
-            ids.update(zip(new, self.words.find(hashed(new)).tolist()))
-        return (np.array([ids[w] for w in flat], np.int64),
-                np.cumsum([0, *[len(own) for own in split[:-1]]], dtype=np.int64))
+    def encode(self, texts: list[bytes | None]) -> list[bytes]:
+        """Each text's tokens (words, then the end) as ids, 4 bytes each where they fit, else 8."""
+        ids, result, width = self.ids, [], self.model.width
+        for text in texts:
+            words = (text or b"").lower().split()
+            words.append(END)
+            new = [w for w in words if w not in ids]
+            if new:
+                if len(ids) > REMEMBERED:
+                    ids.clear()
+                    new = words
+                new = list(set(new))
+                ids.update(zip(new, self.words.find(hashed(new)).tolist()))
+            result.append(array(width, [ids[w] for w in words]).tobytes())
+        return result
 
-    def walk(self, token: np.ndarray, first: np.ndarray):
-        """Per token and level above 1: (position, rank, share, weight of the lower order)."""
-        result = []
+    def contexts(self, token: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """The context of each token at level 2."""
         context = np.empty(len(token), np.int64)
         context[1:] = token[:-1]
         context[first] = self.model.words  # the begin context
-        successor = token
+        return context
+
+    def walk(self, token: np.ndarray, first: np.ndarray):
+        """Per token and level above 1: (position, rank, share, weight of the lower order)."""
+        context, successor = self.contexts(token, first), token
         for level in self.levels:
-            # equal queries are looked up once
-            if len(token) and int(context.max()) < 1 << 31 and int(successor.max()) < 1 << 31:
-                key, back = np.unique(((context + 1) << 32) | (successor + 1), return_inverse=True)
-                found = level.find((key >> 32) - 1, (key & 0xFFFFFFFF) - 1)
-                found = tuple(x[back] for x in found)
-            else:
-                found = level.find(context, successor)
-            result.append(found)
+            found = level.find(context, successor)
+            yield found
             context = np.empty(len(token), np.int64)
             context[1:] = found[0][:-1]
             context[first] = -1
             successor = found[1]
-        return result
 
-    def score(self, texts: list[bytes | None]):
+    def score(self, token: np.ndarray, first: np.ndarray):
         """(tokens, known tokens, base score, score) of each text; log10."""
-        token, first = self.tokens(texts)
         count = self.words.count(token)
         unigram = (count + 1) / (self.model.tokens + self.model.words + 1)
         p = unigram
-        for position, _, share, weight in self.walk(token, first):
+        for _, _, share, weight in self.walk(token, first):
             p = share + weight * p
-        sums = [np.add.reduceat(x, first) for x in
+        return [np.add.reduceat(x, first) for x in
                 (np.ones(len(token), np.int64), (count > 0).astype(np.int64), np.log10(unigram), np.log10(p))]
-        return sums
+
+
+def slices(model: Model, tokens: list[bytes], most: int = SLICE_TOKENS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Runs of texts with about ``most`` tokens: their ids and each text's first place."""
+    begin, size, width = 0, 0, array(model.width).itemsize
+    for n, t in enumerate(tokens):
+        size += len(t) // width
+        if size >= most or n + 1 == len(tokens):
+            own = tokens[begin:n + 1]
+            yield (np.frombuffer(b"".join(own), f"i{width}").astype(np.int64),
+                   np.cumsum([0, *[len(x) // width for x in own[:-1]]], dtype=np.int64))
+            begin, size = n + 1, 0
 
 
 def hashed(words: list[bytes]) -> np.ndarray:
@@ -415,112 +432,160 @@ def _segments(df: DataFrame, keys: list[str], write) -> list[Segment]:
     return sorted((Segment(**r.asDict()) for r in found), key=lambda s: (s.first, s.first_rel))
 
 
-def _pack(context: np.ndarray, successor: np.ndarray, count: np.ndarray) -> bytes:
+def _pack(*arrays: np.ndarray) -> bytes:
     press = zstd.ZstdCompressor(level=1)
-    parts = [press.compress(x.tobytes()) for x in (np.diff(context, prepend=0), successor,
-                                                   np.minimum(count, 255).astype(np.uint8), count[count >= 255])]
+    parts = [press.compress(x.tobytes()) for x in arrays]
     return b"".join(len(p).to_bytes(8, "little") + p for p in parts)
 
 
-def _unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _unpack(blob: bytes) -> list[np.ndarray]:
     parts, at, press = [], 0, zstd.ZstdDecompressor()
     while at < len(blob):
         size = int.from_bytes(blob[at:at + 8], "little")
-        parts.append(press.decompress(blob[at + 8:at + 8 + size]))
+        parts.append(np.frombuffer(press.decompress(blob[at + 8:at + 8 + size]), np.int64))
         at += 8 + size
-    context = np.cumsum(np.frombuffer(parts[0], np.int64))
-    count = np.frombuffer(parts[2], np.uint8).astype(np.int64)
-    count[count == 255] = np.frombuffer(parts[3], np.int64)
-    return context, np.frombuffer(parts[1], np.int64), count
-
-
-def _sum(context: np.ndarray, successor: np.ndarray, count: np.ndarray):
-    """Distinct (context, successor), sorted, with summed counts."""
-    order = np.lexsort((successor, context))
-    context, successor, count = context[order], successor[order], count[order]
-    new = np.ones(len(context), bool)
-    new[1:] = (context[1:] != context[:-1]) | (successor[1:] != successor[:-1])
-    at = np.flatnonzero(new)
-    return context[at], successor[at], np.add.reduceat(count, at) if len(at) else count[:0]
-
-
-def _counted(texts: DataFrame, model: Model, n: int, shards: int, least: int) -> DataFrame:
-    """(context, successor, count) of the n-grams that occur at least ``least`` times."""
-    def emit(held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
-        context, successor, count = _sum(*[np.concatenate(x) for x in zip(*held)])
-        mixed = (context.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-                 ^ successor.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
-        shard = ((mixed ^ mixed >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(33)) % np.uint64(shards)
-        for s in np.unique(shard):
-            own = shard == s
+    return parts
+
+
+def _runs(*keys: np.ndarray) -> np.ndarray:
+    """Where a new key begins in sorted keys."""
+    new = np.ones(len(keys[0]), bool)
+    new[1:] = keys[0][1:] != keys[0][:-1]
+    for k in keys[1:]:
+        new[1:] |= k[1:] != k[:-1]
+    return np.flatnonzero(new)
+
+
+def _tally(context: np.ndarray, successor: np.ndarray):
+    """Distinct (context, successor), sorted, and how often each occurs."""
+    rows = len(context)
+    if rows and max(int(context.max()), int(successor.max())) < 1 << 31:
+        key = np.sort(context << 32 | successor)  # one plain sort where both fit
+        at = _runs(key)
+        context, successor = key[at] >> 32, key[at] & 0xFFFFFFFF
+    else:
+        order = np.lexsort((successor, context))
+        context, successor = context[order], successor[order]
+        at = _runs(context, successor)
+        context, successor = context[at], successor[at]
+    return context, successor, np.diff(np.append(at, rows))
+
+
+def _dealt(held: list[tuple[np.ndarray, np.ndarray]], shards: int) -> Iterator[pa.RecordBatch]:
+    """Distinct n-grams of a run of texts, dealt by hash; counts of 1 are not spelled out."""
+    context, successor, count = _tally(*[np.concatenate(x) for x in zip(*held)])
+    mixed = (context.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+             ^ successor.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
+    mixed = (mixed ^ mixed >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
+    shard = ((mixed >> np.uint64(33)) % np.uint64(shards)).astype(np.int32)
+    order = np.argsort(shard, kind="stable")
+    bounds = np.searchsorted(shard[order], np.arange(shards + 1))
+    for s in range(shards):
+        own = order[bounds[s]:bounds[s + 1]]
+        if len(own):
+            often = np.flatnonzero(count[own] > 1)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([int(s)], pa.int32()), pa.array([_pack(context[own], successor[own], count[own])], pa.binary())],
+                [pa.array([s], pa.int32()),
+                 pa.array([_pack(np.diff(context[own], prepend=0), successor[own], often, count[own][often])], pa.binary())],
                 names=["shard", "grams"])
 
+
+def _add(least: int):
+    """Sums of a shard's n-grams, of those that occur at least ``least`` times."""
+    def add(rows: pa.Table) -> pa.Table:
+        parts = []
+        for blob in rows["grams"].to_pylist():
+            step, successor, often, times = _unpack(blob)
+            count = np.ones(len(step), np.int64)
+            count[often] = times
+            parts.append((np.cumsum(step), successor, count))
+        context, successor, count = (np.concatenate(x) for x in zip(*parts))
+        if max(int(context.max()), int(successor.max())) < 1 << 31:
+            order = np.argsort(context << 32 | successor)
+        else:
+            order = np.lexsort((successor, context))
+        context, successor = context[order], successor[order]
+        at = _runs(context, successor)
+        total = np.add.reduceat(count[order], at)
+        keep = total >= least
+        return pa.table({"context": context[at[keep]], "successor": successor[at[keep]], "count": total[keep]})
+    return add
+
+
+def _counted(tokens: DataFrame, model: Model, n: int, shards: int, least: int) -> DataFrame:
+    """(context, successor, count) of the n-grams of order n that occur at least ``least`` times."""
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, rows = [], 0
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            token, first = reader(model).tokens(utf8(batch))
-            if n == 2:
-                context = np.empty(len(token), np.int64)
-                context[1:], context[first], successor = token[:-1], model.words, token
-            else:
-                position, rank = reader(model).walk(token, first)[n - 3][:2]
-                context = np.empty(len(token), np.int64)
-                context[1:], context[first], successor = position[:-1], -1, rank
-            good = (context >= 0) & (successor >= 0)
-            grams = _sum(context[good], successor[good], np.ones(int(good.sum()), np.int64))
-            held.append(grams)
-            rows += len(grams[0])
-            if rows > SEGMENT_ROWS:
-                yield from emit(held)
-                held, rows = [], 0
+            for token, first in slices(model, batch.column(0).to_pylist()):
+                own = reader(model)
+                if n == 2:
+                    context, successor = own.contexts(token, first), token
+                else:
+                    *_, (position, rank, _, _) = own.walk(token, first)
+                    context, successor = np.empty(len(token), np.int64), rank
+                    context[1:], context[first] = position[:-1], -1
+                good = (context >= 0) & (successor >= 0)
+                held.append((context[good], successor[good]))
+                rows += len(held[-1][0])
+                if rows > RUN_GRAMS:
+                    yield from _dealt(held, shards)
+                    held, rows = [], 0
         if rows:
-            yield from emit(held)
+            yield from _dealt(held, shards)
 
-    def add(rows: pa.Table) -> pa.Table:
-        parts = [_unpack(x) for x in rows["grams"].to_pylist()]
-        context, successor, total = _sum(*[np.concatenate(x) for x in zip(*parts)])
-        keep = total >= least
-        return pa.table({"context": context[keep], "successor": successor[keep], "count": total[keep]})
-
-    blobs = texts.mapInArrow(count, "shard int, grams binary")
-    return written(blobs.groupBy("shard").applyInArrow(add, "context long, successor long, count long"), "grams")
+    blobs = tokens.select("tokens").mapInArrow(count, "shard int, grams binary")
+    return written(blobs.groupBy("shard").applyInArrow(_add(least), "context long, successor long, count long"), "grams")
 
 
-def learn(docs: DataFrame, order: int = ORDER, discount: float = DISCOUNT, least: int = LEAST_COUNT) -> Model:
-    """The trie of all texts of ``docs``, in the shared folder."""
+def vocabulary(docs: DataFrame) -> Model:
+    """Level 1 from all texts of ``docs``: a model of order 1, in the shared folder."""
     spark = docs.sparkSession
     ship(spark)
-    if order not in (1, 2, 3):
-        raise ValueError("orders 1 to 3")
-    texts = docs.select(F.col("text").cast("string").alias("text"))
 
     def words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[bytes, int] = {}
+        seen: Counter[bytes] = Counter()
         for batch in batches:
             for text in utf8(batch, "text"):
-                for w in (text or b"").lower().split():
-                    seen[w] = seen.get(w, 0) + 1
-                seen[END] = seen.get(END, 0) + 1
-            if len(seen) > REMEMBERED:
-                yield _word_rows(seen)
-                seen = {}
+                seen.update((text or b"").lower().split())
+                seen[END] += 1
+                if len(seen) > REMEMBERED:
+                    yield _word_rows(seen)
+                    seen = Counter()
         if seen:
             yield _word_rows(seen)
 
+    texts = docs.select(F.col("text").cast("string").alias("text"))
     counts = written(texts.mapInArrow(words, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")), "words")
     total = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
     ends = counts.where(F.col("h") == F.lit(int(hashed([END])[0]))).first()
-    folder = _model_folder(spark)
-    model = Model(folder, int(total["n"] or 0), int(total["v"]), int(ends["c"]) if ends else 0, [])
-    model.levels.append(_segments(counts, ["h"], _write_words(folder)))
+    model = Model(_model_folder(spark), int(total["n"] or 0), int(total["v"]), int(ends["c"]) if ends else 0, [])
+    model.levels.append(_segments(counts, ["h"], _write_words(model.folder)))
+    return model
+
+
+def encoded(docs: DataFrame, model: Model, *columns: str) -> DataFrame:
+    """(doc_id, *columns, tokens): every whole text as word ids (-1: unknown)."""
+    rows = docs.select("doc_id", *columns, F.col("text").cast("string").alias("text"))
+    names = rows.columns[:-1]
+
+    def run(batch: pa.RecordBatch) -> dict:
+        return {n: batch.column(i) for i, n in enumerate(names)} | {"tokens": reader(model).encode(utf8(batch))}
+
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema if f.name != "text")
+    return arrow_map(rows, run, f"{fields}, tokens binary")
+
+
+def learn(tokens: DataFrame, model: Model, order: int = ORDER, discount: float = DISCOUNT,
+          least: int = LEAST_COUNT) -> Model:
+    """Levels 2 to ``order`` from ``encoded`` training texts, added to the vocabulary's model."""
+    if order not in (1, 2, 3):
+        raise ValueError("orders 1 to 3")
     shards = max(8, -(-model.tokens // SHARD_TOKENS))
     for n in range(2, order + 1 if model.tokens else 0):
-        grams = _counted(texts, model, n, shards, least)
-        model.levels.append(_segments(grams, ["context", "successor"], _write_level(model, n, discount)))
+        grams = _counted(tokens, model, n, shards, least)
+        segments = _segments(grams, ["context", "successor"], _write_level(model, n, discount))
+        model = replace(model, levels=[*model.levels, segments])
     return model
 
 
@@ -534,24 +599,28 @@ def forget(model: Model) -> None:
     shutil.rmtree(model.folder)
 
 
-def scored(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, n_tokens, n_known, base_score, score) of every row."""
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+def scored(tokens: DataFrame, model: Model, *columns: str) -> DataFrame:
+    """(doc_id, *columns, n_tokens, n_known, base_score, score) of ``encoded`` texts."""
+    names = ["doc_id", *columns]
 
     def run(batch: pa.RecordBatch) -> dict:
-        tokens, known, base, score = reader(model).score(utf8(batch))
-        return {"doc_id": batch.column(0), "n_tokens": pa.array(tokens), "n_known": pa.array(known),
-                "base_score": pa.array(base), "score": pa.array(score)}
+        parts = [reader(model).score(token, first) for token, first in slices(model, batch.column(len(names)).to_pylist())]
+        count, known, base, score = (np.concatenate(x) for x in zip(*parts))
+        return {n: batch.column(i) for i, n in enumerate(names)} | {
+            "n_tokens": pa.array(count), "n_known": pa.array(known), "base_score": pa.array(base), "score": pa.array(score)}
 
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    return arrow_map(rows, run, f"doc_id {kind}, n_tokens long, n_known long, base_score double, score double")
+    rows = tokens.select(*names, "tokens")
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema if f.name != "tokens")
+    return arrow_map(rows, run, f"{fields}, n_tokens long, n_known long, base_score double, score double")
 
 
 def op3_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contract query over all of ``documents``."""
-    docs = table(spark, sf_dir, "documents", "doc_id", "text")
-    held = F.coalesce(fold("doc_id", FOLDS) == HELD_OUT, F.lit(False))
-    model = learn(docs.where(~held))
-    return scored(docs, model).select(
-        "doc_id", held.alias("held_out"), "n_tokens", "n_known",
+    docs = table(spark, sf_dir, "documents", "doc_id", "text").withColumn(
+        "held_out", F.coalesce(fold("doc_id", FOLDS) == HELD_OUT, F.lit(False)))
+    model = vocabulary(docs.where("NOT held_out"))
+    tokens = written(encoded(docs, model, "held_out"), "tokens")
+    model = learn(tokens.where("NOT held_out"), model)
+    return scored(tokens, model, "held_out").select(
+        "doc_id", "held_out", "n_tokens", "n_known",
         F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
