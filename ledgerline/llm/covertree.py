@@ -42,7 +42,7 @@ BLOCK = 1024
 PIVOTS = 1024           # in all labels together
 PIVOT_LABELS = 256
 LEAF = 24
-_SLACK = 1e-7
+_SLACK = 1e-6  # far above the rounding of a distance
 
 
 class CoverTree:
