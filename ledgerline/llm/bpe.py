@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.common import arrow_map, table
 
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 VOCABULARY = "byte_bpe_50k.json"
 #: Fixed value: the byte-level pre-tokenizer's pattern, as published with the vocabulary.
 WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -51,6 +51,9 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + n): b for n, b in enumerate(rest)}
 
 
+_MARKS = frozenset(".,;:!?")
+
+
 class Vocabulary:
     """Tokens, merges and special tokens of a byte-level BPE file."""
 
@@ -138,7 +141,7 @@ class TrieEncoder:
         self.v, self.remembered = vocabulary, remembered
         self.words: dict[str, bytes] = {}
         self.after_space: dict[str, bytes] = {}
-        self.agree: dict[int, bool] = {}
+        self.agree: dict[int, dict[int, bool]] = {}  # token -> token before it -> compatible
         self.pattern = regex.compile(WORDS)
         #: A space before a non-space begins a word whatever surrounds it.
         self.parts = regex.compile(r"(?: (?=\S))?(?:[^ ]| (?!\S))+")
@@ -156,47 +159,60 @@ class TrieEncoder:
         step, move, ending = self.v.step, self.v.move, self.v.ending
         agree, compatible, solved = self.agree, self.v.compatible, self.words
         before = b""
-        last, size, states = [-1], [0], [0]  # per depth of the path: last token, its length, its ending state
-        for key in sorted(w.encode() for w in words):
+        last, states = [(-1, 0)], [0]  # per depth of the path: last token and its length, ending state
+        for word in sorted(words):  # code points sort as their UTF-8 bytes do
+            key = word.encode()
             fork = 0
             for x, y in zip(before, key):
                 if x != y:
                     break
                 fork += 1
-            del last[fork + 1:], size[fork + 1:], states[fork + 1:]
+            del last[fork + 1:], states[fork + 1:]
             state, depth = states[fork], fork
             for byte in key[fork:]:
                 depth += 1
                 to = step.get(state << 8 | byte)
                 state = move(state, byte) if to is None else to
                 states.append(state)
-                for token, n in ending[state]:
+                for found in ending[state]:
+                    token, n = found
                     if n == depth:
                         break
-                    pair = last[depth - n] << 32 | token
-                    ok = agree.get(pair)
+                    previous = last[depth - n][0]
+                    known = agree.get(token)
+                    if known is None:
+                        known = agree[token] = {}
+                    ok = known.get(previous)
                     if ok is None:
-                        ok = agree[pair] = compatible(last[depth - n], token)
+                        ok = known[previous] = compatible(previous, token)
                     if ok:
                         break
-                last.append(token)
-                size.append(n)
+                last.append(found)
             ids, at = [], depth
             while at:
-                ids.append(last[at])
-                at -= size[at]
+                token, n = last[at]
+                ids.append(token)
+                at -= n
             ids.reverse()
-            solved[key.decode()] = array("i", ids).tobytes()
+            solved[word] = array("i", ids).tobytes()
             before = key
 
     def learn(self, parts: set[str]) -> None:
         """Ids of text parts that follow a space (keys without that space)."""
-        split = {p: self.pattern.findall(" " + p) for p in parts}
+        split = {p: self._words(p) for p in parts}
         words = self.words
         self.solve({w for ws in split.values() for w in ws if w not in words})
         for p, ws in split.items():
             self.after_space[p] = b"".join([words[w] for w in ws])
 
+    def _words(self, part: str) -> list[str]:
+        """The pre-tokenizer's words of a space and ``part``."""
+        if part.isalpha():  # letters, and letters with one mark behind them, need no pattern
+            return [" " + part]
+        if part[-1:] in _MARKS and part[:-1].isalpha():
+            return [" " + part[:-1], part[-1]]
+        return self.pattern.findall(" " + part)
+
     def _ordinary(self, text: str, out: list[bytes]) -> None:
         """Append the ids of a text without special tokens; its parts are known."""
         first, parts = self._parts(text)
@@ -222,7 +238,6 @@ class TrieEncoder:
         if len(self.after_space) > self.remembered or len(self.words) > self.remembered:
             self.words.clear()
             self.after_space.clear()
-        if len(self.agree) > 4 * self.remembered:
             self.agree.clear()
         pieces = [[""] if not t else self.special.split(t) if self.special else [t] for t in texts]
         known = self.after_space
@@ -265,7 +280,7 @@ def decode_bytes(vocabulary: Vocabulary, ids: list[int]) -> str:
 
 
 def encode(docs: DataFrame, path: str | None = None, id_column: str = "doc_id",
-           text_column: str = "text", batch: int = 1024) -> DataFrame:
+           text_column: str = "text", batch: int = 2048) -> DataFrame:
     """(doc_id, ids array<int>): the ids of every whole text."""
     file = path or default_vocabulary()
 
@@ -284,9 +299,10 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
     file = path or default_vocabulary()
 
     def run(rows: pa.RecordBatch) -> dict:
-        v = encoder(file).v
-        return {"doc_id": rows.column(0), "ids": rows.column(1),
-                "text": [decode_bytes(v, x) for x in rows.column(1).to_pylist()]}
+        v, lists = encoder(file).v, rows.column(1)
+        flat, ends = lists.values.to_numpy(), lists.offsets.to_numpy()
+        return {"doc_id": rows.column(0), "ids": lists,
+                "text": [decode_bytes(v, flat[a:b].tolist()) for a, b in zip(ends, ends[1:])]}
 
     kind = encoded.schema["doc_id"].dataType.simpleString()
     return arrow_map(encoded.select("doc_id", "ids"), run, f"doc_id {kind}, ids array<int>, text string")
