@@ -1,14 +1,15 @@
 """WARC archives of web pages and a Merkle audit of their replicas.
 
-``archive`` turns pages into WARC records, deals them into volumes (files) by
-a hash of the page and gives each record its place: volume, ordinal, offset.
+``places`` deals pages, as WARC records, into volumes (files) by a hash of the
+record and gives each its place: volume, ordinal, offset. ``archive`` has the
+records' bytes at their places.
 ``merkle`` hashes the records and then ordered ranges of them: a node covers
 ``FANOUT`` consecutive children and hashes their hashes with the byte range
 they cover; volumes are the leaves of a tree of their own, up to one root.
 ``audit`` compares two replicas: equal roots end it; otherwise only the
 children of nodes that differ are compared, level by level, down to records.
 
-Record bytes are hashed where they are and never shuffled with the tree. The
+Pages are shuffled once, to their places; trees shuffle hashes only. The
 offsets are running sums within a volume, and the number of volumes grows with
 the bytes, so no group grows with the archive. Trees are narrow tables in the
 shared folder.
@@ -46,26 +47,47 @@ def record(page_id: Column, url: Column, html: Column) -> Column:
         F.octet_length(body).cast("string"), F.lit("\r\n\r\n"), body, F.lit("\r\n\r\n"))
 
 
-def archive(pages: DataFrame, volume_bytes: int = VOLUME_BYTES) -> DataFrame:
-    """(page_id, url, html, copies, volume, ordinal, offset, length, sha256): one row per distinct page.
+_KEY = ["page_id", "url", "sha256", "blank"]
 
-    Sorting a volume's rows by ordinal and joining ``record`` of each gives the
-    volume's bytes.
-    """
-    once = pages.select("page_id", F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
+
+def _hashed(pages: DataFrame) -> DataFrame:
     text = record(F.col("page_id"), F.col("url"), F.col("html"))
-    rows = written(once.groupBy("page_id", "url", F.xxhash64("html").alias("h1"), F.sha2("html", 256).alias("h2")).agg(
-        F.first("html").alias("html"), F.count("*").alias("copies")).select(
-        "page_id", "url", "html", "copies", F.octet_length(text).cast("long").alias("length"),
-        F.sha2(text, 256).alias("sha256")), "records")
+    return pages.select("page_id", F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html")
+                        ).withColumns({"length": F.octet_length(text).cast("long"), "sha256": F.sha2(text, 256),
+                                       "blank": F.col("html").isNull()})
+
+
+def places(pages: DataFrame, volume_bytes: int = VOLUME_BYTES) -> DataFrame:
+    """(page_id, url, blank, sha256, length, copies, volume, ordinal, offset): one row per distinct page.
+
+    ``blank`` is true for a null page. Page bytes are hashed where they are read; only hashes and lengths are shuffled.
+    """
+    rows = written(_hashed(pages).groupBy(*_KEY).agg(F.first("length").alias("length"), F.count("*").alias("copies")),
+                   "records")
     total = rows.agg(F.sum("length")).first()[0] or 0
     digits = max(LEAST_DIGITS, math.ceil(math.log(max(1.0, total / volume_bytes), 16)))
-    order = Window.partitionBy("volume").orderBy("sha256", "page_id")
-    placed = (rows.withColumn("volume", F.conv(F.substring("sha256", 1, digits), 16, 10).cast("long"))
-              .withColumn("ordinal", (F.row_number().over(order) - 1).cast("long"))
-              .withColumn("offset", (F.sum("length").over(order.rowsBetween(Window.unboundedPreceding, 0))
-                                     - F.col("length")).cast("long")))
-    return placed
+    order = Window.partitionBy("volume").orderBy("sha256", "page_id", "url", "blank")
+    return (rows.withColumn("volume", F.conv(F.substring("sha256", 1, digits), 16, 10).cast("long"))
+            .withColumn("ordinal", (F.row_number().over(order) - 1).cast("long"))
+            .withColumn("offset", (F.sum("length").over(order.rowsBetween(Window.unboundedPreceding, 0))
+                                   - F.col("length")).cast("long")))
+
+
+def archive(pages: DataFrame, placed: DataFrame) -> DataFrame:
+    """(volume, ordinal, offset, record, page_id): the records at their ``places``, one row each.
+
+    A volume's records in the order of their ordinals are its bytes. The pages
+    are shuffled once, to their places; of repeated rows the first is taken.
+    """
+    own = _hashed(pages).withColumnsRenamed({k: f"__{k}" for k in _KEY})
+    same = None
+    for k in _KEY:
+        equal = F.col(f"__{k}").eqNullSafe(F.col(k))
+        same = equal if same is None else same & equal
+    joined = own.drop("length").join(placed.select(*_KEY, "volume", "ordinal", "offset"), same)
+    nth = F.row_number().over(Window.partitionBy(*_KEY).orderBy(F.lit(0)))
+    return joined.withColumn("nth", nth).where("nth = 1").select(
+        "volume", "ordinal", "offset", record(F.col("page_id"), F.col("url"), F.col("html")).alias("record"), "page_id")
 
 
 def leaves(records: DataFrame) -> DataFrame:
@@ -155,12 +177,6 @@ def audit(first: DataFrame, second: DataFrame, fanout: int = FANOUT) -> DataFram
     return written(bad.select("volume", F.col("node").alias("ordinal"), status.alias("status")), "audit")
 
 
-def replica_bytes(placed: DataFrame) -> DataFrame:
-    """(volume, ordinal, offset, record, page_id) of an archive."""
-    return placed.select("volume", "ordinal", "offset",
-                         record(F.col("page_id"), F.col("url"), F.col("html")).alias("record"), "page_id")
-
-
 #: Planted damage of the query's second replica: page ids by remainder.
 ALTERED, SHORTENED, LOST = (97, 13), (101, 7), (103, 5)
 
@@ -181,8 +197,9 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     Every distinct page: page_id, volume, ordinal, offset, length, sha256,
     copies and status (intact, altered or missing).
     """
-    placed = written(archive(table(spark, sf_dir, "pages", "page_id", "url", "html")), "archive")
-    good = replica_bytes(placed)
+    pages = table(spark, sf_dir, "pages", "page_id", "url", "html")
+    placed = written(places(pages), "places")
+    good = written(archive(pages, placed), "archive")
     found = audit(good.drop("page_id"), damaged(good).drop("page_id"))
     return placed.join(found, ["volume", "ordinal"], "left").select(
         "page_id", "volume", "ordinal", "offset", "length", "sha256", "copies",
@@ -194,7 +211,7 @@ OP7_SQL = f"""
 WITH once AS (
   SELECT page_id, url, html, count(*) AS copies FROM pages GROUP BY page_id, url, html
 ), records AS (
-  SELECT page_id, copies,
+  SELECT page_id, url, html, copies,
     'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10)
     || 'WARC-Record-ID: <urn:md5:' || md5(coalesce(CAST(page_id AS VARCHAR), '') || ' ' || coalesce(url, '')) || '>'
     || chr(13) || chr(10) || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10)
@@ -203,7 +220,8 @@ WITH once AS (
     || chr(13) || chr(10) || coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10) AS record
   FROM once
 ), hashed AS (
-  SELECT page_id, copies, CAST(strlen(record) AS BIGINT) AS length, sha256(record) AS sha256 FROM records
+  SELECT page_id, url, html IS NULL AS blank, copies, CAST(strlen(record) AS BIGINT) AS length, sha256(record) AS sha256
+  FROM records
 ), sized AS (
   SELECT *, greatest({LEAST_DIGITS}, CAST(ceil(ln(greatest(1.0, sum(length) OVER () / {VOLUME_BYTES}.0)) / ln(16)) AS INTEGER))
     AS digits FROM hashed
@@ -212,7 +230,7 @@ WITH once AS (
 ), numbered AS (
   SELECT *, CAST(row_number() OVER w - 1 AS BIGINT) AS ordinal,
     CAST(sum(length) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - length AS BIGINT) AS "offset"
-  FROM placed WINDOW w AS (PARTITION BY volume ORDER BY sha256, page_id NULLS FIRST)
+  FROM placed WINDOW w AS (PARTITION BY volume ORDER BY sha256, page_id NULLS FIRST, url NULLS FIRST, blank)
 )
 SELECT page_id, volume, ordinal, "offset", length, sha256, copies,
   CASE WHEN page_id % {LOST[0]} = {LOST[1]} THEN 'missing'

@@ -17,8 +17,8 @@ def pages(spark, rows=None):
 
 
 def test_volumes_are_gapless_and_parse(spark):
-    placed = warc.archive(pages(spark))
-    rows = warc.replica_bytes(placed).orderBy("volume", "ordinal").collect()
+    placed = warc.written(warc.places(pages(spark)))
+    rows = warc.archive(pages(spark), placed).orderBy("volume", "ordinal").collect()
     assert placed.count() == 302 and placed.where("copies = 3").count() == 1
     files = {}
     for r in rows:
@@ -37,7 +37,8 @@ def test_volumes_are_gapless_and_parse(spark):
 
 @pytest.mark.parametrize("fanout", [2, 16])
 def test_audit_finds_exactly_the_damage(spark, fanout):
-    good = warc.replica_bytes(warc.written(warc.archive(pages(spark)))).drop("page_id")
+    placed = warc.written(warc.places(pages(spark)))
+    good = warc.written(warc.archive(pages(spark), placed).drop("page_id"))
     rows = [tuple(r) for r in good.collect()]
     keys = sorted(r[:2] for r in rows)
     gone, bad = {keys[3], keys[-1], keys[150]}, {keys[0], keys[40], keys[200]}
