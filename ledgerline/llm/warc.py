@@ -47,23 +47,23 @@ def record(page_id: Column, url: Column, html: Column) -> Column:
         F.octet_length(body).cast("string"), F.lit("\r\n\r\n"), body, F.lit("\r\n\r\n"))
 
 
-_KEY = ["page_id", "url", "sha256", "blank"]
-
-
 def _hashed(pages: DataFrame) -> DataFrame:
     text = record(F.col("page_id"), F.col("url"), F.col("html"))
     return pages.select("page_id", F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html")
                         ).withColumns({"length": F.octet_length(text).cast("long"), "sha256": F.sha2(text, 256),
-                                       "blank": F.col("html").isNull()})
+                                       "blank": F.col("html").isNull()}).withColumn("key", F.sha2(F.concat_ws(
+        "|", F.coalesce(F.col("page_id").cast("string"), F.lit("-")), F.col("url").isNull().cast("string"),
+        F.coalesce("url", F.lit("")), F.col("blank").cast("string"), F.col("sha256")), 256))
 
 
 def places(pages: DataFrame, volume_bytes: int = VOLUME_BYTES) -> DataFrame:
-    """(page_id, url, blank, sha256, length, copies, volume, ordinal, offset): one row per distinct page.
+    """(key, page_id, url, blank, sha256, length, copies, volume, ordinal, offset): one row per distinct page.
 
     ``blank`` is true for a null page. Page bytes are hashed where they are read; only hashes and lengths are shuffled.
     """
-    rows = written(_hashed(pages).groupBy(*_KEY).agg(F.first("length").alias("length"), F.count("*").alias("copies")),
-                   "records")
+    rows = written(_hashed(pages).groupBy("key").agg(
+        *[F.first(c).alias(c) for c in ("page_id", "url", "blank", "sha256", "length")], F.count("*").alias("copies")),
+        "records")
     total = rows.agg(F.sum("length")).first()[0] or 0
     digits = max(LEAST_DIGITS, math.ceil(math.log(max(1.0, total / volume_bytes), 16)))
     order = Window.partitionBy("volume").orderBy("sha256", "page_id", "url", "blank")
@@ -79,13 +79,9 @@ def archive(pages: DataFrame, placed: DataFrame) -> DataFrame:
     A volume's records in the order of their ordinals are its bytes. The pages
     are shuffled once, to their places; of repeated rows the first is taken.
     """
-    own = _hashed(pages).withColumnsRenamed({k: f"__{k}" for k in _KEY})
-    same = None
-    for k in _KEY:
-        equal = F.col(f"__{k}").eqNullSafe(F.col(k))
-        same = equal if same is None else same & equal
-    joined = own.drop("length").join(placed.select(*_KEY, "volume", "ordinal", "offset"), same)
-    nth = F.row_number().over(Window.partitionBy(*_KEY).orderBy(F.lit(0)))
+    own = _hashed(pages).select("key", "page_id", "url", "html")
+    joined = own.join(placed.select("key", "volume", "ordinal", "offset"), "key")
+    nth = F.row_number().over(Window.partitionBy("key").orderBy(F.lit(0)))
     return joined.withColumn("nth", nth).where("nth = 1").select(
         "volume", "ordinal", "offset", record(F.col("page_id"), F.col("url"), F.col("html")).alias("record"), "page_id")
 
