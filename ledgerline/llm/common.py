@@ -97,6 +97,18 @@ def utf8(batch: pa.RecordBatch, name: str = "text") -> list[bytes | None]:
     return column.cast(kind).to_pylist()
 
 
+def hash_sample(df: DataFrame, column: str, rows: int, of: int, spare: int = 2) -> DataFrame:
+    """The ``rows`` rows of smallest hash ``column``; about ``spare`` times as many reach the ordering.
+
+    ``of`` is the number of rows the hash ranges over; where it is large, a
+    share by hash goes first, so that what meets in one place stays bounded.
+    """
+    share = spare * rows / max(1, of)
+    if share < 1:
+        df = df.where(F.pmod(F.col(column), F.lit(1 << 20)) < F.lit(max(1, round(share * (1 << 20)))))
+    return df.orderBy(F.pmod(F.col(column), F.lit(1 << 20)), column).limit(rows)
+
+
 def text_key(text: Column) -> Column:
     """128 bits of a text, as two longs in hex; null for null."""
     raw = text.cast("string")

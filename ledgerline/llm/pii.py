@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import arrow_map, table, written
+from ledgerline.llm.common import arrow_map, hash_sample, table
 
 KINDS = ("email", "ip", "card", "phone")
 HIDDEN, SYMBOLS, PAD = 8, 131, 130
@@ -304,7 +304,7 @@ def training_windows(texts: list[str], length: int = FIT_LENGTH, most: int = FIT
 def fitted(docs: DataFrame) -> BiLstmCrf | None:
     """A model from a bounded sample of the documents in which a pattern's signs occur."""
     likely = docs.where(F.col("text").rlike("[0-9@+]")).where(F.octet_length("text") <= 20_000)
-    sample = likely.select("text", F.xxhash64("text").alias("h")).orderBy("h", "text").limit(FIT_DOCS)
+    sample = hash_sample(likely.select("text", F.xxhash64("text").alias("h")), "h", FIT_DOCS, docs.count(), spare=8)
     texts = list(dict.fromkeys(r["text"] for r in sample.collect()))
     windows, labels = training_windows(texts)
     return train(windows, labels) if labels.any() else None
