@@ -32,6 +32,20 @@ def _as_double(c: Column, dtype: T.DataType) -> Column:
     return _clean_double(c.cast("double"))
 
 
+def _as_whole(c: Column, dtype: T.DataType) -> Column:
+    """The value as BIGINT where it is a whole number in range, else null.
+    Integers never pass through DOUBLE, so those above 2^53 keep their value."""
+    if isinstance(dtype, (T.IntegralType, T.BooleanType, T.NullType)):
+        return c.cast("bigint")
+    if isinstance(dtype, T.DecimalType):
+        return F.when(c == F.floor(c), c.try_cast("bigint"))
+    d = _as_double(c, dtype)
+    whole = F.when((d == F.floor(d)) & (F.abs(d) < F.lit(2.0 ** 63)), d.cast("bigint"))
+    if isinstance(dtype, T.StringType):
+        return F.coalesce(F.trim(c).try_cast("bigint"), whole)
+    return whole
+
+
 def numeric_profile(df: DataFrame, columns: list[str] | None = None) -> dict[str, dict]:
     """Pass 1 of T1: one aggregate over all candidate columns.
 
@@ -52,8 +66,8 @@ def numeric_profile(df: DataFrame, columns: list[str] | None = None) -> dict[str
         if isinstance(t, (T.IntegralType, T.BooleanType, T.NullType)):
             whole = F.lit(True)
         else:
-            d = _as_double(c, t)
-            whole = F.coalesce(F.bool_and(d.isNull() | (d == F.floor(d))), F.lit(True))
+            whole = F.coalesce(F.bool_and(_as_double(c, t).isNull() | _as_whole(c, t).isNotNull()),
+                               F.lit(True))
         aggs += [F.coalesce(numeric, F.lit(True)).alias(f"n{len(names)}"),
                  whole.alias(f"w{len(names)}")]
         names.append(f.name)
@@ -83,19 +97,12 @@ def narrow_numeric(df: DataFrame, fill_null: int | None = 0,
         if p is None or not p["numeric"]:
             out.append(c)
             continue
-        t = f.dataType
-        if isinstance(t, T.BooleanType):
-            d = c.cast("bigint")
-        elif isinstance(t, T.NullType):
-            d = F.lit(None).cast("bigint")
-        else:
-            d = _as_double(c, t)
         if p["whole"]:
-            v = d.cast("bigint")
+            v = _as_whole(c, f.dataType)
             if fill_null is not None:
                 v = F.coalesce(v, F.lit(fill_null).cast("bigint"))
         else:
-            v = d.cast("double")
+            v = _as_double(c, f.dataType)
         out.append(v.alias(f.name))
     return df.select(*out)
 

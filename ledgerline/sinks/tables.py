@@ -4,53 +4,86 @@ Rules that keep rewrites safe on parquet tables:
 
 * A table is never overwritten in place from itself. Full rewrites write a
   stage table and swap names (``replace_table``); a failed job leaves the old
-  table untouched.
+  table untouched, and a swap cut short by a crash is finished by the next
+  call that looks the table up (``exists``).
+* Loads are lossless (``conform``): a value that the target column cannot hold
+  exactly fails the load or, with ``evolve``, widens the column; an unknown
+  column fails or is added; a missing one becomes null.
 * Slice rewrites (a day, a key) use dynamic partition overwrite, so only the
   partitions present in the new data are replaced and the rest of the table
   is not read or written. An empty new slice drops its partitions explicitly,
   because dynamic overwrite with no rows would keep the old ones.
-* Batches are materialised once (``DataFrame.checkpoint`` under the shared
-  checkpoint folder) where they may have to be written twice.
+* The layout of a table (partition and clustering columns) survives rewrites.
 """
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.schemas import BAD_RECORD_CAP
-from ledgerline.session import shared_dir
-
 WRITE_MODES = ("overwrite", "append", "empty")
-LOAD_ERRORS = (PySparkException, Py4JJavaError)
+CLUSTER_PROPERTY = "ledgerline.cluster_by"
 
 
 class TableNotEmpty(RuntimeError):
     """Raised by mode ``empty`` when the target already holds rows."""
 
 
+class SchemaMismatch(RuntimeError):
+    """Raised when a batch has columns or types that the target cannot take."""
+
+
 class TooManyBadRecords(RuntimeError):
     """Raised when a load holds more malformed records than its cap."""
 
 
+LOAD_ERRORS = (PySparkException, Py4JJavaError, TableNotEmpty, SchemaMismatch)
+
+
 def _spark(df_or_spark) -> SparkSession:
     return df_or_spark if isinstance(df_or_spark, SparkSession) else df_or_spark.sparkSession
 
 
 def exists(spark: SparkSession, table: str) -> bool:
-    return spark.catalog.tableExists(table)
+    """Whether ``table`` is there, after finishing a swap that a crash cut short.
+
+    A stage enters the catalog only once it is completely written, so a stage
+    without its table is the result of a swap whose rename did not happen.
+    """
+    if spark.catalog.tableExists(table):
+        return True
+    stages = _stages(spark, table)
+    if not stages:
+        return False
+    _rename_stage(spark, stages[0], table)
+    return True
+
+
+def _stages(spark: SparkSession, table: str) -> list[str]:
+    db, _, name = table.rpartition(".")
+    if db and not spark.catalog.databaseExists(db):
+        return []
+    found = spark.catalog.listTables(db or None, f"{name}__stage_*")
+    return [f"{db}.{t.name}" if db else t.name for t in found]
 
 
 def partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
 
+def cluster_columns(spark: SparkSession, table: str) -> list[str]:
+    found = spark.sql(f"SHOW TBLPROPERTIES {table}").filter(F.col("key") == CLUSTER_PROPERTY).first()
+    return found["value"].split(",") if found else []
+
+
 def drop_table(spark: SparkSession, table: str) -> None:
     """K10."""
     spark.sql(f"DROP TABLE IF EXISTS {table}")
@@ -66,9 +99,13 @@ def _create(df: DataFrame, table: str, partition_by: Sequence[str] | None,
     writer = df.write.format("parquet").mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    if cluster_by:
+    elif cluster_by:
         writer = writer.clusterBy(*cluster_by)
     writer.saveAsTable(table)
+    if cluster_by:
+        # read back by rewrites; Spark has no clustering beside partitions
+        _spark(df).sql(f"ALTER TABLE {table} SET TBLPROPERTIES "
+                       f"({_sql_value(CLUSTER_PROPERTY)} = {_sql_value(','.join(cluster_by))})")
 
 
 def _stage_name(table: str, kind: str) -> str:
@@ -85,13 +122,23 @@ def replace_table(df: DataFrame, table: str, partition_by: Sequence[str] | None
     succeeded is the old table dropped and the stage renamed.
     """
     spark = _spark(df)
-    if partition_by is None and exists(spark, table):
+    there = exists(spark, table)
+    if there and partition_by is None:
         partition_by = partition_columns(spark, table)
+    if there and cluster_by is None:
+        cluster_by = cluster_columns(spark, table)
+    cluster_by = [c for c in cluster_by or () if c in df.columns]
+    for left in _stages(spark, table):      # of runs that failed before the swap
+        drop_table(spark, left)
     stage = _stage_name(table, "stage")
     _create(df, stage, partition_by, cluster_by)
     drop_table(spark, table)
+    _rename_stage(spark, stage, table)
+
+
+def _rename_stage(spark: SparkSession, stage: str, table: str) -> None:
     spark.sql(f"ALTER TABLE {stage} RENAME TO {table}")
-    if partition_by:
+    if partition_columns(spark, table):
         # the catalog keeps the stage folder as each partition's location
         # after a rename; re-sync partitions with the renamed folder
         spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
@@ -100,9 +147,14 @@ def replace_table(df: DataFrame, table: str, partition_by: Sequence[str] | None
 
 def write(df: DataFrame, table: str, mode: str = "overwrite",
           partition_by: Sequence[str] | None = None,
-          cluster_by: Sequence[str] | None = None) -> None:
+          cluster_by: Sequence[str] | None = None, evolve: bool = False) -> None:
     """K1 overwrite, K2 append, K3 ``empty`` (only into an absent or empty
-    table), K7 clustering columns."""
+    table), K7 clustering columns.
+
+    Rows for an existing table are conformed to it (``conform``): without
+    ``evolve`` unknown columns and values the columns cannot hold fail the
+    load; with it the table gains the columns and widens the types.
+    """
     if mode not in WRITE_MODES:
         raise ValueError(f"mode must be one of {WRITE_MODES}, got {mode!r}")
     spark = _spark(df)
@@ -114,21 +166,127 @@ def write(df: DataFrame, table: str, mode: str = "overwrite",
         return
     if mode == "empty" and not spark.table(table).isEmpty():
         raise TableNotEmpty(table)
-    cols = spark.table(table).columns
-    df.select(*cols).write.mode("append").insertInto(table)
+    conform(df, table, evolve).write.mode("append").insertInto(table)
+
+
+# --- conforming a batch to its table -------------------------------------------
+
+def common_type(a: T.DataType, b: T.DataType) -> T.DataType | None:
+    """The narrowest type that holds the values of both, None where only a
+    checked conversion (text to number, say) could bring them together."""
+    if a.simpleString() == b.simpleString() or isinstance(b, T.NullType):
+        return a
+    if isinstance(a, T.NullType):
+        return b
+    if isinstance(a, T.StructType) and isinstance(b, T.StructType):
+        fields = {f.name: f.dataType for f in a.fields}
+        for f in b.fields:
+            both = common_type(fields[f.name], f.dataType) if f.name in fields else f.dataType
+            if both is None:
+                return None
+            fields[f.name] = both
+        return T.StructType([T.StructField(n, t) for n, t in fields.items()])
+    if isinstance(a, T.ArrayType) and isinstance(b, T.ArrayType):
+        item = common_type(a.elementType, b.elementType)
+        return None if item is None else T.ArrayType(item)
+    if isinstance(a, T.NumericType) and isinstance(b, T.NumericType):
+        if isinstance(a, T.IntegralType) and isinstance(b, T.IntegralType):
+            return T.LongType()
+        return T.DoubleType()
+    if {type(a), type(b)} == {T.DateType, T.TimestampType}:
+        return T.TimestampType()
+    return None
+
+
+def _exactly(c: Column, have: T.DataType, want: T.DataType, name: str) -> Column:
+    """``c`` as type ``want``; a value that would change fails the job."""
+    if have.simpleString() == want.simpleString():
+        return c
+    if isinstance(have, T.NullType):
+        return F.lit(None).cast(want)
+    if isinstance(have, T.StructType) and isinstance(want, T.StructType):
+        types = {f.name: f.dataType for f in have.fields}
+        lost = [n for n in types if n not in want.names]
+        if lost:
+            raise SchemaMismatch(f"{name} has fields that its column lacks: {lost}")
+        return F.when(c.isNotNull(), F.struct(*[
+            (_exactly(c.getField(f.name), types[f.name], f.dataType, f"{name}.{f.name}")
+             if f.name in types else F.lit(None).cast(f.dataType)).alias(f.name) for f in want.fields]))
+    if isinstance(have, T.ArrayType) and isinstance(want, T.ArrayType):
+        return F.transform(c, lambda x: _exactly(x, have.elementType, want.elementType, name))
+    nested = (T.StructType, T.ArrayType, T.MapType)
+    if isinstance(want, T.StringType):
+        return F.to_json(c) if isinstance(have, nested) else c.cast("string")
+    if isinstance(have, nested) or isinstance(want, nested):
+        raise SchemaMismatch(f"{name}: {have.simpleString()} does not fit {want.simpleString()}")
+    if isinstance(have, T.StringType):
+        v = F.trim(c).try_cast(want)
+        fits = v.isNotNull()
+    else:
+        try:
+            v = c.try_cast(want)
+            fits = v.isNotNull() & v.try_cast(have).eqNullSafe(c)
+            if isinstance(have, (T.FloatType, T.DoubleType)) or isinstance(want, (T.FloatType, T.DoubleType)):
+                # casts between BIGINT and DOUBLE saturate at 2^63
+                fits = fits & (~F.lit(isinstance(have, T.IntegralType) or isinstance(want, T.IntegralType))
+                               | (F.abs(c.cast("double")) < F.lit(2.0 ** 63)))
+        except PySparkException as e:
+            raise SchemaMismatch(f"{name}: {have.simpleString()} does not fit {want.simpleString()}") from e
+    return F.when(c.isNull() | fits, v).otherwise(F.raise_error(F.concat(
+        F.lit(f"value does not fit {name} {want.simpleString()}: "), c.cast("string"))).cast(want))
+
+
+def conform(df: DataFrame, table: str, evolve: bool = False,
+            new_type=lambda t: t.simpleString()) -> DataFrame:
+    """``df`` in the columns, order and types of ``table``, no value changed.
+
+    Missing columns become null. With ``evolve`` unknown columns are added
+    (``new_type`` gives their DDL type) and columns are widened where both
+    types have a common one; widening rewrites the table once, since Parquet
+    tables cannot alter a column's type. Without it, and where there is no
+    common type, a value must convert exactly or the job fails.
+    """
+    spark = _spark(df)
+    current = {f.name: f.dataType for f in spark.table(table).schema.fields}
+    unknown = [f for f in df.schema.fields if f.name not in current]
+    if unknown and not evolve:
+        raise SchemaMismatch(f"{table} has no column {[f.name for f in unknown]}")
+    if evolve:
+        fixed = partition_columns(spark, table)
+        wide = {}
+        for f in df.schema.fields:
+            if f.name in current and f.name not in fixed:
+                both = common_type(current[f.name], f.dataType)
+                if both is not None and both.simpleString() != current[f.name].simpleString():
+                    wide[f.name] = both
+        if wide:
+            replace_table(spark.table(table).select(*[
+                _exactly(F.col(f"`{n}`"), t, wide.get(n, t), n).alias(n) for n, t in current.items()]), table)
+        if unknown:
+            cols = ", ".join(f"`{f.name}` "
+                             + ("STRING" if isinstance(f.dataType, T.NullType) else new_type(f.dataType))
+                             for f in unknown)
+            spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({cols})")
+        if wide or unknown:
+            spark.catalog.refreshTable(table)
+    have = {f.name: f.dataType for f in df.schema.fields}
+    return df.select(*[
+        (_exactly(F.col(f"`{f.name}`"), have[f.name], f.dataType, f.name) if f.name in have
+         else F.lit(None).cast(f.dataType)).alias(f.name) for f in spark.table(table).schema.fields])
 
 
 def write_or_dead_letter(df: DataFrame, table: str, mode: str = "overwrite",
-                         partition_by: Sequence[str] | None = None) -> bool:
-    """K4: load the batch; if the load fails, load the whole batch into
-    ``<table>_errors`` with the same mode. Returns True when the main load
-    succeeded. Failures of the error load propagate."""
-    batch = df.checkpoint(eager=True)
+                         partition_by: Sequence[str] | None = None, evolve: bool = False) -> bool:
+    """K4: load the batch; if the load fails or is refused, load the whole
+    batch into ``<table>_errors`` (a refused ``empty`` load is appended there,
+    other modes stay). Returns True when the main load succeeded. Failures of
+    the error load propagate. The batch is computed again for the error load
+    instead of being copied before every load."""
     try:
-        write(batch, table, mode, partition_by)
+        write(df, table, mode, partition_by, evolve=evolve)
         return True
     except LOAD_ERRORS:
-        write(batch, f"{table}_errors", mode)
+        write(df, f"{table}_errors", "append" if mode == "empty" else mode, evolve=True)
         return False
 
 
@@ -137,11 +295,15 @@ def with_corrupt_column(schema: T.StructType, name: str = "_corrupt_record") ->
 
 
 def load_json_capped(spark: SparkSession, path: str, schema: T.StructType | str, table: str,
-                     mode: str = "append", cap: int = BAD_RECORD_CAP) -> dict:
+                     mode: str = "append", cap: int | None = None, max_share: float | None = None) -> dict:
     """K5: load JSON lines under ``schema`` tolerating up to ``cap`` malformed
-    lines. Good rows go to ``table``, malformed lines to
-    ``<table>_bad_records``; above the cap nothing is written."""
-    shared_dir(spark)
+    lines, or a share of up to ``max_share`` of all lines (the caller states at
+    least one; a share means the same at every size). Good rows go to
+    ``table``, malformed lines to ``<table>_bad_records``; above the limit
+    nothing is written. Lines are counted in a pass of their own, which costs a
+    second read but no copy."""
+    if cap is None and max_share is None:
+        raise ValueError("state the tolerated bad records: cap or max_share")
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
     parsed = (spark.read.text(path)
@@ -149,18 +311,18 @@ def load_json_capped(spark: SparkSession, path: str, schema: T.StructType | str,
                                   {"mode": "PERMISSIVE",
                                    "columnNameOfCorruptRecord": "_corrupt_record"})
                       .alias("r"))
-              .select("r.*")
-              .checkpoint(eager=True))
+              .select("r.*"))
+    n = parsed.agg(F.count(F.lit(1)).alias("lines"),
+                   F.count_if(F.col("_corrupt_record").isNotNull()).alias("bad")).first()
+    if (cap is not None and n["bad"] > cap) or (max_share is not None and n["bad"] > max_share * n["lines"]):
+        raise TooManyBadRecords(f"{n['bad']} malformed of {n['lines']} records in {path} "
+                                f"(cap {cap}, share {max_share})")
     bad = parsed.filter(F.col("_corrupt_record").isNotNull())
-    n_bad = bad.count()
-    if n_bad > cap:
-        raise TooManyBadRecords(f"{n_bad} malformed records in {path} (cap {cap})")
-    good = parsed.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
-    write(good, table, mode)
-    if n_bad:
+    write(parsed.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record"), table, mode)
+    if n["bad"]:
         write(bad.select(F.col("_corrupt_record").alias("record")),
               f"{table}_bad_records", "append")
-    return {"bad_records": n_bad}
+    return {"bad_records": n["bad"]}
 
 
 def spark_ddl_type(dtype: T.DataType) -> str:
@@ -200,16 +362,22 @@ def dedup_table(spark: SparkSession, table: str) -> None:
     replace_table(_distinct(spark.table(table)), table)
 
 
-def overwrite_partitions(df: DataFrame, table: str) -> None:
+def overwrite_partitions(df: DataFrame, table: str, evolve: bool = False) -> None:
     """Replace exactly the partitions present in ``df`` (dynamic overwrite)."""
-    spark = _spark(df)
-    cols = spark.table(table).columns
-    (df.select(*cols).write.mode("overwrite")
+    if not partition_columns(_spark(df), table):
+        raise ValueError(f"{table} is not partitioned: its rows outside the batch would go")
+    (conform(df, table, evolve).write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic").insertInto(table))
 
 
+def _sql_value(v: object) -> str:
+    if v is None:
+        return "NULL"
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def _partition_spec(values: Mapping[str, object]) -> str:
-    return ", ".join(f"`{k}` = '{v}'" for k, v in values.items())
+    return ", ".join(f"`{k}` = {_sql_value(v)}" for k, v in values.items())
 
 
 def dedup_slice(spark: SparkSession, table: str, where: str) -> None:
@@ -247,9 +415,11 @@ def _reads_only_partitions(spark: SparkSession, table: str, where: str) -> bool:
 
 def replace_slice(df: DataFrame, table: str, values: Mapping[str, object],
                   partition_by: Sequence[str] | None = None) -> None:
-    """M4: delete the partition(s) ``values`` of ``table`` and insert ``df``
-    (delete-then-insert with a staged result; an empty result leaves the
-    slice empty)."""
+    """M4: delete the rows with ``values`` from ``table`` and insert ``df``
+    (delete-then-insert with a staged result; an empty result leaves the slice
+    empty). Rows outside the slice never change: partitions are overwritten if
+    the slice is made of whole partitions, else the table is rebuilt from the
+    rows outside and the result, through a stage."""
     spark = _spark(df)
     cond = None
     for k, v in values.items():
@@ -265,30 +435,44 @@ def replace_slice(df: DataFrame, table: str, values: Mapping[str, object],
         raise ValueError(f"rows outside the slice {dict(values)} in the result for {table}")
     if not exists(spark, table):
         _create(staged, table, partition_by or list(values), None)
-    elif counts["n"] == 0:
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({_partition_spec(values)})")
+    elif set(values) <= set(parts := partition_columns(spark, table)):
+        held = spark.table(table).filter(cond).select(*parts).distinct()
+        gone = [r.asDict() for r in held.join(
+            staged.select(*[F.col(p).alias(f"__{p}") for p in parts]).distinct(),
+            reduce(and_, [F.col(p).eqNullSafe(F.col(f"__{p}")) for p in parts]), "left_anti").collect()]
+        if counts["n"]:
+            overwrite_partitions(staged, table)
+        if gone:        # names of partitions of this slice, which the catalog lists one by one anyway
+            specs = ", ".join(f"PARTITION ({_partition_spec(g)})" for g in gone)
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
     else:
-        overwrite_partitions(staged, table)
+        rest = spark.table(table).filter(~F.coalesce(cond, F.lit(False)))
+        replace_table(rest.unionByName(conform(staged, table)), table)
     drop_table(spark, stage)
 
 
-def replace_keys(df: DataFrame, table: str, keys: Sequence[str]) -> None:
+def replace_keys(df: DataFrame, table: str, keys: Sequence[str],
+                 partition_by: Sequence[str] | None = None) -> None:
     """M5: delete the table rows whose ``keys`` occur in ``df``, append ``df``.
 
-    If the table is partitioned by exactly ``keys`` this is a dynamic
-    partition overwrite touching only those partitions; otherwise the table
-    is rebuilt as (rows without a new key) ∪ df through a stage table.
+    A new table is partitioned by the first key (or ``partition_by``). If the
+    table's partition columns are among the keys, only the partitions that the
+    batch touches are read and written; otherwise the table is rebuilt as (rows
+    without a new key) and the batch, through a stage table.
     """
     spark = _spark(df)
     if not exists(spark, table):
-        _create(df, table, list(keys), None)
-        return
-    if sorted(partition_columns(spark, table)) == sorted(keys):
-        overwrite_partitions(df, table)
+        _create(df, table, list(partition_by or keys[:1]), None)
         return
+    parts = partition_columns(spark, table)
+    rows = conform(df, table)
     new_keys = df.select(*keys).distinct()
-    kept = spark.table(table).join(new_keys, list(keys), "left_anti")
-    replace_table(kept.unionByName(df.select(*spark.table(table).columns)), table)
+    old = spark.table(table)
+    if parts and set(parts) <= set(keys):
+        touched = old.join(df.select(*parts).distinct(), parts, "left_semi")
+        overwrite_partitions(touched.join(new_keys, list(keys), "left_anti").unionByName(rows), table)
+    else:
+        replace_table(old.join(new_keys, list(keys), "left_anti").unionByName(rows), table)
 
 
 # --- state ----------------------------------------------------------------
@@ -313,19 +497,9 @@ def align_to_table(df: DataFrame, table: str) -> tuple[DataFrame, list[str]]:
     comma text (T6), records as JSON text, new columns added to the table
     with ``ALTER TABLE .. ADD COLUMNS`` (type from K9), missing ones null, in
     the table's column order. Returns the aligned frame and the added names."""
-    spark = _spark(df)
-    current = {f.name: f.dataType for f in spark.table(table).schema.fields}
-    added = [f for f in df.schema.fields if f.name not in current]
-    if added:
-        cols = ", ".join(f"`{f.name}` {spark_ddl_type(f.dataType)}" for f in added)
-        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({cols})")
-        spark.catalog.refreshTable(table)
-    target = spark.table(table).schema
-    have = set(df.columns)
-    aligned = df.select(*[
-        (F.col(f"`{f.name}`") if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
-        for f in target.fields])
-    return aligned, [f.name for f in added]
+    current = _spark(df).table(table).columns
+    added = [c for c in df.columns if c not in current]
+    return conform(df, table, evolve=True, new_type=spark_ddl_type), added
 
 
 def _shape_for_table(df: DataFrame) -> DataFrame:
@@ -354,11 +528,10 @@ def align_append(df: DataFrame, table: str, partition_by: Sequence[str] | None =
         _create(df, table, partition_by, None)
         return list(df.columns)
     aligned, added = align_to_table(df, table)
-    writer = aligned.write
     if replace_partitions:
-        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
+        overwrite_partitions(aligned, table)
     else:
-        writer.mode("append").insertInto(table)
+        aligned.write.mode("append").insertInto(table)
     return added
 
 

@@ -202,22 +202,44 @@ def read_valid_documents(spark: SparkSession, path: str, schema: T.StructType |
 
 def lenient_json(c: Column, schema: T.StructType | str) -> Column:
     """JSON text, or the same written as a Python literal (single
-    quotes, None/True/False); anything else fails the job."""
+    quotes, None/True/False); anything else fails the job. Valid JSON is taken
+    as it is; only text that is not JSON is read as a literal."""
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
     full = T.StructType(list(schema.fields) + [T.StructField("_corrupt_record", T.StringType())])
-    # a bare word outside quoted text: an even number of quotes follows it
-    outside = r"(?![\w'\"])(?=(?:[^']*'[^']*')*[^']*$)"
-    words = F.regexp_replace(F.regexp_replace(F.regexp_replace(
-        c, r"(?<![\w'\"])None" + outside, "null"),
-        r"(?<![\w'\"])True" + outside, "true"),
-        r"(?<![\w'\"])False" + outside, "false")
-    parsed = F.from_json(words, full, {"allowSingleQuotes": "true",
-                                       "columnNameOfCorruptRecord": "_corrupt_record"})
-    ok = c.isNull() | parsed["_corrupt_record"].isNull()
-    fields = [parsed[f.name].alias(f.name) for f in schema.fields]
-    return F.when(ok, F.struct(*fields)).otherwise(
-        F.raise_error(F.concat(F.lit("invalid JSON string provided: "), c)).cast(schema))
+    options = {"allowSingleQuotes": "false", "columnNameOfCorruptRecord": "_corrupt_record"}
+    plain = F.from_json(c, full, options)
+    literal = F.from_json(_literal_as_json(c), full, options)
+
+    def row(parsed: Column) -> Column:
+        return F.struct(*[parsed[f.name].alias(f.name) for f in schema.fields])
+
+    return (F.when(c.isNull() | plain["_corrupt_record"].isNull(), row(plain))
+             .when(literal["_corrupt_record"].isNull(), row(literal))
+             .otherwise(F.raise_error(F.concat(F.lit("invalid JSON string provided: "), c)).cast(schema)))
+
+
+def _literal_as_json(c: Column) -> Column:
+    """A Python literal as JSON text. The text is cut into quoted and bare
+    pieces by one linear expression (no backtracking, so long documents are
+    safe); single-quoted pieces are re-quoted, words change in bare ones only."""
+    backslash, single, double = "\u0001", "\u0002", "\u0003"      # escapes, set aside while cutting
+    aside = F.replace(F.replace(F.replace(c, F.lit("\\\\"), F.lit(backslash)),
+                                F.lit("\\'"), F.lit(single)), F.lit('\\"'), F.lit(double))
+    pieces = F.regexp_extract_all(aside, F.lit("""('[^']*+'|"[^"]*+"|[^'"]++|['"])"""), F.lit(1))
+
+    def rewrite(piece: Column) -> Column:
+        inner = F.substring(piece, F.lit(2), F.length(piece) - 2)
+        bare = piece
+        for word, value in (("None", "null"), ("True", "true"), ("False", "false")):
+            bare = F.regexp_replace(bare, rf"\b{word}\b", value)
+        return (F.when(piece.startswith("'") & (F.length(piece) > 1),
+                       F.concat(F.lit('"'), F.replace(inner, F.lit('"'), F.lit('\\"')), F.lit('"')))
+                 .when(piece.startswith('"'), piece).otherwise(bare))
+
+    joined = F.array_join(F.transform(pieces, rewrite), "")
+    return F.replace(F.replace(F.replace(joined, F.lit(double), F.lit('\\"')),
+                               F.lit(single), F.lit("'")), F.lit(backslash), F.lit("\\\\"))
 
 
 def recent_window(df: DataFrame, ts_col: str, as_of: dt.date, days: int = 30,
