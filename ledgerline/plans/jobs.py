@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,9 +21,9 @@ from pyspark.sql import types as T
 from ledgerline.functions.repair import narrow_numeric, parse_creation_ts, repair_registrants
 from ledgerline.functions.shape import flatten_structs, select_metrics, tag_columns
 from ledgerline.operators import ids as I
-from ledgerline.schemas import (ATTRIBUTION_METRICS, ITEM_KINDS, JOURNEY_CHUNK,
+from ledgerline.schemas import (ATTRIBUTION_METRICS, ITEM_KINDS, PAGED_FLUSH_PAGES,
                                 REGISTRANT_DURATION_FIELDS, REGISTRANT_ID_FIELDS,
-                                REGISTRANT_TIMESTAMP_FIELDS, SOURCES_CHUNK, TRANSACTION_DDL,
+                                REGISTRANT_TIMESTAMP_FIELDS, TRANSACTION_DDL,
                                 TRANSACTIONS_PAGE_SIZE)
 from ledgerline.session import Workspace
 from ledgerline.sinks import tables as K
@@ -65,6 +67,17 @@ def body_schema(spark: SparkSession, landing: str, path: str = "body") -> T.Stru
     return t
 
 
+def has_rows(docs: DataFrame, path: str) -> bool:
+    """Whether the inferred schema has a list of objects at ``path`` (it has
+    none if every landed list is empty, and there is nothing to load then)."""
+    t = docs.schema
+    for part in path.split("."):
+        if not isinstance(t, T.StructType) or part not in t.names:
+            return False
+        t = t[part].dataType
+    return isinstance(t, T.ArrayType) and isinstance(t.elementType, T.StructType)
+
+
 def requested(resp: DataFrame, wanted: DataFrame, on: str = "request") -> DataFrame:
     """Responses for the requests in ``wanted`` (semi join on the request)."""
     return resp.join(wanted.select(on).distinct(), on, "left_semi")
@@ -91,14 +104,14 @@ def store_entity(ws: Workspace, kind: str, list_landing: str, price_landing: str
     wanted = I.per_id_requests(live, key, PRICE_PATH[kind])
     prices = requested(responses(spark, price_landing), wanted)
     price_rows = L.response_rows_inferred(prices, f"{stage}/prices", column="body")
-    K.write(narrow_numeric(price_rows), price_name, price_mode)
+    K.write(narrow_numeric(price_rows), price_name, price_mode, evolve=True)
     K.dedup_table(spark, price_name)
     out["prices"] = price_name
     if info_landing is not None:
         wanted = I.per_id_requests(live, key, INFO_PATH[kind])
         info = requested(responses(spark, info_landing), wanted)
         info_rows = L.response_rows_inferred(info, f"{stage}/info", column="body")
-        K.write(narrow_numeric(info_rows), info_name, price_mode)
+        K.write(narrow_numeric(info_rows), info_name, price_mode, evolve=True)
         K.dedup_table(spark, info_name)
         out["info"] = info_name
     return out
@@ -111,41 +124,65 @@ def _total(resp: DataFrame, path: str) -> int:
     return int(row[0] or 0)
 
 
+class IncompleteSync(RuntimeError):
+    """Raised when a sync ends with fewer rows than the service reports."""
+
+
 def _pages_wanted(spark, table: str, total: int, page_size: int) -> DataFrame:
+    """R1 relies on newest-first pages: what the table lacks is in front."""
     loaded = spark.table(table).count() if K.exists(spark, table) else 0
     return I.sync_gap(spark, total, loaded, page_size)
 
 
+def _check_complete(spark, table: str, total: int) -> None:
+    loaded = spark.table(table).count() if K.exists(spark, table) else 0
+    if loaded < total:
+        raise IncompleteSync(f"{table} holds {loaded} of the service's {total} rows")
+
+
 def affiliates_sync(ws: Workspace, landing: str, page_size: int = 100) -> str:
     """C4: pages still missing (service total vs table count), appended with
-    the inferred schema, then a table-wide distinct."""
+    the inferred schema, then a table-wide distinct. Raises ``IncompleteSync``
+    if rows of the service's total are still missing."""
     spark = ws.spark
     t = ws.table("affiliates")
     resp = responses(spark, landing)
-    pages = _pages_wanted(spark, t, _total(resp, "meta.total"), page_size)
+    total = _total(resp, "meta.total")
+    pages = _pages_wanted(spark, t, total, page_size)
     wanted = requested(resp, pages, "page")
     elem = body_schema(spark, landing, "body.affiliates")
     rows = wanted.select(F.from_json("body", T.StructType([
         T.StructField("affiliates", T.ArrayType(elem))])).alias("b")).select(F.inline("b.affiliates"))
-    K.write(rows, t, "append")
+    K.write(rows, t, "append", evolve=True)
     K.dedup_table(spark, t)
+    _check_complete(spark, t, total)
     return t
 
 
 def transactions_sync(ws: Workspace, landing: str, as_of: dt.date,
                       page_size: int = TRANSACTIONS_PAGE_SIZE) -> str:
-    """Missing pages loaded under the fixed schema (S1), then the day
-    slice ``as_of`` de-duplicated (M2)."""
+    """Missing pages loaded under the fixed schema (S1). The last page
+    wanted may hold rows that are already stored, so such rows are left out of
+    the batch (compared with the stored rows of the batch's days only); the day
+    slice ``as_of`` is de-duplicated (M2). Raises ``IncompleteSync`` if rows of
+    the service's total are still missing."""
     spark = ws.spark
     t = ws.table("transactions")
     resp = responses(spark, landing)
-    pages = _pages_wanted(spark, t, _total(resp, "meta.total"), page_size)
+    total = _total(resp, "meta.total")
+    pages = _pages_wanted(spark, t, total, page_size)
     wanted = requested(resp, pages, "page")
     texts = wanted.select(F.explode(F.from_json(
         "body", "transactions array<string>")["transactions"]).alias("row"))
     rows = L.typed_rows(texts, "row", TRANSACTION_DDL)
+    if K.exists(spark, t):
+        stored = spark.table(t).join(rows.select("date").distinct(), "date", "left_semi").select(
+            [F.col(c).alias(f"__{c}") for c in rows.columns])
+        same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in rows.columns])
+        rows = rows.join(stored, same, "left_anti")
     K.write(rows, t, "append", partition_by=["date"])
     K.dedup_slice(spark, t, f"date = DATE'{as_of.isoformat()}'")
+    _check_complete(spark, t, total)
     return t
 
 
@@ -182,10 +219,10 @@ def registrants_sync(ws: Workspace, platform: str, list_landing: str, detail_lan
 # --- ad tracking (C7-C10) -------------------------------------------------------
 
 def paged_entity_sync(ws: Workspace, entity: str, landing: str, page_schema: str,
-                      range_key: str) -> str:
-    """Landed pages of a date range streamed 10 per batch into the
-    entity table: rows flattened (S7), creation time parsed (T7), lists
-    joined (T6) and appended with schema alignment (K6)."""
+                      range_key: str, pages_per_batch: int = PAGED_FLUSH_PAGES) -> str:
+    """Landed pages of a date range streamed ``pages_per_batch`` per batch
+    into the entity table: rows flattened (S7), creation time parsed (T7),
+    lists joined (T6) and appended with schema alignment (K6)."""
     t = ws.table(entity)
 
     def shape(batch: DataFrame) -> DataFrame:
@@ -196,7 +233,8 @@ def paged_entity_sync(ws: Workspace, entity: str, landing: str, page_schema: str
         return flat
 
     X.run_paged_ingest(ws.spark, landing, page_schema, t,
-                       X.checkpoint_for(ws.root, t, range_key), shape=shape)
+                       X.checkpoint_for(ws.root, t, range_key), shape=shape,
+                       pages_per_batch=pages_per_batch)
     return t
 
 
@@ -206,6 +244,8 @@ def attribution_replace(ws: Workspace, landing: str, day: dt.date) -> str:
     spark = ws.spark
     t = ws.table("ad_account_attribution")
     resp = spark.read.json(landing)
+    if not has_rows(resp, "body.result"):
+        return t
     rows = (resp.filter(F.col("day") == F.lit(day.isoformat()))
                 .select(F.inline("body.result")))
     rows = tag_columns(rows, {"date": F.lit(day)})
@@ -216,40 +256,48 @@ def attribution_replace(ws: Workspace, landing: str, day: dt.date) -> str:
 
 def journey_sync(ws: Workspace, leads_table: str, landing: str, as_of: dt.date,
                  fetched_at: dt.datetime, only_new: bool = False) -> str:
-    """Journeys of the leads created since ``as_of``, one lead per
-    request chunk, tagged with the fetch time and appended. ``only_new``
+    """Journeys of the leads created since ``as_of`` (one request per
+    lead), tagged with the fetch time and appended. ``only_new``
     skips leads whose journey is already stored (off by default, as in the
     source job)."""
     spark = ws.spark
     t = ws.table("user_journey")
     leads = spark.table(leads_table)
     ids = I.ids_created_since(leads, "creationDate", as_of, "id")
-    chunks = I.chunk_ids(ids, "id", JOURNEY_CHUNK)
-    wanted = (chunks.select(F.explode(F.split("ids", ",")).alias("leadId"))
-                    .select(F.col("leadId").cast("bigint").alias("leadId")))
+    wanted = ids.select(F.col("id").alias("leadId"))
     if only_new and K.exists(spark, t):
         wanted = I.only_new_ids(wanted, spark.table(t), ["leadId"])
-    resp = spark.read.json(landing).join(wanted, "leadId", "left_semi")
-    rows = resp.select(F.inline("body.result"))
+    docs = spark.read.json(landing)
+    if not has_rows(docs, "body.result"):
+        return t
+    rows = docs.join(wanted, "leadId", "left_semi").select(F.inline("body.result"))
     rows = tag_columns(rows, {"fetched_at": F.lit(fetched_at).cast("timestamp")})
-    K.write(rows, t, "append")
+    K.write(rows, t, "append", evolve=True)
     return t
 
 
 def sources_sync(ws: Workspace, journey_table: str, landing: str,
                  fetched_at: dt.datetime) -> str:
-    """Distinct first ad sources of the stored journeys, in chunks of
-    50, requested for each of the 24 integration/flag combinations; each
-    combination's rows are tagged and appended."""
+    """Distinct first ad sources of the stored journeys, requested for
+    each of the 24 integration/flag combinations; the rows of each response are
+    tagged with the combination that was requested and appended.
+
+    A landed response line carries its request (``integration_type``,
+    ``include_disregarded``, ``include_organic``) beside its body, one line per
+    page (``nextPageId`` of a body names the next one); a row belongs to its
+    own combination only.
+    """
     spark = ws.spark
     t = ws.table("sources")
     src = I.nested_path_distinct(spark.table(journey_table),
                                  "lead.firstSource.adSource.adSourceId", "adSourceId")
-    grid = I.request_grid(I.chunk_ids(src, "adSourceId", SOURCES_CHUNK))
-    wanted = grid.select("integration_type", "include_disregarded", "include_organic",
-                         F.explode(F.split("ids", ",")).alias("adSourceId"))
-    resp = spark.read.json(landing).select(F.inline("body.result"))
-    rows = resp.join(wanted, "adSourceId")
+    wanted = I.request_grid(src)
+    combination = ["integration_type", "include_disregarded", "include_organic"]
+    docs = spark.read.json(landing)
+    if not has_rows(docs, "body.result"):
+        return t
+    rows = docs.select(*combination, F.inline("body.result")).join(
+        wanted, [*combination, "adSourceId"], "left_semi")
     rows = tag_columns(rows, {"fetched_at": F.lit(fetched_at).cast("timestamp")})
-    K.write(rows, t, "append")
+    K.write(rows, t, "append", evolve=True)
     return t

@@ -448,28 +448,12 @@ SELECT DISTINCT p_partkey AS product_id, p_brand AS label,
   p_name AS name, CAST(p_size AS BIGINT) AS size
 FROM part WHERE p_partkey IN ({_LIVE})"""
 
+# A sync ends with every row of the service stored once.
 AFFILIATES_SYNC = """
-WITH m AS (SELECT (SELECT count(*) FROM customer)
-                - (SELECT count(*) FROM customer WHERE c_mktsegment = 'BUILDING') AS missing)
-SELECT DISTINCT c_custkey AS affiliate_id, c_acctbal AS balance, c_name AS name,
-  c_mktsegment AS segment
-FROM customer, m
-WHERE c_mktsegment = 'BUILDING' OR (missing > 0 AND c_custkey // 100 + 1 <= missing // 100 + 1)"""
-
+SELECT c_custkey AS affiliate_id, c_acctbal AS balance, c_name AS name, c_mktsegment AS segment
+FROM customer"""
 
-def transactions_sync(as_of: str) -> str:
-    return f"""
-WITH tx AS ({flat_tx(V_TX)}),
-num AS (SELECT *, dense_rank() OVER (ORDER BY transaction_id) - 1 AS rn FROM tx),
-m AS (SELECT (SELECT count(*) FROM tx) - (SELECT count(*) FROM tx WHERE invoice_id % 10 = 1)
-      AS missing),
-allrows AS (
-  SELECT * FROM tx WHERE invoice_id % 10 = 1
-  UNION ALL
-  SELECT num.* EXCLUDE (rn) FROM num, m
-  WHERE missing > 0 AND rn // 100 + 1 <= missing // 100 + 1)
-SELECT * FROM allrows WHERE date <> DATE '{as_of}'
-UNION ALL SELECT DISTINCT * FROM allrows WHERE date = DATE '{as_of}'"""
+TRANSACTIONS_SYNC = flat_tx(V_TX)
 
 
 def _dur(c: str) -> str:
@@ -538,9 +522,13 @@ WITH j AS (SELECT lead.firstSource.adSource.adSourceId AS adSourceId, leadId FRO
 stats AS (SELECT adSourceId, count(*) AS clicks, 'source ' || adSourceId AS name
           FROM j WHERE adSourceId IS NOT NULL GROUP BY adSourceId),
 ids AS (SELECT DISTINCT adSourceId FROM j WHERE leadId IN ({_NEW_LEADS}) AND adSourceId IS NOT NULL)
-SELECT s.adSourceId, s.clicks, s.name, g.integration_type, g.include_disregarded,
-  g.include_organic, TIMESTAMP '2024-01-30 12:00:00' AS fetched_at
-FROM stats s JOIN ids USING (adSourceId), {_GRID} g"""
+SELECT * FROM (
+  SELECT s.adSourceId, s.clicks + 100 * length(g.integration_type)
+      + CASE WHEN g.include_disregarded = 'true' THEN 1 ELSE 0 END AS clicks, s.name,
+    g.integration_type, g.include_disregarded, g.include_organic,
+    TIMESTAMP '2024-01-30 12:00:00' AS fetched_at
+  FROM stats s JOIN ids USING (adSourceId), {_GRID} g)
+WHERE include_organic = 'true' OR clicks % 2 = 0"""
 
 
 _LEAD_COLUMNS = [("id", "BIGINT", "user_id"), ("event_id", "BIGINT", "event_id"),

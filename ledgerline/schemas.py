@@ -111,5 +111,3 @@ TRANSACTIONS_PAGE_SIZE = 100
 PAGED_INGEST_PAGE_SIZE = 250
 PAGED_FLUSH_PAGES = 10
 SOURCES_CHUNK = 50
-JOURNEY_CHUNK = 1
-BAD_RECORD_CAP = 1000

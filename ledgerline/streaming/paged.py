@@ -32,13 +32,17 @@ from ledgerline.sinks.tables import align_append_once
 
 BATCH_COLUMN = "_batch_id"
 RUN_COLUMN = "_run"
+PROGRESS_SECONDS = 1
 
 
 def page_stream(spark: SparkSession, landing_dir: str, page_schema: T.StructType | str,
                 pages_per_batch: int = PAGED_FLUSH_PAGES, key: str = "result") -> DataFrame:
-    """Rows of the landed pages as a stream."""
+    """Rows of the landed pages as a stream (S14). A page that is not whole
+    JSON or holds a value its field cannot take fails the batch: nothing is
+    lost silently and the checkpoint stays before it."""
     pages = (spark.readStream.schema(page_schema)
              .option("maxFilesPerTrigger", pages_per_batch)
+             .option("mode", "FAILFAST")
              .json(landing_dir))
     return pages.select(F.inline(F.col(key)))
 
@@ -84,10 +88,18 @@ def run_paged_ingest(spark: SparkSession, landing_dir: str, page_schema: T.Struc
              .option("checkpointLocation", checkpoint)
              .trigger(availableNow=True)
              .start())
-    query.awaitTermination()
+    progress = {}
+
+    def note():
+        # Spark keeps only the latest entries, so they are taken while it runs
+        progress.update({p["batchId"]: p["numInputRows"] for p in query.recentProgress})
+
+    while not query.awaitTermination(PROGRESS_SECONDS):
+        note()
+    note()
     if query.exception() is not None:
         raise query.exception()
-    return [{"batch_id": p["batchId"], "rows": p["numInputRows"]} for p in query.recentProgress]
+    return [{"batch_id": b, "rows": n} for b, n in sorted(progress.items())]
 
 
 def table_rows(spark: SparkSession, table: str) -> DataFrame:

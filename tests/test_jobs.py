@@ -1,7 +1,10 @@
 """Composite jobs on small hand-made landings (kinds other than products)."""
 
+import datetime as dt
 import json
 
+import pytest
+
 from ledgerline.plans import jobs as J
 
 
@@ -27,3 +30,37 @@ def test_bump_entity_overwrites_and_keeps_live_prices(spark, ws):
     assert spark.table(out["list"]).count() == 2
     got = [tuple(r) for r in spark.table(out["prices"]).select("id", "name", "price").collect()]
     assert got == [(1, "x", 100)]
+
+
+def test_second_product_load_keeps_fractions_and_new_fields(spark, ws):
+    lst = land(spark, ws.path("products"), [
+        {"request": "/api/external/products", "page": 1, "body": [
+            {"product_id": 1, "label": "a", "statusString": "live"}]}])
+    for n, option in enumerate([{"id": 1, "name": "x", "price": 10}, {"id": 1, "name": "x", "price": 10.75, "vat": 2}]):
+        prices = land(spark, ws.path(f"prices{n}"), [
+            {"request": "/api/external/products/1/pricing_options", "page": 1, "body": [option]}])
+        out = J.store_entity(ws, "product", lst, prices)
+    got = {tuple(r) for r in spark.table(out["prices"]).select("id", "name", "price", "vat").collect()}
+    assert got == {(1, "x", 10.0, None), (1, "x", 10.75, 2)}
+
+
+def test_incomplete_affiliate_sync_raises(spark, ws):
+    path = land(spark, ws.path("aff"), [
+        {"request": "/api/external/affiliates?page=1", "page": 1,
+         "body": {"affiliates": [{"affiliate_id": 1}], "meta": {"total": 2}}}])
+    with pytest.raises(J.IncompleteSync):
+        J.affiliates_sync(ws, path)
+
+
+def test_attribution_day_without_any_rows_keeps_the_table(spark, ws):
+    path = land(spark, ws.path("attr"), [{"day": "2024-01-30", "account": "a", "body": {"result": []}}])
+    t = J.attribution_replace(ws, path, dt.date(2024, 1, 30))
+    assert not spark.catalog.tableExists(t)
+
+
+def test_truncated_page_fails_the_stream(spark, ws):
+    landing = ws.path("pages")
+    spark.createDataFrame([('{"result": [{"id": 1}], "nextPageId": 2}',), ('{"result": [{"id": 2}',)],
+                          "value string").write.text(landing)
+    with pytest.raises(Exception):
+        J.paged_entity_sync(ws, "leads", landing, "result array<struct<id: bigint>>, nextPageId bigint", "r")
