@@ -107,17 +107,3 @@ def sales_mart(transactions: DataFrame, prices: Mapping[str, DataFrame],
     out = [(cols[n] if n in cols else F.col(f"t.{n}")).cast(t).alias(n)
            for n, t in MART_FIELDS]
     return joined.select(*out).distinct()
-
-
-def sales_mart_by_branch(transactions: DataFrame, prices: Mapping[str, DataFrame],
-                         item_lists: Mapping[str, DataFrame], as_of: dt.date) -> DataFrame:
-    """The source query's literal shape (four distinct branches, UNION ALL).
-
-    Kept for plan comparison and as a property-test partner of ``sales_mart``.
-    """
-    result = None
-    for kind in ITEM_KINDS:
-        one = sales_mart(transactions.filter(F.col("item_type") == kind),
-                         prices, item_lists, as_of)
-        result = one if result is None else result.unionAll(one)
-    return result

@@ -1,12 +1,14 @@
 """DuckDB SQL twins of the views in ``views.py`` and of each registered query.
 
 Every string runs on DuckDB with the driver tables registered as views. The
-queries are written the plain way (e.g. the mart as its four literal branches)
+queries are written the plain way (e.g. the mart kind by kind from its contract)
 so they check the Spark plans rather than repeat them.
 """
 
 from __future__ import annotations
 
+from ledgerline.schemas import ITEM_KINDS, MART_FIELDS, TRANSACTION_FIELDS
+
 # --- views ---------------------------------------------------------------
 
 V_TX = """
@@ -135,64 +137,81 @@ def with_views(body: str, **views: str) -> str:
 
 # --- mart ----------------------------------------------------------------
 
-_MART_BRANCH = """
-SELECT DISTINCT date, strftime(time, '%H:%M:%S') AS time, transaction_id, transaction_type,
-  item_type, item_name, item_pricing_option_name, t2.type AS option_type,
-  t2.price AS option_price, {subscription_price} AS subscription_price,
-  {frequency} AS frequency, {payments} AS payments,
-  processor, currency, amount, invoice_id, order_id, internal_subscription_id, subscription_id,
-  customer.email AS customer_email, customer.name AS customer_name,
-  {balance_delay} AS commissions_balance_delay,
-  {bump_percentage} AS commissions_bump_percentage,
-  {ctype} AS commissions_type, {custom} AS commissions_custom,
-  {payout} AS commission_payout_schedule,
-  {recurring} AS commissions_recurring_percentage,
-  {upfront_amount} AS commissions_upfront_amount,
-  {upfront_pct} AS commissions_upfront_percentage,
-  {label} AS label, {url} AS url, {status} AS status
-FROM (SELECT * FROM tx WHERE date = DATE '{as_of}' AND item_type = '{kind}') t1
-LEFT JOIN (SELECT DISTINCT * FROM price_{kind}) t2
-  ON t1.item_pricing_option_id = t2.id AND t1.item_pricing_option_name = t2.name
-LEFT JOIN (SELECT DISTINCT * FROM item_{kind}) t3 ON t1.item_id = t3.{kind}_id
-"""
-
-_AC = "t2.affiliate_commissions"
-_MART_PARTS = {
-    "product": dict(
-        subscription_price="subscription_price", frequency="frequency", payments="payments",
-        balance_delay=f"{_AC}.balance_delay", bump_percentage=f"{_AC}.bump_percentage",
-        ctype=f"{_AC}.type", custom=f"{_AC}.custom", payout=f"{_AC}.payout_schedule",
-        recurring=f"{_AC}.recurring_percentage", upfront_amount=f"{_AC}.upfront_amount",
-        upfront_pct=f"{_AC}.upfront_percentage",
-        label="t3.label", url="t3.url", status="t3.statusString"),
-    "downsell": dict(
-        subscription_price="subscription_price", frequency="frequency", payments="payments",
-        balance_delay="CAST(NULL AS BIGINT)", bump_percentage="CAST(NULL AS DOUBLE)",
-        ctype=f"{_AC}.type", custom=f"{_AC}.custom", payout="''",
-        recurring=f"{_AC}.recurring_percentage", upfront_amount="CAST(NULL AS BIGINT)",
-        upfront_pct=f"{_AC}.upfront_percentage",
-        label="t3.label", url="''", status="''"),
-    "bump": dict(
-        subscription_price="CAST(NULL AS BIGINT)", frequency="''",
-        payments="CAST(NULL AS BIGINT)",
-        balance_delay="CAST(NULL AS BIGINT)", bump_percentage="CAST(NULL AS DOUBLE)",
-        ctype="''", custom="false", payout="''",
-        recurring="CAST(NULL AS DOUBLE)", upfront_amount="CAST(NULL AS BIGINT)",
-        upfront_pct="CAST(NULL AS DOUBLE)",
-        label="''", url="''", status="''"),
+# The mart's contract: where each column comes from, by item kind. ``sale``,
+# ``opt`` and ``item`` are the row's transaction, its price option and its list entry.
+_OF_SALE = {
+    "time": "strftime(sale.time, '%H:%M:%S')",
+    "customer_email": "sale.customer.email",
+    "customer_name": "sale.customer.name",
+}
+_OF_OPTION = {
+    "option_type": "type", "option_price": "price", "subscription_price": "subscription_price",
+    "frequency": "frequency", "payments": "payments",
+}
+_OF_COMMISSIONS = {
+    "commissions_balance_delay": "balance_delay", "commissions_bump_percentage": "bump_percentage",
+    "commissions_type": "type", "commissions_custom": "custom",
+    "commission_payout_schedule": "payout_schedule",
+    "commissions_recurring_percentage": "recurring_percentage",
+    "commissions_upfront_amount": "upfront_amount",
+    "commissions_upfront_percentage": "upfront_percentage",
 }
-_MART_PARTS["upsell"] = _MART_PARTS["downsell"]
+_OF_ITEM = {"label": "label", "url": "url", "status": "statusString"}
+
+_LESS = {"commissions_balance_delay": "NULL", "commissions_bump_percentage": "NULL",
+         "commission_payout_schedule": "''", "commissions_upfront_amount": "NULL",
+         "url": "''", "status": "''"}
+_FIXED_BY_KIND = {
+    "product": {},
+    "downsell": _LESS,
+    "upsell": _LESS,
+    "bump": {**_LESS, "subscription_price": "NULL", "frequency": "''", "payments": "NULL",
+             "commissions_type": "''", "commissions_custom": "false",
+             "commissions_recurring_percentage": "NULL", "commissions_upfront_percentage": "NULL",
+             "label": "''"},
+}
+
+
+def _mart_value(column: str, kind: str) -> str:
+    if column in _FIXED_BY_KIND[kind]:
+        return _FIXED_BY_KIND[kind][column]
+    if column in _OF_OPTION:
+        return f"opt.{_OF_OPTION[column]}"
+    if column in _OF_COMMISSIONS:
+        return f"opt.affiliate_commissions.{_OF_COMMISSIONS[column]}"
+    if column in _OF_ITEM:
+        return f"item.{_OF_ITEM[column]}"
+    return _OF_SALE.get(column, f"sale.{column}")
 
 
 def mart_sql(as_of: str, tx_view: str = V_TX) -> str:
-    branches = "\nUNION ALL\n".join(
-        _MART_BRANCH.format(kind=k, as_of=as_of, **_MART_PARTS[k])
-        for k in ("product", "downsell", "upsell", "bump"))
-    views = {"tx": tx_view}
-    for kind in ("product", "downsell", "upsell", "bump"):
-        views[f"price_{kind}"] = v_price(kind)
-        views[f"item_{kind}"] = v_item(f"{kind}_id")
-    return with_views(branches, **views)
+    """Each kind's rows are found and made distinct on their own, so this does
+    not share the Spark plan's argument that one distinct is enough."""
+    parts = []
+    for kind, key in ITEM_KINDS.items():
+        values = ",\n  ".join(f"CAST({_mart_value(c, kind)} AS {t}) AS {c}" for c, t in MART_FIELDS)
+        parts.append(f"""(WITH item AS ({v_item(key)}), opt AS ({v_price(kind)})
+SELECT DISTINCT
+  {values}
+FROM tx AS sale
+LEFT JOIN opt ON opt.id = sale.item_pricing_option_id AND opt.name = sale.item_pricing_option_name
+LEFT JOIN item ON item.{key} = sale.item_id
+WHERE sale.item_type = '{kind}' AND sale.date = DATE '{as_of}')""")
+    return with_views("\nUNION ALL\n".join(parts), tx=tx_view)
+
+
+def ndjson_sql(fields, src: str) -> str:
+    """One JSON object per row of ``src``: null fields left out, UTC times with
+    milliseconds, dates as they are written."""
+    def text(name: str, dtype: str) -> str:
+        if dtype == "timestamp":
+            return f"""strftime({name}, '"%Y-%m-%dT%H:%M:%S.%gZ"')"""
+        if dtype == "date":
+            return f"""strftime({name}, '"%Y-%m-%d"')"""
+        return f"CAST(to_json({name}) AS VARCHAR)"
+
+    pieces = ", ".join(f"""CASE WHEN {n} IS NOT NULL THEN '"{n}":' || {text(n, t)} END""" for n, t in fields)
+    return f"SELECT '{{' || concat_ws(',', {pieces}) || '}}' AS value FROM ({src})"
 
 
 # --- tables --------------------------------------------------------------
@@ -531,10 +550,18 @@ SELECT * FROM (
 WHERE include_organic = 'true' OR clicks % 2 = 0"""
 
 
-_LEAD_COLUMNS = [("id", "BIGINT", "user_id"), ("event_id", "BIGINT", "event_id"),
-                 ("creationDate", "STRING", "ts"), ("email_domain", "STRING", "event_type"),
-                 ("detail_kind", "STRING", "event_type"),
-                 ("detail_props_k", "BIGINT", "json_extract(props, '$.k')")]
+TO_NDJSON = ndjson_sql(TRANSACTION_FIELDS, V_TX)
+
+# (column, type it gets in a table, expression that is null where the column is)
+_EVOLVED_COLUMNS = [
+    ("id", "BIGINT", "user_id"), ("event_id", "BIGINT", "event_id"),
+    ("creationDate", "STRING", "ts"), ("email_domain", "STRING", "event_type"),
+    ("detail_kind", "STRING", "event_type"),
+    ("detail_props_k", "BIGINT", "json_extract(props, '$.k')"),
+    ("is_click", "BOOLEAN", "event_type"), ("amount", "DOUBLE", "value"),
+    ("price", "DOUBLE", "value"), ("seen_at", "TIMESTAMP", "ts"), ("seen_on", "DATE", "ts"),
+    ("tags", "STRING", "event_type"), ("origin", "STRING", "event_type"),
+]
 INFER_COLUMN_TYPE = "\nUNION ALL\n".join(
     f"SELECT '{n}' AS column_name, '{t}' AS column_type, count({e}) AS non_null FROM events"
-    for n, t, e in _LEAD_COLUMNS)
+    for n, t, e in _EVOLVED_COLUMNS)

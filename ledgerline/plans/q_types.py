@@ -11,7 +11,8 @@ from ledgerline.plans import oracle as O
 from ledgerline.plans.registry import register
 from ledgerline.schemas import (REGISTRANT_DURATION_FIELDS, REGISTRANT_ID_FIELDS,
                                 REGISTRANT_TIMESTAMP_FIELDS)
-from ledgerline.sinks.tables import spark_ddl_type
+from ledgerline.session import Workspace
+from ledgerline.sinks.tables import align_append
 
 
 @register("narrow_numeric", O.NARROW_NUMERIC)
@@ -61,21 +62,31 @@ def q_flatten_lists(spark, sf_dir):
     return S.flatten_lists(views.embedding_lists(spark, sf_dir))
 
 
-@register("to_ndjson")
+@register("to_ndjson", O.TO_NDJSON)
 def q_to_ndjson(spark, sf_dir):
-    """One JSON object per transaction (rows-only check)."""
+    """One JSON object per transaction."""
     return S.to_ndjson(views.transactions(spark, sf_dir))
 
 
 @register("infer_column_type", O.INFER_COLUMN_TYPE)
 def q_infer_column_type(spark, sf_dir):
-    """K9: table column type for each flattened lead column, with the number
-    of values seen (one aggregate over all rows)."""
-    leads = S.flatten_structs(views.leads(spark, sf_dir))
-    fields = leads.schema.fields
-    counts = leads.agg(*[F.count(F.col(f"`{f.name}`")).alias(f"n{i}") for i, f in enumerate(fields)])
+    """K9: leads with a column of every kind are aligned to a table that has
+    their id alone; the types that the table gained, with the number of values
+    stored under each."""
+    ws = Workspace(spark)
+    t = ws.table("leads")
+    events = views.table(spark, sf_dir, "events").select(
+        "event_id", (F.col("event_type") == "click").alias("is_click"),
+        F.col("value").alias("amount"), F.col("value").cast("decimal(18,4)").alias("price"),
+        F.col("ts").alias("seen_at"), F.to_date("ts").alias("seen_on"),
+        F.array("event_type").alias("tags"), F.struct(F.col("event_type").alias("kind")).alias("origin"))
+    leads = S.flatten_structs(views.leads(spark, sf_dir)).join(events, "event_id")
+    align_append(leads.select("id").limit(0), t)
+    align_append(leads, t)
+    stored = spark.table(t)
+    counts = stored.agg(*[F.count(F.col(f"`{f.name}`")).alias(f"n{i}") for i, f in enumerate(stored.schema)])
     return counts.select(F.inline(F.array(*[
         F.struct(F.lit(f.name).alias("column_name"),
-                 F.lit(spark_ddl_type(f.dataType)).alias("column_type"),
+                 F.lit(f.dataType.simpleString().upper()).alias("column_type"),
                  F.col(f"n{i}").alias("non_null"))
-        for i, f in enumerate(fields)])))
+        for i, f in enumerate(stored.schema)])))
