@@ -14,16 +14,14 @@ import uuid
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ledgerline.functions.repair import narrow_numeric, parse_creation_ts, repair_registrants
 from ledgerline.functions.shape import flatten_structs, select_metrics, tag_columns
 from ledgerline.operators import ids as I
-from ledgerline.schemas import (ATTRIBUTION_METRICS, ITEM_KINDS, PAGED_FLUSH_PAGES,
-                                REGISTRANT_DURATION_FIELDS, REGISTRANT_ID_FIELDS,
-                                REGISTRANT_TIMESTAMP_FIELDS, TRANSACTION_DDL,
+from ledgerline.schemas import (ATTRIBUTION_METRICS, ITEM_KINDS, REGISTRANT_DURATION_FIELDS,
+                                REGISTRANT_ID_FIELDS, REGISTRANT_TIMESTAMP_FIELDS, TRANSACTION_DDL,
                                 TRANSACTIONS_PAGE_SIZE)
 from ledgerline.session import Workspace
 from ledgerline.sinks import tables as K
@@ -36,6 +34,7 @@ ENVELOPE = "request string, page bigint, body string"
 LIST_PATH = {k: f"/api/external/{k}s" for k in ITEM_KINDS}
 PRICE_PATH = {k: f"/api/external/{k}s/%s/pricing_options" for k in ITEM_KINDS}
 INFO_PATH = {k: f"/api/external/{k}s/%s" for k in ITEM_KINDS}
+# Table names of the store service's warehouse (fixed values).
 TABLE_NAMES = {
     "product": ("products", "product_price_details", "product_info"),
     "bump": ("bumps", "bump_price_details", "bumps_info"),
@@ -46,36 +45,28 @@ TABLE_NAMES = {
 
 # --- responses -------------------------------------------------------------
 
-def responses(spark: SparkSession, landing: str) -> DataFrame:
-    """Landed responses whose body is a JSON object or list; other
-    bodies (error pages) are dropped."""
-    env = spark.read.schema(ENVELOPE).json(landing)
-    body = F.trim(F.col("body"))
-    return env.filter(body.startswith("{") | body.startswith("["))
-
-
-def body_schema(spark: SparkSession, landing: str, path: str = "body") -> T.StructType:
-    """Row schema of the response bodies, inferred by Spark's JSON reader
-    (a list of objects, a list of lists of objects, or one object)."""
-    t = spark.read.json(landing).schema
-    for part in path.split("."):
-        t = t[part].dataType
-    while isinstance(t, T.ArrayType):
-        t = t.elementType
-    if not isinstance(t, T.StructType):
-        raise ValueError(f"response bodies under {path} are not objects: {t.simpleString()}")
-    return t
+def landed(ws: Workspace, landing: str, fields: str, body: str, table: str) -> DataFrame:
+    """Landed lines under ``fields`` whose ``body`` field is a whole JSON
+    object or list, as text. Others (error pages, truncated bodies, lines that
+    are no envelope) are appended to ``<table>_rejected`` and take no part;
+    finding them costs one pass over the landing."""
+    env = ws.spark.read.schema(f"{fields}, _corrupt_record string").json(landing)
+    good = L.is_json(F.col(body))
+    names = [c for c in env.columns if c != "_corrupt_record"]
+    rejected = env.filter(~good).select(
+        F.coalesce("_corrupt_record", F.to_json(F.struct(*names))).alias("record"))
+    if not rejected.isEmpty():
+        K.write(rejected, f"{table}_rejected", "append")
+    return env.filter(good).select(*names)
+
+
+def responses(ws: Workspace, landing: str, table: str) -> DataFrame:
+    """``landed`` for the envelope of the store service."""
+    return landed(ws, landing, ENVELOPE, "body", table)
 
 
-def has_rows(docs: DataFrame, path: str) -> bool:
-    """Whether the inferred schema has a list of objects at ``path`` (it has
-    none if every landed list is empty, and there is nothing to load then)."""
-    t = docs.schema
-    for part in path.split("."):
-        if not isinstance(t, T.StructType) or part not in t.names:
-            return False
-        t = t[part].dataType
-    return isinstance(t, T.ArrayType) and isinstance(t.elementType, T.StructType)
+def _stage(ws: Workspace) -> str:
+    return ws.path("_stage", uuid.uuid4().hex)
 
 
 def requested(resp: DataFrame, wanted: DataFrame, on: str = "request") -> DataFrame:
@@ -93,27 +84,22 @@ def store_entity(ws: Workspace, kind: str, list_landing: str, price_landing: str
     key = ITEM_KINDS[kind]
     list_name, price_name, info_name = (ws.table(n) for n in TABLE_NAMES[kind])
 
-    stage = ws.path("_stage", uuid.uuid4().hex)
-    lists = responses(spark, list_landing)
-    rows = L.response_rows_inferred(lists, f"{stage}/list", column="body")
-    K.write(narrow_numeric(rows), list_name, "overwrite")
+    def load(resp: DataFrame, table: str, mode: str) -> bool:
+        rows = L.response_rows_inferred(resp, _stage(ws), column="body")
+        return K.write_or_dead_letter(narrow_numeric(rows), table, mode, evolve=True, received=rows)
 
+    load(responses(ws, list_landing, list_name), list_name, "overwrite")
     live = I.live_ids(spark.table(list_name), key)
     out = {"list": list_name}
-    price_mode = "append" if kind == "product" else "overwrite"
-    wanted = I.per_id_requests(live, key, PRICE_PATH[kind])
-    prices = requested(responses(spark, price_landing), wanted)
-    price_rows = L.response_rows_inferred(prices, f"{stage}/prices", column="body")
-    K.write(narrow_numeric(price_rows), price_name, price_mode, evolve=True)
-    K.dedup_table(spark, price_name)
-    out["prices"] = price_name
-    if info_landing is not None:
-        wanted = I.per_id_requests(live, key, INFO_PATH[kind])
-        info = requested(responses(spark, info_landing), wanted)
-        info_rows = L.response_rows_inferred(info, f"{stage}/info", column="body")
-        K.write(narrow_numeric(info_rows), info_name, price_mode, evolve=True)
-        K.dedup_table(spark, info_name)
-        out["info"] = info_name
+    mode = "append" if kind == "product" else "overwrite"
+    for what, landing, path, table in (("prices", price_landing, PRICE_PATH, price_name),
+                                       ("info", info_landing, INFO_PATH, info_name)):
+        if landing is None:
+            continue
+        wanted = I.per_id_requests(live, key, path[kind])
+        if load(requested(responses(ws, landing, table), wanted), table, mode):
+            K.dedup_table(spark, table)
+        out[what] = table
     return out
 
 
@@ -146,15 +132,13 @@ def affiliates_sync(ws: Workspace, landing: str, page_size: int = 100) -> str:
     if rows of the service's total are still missing."""
     spark = ws.spark
     t = ws.table("affiliates")
-    resp = responses(spark, landing)
+    resp = responses(ws, landing, t)
     total = _total(resp, "meta.total")
     pages = _pages_wanted(spark, t, total, page_size)
     wanted = requested(resp, pages, "page")
-    elem = body_schema(spark, landing, "body.affiliates")
-    rows = wanted.select(F.from_json("body", T.StructType([
-        T.StructField("affiliates", T.ArrayType(elem))])).alias("b")).select(F.inline("b.affiliates"))
-    K.write(rows, t, "append", evolve=True)
-    K.dedup_table(spark, t)
+    rows = L.rows_inferred(L.listed_items(wanted, "affiliates", "body"), _stage(ws))
+    if rows.columns and K.write_or_dead_letter(rows, t, "append", evolve=True):
+        K.dedup_table(spark, t)
     _check_complete(spark, t, total)
     return t
 
@@ -168,20 +152,19 @@ def transactions_sync(ws: Workspace, landing: str, as_of: dt.date,
     the service's total are still missing."""
     spark = ws.spark
     t = ws.table("transactions")
-    resp = responses(spark, landing)
+    resp = responses(ws, landing, t)
     total = _total(resp, "meta.total")
     pages = _pages_wanted(spark, t, total, page_size)
     wanted = requested(resp, pages, "page")
-    texts = wanted.select(F.explode(F.from_json(
-        "body", "transactions array<string>")["transactions"]).alias("row"))
-    rows = L.typed_rows(texts, "row", TRANSACTION_DDL)
+    texts = L.listed_items(wanted, "transactions", "body")
+    rows = L.typed_rows(texts, "item", TRANSACTION_DDL)
     if K.exists(spark, t):
         stored = spark.table(t).join(rows.select("date").distinct(), "date", "left_semi").select(
             [F.col(c).alias(f"__{c}") for c in rows.columns])
         same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in rows.columns])
         rows = rows.join(stored, same, "left_anti")
-    K.write(rows, t, "append", partition_by=["date"])
-    K.dedup_slice(spark, t, f"date = DATE'{as_of.isoformat()}'")
+    if K.write_or_dead_letter(rows, t, "append", partition_by=["date"], received=texts):
+        K.dedup_slice(spark, t, f"date = DATE'{as_of.isoformat()}'")
     _check_complete(spark, t, total)
     return t
 
@@ -195,59 +178,82 @@ def registrants_sync(ws: Workspace, platform: str, list_landing: str, detail_lan
     ``as_of`` on de-duplicated (M3)."""
     spark = ws.spark
     names = {n: ws.table(f"{platform}_{n}") for n in ("webinars", "webinar_details", "registrants")}
-    lists = spark.read.json(list_landing)
-    webinars = L.keyed_rows(lists, "webinars")
-    K.write(webinars, names["webinars"], "append")
-    ids = I.distinct_ids(webinars, "webinar_id")
-
-    details = spark.read.json(detail_landing)
-    detail_rows = L.keyed_doc(details.join(ids, details["webinar"]["webinar_id"] == ids["webinar_id"],
-                                           "left_semi"), "webinar")
-    K.write(detail_rows, names["webinar_details"], "append")
-
-    regs = spark.read.json(registrant_landing)
-    regs = regs.join(ids, "webinar_id", "left_semi")
-    rows = regs.select("webinar_id", F.inline("registrants.data"))
-    rows = repair_registrants(rows, REGISTRANT_TIMESTAMP_FIELDS, REGISTRANT_DURATION_FIELDS,
+
+    def load(rows: DataFrame, table: str) -> None:
+        if rows.columns:
+            K.write_or_dead_letter(rows, table, "append", evolve=True)
+
+    lists = landed(ws, list_landing, "webinars string", "webinars", names["webinars"])
+    webinars = L.rows_inferred(L.listed_items(lists, column="webinars"), _stage(ws))
+    if not webinars.columns:
+        return names
+    load(webinars, names["webinars"])
+    ids = I.distinct_ids(webinars, "webinar_id").select(F.col("webinar_id").cast("bigint"))
+
+    details = landed(ws, detail_landing, "webinar string", "webinar", names["webinar_details"])
+    own = F.get_json_object("webinar", "$.webinar_id").cast("bigint")
+    details = details.withColumn("webinar_id", own).join(ids, "webinar_id", "left_semi")
+    load(L.rows_inferred(details.select(F.col("webinar").alias("item")), _stage(ws)), names["webinar_details"])
+
+    regs = landed(ws, registrant_landing, "webinar_id bigint, registrants string", "registrants",
+                  names["registrants"]).join(ids, "webinar_id", "left_semi")
+    texts = L.rows_inferred(L.listed_items(regs, "data", "registrants", keep=["webinar_id"]), _stage(ws),
+                            as_text=True)
+    if not texts.columns:
+        return names
+    rows = repair_registrants(texts, REGISTRANT_TIMESTAMP_FIELDS, REGISTRANT_DURATION_FIELDS,
                               REGISTRANT_ID_FIELDS, keep=["webinar_id"])
     rows = rows.withColumn("signup_day", F.to_date("signup_date"))
-    K.write(rows, names["registrants"], "append", partition_by=["signup_day"])
-    K.dedup_slice(spark, names["registrants"], f"signup_day >= DATE'{as_of.isoformat()}'")
+    if K.write_or_dead_letter(rows, names["registrants"], "append", partition_by=["signup_day"], evolve=True,
+                              received=texts):
+        K.dedup_slice(spark, names["registrants"], f"signup_day >= DATE'{as_of.isoformat()}'")
     return names
 
 
 # --- ad tracking (C7-C10) -------------------------------------------------------
 
-def paged_entity_sync(ws: Workspace, entity: str, landing: str, page_schema: str,
-                      range_key: str, pages_per_batch: int = PAGED_FLUSH_PAGES) -> str:
-    """Landed pages of a date range streamed ``pages_per_batch`` per batch
-    into the entity table: rows flattened (S7), creation time parsed (T7),
-    lists joined (T6) and appended with schema alignment (K6)."""
-    t = ws.table(entity)
+def _shape_entity(rows: DataFrame) -> DataFrame:
+    flat = flatten_structs(rows)
+    if "creationDate" in flat.columns:
+        flat = flat.withColumn("creationDate", parse_creation_ts(
+            F.col("creationDate"), flat.schema["creationDate"].dataType))
+    return flat
 
-    def shape(batch: DataFrame) -> DataFrame:
-        flat = flatten_structs(batch)
-        if "creationDate" in flat.columns:
-            flat = flat.withColumn("creationDate", parse_creation_ts(
-                F.col("creationDate"), flat.schema["creationDate"].dataType))
-        return flat
 
+def paged_entity_sync(ws: Workspace, entity: str, landing: str, range_key: str,
+                      page_schema: str | None = None, pages_per_batch: int | None = None) -> str:
+    """Landed pages of a date range streamed into the entity table: rows
+    flattened (S7), creation time parsed (T7), lists joined (T6) and appended
+    with schema alignment (K6). The fields are those found in each batch
+    unless ``page_schema`` fixes them."""
+    t = ws.table(entity)
     X.run_paged_ingest(ws.spark, landing, page_schema, t,
-                       X.checkpoint_for(ws.root, t, range_key), shape=shape,
+                       X.checkpoint_for(ws.root, t, range_key), shape=_shape_entity,
                        pages_per_batch=pages_per_batch)
     return t
 
 
+def entity_load(ws: Workspace, entity: str, landing: str) -> str:
+    """The same in one load, for pages that are all landed; pages that
+    are not whole JSON go to ``<entity>_rejected``."""
+    t = ws.table(entity)
+    pages = landed(ws, landing, "result string", "result", t)
+    rows = L.rows_inferred(L.listed_items(pages, column="result"), _stage(ws))
+    if rows.columns:
+        K.align_append(_shape_entity(rows), t)
+    return t
+
+
 def attribution_replace(ws: Workspace, landing: str, day: dt.date) -> str:
     """Per account, the day's attribution rows replace that account's
     rows of the day (M5). Accounts without data keep their old rows."""
-    spark = ws.spark
     t = ws.table("ad_account_attribution")
-    resp = spark.read.json(landing)
-    if not has_rows(resp, "body.result"):
+    resp = landed(ws, landing, "day string, body string", "body", t).filter(
+        F.col("day") == F.lit(day.isoformat()))
+    fields = "id string, " + ", ".join(f"`{m}` double" for m in ATTRIBUTION_METRICS)
+    rows = L.typed_rows(L.listed_items(resp, "result", "body"), "item", fields)
+    if rows.isEmpty():
         return t
-    rows = (resp.filter(F.col("day") == F.lit(day.isoformat()))
-                .select(F.inline("body.result")))
     rows = tag_columns(rows, {"date": F.lit(day)})
     rows = select_metrics(rows, ["id", "date"], ATTRIBUTION_METRICS)
     K.replace_keys(rows, t, ["date", "id"])
@@ -267,12 +273,13 @@ def journey_sync(ws: Workspace, leads_table: str, landing: str, as_of: dt.date,
     wanted = ids.select(F.col("id").alias("leadId"))
     if only_new and K.exists(spark, t):
         wanted = I.only_new_ids(wanted, spark.table(t), ["leadId"])
-    docs = spark.read.json(landing)
-    if not has_rows(docs, "body.result"):
+    docs = landed(ws, landing, "leadId string, body string", "body", t).join(
+        wanted.select(F.col("leadId").cast("string")), "leadId", "left_semi")
+    rows = L.rows_inferred(L.listed_items(docs, "result", "body"), _stage(ws))
+    if not rows.columns:
         return t
-    rows = docs.join(wanted, "leadId", "left_semi").select(F.inline("body.result"))
     rows = tag_columns(rows, {"fetched_at": F.lit(fetched_at).cast("timestamp")})
-    K.write(rows, t, "append", evolve=True)
+    K.write_or_dead_letter(rows, t, "append", evolve=True)
     return t
 
 
@@ -293,11 +300,13 @@ def sources_sync(ws: Workspace, journey_table: str, landing: str,
                                  "lead.firstSource.adSource.adSourceId", "adSourceId")
     wanted = I.request_grid(src)
     combination = ["integration_type", "include_disregarded", "include_organic"]
-    docs = spark.read.json(landing)
-    if not has_rows(docs, "body.result"):
+    docs = landed(ws, landing, ", ".join(f"{c} string" for c in [*combination, "body"]), "body", t)
+    items = L.listed_items(docs, "result", "body", keep=combination).withColumn(
+        "adSourceId", F.get_json_object("item", "$.adSourceId"))
+    items = items.join(wanted, [*combination, "adSourceId"], "left_semi")
+    rows = L.rows_inferred(items, _stage(ws))
+    if not rows.columns:
         return t
-    rows = docs.select(*combination, F.inline("body.result")).join(
-        wanted, [*combination, "adSourceId"], "left_semi")
     rows = tag_columns(rows, {"fetched_at": F.lit(fetched_at).cast("timestamp")})
-    K.write(rows, t, "append", evolve=True)
+    K.write_or_dead_letter(rows, t, "append", evolve=True)
     return t

@@ -128,10 +128,9 @@ def q_src_two_level_explode(spark, sf_dir):
     docs = per.select(F.concat(F.lit('{"webinar_id":'), F.col("conv_id").cast("string"),
                                F.lit(',"registrants":{"data":'), data, F.lit("}}")).alias("value"))
     path = L.land_text(docs, ws.path("registrants"))
-    schema = ("webinar_id bigint, registrants struct<data: array<struct<"
-              "turn: bigint, role: string, text: string>>>")
-    d = L.read_documents(spark, path, schema)
-    return d.select("webinar_id", F.inline("registrants.data"))
+    d = spark.read.schema("webinar_id bigint, registrants string").json(path)
+    items = L.listed_items(d, "data", "registrants", keep=["webinar_id"])
+    return L.rows_inferred(items, ws.path("stage", "registrants"))
 
 
 def _lead_pages(spark, sf_dir, ws):

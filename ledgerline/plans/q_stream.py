@@ -55,8 +55,8 @@ def shape_leads(batch):
 
 @register("stream_paged_ingest", O.STREAM_ROWS)
 def q_stream_paged_ingest(spark, sf_dir):
-    """X1/S14/C7 core: all landed pages, 10 per micro-batch, flattened and
-    appended with alignment."""
+    """X1/S14/C7 core: all landed pages, flattened and appended with
+    alignment."""
     ws = Workspace(spark)
     t = ws.table("leads")
     landing = land_lead_pages(spark, sf_dir, ws.path("landing", "leads"))

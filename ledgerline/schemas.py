@@ -47,7 +47,7 @@ ITEM_KINDS = {
     "bump": "bump_id",
 }
 
-# Output columns of the daily sales mart, in order, with types.
+# Output columns of the daily sales mart, in order, with types.
 MART_FIELDS = [
     ("date", "date"),
     ("time", "string"),
@@ -101,7 +101,7 @@ ATTRIBUTION_METRICS = [
 SOURCE_INTEGRATIONS = ["FACEBOOK", "GOOGLE", "SNAPCHAT", "TIKTOK", "TWITTER", "LINKEDIN"]
 SOURCE_FLAG_VALUES = ["true", "false"]
 
-# Registrant fields: fixed-format timestamps and HH:MM:SS durations.
+# Fixed values, registrant fields of the webinar services: fixed-format timestamps and HH:MM:SS durations.
 REGISTRANT_TIMESTAMP_FIELDS = ["signup_date", "event", "date_live", "gdpr_status_date"]
 REGISTRANT_DURATION_FIELDS = ["time_live", "entered_live", "time_replay"]
 REGISTRANT_ID_FIELDS = ["id", "lead_id"]
@@ -109,5 +109,4 @@ REGISTRANT_ID_FIELDS = ["id", "lead_id"]
 # Throughput-shaping constants of the source services.
 TRANSACTIONS_PAGE_SIZE = 100
 PAGED_INGEST_PAGE_SIZE = 250
-PAGED_FLUSH_PAGES = 10
 SOURCES_CHUNK = 50

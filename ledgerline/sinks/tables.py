@@ -276,17 +276,21 @@ def conform(df: DataFrame, table: str, evolve: bool = False,
 
 
 def write_or_dead_letter(df: DataFrame, table: str, mode: str = "overwrite",
-                         partition_by: Sequence[str] | None = None, evolve: bool = False) -> bool:
+                         partition_by: Sequence[str] | None = None, evolve: bool = False,
+                         received: DataFrame | None = None) -> bool:
     """K4: load the batch; if the load fails or is refused, load the whole
     batch into ``<table>_errors`` (a refused ``empty`` load is appended there,
-    other modes stay). Returns True when the main load succeeded. Failures of
-    the error load propagate. The batch is computed again for the error load
-    instead of being copied before every load."""
+    other modes stay). ``received`` is the batch before its values were
+    converted, for batches that cannot be computed in their final types.
+    Returns True when the main load succeeded. Failures of the error load
+    propagate. The batch is computed again for the error load instead of being
+    copied before every load."""
     try:
         write(df, table, mode, partition_by, evolve=evolve)
         return True
     except LOAD_ERRORS:
-        write(df, f"{table}_errors", "append" if mode == "empty" else mode, evolve=True)
+        write(df if received is None else received, f"{table}_errors",
+              "append" if mode == "empty" else mode, evolve=True)
         return False
 
 

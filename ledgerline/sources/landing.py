@@ -121,6 +121,14 @@ def read_ndjson_inferred(spark: SparkSession, path: str, sampling_ratio: float =
     return spark.read.option("samplingRatio", sampling_ratio).json(path)
 
 
+def is_json(c: Column) -> Column:
+    """Whether a text is one whole JSON object or list (false for null)."""
+    txt = F.trim(c)
+    return F.coalesce(F.when(txt.startswith("["), F.from_json(txt, "array<string>").isNotNull())
+                       .when(txt.startswith("{"), F.from_json(txt, "map<string,string>").isNotNull()),
+                      F.lit(False))
+
+
 def _elements(doc: Column) -> Column:
     """Documents -> JSON text of each row object: an object is one row, a
     list gives its items, a list of lists its flattened items."""
@@ -135,8 +143,9 @@ def _elements(doc: Column) -> Column:
 
 def response_rows(docs: DataFrame, schema: T.StructType | str, column: str = "value") -> DataFrame:
     """S3: rows of response documents; items that are not objects give an
-    all-null row and an empty list gives no row."""
-    items = docs.select(F.explode(_elements(F.col(column))).alias("item"))
+    all-null row and an empty list gives no row. Documents that are not whole
+    JSON (truncated, error pages) give no row; the jobs store them as rejected."""
+    items = docs.filter(is_json(F.col(column))).select(F.explode(_elements(F.col(column))).alias("item"))
     obj = F.trim(F.col("item")).startswith("{")
     empty = F.from_json(F.lit("{}"), schema)
     return items.select(F.when(obj, F.from_json("item", schema)).otherwise(empty).alias("r")) \
@@ -148,13 +157,47 @@ def response_rows_inferred(docs: DataFrame, stage: str, column: str = "value") -
     to ``stage`` (one JSON line each, ``{}`` for non-object items) and read
     back with Spark's schema inference. Only valid rows take part in the
     inference, and the stage cuts the lineage to the landing files."""
-    items = docs.select(F.explode(_elements(F.col(column))).alias("item"))
+    items = docs.filter(is_json(F.col(column))).select(F.explode(_elements(F.col(column))).alias("item"))
     obj = F.trim(F.col("item")).startswith("{")
     items.select(F.when(obj, F.col("item")).otherwise(F.lit("{}")).alias("value")) \
          .write.mode("errorifexists").text(stage)
     return docs.sparkSession.read.json(stage)
 
 
+def listed_items(docs: DataFrame, path: str | None = None, column: str = "value",
+                 keep: Sequence[str] = ()) -> DataFrame:
+    """S6 on text: one row per object listed under ``path`` of the documents in
+    ``column`` (in the document itself without one), as JSON text in ``item``,
+    beside the ``keep`` columns. What is there but is not a list gives no row."""
+    text = F.get_json_object(F.col(column), f"$.{path}") if path else F.col(column)
+    items = F.when(F.trim(text).startswith("["), F.from_json(text, "array<string>"))
+    return (docs.select(*keep, F.explode(items).alias("item"))
+                .filter(F.ltrim(F.col("item")).startswith("{")))
+
+
+def rows_inferred(items: DataFrame, stage: str, as_text: bool = False) -> DataFrame:
+    """Rows of the JSON objects in ``item`` beside the other columns of
+    ``items``, which win over row fields of the same name. The objects are
+    written once to ``stage`` and only they take part in the inference, so no
+    other landed document decides a type. ``as_text`` leaves numbers and
+    booleans as text. Without any object the frame has no columns."""
+    spark = items.sparkSession
+    keep = [f for f in items.schema.fields if f.name != "item"]
+    line = F.concat(F.lit('{"row":'), F.col("item"), F.lit(',"keep":'),
+                    F.to_json(F.struct(*[F.col(f"`{f.name}`") for f in keep])) if keep else F.lit("{}"),
+                    F.lit("}"))
+    items.select(line.alias("value")).write.mode("errorifexists").text(stage)
+    reader = spark.read.option("primitivesAsString", as_text)
+    found = reader.json(stage).schema
+    row = found["row"].dataType if "row" in found.names else None
+    if not isinstance(row, T.StructType):
+        return spark.createDataFrame([], T.StructType([]))
+    kept = T.StructType([T.StructField(f.name, f.dataType) for f in keep])
+    staged = reader.schema(T.StructType([T.StructField("keep", kept), T.StructField("row", row)])).json(stage)
+    return staged.select(*[F.col("keep")[f.name].alias(f.name) for f in keep],
+                         *[F.col("row")[n].alias(n) for n in row.names if n not in kept.names])
+
+
 def read_documents(spark: SparkSession, path: str, schema: T.StructType | str | None = None):
     """Response documents, one per line, typed by ``schema`` or inferred."""
     reader = spark.read

@@ -1,9 +1,10 @@
 """Paged ingest with Structured Streaming.
 
 Pages land as JSON files (``{result: [...], nextPageId}``) in a landing
-directory. A file stream reads them ``pages_per_batch`` files per
-micro-batch (the source flushed every 10 pages) and ``foreachBatch`` shapes
-each batch and appends it to the target table with schema alignment.
+directory. A file stream reads them ``batch_bytes`` (or, if stated,
+``pages_per_batch`` files) per micro-batch and ``foreachBatch`` shapes each
+batch and appends it to the target table with schema alignment. Without a page
+schema the fields are found in each batch, so new ones reach the table.
 
 * Resume: the stream checkpoint records which files were consumed, so an
   interrupted run continues with the next page on restart (no state table
@@ -14,6 +15,8 @@ each batch and appends it to the target table with schema alignment.
   appended; a batch replayed after a failure between write and commit finds
   its earlier rows and rewrites just its run's partition without them, so
   it is never counted twice. Partitions grow with runs, not micro-batches.
+* A finished run is left with one set of files per micro-batch;
+  ``compact_run`` rewrites its partition in files of even size.
 * A failed write fails the batch; the checkpoint does not advance past it.
 """
 
@@ -21,36 +24,47 @@ from __future__ import annotations
 
 import hashlib
 import posixpath
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.schemas import PAGED_FLUSH_PAGES
-from ledgerline.sinks.tables import align_append_once
+from ledgerline.sinks.tables import align_append_once, overwrite_partitions
+from ledgerline.sources.landing import is_json, listed_items, rows_inferred
 
 BATCH_COLUMN = "_batch_id"
 RUN_COLUMN = "_run"
 PROGRESS_SECONDS = 1
-
-
-def page_stream(spark: SparkSession, landing_dir: str, page_schema: T.StructType | str,
-                pages_per_batch: int = PAGED_FLUSH_PAGES, key: str = "result") -> DataFrame:
-    """Rows of the landed pages as a stream (S14). A page that is not whole
-    JSON or holds a value its field cannot take fails the batch: nothing is
-    lost silently and the checkpoint stays before it."""
-    pages = (spark.readStream.schema(page_schema)
-             .option("maxFilesPerTrigger", pages_per_batch)
-             .option("mode", "FAILFAST")
-             .json(landing_dir))
-    return pages.select(F.inline(F.col(key)))
+#: Landed bytes per micro-batch unless the caller states another bound.
+BATCH_BYTES = 1 << 30
+
+
+def page_stream(spark: SparkSession, landing_dir: str, page_schema: T.StructType | str | None = None,
+                pages_per_batch: int | None = None, key: str = "result",
+                batch_bytes: int = BATCH_BYTES) -> DataFrame:
+    """Rows of the landed pages as a stream (S14); without ``page_schema``
+    their JSON text in ``item``. A page that is not whole JSON or holds a value
+    its field cannot take fails the batch: nothing is lost silently and the
+    checkpoint stays before it."""
+    reader = spark.readStream
+    reader = (reader.option("maxFilesPerTrigger", pages_per_batch) if pages_per_batch
+              else reader.option("maxBytesPerTrigger", batch_bytes))
+    if page_schema is not None:
+        return (reader.schema(page_schema).option("mode", "FAILFAST").json(landing_dir)
+                .select(F.inline(F.col(key))))
+    pages = reader.text(landing_dir).filter(F.trim("value") != "")
+    whole = F.when(is_json(F.col("value")), F.col("value")).otherwise(
+        F.raise_error(F.concat(F.lit("page is not whole JSON: "), F.substring("value", 1, 200))))
+    return listed_items(pages.select(whole.cast("string").alias("value")), key)
 
 
 def batch_writer(table: str, shape: Callable[[DataFrame], DataFrame] | None = None,
-                 run: str = "run"):
+                 run: str = "run", stage: str | None = None):
     """The ``foreachBatch`` function: shape, then an exactly-once aligned
     append tagged with the run (one per checkpoint) and the batch id (X5).
+    With ``stage`` the batch holds JSON text whose fields are found first.
 
     Only the first batch a query runs after a (re)start can be a replay (a
     failed batch stops the query), so only that one is checked against the
@@ -59,6 +73,11 @@ def batch_writer(table: str, shape: Callable[[DataFrame], DataFrame] | None = No
     started = {"first": True}
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
+        if stage is not None:
+            batch = rows_inferred(batch, posixpath.join(stage, f"{batch_id}-{uuid.uuid4().hex}"))
+            if not batch.columns:       # a batch of empty pages
+                started["first"] = False
+                return
         shaped = shape(batch) if shape is not None else batch
         align_append_once(shaped, table, RUN_COLUMN, run, BATCH_COLUMN, batch_id,
                           may_be_replay=started["first"])
@@ -76,15 +95,17 @@ def checkpoint_for(root: str, table: str, range_key: str) -> str:
     return posixpath.join(root, "_checkpoints", table.replace(".", "__"), range_key)
 
 
-def run_paged_ingest(spark: SparkSession, landing_dir: str, page_schema: T.StructType | str,
+def run_paged_ingest(spark: SparkSession, landing_dir: str, page_schema: T.StructType | str | None,
                      table: str, checkpoint: str,
                      shape: Callable[[DataFrame], DataFrame] | None = None,
-                     pages_per_batch: int = PAGED_FLUSH_PAGES) -> list[dict]:
-    """Consume every page available now, ``pages_per_batch`` per
-    micro-batch, and stop. Returns the per-batch progress (batch id, rows)."""
-    rows = page_stream(spark, landing_dir, page_schema, pages_per_batch)
+                     pages_per_batch: int | None = None, batch_bytes: int = BATCH_BYTES) -> list[dict]:
+    """Consume every page available now, ``batch_bytes`` (or
+    ``pages_per_batch`` files) per micro-batch, and stop. Returns the per-batch
+    progress (batch id, rows)."""
+    rows = page_stream(spark, landing_dir, page_schema, pages_per_batch, batch_bytes=batch_bytes)
+    stage = f"{checkpoint}-stage" if page_schema is None else None
     query = (rows.writeStream
-             .foreachBatch(batch_writer(table, shape, run_key(checkpoint)))
+             .foreachBatch(batch_writer(table, shape, run_key(checkpoint), stage))
              .option("checkpointLocation", checkpoint)
              .trigger(availableNow=True)
              .start())
@@ -102,6 +123,13 @@ def run_paged_ingest(spark: SparkSession, landing_dir: str, page_schema: T.Struc
     return [{"batch_id": b, "rows": n} for b, n in sorted(progress.items())]
 
 
+def compact_run(spark: SparkSession, table: str, checkpoint: str) -> None:
+    """Rewrite the partition of a finished run in files of even size (one
+    shuffle of that run's rows, sized by AQE; other runs are not read)."""
+    mine = spark.table(table).filter(F.col(RUN_COLUMN) == F.lit(run_key(checkpoint)))
+    overwrite_partitions(mine.hint("rebalance"), table)
+
+
 def table_rows(spark: SparkSession, table: str) -> DataFrame:
     """The ingested rows without the bookkeeping column."""
     return spark.table(table).drop(RUN_COLUMN, BATCH_COLUMN)

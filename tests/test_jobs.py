@@ -63,4 +63,53 @@ def test_truncated_page_fails_the_stream(spark, ws):
     spark.createDataFrame([('{"result": [{"id": 1}], "nextPageId": 2}',), ('{"result": [{"id": 2}',)],
                           "value string").write.text(landing)
     with pytest.raises(Exception):
-        J.paged_entity_sync(ws, "leads", landing, "result array<struct<id: bigint>>, nextPageId bigint", "r")
+        J.paged_entity_sync(ws, "leads", landing, "r", "result array<struct<id: bigint>>, nextPageId bigint")
+    with pytest.raises(Exception):
+        J.paged_entity_sync(ws, "others", landing, "r")
+
+
+def lines(spark, path, texts):
+    spark.createDataFrame([(t,) for t in texts], "value string").write.text(path)
+    return path
+
+
+def test_error_pages_and_cut_bodies_are_stored_as_rejected(spark, ws):
+    page = '{"request": "a", "page": %d, "body": %s}'
+    path = lines(spark, ws.path("aff"), [
+        page % (1, '{"affiliates": [{"affiliate_id": 1}, {"affiliate_id": 2}], "meta": {"total": 2}}'),
+        page % (2, '"<html>502</html>"'), page % (3, '"{\\"affiliates\\": [{\\"affiliate_id\\": 3"'), '{"request": "a'])
+    t = J.affiliates_sync(ws, path)
+    assert sorted(r[0] for r in spark.table(t).collect()) == [1, 2]
+    assert spark.table(f"{t}_rejected").count() == 3
+
+
+def test_registrants_beside_documents_without_a_list(spark, ws):
+    lists = lines(spark, ws.path("l"), ['{"webinars": [{"webinar_id": 1}, {"webinar_id": 2}]}', "<html>"])
+    details = lines(spark, ws.path("d"), ['{"webinar": {"webinar_id": 1, "n": 2}}', '{"webinar": {"webinar_id": 9}}'])
+    regs = lines(spark, ws.path("r"), [
+        '{"webinar_id": 1, "registrants": {"data": [{"id": 7, "signup_date": "Tue, 30 Jan 2024, 01:00 PM"}]}}',
+        '{"webinar_id": 1, "registrants": {"data": "none"}}', '{"webinar_id": 2, "registrants": {"data": []}}',
+        '{"webinar_id": 2, "registrants": {"da'])
+    out = J.registrants_sync(ws, "webinarjam", lists, details, regs, dt.date(2024, 1, 30))
+    assert [(r.webinar_id, r.id) for r in spark.table(out["registrants"]).collect()] == [(1, 7)]
+    assert spark.table(out["webinar_details"]).count() == 1
+    assert spark.table(out["webinars"] + "_rejected").count() == 1
+    assert spark.table(out["registrants"] + "_rejected").count() == 1
+
+
+def test_a_batch_that_cannot_load_lands_whole_in_errors(spark, ws):
+    lists = lines(spark, ws.path("l"), ['{"webinars": [{"webinar_id": 1}]}'])
+    details = lines(spark, ws.path("d"), ['{"webinar": {"webinar_id": 1}}'])
+    regs = lines(spark, ws.path("r"), ['{"webinar_id": 1, "registrants": {"data": [{"id": 7, "time_live": "00:10:00", '
+                                       '"signup_date": null}, {"id": 8, "time_live": "soon", "signup_date": null}]}}'])
+    out = J.registrants_sync(ws, "webinarjam", lists, details, regs, dt.date(2024, 1, 30))
+    errors = spark.table(out["registrants"] + "_errors")
+    assert sorted((r.id, r.time_live) for r in errors.collect()) == [("7", "00:10:00"), ("8", "soon")]
+    assert not spark.catalog.tableExists(out["registrants"])
+
+
+def test_truncated_documents_give_no_rows_and_no_columns(spark, ws):
+    docs = spark.createDataFrame([('[{"id": 1}',), ('{"id": 2',), ('[{"id": 3}]',)], "value string")
+    assert [r.id for r in J.L.response_rows(docs, "id bigint").collect()] == [3]
+    rows = J.L.response_rows_inferred(docs, ws.path("stage"))
+    assert rows.columns == ["id"] and [r.id for r in rows.collect()] == [3]

@@ -20,7 +20,7 @@ def test_batches_of_ten_pages_and_resume(spark, ws):
     landing = ws.path("landing")
     ckpt = X.checkpoint_for(ws.root, t, "r1")
     land(spark, landing, (0, 25))
-    progress = X.run_paged_ingest(spark, landing, SCHEMA, t, ckpt)
+    progress = X.run_paged_ingest(spark, landing, SCHEMA, t, ckpt, pages_per_batch=10)
     assert [p["rows"] for p in progress] == [10, 10, 5]
     land(spark, landing, (25, 32))
     progress = X.run_paged_ingest(spark, landing, SCHEMA, t, ckpt)
@@ -60,3 +60,30 @@ def test_replay_keeps_other_batches_and_runs(spark, ws):
     got = sorted((r["_run"], r["_batch_id"], r.id) for r in spark.table(t).collect())
     assert got == [("a", 0, 1), ("a", 0, 2), ("a", 1, 3), ("b", 0, 1), ("b", 0, 2)]
     assert [c.name for c in spark.catalog.listColumns(t) if c.isPartition] == ["_run"]
+
+
+def test_compaction_keeps_rows_and_other_runs(spark, ws):
+    t = ws.table("rows")
+    landing = ws.path("landing3")
+    land(spark, landing, (0, 12))
+    a, b = (X.checkpoint_for(ws.root, t, r) for r in "ab")
+    X.run_paged_ingest(spark, landing, None, t, a, pages_per_batch=4)
+    X.run_paged_ingest(spark, landing, None, t, b)
+    files = lambda run: {r[0] for r in spark.table(t).filter(F.col("_run") == X.run_key(run)).select(
+        F.input_file_name()).collect()}
+    before, other = files(a), files(b)
+    X.compact_run(spark, t, a)
+    assert len(files(a)) < len(before) and files(b) == other
+    assert sorted(r.id for r in X.table_rows(spark, t).collect()) == sorted([*range(12)] * 2)
+
+
+def test_fields_found_per_batch(spark, ws):
+    t = ws.table("rows")
+    landing = ws.path("landing4")
+    spark.createDataFrame([('{"result": [{"id": 1}, {"id": 2}], "nextPageId": 2}',), ('{"result": []}',)],
+                          "value string").write.text(landing)
+    ckpt = X.checkpoint_for(ws.root, t, "a")
+    X.run_paged_ingest(spark, landing, None, t, ckpt)
+    spark.createDataFrame([('{"result": [{"id": 2.5, "vat": "x"}]}',)], "value string").write.mode("append").text(landing)
+    X.run_paged_ingest(spark, landing, None, t, ckpt)
+    assert sorted((r.id, r.vat) for r in X.table_rows(spark, t).collect()) == [(1.0, None), (2.0, None), (2.5, "x")]
