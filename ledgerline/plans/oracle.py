@@ -448,24 +448,31 @@ FROM events"""
 
 # --- composite jobs ------------------------------------------------------------
 
-_LIVE = f"SELECT product_id FROM ({LIVE_IDS})"
 _AC_FLAT = ",\n  ".join(
     f"affiliate_commissions.{f} AS affiliate_commissions_{f}" for f in (
         "balance_delay", "bump_percentage", "type", "custom", "payout_schedule",
         "recurring_percentage", "upfront_amount", "upfront_percentage"))
 
-STORE_ENTITY_PRICES = f"""
-SELECT DISTINCT id, name, type, price, COALESCE(subscription_price, 0) AS subscription_price,
-  frequency, payments,
-  {_AC_FLAT}
-FROM ({v_price('product')}) WHERE id IN ({_LIVE})"""
 
-STORE_ENTITY_INFO = f"""
-SELECT DISTINCT p_partkey AS product_id, p_brand AS label,
+def _live(kind: str) -> str:
+    key = ITEM_KINDS[kind]
+    return f"SELECT {key} FROM ({v_item(key)}) WHERE statusString = 'live'"
+
+
+def store_entity_prices(kind: str) -> str:
+    more = "" if kind == "bump" else (", COALESCE(subscription_price, 0) AS subscription_price, "
+                                      f"frequency, payments,\n  {_AC_FLAT}")
+    return f"""SELECT DISTINCT id, name, type, price{more}
+FROM ({v_price(kind)}) WHERE id IN ({_live(kind)})"""
+
+
+def store_entity_info(kind: str) -> str:
+    return f"""SELECT DISTINCT p_partkey AS {ITEM_KINDS[kind]}, p_brand AS label,
   'https://shop.example.com/item/' || CAST(p_partkey AS VARCHAR) AS url,
   CASE WHEN p_size % 3 = 0 THEN 'draft' ELSE 'live' END AS statusString,
   p_name AS name, CAST(p_size AS BIGINT) AS size
-FROM part WHERE p_partkey IN ({_LIVE})"""
+FROM part WHERE p_partkey IN ({_live(kind)})"""
+
 
 # A sync ends with every row of the service stored once.
 AFFILIATES_SYNC = """
