@@ -367,7 +367,7 @@ FROM ({V_ATTR})"""
 
 
 def select_metrics(metrics, present) -> str:
-    cols = ", ".join(m if m in present else f"CAST(NULL AS DOUBLE) AS {m}" for m in metrics)
+    cols = ", ".join(f"CAST({m if m in present else 'NULL'} AS DOUBLE) AS {m}" for m in metrics)
     return f"SELECT id, date, {cols} FROM ({V_ATTR})"
 
 

@@ -84,10 +84,7 @@ _ATTR_PRESENT = ["sales", "leads", "revenue", "total_revenue", "cost"]
 @register("select_metrics", O.select_metrics(ATTRIBUTION_METRICS, _ATTR_PRESENT))
 def q_select_metrics(spark, sf_dir):
     """The fixed 31-metric list; metrics the response lacks are null."""
-    attr = views.attribution(spark, sf_dir)
-    have = set(attr.columns)
-    return attr.select("id", "date", *[
-        F.col(m) if m in have else F.lit(None).cast("double").alias(m) for m in ATTRIBUTION_METRICS])
+    return S.select_metrics(views.attribution(spark, sf_dir), ["id", "date"], ATTRIBUTION_METRICS)
 
 
 @register("filter_date_range", O.FILTER_DATE_RANGE)

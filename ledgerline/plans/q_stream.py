@@ -38,13 +38,12 @@ def q_align_append(spark, sf_dir):
 
 
 def land_lead_pages(spark, sf_dir, path, which=None):
-    """One JSON file per page of 250 leads (a page is one document, so one
-    writing task and one file per ``_page`` folder)."""
+    """Pages of 250 leads as JSON lines, many pages to a file."""
     leads = views.leads(spark, sf_dir)
     docs = L.page_documents(leads, "result", F.expr("event_id div 250"), next_page=True)
     if which is not None:
         docs = docs.filter(which)
-    docs.write.mode("append").partitionBy("_page").text(path)
+    docs.select("value").write.mode("append").text(path)
     return path
 
 
