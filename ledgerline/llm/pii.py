@@ -14,12 +14,15 @@ character's margin over "outside" can pay for leaving and re-entering, the
 all-outside path is the best one, exactly. The LSTM reads all of them.
 
 Bounded sample: the model is trained on windows from at most ``FIT_DOCS``
-documents (by hash of the text) and at most ``FIT_WINDOWS`` windows; scanning
-covers all rows and whole texts, document by document, without a shuffle.
+distinct texts with a likely base span and ``FIT_OTHERS`` with digits or signs
+alone (by hash of the text; copies count once) and at most ``FIT_WINDOWS``
+windows. A fifth of the windows sets the margin; if that is fewer than
+``LEAST_CHECKED``, there is no model. Scanning covers all rows and whole texts,
+document by document, without a shuffle.
 
 Cases: a null or empty text has no spans; null ids keep their row; repeated
 rows get the same spans; without base spans in the corpus there is nothing to
-train on and only base spans are returned; empty tables give no rows. Only id
+train on (or too little) and only base spans are returned; empty tables give no rows. Only id
 and text are read. Offsets are code points, ends exclusive.
 """
 
@@ -34,12 +37,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import arrow_map, hash_sample, table
+from ledgerline.llm.common import arrow_map, hash_sample, table, written
 
 KINDS = ("email", "ip", "card", "phone")
 HIDDEN, SYMBOLS, PAD = 8, 131, 130
 WINDOW, OVERLAP, BATCH = 256, 48, 2048
-FIT_DOCS, FIT_WINDOWS, FIT_LENGTH, EPOCHS, SEED = 2000, 3000, 96, 10, 11
+FIT_DOCS, FIT_OTHERS, FIT_WINDOWS, FIT_LENGTH, EPOCHS, SEED = 2000, 500, 3000, 96, 10, 11
+LEAST_CHECKED = 30
 
 # The base patterns.
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]+")
@@ -50,6 +54,10 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 
+# Every text with a base span matches; few others do.
+_LIKELY = (r"[A-Za-z0-9._%+-]@[A-Za-z0-9-]++\.[A-Za-z0-9-]|[0-9]\.[0-9]++\.[0-9]++\.[0-9]"
+           r"|[0-9](?:[\x20-]?[0-9]){15}|\+[0-9](?:[\x20().-]*+[0-9]){7}")
+
 _SIGN = np.isin(np.arange(256), np.frombuffer(b"0123456789@+", np.uint8))
 
 Span = tuple[int, int, int]  # kind, start, end
@@ -302,12 +310,31 @@ def training_windows(texts: list[str], length: int = FIT_LENGTH, most: int = FIT
 
 
 def fitted(docs: DataFrame) -> BiLstmCrf | None:
-    """A model from a bounded sample of the documents in which a pattern's signs occur."""
-    likely = docs.where(F.col("text").rlike("[0-9@+]")).where(F.octet_length("text") <= 20_000)
-    sample = hash_sample(likely.select("text", F.xxhash64("text").alias("h")), "h", FIT_DOCS, docs.count(), spare=8)
-    texts = list(dict.fromkeys(r["text"] for r in sample.collect()))
+    """A model from a bounded sample of the distinct texts in which a pattern's signs occur.
+
+    Copies are dropped by hash of the text before anything is counted or limited, so that they take no
+    place in the sample. None if fewer than ``LEAST_CHECKED`` windows would set the margin.
+    """
+    short = docs.where(F.octet_length("text") <= 20_000).select("text", F.xxhash64("text").alias("h"))
+    known = (short.where(F.col("text").rlike("[0-9@+]")).groupBy("h")
+             .agg(F.max(F.col("text").rlike(_LIKELY)).alias("likely")))
+    known = written(known, "signs")  # one narrow row per distinct text
+    parts = [hash_sample(known.where(F.col("likely") == yes), "h", n, known.where(F.col("likely") == yes).count(), spare=8)
+             for yes, n in ((True, FIT_DOCS), (False, FIT_OTHERS))]
+    chosen = [r["h"] for part in parts for r in part.select("h").collect()]
+    if not chosen:
+        return None
+    wanted = docs.sparkSession.createDataFrame([(h,) for h in chosen], "h long")
+
+    def once(rows: pa.RecordBatch) -> dict:
+        at = pa.array(np.unique(rows.column(0).to_numpy(), return_index=True)[1])
+        return {"h": rows.column(0).take(at), "text": rows.column(1).take(at)}
+
+    found = short.join(F.broadcast(wanted), "h", "left_semi").select("h", F.col("text").cast("string").alias("text"))
+    sample = arrow_map(found, once, "h long, text string").dropDuplicates(["h"])
+    texts = [r["text"] for r in sorted(sample.collect(), key=lambda r: r["h"])]
     windows, labels = training_windows(texts)
-    return train(windows, labels) if labels.any() else None
+    return train(windows, labels) if labels.any() and len(windows) // 5 >= LEAST_CHECKED else None
 
 
 def reconcile(base: list[Span], found: Iterable[tuple[int, int, int, float]], limit: float) -> list[Span]:

@@ -3,6 +3,7 @@ import random
 import re
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from ledgerline.llm import pii
 from tests.llm.helpers import awkward, docs, save, words
@@ -120,3 +121,25 @@ def test_stage_redacts_and_keeps_every_row(spark):
 
 def test_empty_table(spark):
     assert pii.spans_of(docs(spark, []), pii.fitted(docs(spark, []))).count() == 0
+
+
+def test_copies_take_no_place_in_the_sample(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(pii, "FIT_DOCS", 150)
+    monkeypatch.setattr(pii, "train", lambda windows, labels: seen.append(len({w.tobytes() for w in windows})))
+    texts = [private(n) for n in range(150)]
+    copies = [t for t in texts[:10] for _ in range(400)] + ["plain prose"] * 3000
+    pii.fitted(spark.createDataFrame([(n, t) for n, t in enumerate(texts + copies)], "doc_id long, text string"))
+    assert seen and seen[0] > 300  # all 150 texts, two spans each
+
+
+def test_likely_texts_are_all_texts_with_base_spans(spark):
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("ab1.9@-+ (0%_") for _ in range(60)) for _ in range(3000)] + [private(n) for n in range(200)]
+    likely = spark.createDataFrame([(t,) for t in texts], "text string").where(F.col("text").rlike(pii._LIKELY))
+    assert {t for t in texts if pii.base_spans(t)} <= {r["text"] for r in likely.collect()}
+
+
+def test_no_model_from_a_handful_of_windows(spark):
+    few = spark.createDataFrame([(n, private(n % 5)) for n in range(500)], "doc_id long, text string")
+    assert pii.fitted(few) is None
