@@ -15,8 +15,8 @@ an entry one level below (a word at level 2):
 
 Probabilities interpolate absolute discounting down to the add-one unigram, so
 they sum to one over the words seen and one unknown (up to the 8-bit codes).
-Entries of level 2 and up that occur once are not stored; their mass goes to
-the lower order. There is a begin context, and an end token that is counted.
+All n-grams are stored (``learn(least=...)`` leaves rare ones of level 2 and up
+to the lower order). There is a begin context, and an end token that is counted.
 
 Counting is a shuffle per order: tasks send their distinct n-grams, compressed
 and dealt by hash (no word or context meets in one task), sums come back, are
@@ -55,7 +55,7 @@ from ledgerline.llm.common import arrow_map, fold, scratch, ship, table, utf8, w
 
 ORDER = 3
 DISCOUNT = 0.75
-LEAST_COUNT = 2
+LEAST_COUNT = 1
 FOLDS, HELD_OUT = 7, 2
 END = b" "  # no word holds a space
 SEGMENT_ROWS = 2_000_000

@@ -102,3 +102,34 @@ def test_unmounted_shared_folder_is_refused(spark, monkeypatch):
     monkeypatch.setattr(lm, "scratch", lambda *_: "hdfs://somewhere/lm")
     with pytest.raises(RuntimeError, match="mount"):
         lm._model_folder(spark)
+
+
+def whole(rows, held, discount=0.75):
+    """The score per row from plain dictionaries of all n-grams, also those that occur once."""
+    padded = {i: [None, *[w.decode() for w in (t or "").encode().lower().split()], " "] for i, t in rows}
+    train = [t for i, t in padded.items() if not held(i)]
+    one = Counter(w for t in train for w in t)  # None: the begin context
+    two = Counter(p for t in train for p in zip(t, t[1:]))
+    three = Counter(p for t in train for p in zip(t, t[1:], t[2:]))
+    after, after2 = Counter(a for a, _ in two), Counter((a, b) for a, b, _ in three)
+    n, v = sum(c for w, c in one.items() if w is not None), len(one) - 1
+    for i, t in padded.items():
+        score = 0.0
+        for k in range(1, len(t)):
+            p = (one[t[k]] + 1) / (n + v + 1)
+            for q, grams, total, kinds in ((tuple(t[k - 1:k]), two, one[t[k - 1]], after[t[k - 1]]),
+                                           (tuple(t[max(0, k - 2):k]), three, two[tuple(t[max(0, k - 2):k])],
+                                            after2[tuple(t[max(0, k - 2):k])])):
+                if total and (len(q) == 2 or grams is two):
+                    p = max(0, grams[(*q, t[k])] - discount) / total + discount * kinds / total * p
+            score += math.log10(p)
+        yield i, score, len(t) - 1
+
+
+def test_ngrams_that_occur_once_are_scored(spark, tmp_path):
+    rng = random.Random(8)
+    rows = [(i, " ".join(rng.choices([f"w{k}" for k in range(80)], k=40))) for i in range(120)]  # most trigrams once
+    save(spark.createDataFrame(rows, "doc_id long, text string"), tmp_path, "documents")
+    got = {r["doc_id"]: r["score"] for r in lm.op3_lm(spark, str(tmp_path)).collect()}
+    for i, score, tokens in whole(rows, lambda i: remainder(i, 7) == 2):
+        assert got[i] == pytest.approx(score, abs=0.005 * tokens)
