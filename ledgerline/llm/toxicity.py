@@ -1,12 +1,15 @@
 """Toxicity by compression distance between two zstandard dictionaries.
 
-Two dictionaries are trained from labelled texts. They share a part trained on
-ordinary text, so that common words cost the same with either; one adds what is
-trained on words that recur among toxic texts and are rare among ordinary ones,
-the other the reverse. A text is cut into overlapping windows of words; a
+Pairs of dictionaries are trained from labelled texts. Both of a pair share a
+part trained on ordinary text, so that common words cost the same with either.
+The first pair adds what is trained on words that recur among toxic texts and
+are rare among ordinary ones, and the reverse. The second adds what is trained
+on whole windows of toxic and of ordinary text, so that phrases of ordinary
+words and rare words count too; its size, or that it is left out, is chosen on
+the calibration texts, each half under weights from the other. A text is cut into overlapping windows of words; a
 window that needs fewer bytes with the toxic dictionary than with the ordinary
-one is evidence, the difference its strength. How many windows save 1, 2, 3,
-... bytes is turned into a probability by a logistic curve calibrated on
+one is evidence, the difference its strength. For each pair, how many windows save 1, 2, 3,
+... bytes is counted; the counts are turned into a probability by a logistic curve calibrated on
 labelled texts that no dictionary has seen.
 
 Bounded sample: at most ``FIT_TOXIC`` toxic and ``FIT_ORDINARY`` ordinary
@@ -26,7 +29,7 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -42,6 +45,7 @@ WINDOW_WORDS, STRIDE_WORDS = 6, 5
 SHARED_BYTES, OWN_BYTES, LEVEL = 32768, 2048, 3
 MIN_SHARES = (0.005, 0.01, 0.02, 0.04)
 CONTRAST = 10
+WHOLE_BYTES = (8192, 32768, 65536)
 STEPS = 10
 HELD_OUT, FOLDS, CALIBRATION_FOLD = 2, 4, 3
 PREDICT_AT = 0.3
@@ -75,25 +79,26 @@ def _compressor(dictionary: bytes, level: int) -> zstd.ZstdCompressor:
 class Classifier:
     """The two dictionaries and the calibration."""
 
-    ordinary: bytes
-    toxic: bytes
-    weights: np.ndarray = field(default_factory=lambda: np.zeros(2 * STEPS + 2))
+    pairs: list[tuple[bytes, bytes]]  # (ordinary, toxic)
+    weights: np.ndarray | None = None
     level: int = LEVEL
 
-    def savings(self, text: bytes | None) -> np.ndarray:
-        """Bytes that each window saves with the toxic dictionary."""
-        plain, toxic = _compressor(self.ordinary, self.level).compress, _compressor(self.toxic, self.level).compress
+    def savings(self, text: bytes | None, pair: tuple[bytes, bytes]) -> np.ndarray:
+        """Bytes that each window saves with the toxic dictionary of a pair."""
+        plain, toxic = (_compressor(d, self.level).compress for d in pair)
         return np.array([len(plain(w)) - len(toxic(w)) for w in windows((text or b"").lower().split())], np.int64)
 
     def features(self, texts: list[bytes | None]) -> np.ndarray:
-        """Windows that save at least 1..STEPS bytes, as log counts and as shares of all windows."""
+        """Per pair, windows that save at least 1..STEPS bytes, as log counts and as shares of all windows."""
         rows = []
         for text in texts:
-            saved = self.savings(text)
-            over = np.array([(saved >= k).sum() for k in range(1, STEPS + 1)], float)
-            rows.append(np.concatenate([np.log1p(over), np.sqrt(over / max(1, len(saved))),
-                                        [np.log1p(len(saved)), 1.0]]))
-        return np.array(rows).reshape(len(texts), 2 * STEPS + 2)
+            row = []
+            for pair in self.pairs:
+                saved = self.savings(text, pair)
+                over = np.array([(saved >= k).sum() for k in range(1, STEPS + 1)], float)
+                row += [np.log1p(over), np.sqrt(over / max(1, len(saved)))]
+            rows.append(np.concatenate([*row, [np.log1p(len(saved)), 1.0]]))
+        return np.array(rows).reshape(len(texts), 2 * STEPS * len(self.pairs) + 2)
 
     def score(self, texts: list[bytes | None]) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.features(texts) @ self.weights, -30, 30)))
@@ -134,7 +139,20 @@ def fit(texts: list[bytes], toxic: np.ndarray, calibration: np.ndarray) -> Class
     shared = _train([w for n in good[::2] for w in windows(words[n], 40, 40)], SHARED_BYTES, 32)
     sets = {n: set(words[n]) for n in train}
     seen_good, seen_bad = (Counter(w for n in some for w in sets[n]) for some in (good, bad))
-    best: tuple[float, Classifier] | None = None
+    y, half = toxic[rest].astype(float), np.arange(len(rest)) % 2 == 1
+
+    def measured(pairs: list[tuple[bytes, bytes]], known: np.ndarray | None = None) -> tuple[float, np.ndarray]:
+        """Loss of each half of the calibration texts under the other's weights, and the features."""
+        x = Classifier(pairs[-1:]).features([texts[n] for n in rest])
+        x = x if known is None else np.concatenate([known[:, :-2], x], axis=1)
+        loss = 0.0
+        for side in (half, ~half):
+            p = 1 / (1 + np.exp(-np.clip(x[side] @ logistic(x[~side], y[~side]), -30, 30)))
+            p = np.clip(p, 1e-6, 1 - 1e-6)
+            loss -= float(np.sum(y[side] * np.log(p) + (1 - y[side]) * np.log(1 - p)))
+        return loss, x
+
+    best = None
     for share in MIN_SHARES:
         marks = _recurring([sets[n] for n in bad], seen_good, len(good), share)
         plain = _recurring([sets[n] for n in good], seen_bad, len(bad), share)
@@ -142,14 +160,18 @@ def fit(texts: list[bytes], toxic: np.ndarray, calibration: np.ndarray) -> Class
         for kind, some, keep in (("toxic", bad, marks), ("ordinary", good, plain)):
             samples = [b" " + b" ".join(hit) + b" " for n in some if (hit := [w for w in words[n] if w in keep])]
             own[kind] = shared + _train(samples * max(1, 2000 // max(1, len(samples))), OWN_BYTES, 16)
-        model = Classifier(own["ordinary"], own["toxic"])
-        x, y = model.features([texts[n] for n in rest]), toxic[rest].astype(float)
-        model.weights = logistic(x, y)
-        p = np.clip(1 / (1 + np.exp(-np.clip(x @ model.weights, -30, 30))), 1e-6, 1 - 1e-6)
-        loss = -float(np.mean(y * np.log(p) + (1 - y) * np.log(1 - p)))
+        pairs = [(own["ordinary"], own["toxic"])]
+        loss, x = measured(pairs)
         if best is None or loss < best[0]:
-            best = loss, model
-    return best[1]
+            best = loss, pairs, x
+    marks, known = best[1], best[2]
+    whole = [[w for n in some for w in windows(words[n])] for some in (good, bad)]
+    for size in WHOLE_BYTES:
+        pairs = [*marks, tuple(shared + _train(w, size, 32) for w in whole)]
+        loss, x = measured(pairs, known)
+        if loss < best[0]:
+            best = loss, pairs, x
+    return Classifier(best[1], logistic(best[2], y))
 
 
 def labelled_texts(docs: DataFrame, labels: DataFrame) -> tuple[list[bytes], np.ndarray, np.ndarray]:

@@ -57,3 +57,21 @@ def test_windows_cover_every_word():
     for n in range(24):
         seen = {t for w in toxicity.windows(tokens[:n]) for t in w.split()}
         assert seen == set(tokens[:n])
+
+
+def test_phrases_of_ordinary_words_are_found():
+    rng = random.Random(4)
+    known = words(1, 300).split()
+    phrases = [rng.sample(known, 5) for _ in range(20)]
+    texts, bad = [], np.arange(1200) % 4 == 0
+    for toxic in bad:
+        tokens = rng.choices(known, k=60)
+        for _ in range(4 * toxic):
+            at = rng.randrange(55)
+            tokens[at:at + 5] = rng.choice(phrases)
+        texts.append(" ".join(tokens).encode())
+    fold = np.array([remainder(i, 4) for i in range(1200)])
+    seen = np.flatnonzero(fold != 2)
+    model = toxicity.fit([texts[n] for n in seen], bad[seen].astype(int), fold[seen] == 3)
+    hit = model.score([texts[n] for n in np.flatnonzero(fold == 2)]) >= 0.3
+    assert hit[bad[fold == 2]].mean() > 0.75 and hit[~bad[fold == 2]].mean() < 0.1
