@@ -13,8 +13,9 @@ one is evidence, the difference its strength. For each pair, how many windows sa
 labelled texts that no dictionary has seen.
 
 Bounded sample: at most ``FIT_TOXIC`` toxic and ``FIT_ORDINARY`` ordinary
-labelled rows and ``FIT_BYTES`` of their text (by hash of the id, whole texts)
-reach the driver; two thirds train the dictionaries, one third calibrates. The
+labelled rows (by hash of the id, whole texts) reach the driver, with at most
+half of ``FIT_BYTES`` of text of each kind; an id whose texts hold more than
+``FIT_ID_BYTES`` is not learned from. Two thirds train the dictionaries, one third calibrates. The
 share of toxic texts in which a word must recur is chosen on the calibration
 texts. Rows of the held-out fold are never learned from. Everything else covers
 all rows and whole texts, without a shuffle.
@@ -41,6 +42,7 @@ from pyspark.sql import functions as F
 from ledgerline.llm.common import arrow_map, fold, table, text_key, utf8, without, written
 
 FIT_TOXIC, FIT_ORDINARY, FIT_BYTES = 3000, 6000, 48 << 20
+FIT_ID_BYTES = 1 << 20
 WINDOW_WORDS, STRIDE_WORDS = 6, 5
 SHARED_BYTES, OWN_BYTES, LEVEL = 32768, 2048, 3
 MIN_SHARES = (0.005, 0.01, 0.02, 0.04)
@@ -183,13 +185,17 @@ def labelled_texts(docs: DataFrame, labels: DataFrame) -> tuple[list[bytes], np.
              for k, n in ((1, FIT_TOXIC), (0, FIT_ORDINARY))]
     chosen = written(parts[0].unionByName(parts[1]), "labelled")  # at most FIT_TOXIC + FIT_ORDINARY rows of 20 bytes
     found = docs.where("text IS NOT NULL").join(F.broadcast(chosen), "doc_id")
-    sizes = sorted((r["h"], r["doc_id"], r["n"]) for r in found.groupBy("h", "doc_id").agg(
-        F.sum(F.octet_length("text")).alias("n")).collect())
-    upto = np.cumsum([s[2] for s in sizes]) if sizes else np.empty(0)
-    last = sizes[int((upto <= FIT_BYTES).sum()) - 1][0] if len(upto) and upto[0] <= FIT_BYTES else None
-    if last is None:
+    sizes = sorted((r["h"], r["doc_id"], r["toxic"], r["n"]) for r in found.groupBy("h", "doc_id", "toxic").agg(
+        F.sum(F.octet_length("text")).alias("n")).where(F.col("n") <= FIT_ID_BYTES).collect())
+    spent, kept = [0, 0], []
+    for _, i, kind, n in sizes:
+        spent[kind] += n
+        if spent[kind] <= FIT_BYTES // 2:
+            kept.append((i,))
+    if not kept:
         return [], np.empty(0, int), np.empty(0, bool)
-    rows = found.where(F.col("h") <= last).select(
+    wanted = docs.sparkSession.createDataFrame(kept, chosen.select("doc_id").schema)
+    rows = found.join(F.broadcast(wanted), "doc_id", "left_semi").select(
         "h", "doc_id", F.col("text").cast("binary").alias("text"), "toxic",
         (fold("doc_id", FOLDS) == CALIBRATION_FOLD).alias("c")).orderBy("h", "doc_id", "text").toPandas()
     return [bytes(t) for t in rows["text"]], rows["toxic"].to_numpy(int), rows["c"].to_numpy(bool)

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from ledgerline.llm import toxicity
 from tests.llm.helpers import awkward, docs, remainder, save, words
@@ -75,3 +76,17 @@ def test_phrases_of_ordinary_words_are_found():
     model = toxicity.fit([texts[n] for n in seen], bad[seen].astype(int), fold[seen] == 3)
     hit = model.score([texts[n] for n in np.flatnonzero(fold == 2)]) >= 0.3
     assert hit[bad[fold == 2]].mean() > 0.75 and hit[~bad[fold == 2]].mean() < 0.1
+
+
+def test_one_large_id_does_not_end_the_sample(spark, monkeypatch):
+    rows, labels = sample(300)
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    shown = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    order = [r["doc_id"] for r in frame.where("crc32(cast(cast(doc_id AS string) AS binary)) % 4 <> 2")
+             .orderBy(F.xxhash64("doc_id")).collect()]
+    large = frame.withColumn("text", F.when(F.col("doc_id").isin(order[0], order[9]), F.repeat("text", 2000))
+                             .otherwise(F.col("text")))
+    monkeypatch.setattr(toxicity, "FIT_BYTES", 500_000)
+    monkeypatch.setattr(toxicity, "FIT_ID_BYTES", 50_000, raising=False)
+    texts, toxic, calibration = toxicity.labelled_texts(large, shown)
+    assert len(texts) == len(order) - 2 and toxic.any() and calibration.any()
