@@ -17,8 +17,8 @@ shared folder.
 Cases: null ids and urls are written empty, a null page has an empty block;
 repeated rows are archived once, with their number in ``copies``; empty tables
 make an empty archive whose audit has no rows; a record that a replica lacks is
-``missing``, one with other bytes ``altered``, one the first replica does not
-know ``extra``. Columns other than page_id, url and html are not read.
+``missing``, one with other bytes ``altered``, one with the same bytes at
+another place ``moved``, one the first replica does not know ``extra``. Columns other than page_id, url and html are not read.
 """
 
 from __future__ import annotations
@@ -136,10 +136,11 @@ def _height(n: int, fanout: int) -> int:
 
 
 def _differing(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
-    """Keys whose hash differs or that one side lacks, with both hashes."""
-    left = a.select(*keys, F.col("hash").alias("hash_a"))
-    right = b.select(*keys, F.col("hash").alias("hash_b"))
-    return left.join(right, keys, "full_outer").where(~F.col("hash_a").eqNullSafe(F.col("hash_b")))
+    """Keys whose hash or byte range differs or that one side lacks, with both hashes."""
+    left, right = (x.select(*keys, F.col("hash").alias(f"hash_{n}"), F.struct("offset", "end").alias(f"range_{n}"))
+                   for x, n in ((a, "a"), (b, "b")))
+    same = F.col("hash_a").eqNullSafe(F.col("hash_b")) & F.col("range_a").eqNullSafe(F.col("range_b"))
+    return left.join(right, keys, "full_outer").where(~same).drop("range_a", "range_b")
 
 
 def audit(first: DataFrame, second: DataFrame, fanout: int = FANOUT) -> DataFrame:
@@ -169,7 +170,8 @@ def audit(first: DataFrame, second: DataFrame, fanout: int = FANOUT) -> DataFram
             up = written(bad.select("volume", F.col("node").alias("up")), "differing")
     if len(inner_a) == 1:
         bad = _differing(*[x[0].join(up, "volume", "left_semi") for x in (inner_a, inner_b)], ["volume", "node"])
-    status = (F.when(F.col("hash_b").isNull(), "missing").when(F.col("hash_a").isNull(), "extra").otherwise("altered"))
+    status = (F.when(F.col("hash_b").isNull(), "missing").when(F.col("hash_a").isNull(), "extra")
+              .when(F.col("hash_a") == F.col("hash_b"), "moved").otherwise("altered"))
     return written(bad.select("volume", F.col("node").alias("ordinal"), status.alias("status")), "audit")
 
 

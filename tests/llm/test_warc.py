@@ -80,3 +80,15 @@ def test_planted_damage_by_page_id(spark, sf_dir):
     rows = warc.op7_warc(spark, sf_dir)
     lost = rows.where(F.col("page_id") % 103 == 5)
     assert lost.where("status <> 'missing'").count() == 0 and lost.count() > 0
+
+
+@pytest.mark.parametrize("fanout", [2, 16])
+def test_right_bytes_at_wrong_offsets_are_moved(spark, fanout):
+    good = warc.written(warc.archive(pages(spark), warc.written(warc.places(pages(spark)))).drop("page_id"))
+    rows = sorted(tuple(r) for r in good.collect())
+    inside = {rows[5][:2], rows[60][:2]}
+    volume = next(r[0] for r in rows if r[0] != rows[5][0] and r[0] != rows[60][0])  # padded at its start: all shifted
+    gone = {r[:2] for r in rows if r[0] == volume} | inside
+    other = [(v, o, at + 9 if (v, o) in gone else at, rec) for v, o, at, rec in rows]
+    found = warc.audit(good, spark.createDataFrame(other, good.schema), fanout).collect()
+    assert sorted(map(tuple, found)) == sorted((*k, "moved") for k in gone)
