@@ -167,7 +167,8 @@ def fit(texts: list[bytes], toxic: np.ndarray, calibration: np.ndarray) -> Class
         if best is None or loss < best[0]:
             best = loss, pairs, x
     marks, known = best[1], best[2]
-    whole = [[w for n in some for w in windows(words[n])] for some in (good, bad)]
+    del sets, seen_good, seen_bad  # room for training on whole texts
+    whole = [[w for n in some for w in windows(words.pop(n))] for some in (good, bad)]
     for size in WHOLE_BYTES:
         pairs = [*marks, tuple(shared + _train(w, size, 32) for w in whole)]
         loss, x = measured(pairs, known)
