@@ -19,7 +19,7 @@ import zipfile
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerline.session import shared_dir
@@ -90,6 +90,23 @@ def arrow_map(df: DataFrame, fn, schema: str) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
+def arrow_rows(df: DataFrame, fn, schema: str) -> DataFrame:
+    """``mapInArrow`` for rows that each give many: ``fn(row: dict) -> dict[str, list]``, one batch per row."""
+    from pyspark.sql.types import StructType
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    ship(df.sparkSession)
+    target = to_arrow_schema(StructType.fromDDL(schema))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                out = fn(batch.slice(k, 1).to_pylist()[0])
+                yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in target], schema=target)
+
+    return df.mapInArrow(run, schema)
+
+
 def utf8(batch: pa.RecordBatch, name: str = "text") -> list[bytes | None]:
     """A string column as UTF-8 bytes, without decoding it."""
     column = batch.column(batch.schema.get_field_index(name))
@@ -164,3 +181,62 @@ def _mark(edges: DataFrame) -> tuple[int, int]:
     row = edges.agg(F.count("*").alias("n"),
                     F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")), F.lit(0))).first()
     return int(row[0]), int(row[1])
+
+
+def arrow_groups(df: DataFrame, keys: list[str], order: list[str], fn, schema: str) -> DataFrame:
+    """``fn(key, table) -> dict[str, list]`` for the rows of every distinct key (nulls are a key).
+
+    One shuffle by the keys and a sort; a task holds one group and one batch at
+    a time, so groups must be bounded by the caller, however many there are.
+    """
+    from pyspark.sql.types import StructType
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    ship(df.sparkSession)
+    target = to_arrow_schema(StructType.fromDDL(schema))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        now: tuple = ()
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            if held:
+                out = fn(now, pa.Table.from_batches(held))
+                held.clear()
+                yield pa.RecordBatch.from_arrays(
+                    [x if isinstance(x, pa.Array) else pa.array(x, f.type)
+                     for x, f in zip((out[f.name] for f in target), target)], schema=target)
+
+        for batch in batches:
+            own = list(zip(*[batch.column(batch.schema.get_field_index(k)).to_pylist() for k in keys]))
+            cuts = [i for i in range(1, len(own)) if own[i] != own[i - 1]]
+            for a, b in zip([0, *cuts], [*cuts, len(own)]):
+                if b > a:
+                    if held and own[a] != now:
+                        yield from flush()
+                    now = own[a]
+                    held.append(batch.slice(a, b - a))
+        yield from flush()
+
+    return df.repartition(*keys).sortWithinPartitions(*keys, *order).mapInArrow(run, schema)
+
+
+def numbered(rows: DataFrame, group: str, order: list[str], name: str = "numbered") -> DataFrame:
+    """``rows`` with ``pos`` (from 0 within ``group``, by ``order``, nulls first) and ``n`` (the group's rows).
+
+    One range shuffle and a written table; a group of any size is spread over
+    many partitions, whose offsets are summed (one row per partition and group).
+    """
+    spread = rows.repartitionByRange(group, *order).sortWithinPartitions(group, *order).withColumns(
+        {"__part": F.spark_partition_id(), "__row": F.monotonically_increasing_id()})
+    held = written(spread, name)
+    runs = held.groupBy("__part", F.col(group).alias("__group")).agg(
+        F.min("__row").alias("__first"), F.count(F.lit(1)).alias("__rows"))
+    own = Window.partitionBy("__group")
+    runs = runs.withColumns({
+        "n": F.sum("__rows").over(own),
+        "__before": F.sum("__rows").over(own.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))})
+    runs = written(runs.withColumnRenamed("__part", "__of"), name + "-runs")
+    same = (F.col("__part") == F.col("__of")) & F.col(group).eqNullSafe(F.col("__group"))
+    pos = F.col("__row") - F.col("__first") + F.coalesce("__before", F.lit(0))
+    return held.join(runs, same).select(*rows.columns, pos.alias("pos"), "n")

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from ledgerline.llm import bpe, covertree, lm, packing, pii, quality, sharding, simhash, toxicity, warc
+from ledgerline.llm import (bpe, covertree, lm, manifest, packing, pieces, pii, quality, sharding, simhash, spelling,
+                            toxicity, warc)
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
@@ -15,6 +16,10 @@ QUERIES = {
     "op8_pii": pii.op8_pii,
     "op9_packing": packing.op9_packing,
     "op10_sharding": sharding.op10_sharding,
+    "op11_manifest": manifest.op11_manifest,
+    "op12_pieces": pieces.op12_pieces,
+    "op13_spelling": spelling.op13_spelling,
 }
 
-ORACLE = {"op4_covertree": covertree.OP4_SQL, "op7_warc": warc.OP7_SQL}
+ORACLE = {"op4_covertree": covertree.OP4_SQL, "op7_warc": warc.OP7_SQL,
+          "op11_manifest": manifest.OP11_SQL}
