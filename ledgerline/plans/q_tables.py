@@ -100,6 +100,23 @@ def q_dedup_full_table(spark, sf_dir):
 _RAW_FLAT = O.flat_tx(O.V_TX_RAW)
 
 
+@register("sink_switched", f"SELECT DISTINCT * REPLACE (amount + 1 AS amount) FROM ({_RAW_FLAT})")
+def q_sink_switched(spark, sf_dir):
+    """Rewrites that read their own table point the catalog to fresh files (one call for a
+    whole table, one per month of a partitioned one); what was dropped does not come back."""
+    ws = Workspace(spark)
+    whole, monthly = ws.table("transactions"), ws.table("monthly")
+    raw = views.transactions_raw(spark, sf_dir).withColumn("month", F.date_format("date", "yyyy-MM"))
+    K.write(raw, whole, "append")
+    K.dedup_table(spark, whole)
+    K.write(spark.table(whole), monthly, "append", partition_by=["month"])
+    K.replace_table(spark.table(monthly).withColumn("amount", F.col("amount") + 1), monthly)
+    K.drop_table(spark, whole)
+    if K.exists(spark, whole):
+        raise AssertionError("a dropped table came back")
+    return flat_output(spark.table(monthly).drop("month"))
+
+
 @register("dedup_day_slice", f"""SELECT * FROM ({_RAW_FLAT}) WHERE date <> DATE '{views.MART_AS_OF}'
 UNION ALL SELECT DISTINCT * FROM ({_RAW_FLAT}) WHERE date = DATE '{views.MART_AS_OF}'""")
 def q_dedup_day_slice(spark, sf_dir):

@@ -2,35 +2,35 @@
 
 Rules that keep rewrites safe on parquet tables:
 
-* A table is never overwritten in place from itself. Full rewrites write a
-  stage table and swap names (``replace_table``); a failed job leaves the old
-  table untouched, and a swap cut short by a crash is finished by the next
-  call that looks the table up (``exists``).
+* A table is never overwritten in place. Rewrites write fresh folders, to
+  which the catalog is then pointed (``storage``): a failed job leaves the old
+  table untouched, readers see the old or the new files, and what a crash cuts
+  short is finished by the next call that looks the table up (``exists``).
 * Loads are lossless (``conform``): a value that the target column cannot hold
   exactly fails the load or, with ``evolve``, widens the column; an unknown
   column fails or is added; a missing one becomes null.
-* Slice rewrites (a day, a key) use dynamic partition overwrite, so only the
-  partitions present in the new data are replaced and the rest of the table
-  is not read or written. An empty new slice drops its partitions explicitly,
-  because dynamic overwrite with no rows would keep the old ones.
+* Slice rewrites (a day, a key) write the slice once, straight into the files
+  its partitions are then pointed to; the rest of the table is neither read
+  nor written. Partitions that the new slice lacks are dropped.
 * The layout of a table (partition and clustering columns) survives rewrites.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerline.sinks import storage as S
+from ledgerline.sinks.storage import partition_columns
+
 WRITE_MODES = ("overwrite", "append", "empty")
-CLUSTER_PROPERTY = "ledgerline.cluster_by"
 
 
 class TableNotEmpty(RuntimeError):
@@ -53,96 +53,63 @@ def _spark(df_or_spark) -> SparkSession:
 
 
 def exists(spark: SparkSession, table: str) -> bool:
-    """Whether ``table`` is there, after finishing a swap that a crash cut short.
-
-    A stage enters the catalog only once it is completely written, so a stage
-    without its table is the result of a swap whose rename did not happen.
-    """
-    if spark.catalog.tableExists(table):
-        return True
-    stages = _stages(spark, table)
-    if not stages:
-        return False
-    _rename_stage(spark, stages[0], table)
-    return True
-
-
-def _stages(spark: SparkSession, table: str) -> list[str]:
-    db, _, name = table.rpartition(".")
-    if db and not spark.catalog.databaseExists(db):
-        return []
-    found = spark.catalog.listTables(db or None, f"{name}__stage_*")
-    return [f"{db}.{t.name}" if db else t.name for t in found]
-
-
-def partition_columns(spark: SparkSession, table: str) -> list[str]:
-    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    """Whether ``table`` is there, after finishing a rewrite that a crash cut short."""
+    return S.settle(spark, table)
 
 
 def cluster_columns(spark: SparkSession, table: str) -> list[str]:
-    found = spark.sql(f"SHOW TBLPROPERTIES {table}").filter(F.col("key") == CLUSTER_PROPERTY).first()
-    return found["value"].split(",") if found else []
+    found = S.properties(spark, table).get(S.CLUSTER_PROPERTY)
+    return found.split(",") if found else []
 
 
 def drop_table(spark: SparkSession, table: str) -> None:
-    """K10."""
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    """The table and what is left of rewrites of it; it stays dropped."""
+    S.drop(spark, table)
+
+
+def _laid_out(df: DataFrame, partition_by: Sequence[str] | None, cluster_by: Sequence[str] | None) -> DataFrame:
+    """K7: rows in ranges of the clustering columns (within partitions, if there are any), so
+    files hold narrow ranges and a filter on these columns skips most of them. Ranges are cut
+    by sampling; a range with many rows of one value is split by the columns that follow."""
+    if not cluster_by:
+        return df
+    order = [*(partition_by or ()), *cluster_by]
+    return df.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
 def _create(df: DataFrame, table: str, partition_by: Sequence[str] | None,
-            cluster_by: Sequence[str] | None) -> None:
-    if cluster_by:
-        # the table records its clustering columns; rows are also sorted by
-        # them within each write task (no extra shuffle), so parquet row-group
-        # statistics let later filters on those columns skip data
-        df = df.sortWithinPartitions(*cluster_by)
-    writer = df.write.format("parquet").mode("errorifexists")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    elif cluster_by:
-        writer = writer.clusterBy(*cluster_by)
-    writer.saveAsTable(table)
-    if cluster_by:
-        # read back by rewrites; Spark has no clustering beside partitions
-        _spark(df).sql(f"ALTER TABLE {table} SET TBLPROPERTIES "
-                       f"({_sql_value(CLUSTER_PROPERTY)} = {_sql_value(','.join(cluster_by))})")
-
-
-def _stage_name(table: str, kind: str) -> str:
-    """A fresh stage table next to ``table``; leftovers of a failed run are
-    never reused."""
-    return f"{table}__{kind}_{uuid.uuid4().hex[:10]}"
+            cluster_by: Sequence[str] | None, files: str | None = None) -> None:
+    S.create(_laid_out(df, partition_by, cluster_by), table, partition_by, cluster_by, files)
 
 
 def replace_table(df: DataFrame, table: str, partition_by: Sequence[str] | None = None,
                   cluster_by: Sequence[str] | None = None) -> None:
     """K8: create or replace ``table`` with ``df`` (which may read ``table``).
 
-    The result is written to a stage table first; only after that job has
-    succeeded is the old table dropped and the stage renamed.
+    The result is written to a fresh folder first; only after that job has
+    succeeded is the catalog pointed to it.
     """
     spark = _spark(df)
-    there = exists(spark, table)
-    if there and partition_by is None:
-        partition_by = partition_columns(spark, table)
-    if there and cluster_by is None:
-        cluster_by = cluster_columns(spark, table)
-    cluster_by = [c for c in cluster_by or () if c in df.columns]
-    for left in _stages(spark, table):      # of runs that failed before the swap
-        drop_table(spark, left)
-    stage = _stage_name(table, "stage")
-    _create(df, stage, partition_by, cluster_by)
-    drop_table(spark, table)
-    _rename_stage(spark, stage, table)
-
-
-def _rename_stage(spark: SparkSession, stage: str, table: str) -> None:
-    spark.sql(f"ALTER TABLE {stage} RENAME TO {table}")
-    if partition_columns(spark, table):
-        # the catalog keeps the stage folder as each partition's location
-        # after a rename; re-sync partitions with the renamed folder
-        spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
-        spark.catalog.refreshTable(table)
+    if not exists(spark, table):
+        _create(df, table, partition_by, cluster_by)
+        return
+    parts, clusters = partition_columns(spark, table), cluster_columns(spark, table)
+    partition_by = parts if partition_by is None else list(partition_by)
+    cluster_by = [c for c in (clusters if cluster_by is None else cluster_by) if c in df.columns]
+    old = spark.table(table).schema
+    new = {f.name: f.dataType for f in df.schema.fields}
+    same = new == {f.name: f.dataType for f in old.fields}
+    rows = _laid_out(df.select(*[f"`{n}`" for n in old.names]) if same else df, partition_by, cluster_by)
+    if not same or partition_by != parts or cluster_by != clusters:
+        S.succeed(rows, table, partition_by, cluster_by)
+        return
+    folder = S.fresh(S.adopt(spark, table))
+    writer = rows.write
+    (writer.partitionBy(*parts) if parts else writer).parquet(folder)
+    if parts:
+        S.switch_partitions(spark, table, folder, {})
+    else:
+        S.switch_table(spark, table, folder)
 
 
 def write(df: DataFrame, table: str, mode: str = "overwrite",
@@ -367,21 +334,16 @@ def dedup_table(spark: SparkSession, table: str) -> None:
 
 
 def overwrite_partitions(df: DataFrame, table: str, evolve: bool = False) -> None:
-    """Replace exactly the partitions present in ``df`` (dynamic overwrite)."""
-    if not partition_columns(_spark(df), table):
+    """Replace exactly the partitions present in ``df``: they are written to a
+    fresh folder and then pointed there one by one."""
+    spark = _spark(df)
+    parts = partition_columns(spark, table)
+    if not parts:
         raise ValueError(f"{table} is not partitioned: its rows outside the batch would go")
-    (conform(df, table, evolve).write.mode("overwrite")
-       .option("partitionOverwriteMode", "dynamic").insertInto(table))
-
-
-def _sql_value(v: object) -> str:
-    if v is None:
-        return "NULL"
-    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
-def _partition_spec(values: Mapping[str, object]) -> str:
-    return ", ".join(f"`{k}` = {_sql_value(v)}" for k, v in values.items())
+    rows = conform(df, table, evolve)
+    folder = S.fresh(S.adopt(spark, table))
+    _laid_out(rows, parts, cluster_columns(spark, table)).write.partitionBy(*parts).parquet(folder)
+    S.switch_partitions(spark, table, folder, None)
 
 
 def dedup_slice(spark: SparkSession, table: str, where: str) -> None:
@@ -420,39 +382,32 @@ def _reads_only_partitions(spark: SparkSession, table: str, where: str) -> bool:
 def replace_slice(df: DataFrame, table: str, values: Mapping[str, object],
                   partition_by: Sequence[str] | None = None) -> None:
     """M4: delete the rows with ``values`` from ``table`` and insert ``df``
-    (delete-then-insert with a staged result; an empty result leaves the slice
-    empty). Rows outside the slice never change: partitions are overwritten if
-    the slice is made of whole partitions, else the table is rebuilt from the
-    rows outside and the result, through a stage."""
+    (an empty result leaves the slice empty). Rows outside the slice never
+    change: where the slice is made of whole partitions, ``df`` is written
+    once, into the files that its partitions are then pointed to; else the
+    table is rebuilt from the rows outside and ``df``. The result is counted
+    while it is written; rows outside the slice refuse the whole result."""
     spark = _spark(df)
-    cond = None
-    for k, v in values.items():
-        c = F.col(k) == F.lit(v)
-        cond = c if cond is None else cond & c
-    stage = _stage_name(table, "slice")
-    _create(df, stage, None, None)
-    staged = spark.table(stage)
-    counts = staged.agg(F.count(F.lit(1)).alias("n"),
-                        F.count_if(~F.coalesce(cond, F.lit(False))).alias("outside")).first()
-    if counts["outside"]:
-        drop_table(spark, stage)
+    inside = reduce(and_, [F.col(k).eqNullSafe(F.lit(v)) for k, v in values.items()])
+    counts = Observation()
+    there = exists(spark, table)
+    parts = partition_columns(spark, table) if there else list(partition_by or values)
+    files = S.adopt(spark, table) if there else S.files_folder(spark, table)
+    folder, whole = S.fresh(files), set(values) <= set(parts)
+    rows = conform(df, table) if there else df
+    writer = rows.observe(counts, F.count_if(~inside).alias("outside")).write
+    (writer.partitionBy(*parts) if whole else writer).parquet(folder)
+    if counts.get["outside"]:
+        S.delete_folder(spark, folder)
         raise ValueError(f"rows outside the slice {dict(values)} in the result for {table}")
-    if not exists(spark, table):
-        _create(staged, table, partition_by or list(values), None)
-    elif set(values) <= set(parts := partition_columns(spark, table)):
-        held = spark.table(table).filter(cond).select(*parts).distinct()
-        gone = [r.asDict() for r in held.join(
-            staged.select(*[F.col(p).alias(f"__{p}") for p in parts]).distinct(),
-            reduce(and_, [F.col(p).eqNullSafe(F.col(f"__{p}")) for p in parts]), "left_anti").collect()]
-        if counts["n"]:
-            overwrite_partitions(staged, table)
-        if gone:        # names of partitions of this slice, which the catalog lists one by one anyway
-            specs = ", ".join(f"PARTITION ({_partition_spec(g)})" for g in gone)
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
-    else:
-        rest = spark.table(table).filter(~F.coalesce(cond, F.lit(False)))
-        replace_table(rest.unionByName(conform(staged, table)), table)
-    drop_table(spark, stage)
+    if whole:
+        if not there:
+            _create(df.limit(0), table, parts, None, files)
+        S.switch_partitions(spark, table, folder, values)
+        return
+    old = spark.table(table)
+    replace_table(old.filter(~inside).unionByName(spark.read.schema(old.schema).parquet(folder)), table)
+    S.delete_folder(spark, folder)
 
 
 def replace_keys(df: DataFrame, table: str, keys: Sequence[str],

@@ -101,23 +101,6 @@ def test_replace_keys_touches_only_the_batch_partitions(spark, ws):
     assert rows(spark, t) == [("a", 1, D2), ("a", 2, D1), ("b", 1, D1)]
 
 
-@pytest.mark.parametrize("partition_by", [None, ["date"]])
-def test_swap_cut_between_drop_and_rename_is_finished(spark, ws, monkeypatch, partition_by):
-    t = ws.table("t")
-    ddl = "id bigint, date date"
-    K.write(frame(spark, [(1, D1), (1, D1)], ddl), t, "append", partition_by=partition_by)
-
-    def crash(*_):
-        raise KeyboardInterrupt
-
-    with monkeypatch.context() as m:
-        m.setattr(K, "_rename_stage", crash)
-        with pytest.raises(KeyboardInterrupt):
-            K.dedup_table(spark, t)
-    assert K.exists(spark, t)
-    assert rows(spark, t) == [(1, D1)]
-
-
 @pytest.mark.parametrize("partition_by", [None, ["date"]])
 def test_clustering_survives_rewrites(spark, ws, partition_by):
     t = ws.table("t")
