@@ -47,15 +47,14 @@ LEAST_COUNT = 2
 #: A form occurs at least so many times as often as its variant.
 FORM_RATIO = 10
 RUNS = re.compile("[A-Za-zÀ-ÿ]+")
-LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 LAST = "\U0010FFFF"
 
 
 # --- words -------------------------------------------------------------------
 
-def worn(run: str, key: str, every: int = 31) -> str:
-    """The run, without one letter where crc32 of ``key:run`` is a multiple of ``every``."""
-    h = zlib.crc32(f"{key}:{run}".encode())
+def worn(run: str, seed: int, every: int = 31) -> str:
+    """The run, without one letter where crc32 of the seed's text and the run is a multiple of ``every``."""
+    h = zlib.crc32(run.encode(), seed)
     if h % every:
         return run
     at = h % len(run)
@@ -65,8 +64,10 @@ def worn(run: str, key: str, every: int = 31) -> str:
 def words_of(text: str | None, key: str, least: int = LEAST_LETTERS) -> Counter:
     """Words of a text with at least ``least`` letters and how often they occur."""
     out: Counter = Counter()
-    for run, n in Counter(RUNS.findall((text or "").translate(LOWER))).items():
-        if len(run) >= least and len(word := worn(run, key)) >= least:
+    seed = zlib.crc32(f"{key}:".encode())
+    plain = (text or "").encode().lower().decode()      # of bytes, only A-Z change
+    for run, n in Counter(RUNS.findall(plain)).items():
+        if len(run) >= least and len(word := worn(run, seed)) >= least:
             out[word] += n
     return out
 
@@ -132,6 +133,25 @@ def advance(row: tuple[int, int, int], letter: str, word: str, depth: int) -> tu
 DEAD = (2, 2, 2)
 
 
+def _machine() -> tuple[list[list[int]], list[tuple[int, int, int]]]:
+    """All rows that can follow the first one, and per row its successor by which of the three letters
+    around the diagonal the new letter equals (1, 2, 4); row 0 is the dead one, row 1 the first."""
+    rows, steps = [DEAD, (1, 0, 1)], []
+    for row in rows:        # grows while it is read
+        own = []
+        for equal in range(8):
+            letters = ["x" if equal >> k & 1 else "o" for k in range(3)]
+            new = advance(row, "x", "".join(letters), 1)
+            if new not in rows:
+                rows.append(new)
+            own.append(rows.index(new))
+        steps.append(own)
+    return steps, rows
+
+
+STEPS, ROWS = _machine()
+
+
 class SortedList:
     """Sorted distinct words with the common prefixes of neighbours."""
 
@@ -146,32 +166,40 @@ class SortedList:
                 self.shorter[open_.pop()] = k
             open_.append(k)
 
-    def near(self, word: str, same: int) -> Iterator[int]:
+    def near(self, word: str, same: int) -> list[int]:
         """Places of the words one edit from ``word`` that share its first ``same`` letters."""
-        words, lcp, shorter = self.words, self.lcp, self.shorter
-        head, long = word[:same], len(word)
-        at = bisect_left(words, head)
-        rows = [(1, 0, 1)]      # rows[d] belongs to depth same + d
-        known = same            # depth up to which rows hold for the word at ``at``
-        while at < len(words) and words[at].startswith(head):
-            own = words[at]
-            del rows[known - same + 1:]
-            row, depth = rows[-1], known
-            while depth < len(own):
-                row = advance(row, own[depth], word, depth)
+        words, lcp, shorter, steps = self.words, self.lcp, self.shorter, STEPS
+        at = bisect_left(words, word[:same])
+        end = bisect_left(words, word[:same] + LAST, at)
+        long, found = len(word), []
+        around = ["", *word, "", "", ""]    # no letter equals what is beyond the ends
+        rows = [1] * (long + 3)         # rows[d]: the row of the list word's first d letters
+        known = same                    # depth up to which rows hold for the word at ``at``
+        while at < end:
+            own, depth = words[at], known
+            row, size = rows[depth], len(own)
+            while depth < size:
+                letter = own[depth]
+                row = steps[row][(letter == around[depth]) + 2 * (letter == around[depth + 1])
+                                 + 4 * (letter == around[depth + 2])]
                 depth += 1
-                rows.append(row)
-                if row == DEAD:
+                if not row:
                     break
-            if row != DEAD and -1 <= long - len(own) <= 1 and row[long - len(own) + 1] == 1:
-                yield at
-            dead = depth if row == DEAD else len(own) + 1
+                rows[depth] = row
+            if row:
+                dead = size + 1
+                if -1 <= long - size <= 1 and ROWS[row][long - size + 1] == 1:
+                    found.append(at)
+            else:
+                dead = depth
             at += 1
-            while lcp[at] >= dead:
+            known = lcp[at]
+            while known >= dead:
                 at = shorter[at]
-            known = min(lcp[at], depth)
-            if known < same:
-                return
+                known = lcp[at]
+            if known > depth:
+                known = depth
+        return found
 
 
 def may_hold(word: str, same: int, common: str) -> bool:

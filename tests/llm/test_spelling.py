@@ -91,7 +91,7 @@ def test_skipping_passes_over_dead_ranges():
 
     listed = S.SortedList(words)
     listed.words = Counted(words)
-    assert len(list(listed.near("sameabc", 4))) == 21
+    assert len(listed.near("sameabc", 4)) == 21
     assert len(set(seen)) < 300     # of 512 words
 
 
