@@ -251,9 +251,8 @@ def verified(manifest: Manifest, height: int = HEIGHT) -> DataFrame:
     doc_id, leaf, subroot, root, proof (the siblings' digests as hex, bottom
     up, joined), folded_root and verified (whether that is the root).
     """
-    spark = manifest.sources[0].sparkSession
     root = manifest.root
-    start = spark.range(1).select(F.lit("all").alias("tree"), F.array().cast(PATH.split(" ", 1)[1]).alias("path"))
+    start = roots(manifest.top, height).select("tree", F.array().cast(PATH.split(" ", 1)[1]).alias("path"))
     top = manifest.top[0]
     by_source = _handed_down(top, _outer(manifest.top, start, height), {"names": "name"})
     ends = written(by_source.select(F.col("name").alias("tree"), "path"), "ends")
