@@ -111,3 +111,52 @@ def per_id_requests(ids: DataFrame, id_col: str, template: str) -> DataFrame:
     """One request path per id (``template`` uses ``%s``); no ids, no requests."""
     return ids.select(F.col(id_col), F.format_string(template, F.col(id_col).cast("string"))
                       .alias("request"))
+
+
+class BrokenChain(RuntimeError):
+    """Raised when the pages of a request do not lead from one first page to one last page."""
+
+
+def chain_breaks(pages: DataFrame, request: Sequence[str], page: str, next_page: str) -> DataFrame:
+    """What is wrong with the page chains of ``pages``, one row per fault.
+
+    Every page but the last of a request names its successor in ``next_page``.
+    Faults (``request`` columns, ``fault``, ``page``): a successor that is not
+    there (missing), a last page beside the first of them (another end), a
+    first page beside the first of them (another start), a request whose pages
+    form a ring (no start, no end). Copies of a page count once; null request
+    values are values.
+    """
+    names = [f"__r{k}" for k in range(len(request))]
+    own = pages.select(*[F.col(f"`{c}`").cast("string").alias(n) for c, n in zip(request, names)],
+                       F.col(f"`{page}`").cast("string").alias("at"),
+                       F.col(f"`{next_page}`").cast("string").alias("next")).distinct()
+    # each page is there once as itself and once as it is named; one aggregation pairs both up
+    both = own.select(*names, F.col("at").alias("page"), F.lit(1).alias("there"), F.lit(0).alias("named"),
+                      F.col("next").isNull().cast("int").alias("last")).unionByName(
+        own.filter(F.col("next").isNotNull()).select(
+            *names, F.col("next").alias("page"), F.lit(0).alias("there"), F.lit(1).alias("named"), F.lit(0).alias("last")))
+    seen = both.groupBy(*names, "page").agg(*[F.max(c).alias(c) for c in ("there", "named", "last")])
+    found = seen.select(*names, "page", F.explode(F.array_compact(F.array(
+        F.when(F.col("there") == 0, F.lit("missing")),
+        F.when((F.col("there") == 1) & (F.col("named") == 0), F.lit("start")),
+        F.when(F.col("last") == 1, F.lit("end")), F.lit("page")))).alias("what"))
+    # per request: the least page of each kind, and how many there are; no list of pages is built
+    kinds = found.groupBy(*names, "what").agg(F.count(F.lit(1)).alias("n"), F.max("page").alias("most"))
+    several = kinds.filter(F.col("what").isin("start", "end") & (F.col("n") > 1)).select(
+        *names, F.concat(F.lit("another "), F.col("what")).alias("fault"), F.col("most").alias("page"))
+    missing = found.filter(F.col("what") == "missing").select(*names, F.col("what").alias("fault"), "page")
+    rings = kinds.groupBy(*names).agg(F.max("most").alias("page"), *[
+        F.max((F.col("what") == k).cast("int")).alias(k) for k in ("start", "end", "missing")]).filter(
+        "start = 0 OR (end = 0 AND missing = 0)").select(
+        *names, F.when(F.col("start") == 0, F.lit("no start")).otherwise(F.lit("no end")).alias("fault"), "page")
+    faults = missing.unionByName(several).unionByName(rings)
+    return faults.select(*[F.col(n).alias(c) for c, n in zip(request, names)], "fault", "page")
+
+
+def check_chains(pages: DataFrame, request: Sequence[str], page: str, next_page: str, shown: int = 10) -> None:
+    """Raise ``BrokenChain`` if ``chain_breaks`` finds any, naming the first ``shown`` of them."""
+    faults = chain_breaks(pages, request, page, next_page).orderBy("fault", *request, "page").limit(shown).collect()
+    if faults:
+        raise BrokenChain("; ".join(
+            f"{r['fault']}: page {r['page']} of {', '.join(f'{c}={r[c]}' for c in request) or 'the landing'}" for r in faults))

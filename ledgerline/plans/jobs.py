@@ -10,9 +10,9 @@ take the matching responses with a semi join; fetching is outside.
 from __future__ import annotations
 
 import datetime as dt
-import uuid
-from functools import reduce
-from operator import and_
+import functools
+import posixpath
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,21 +43,31 @@ TABLE_NAMES = {
 }
 
 
+def staged(job):
+    """A job whose stages are deleted when it ends."""
+    @functools.wraps(job)
+    def run(ws: Workspace, *args, **kwargs):
+        with ws.run() as own:
+            return job(own, *args, **kwargs)
+    return run
+
+
 # --- responses -------------------------------------------------------------
 
 def landed(ws: Workspace, landing: str, fields: str, body: str, table: str) -> DataFrame:
-    """Landed lines under ``fields`` whose ``body`` field is a whole JSON
-    object or list, as text. Others (error pages, truncated bodies, lines that
-    are no envelope) are appended to ``<table>_rejected`` and take no part;
-    finding them costs one pass over the landing."""
+    """Landed lines under ``fields`` whose ``body`` field is one whole JSON
+    object or list, as text. Others (error pages, cut-off bodies, bodies with
+    something behind them, lines that are no envelope) are appended to
+    ``<table>_rejected`` with the run they came in, and take no part. The
+    landing is read once; what follows reads the stage."""
     env = ws.spark.read.schema(f"{fields}, _corrupt_record string").json(landing)
-    good = L.is_json(F.col(body))
     names = [c for c in env.columns if c != "_corrupt_record"]
-    rejected = env.filter(~good).select(
-        F.coalesce("_corrupt_record", F.to_json(F.struct(*names))).alias("record"))
-    if not rejected.isEmpty():
-        K.write(rejected, f"{table}_rejected", "append")
-    return env.filter(good).select(*names)
+    record = F.coalesce("_corrupt_record", F.to_json(F.struct(*names)))
+    stage = ws.stage()
+    good, rejected, counts = L.staged_check(env, L.is_json(F.col(body)), record, stage)
+    if counts["rejected"]:
+        K.write(rejected.withColumn("run", F.lit(posixpath.basename(stage))), f"{table}_rejected", "append", evolve=True)
+    return good.select(*names)
 
 
 def responses(ws: Workspace, landing: str, table: str) -> DataFrame:
@@ -65,30 +75,59 @@ def responses(ws: Workspace, landing: str, table: str) -> DataFrame:
     return landed(ws, landing, ENVELOPE, "body", table)
 
 
-def _stage(ws: Workspace) -> str:
-    return ws.path("_stage", uuid.uuid4().hex)
-
-
 def requested(resp: DataFrame, wanted: DataFrame, on: str = "request") -> DataFrame:
     """Responses for the requests in ``wanted`` (semi join on the request)."""
     return resp.join(wanted.select(on).distinct(), on, "left_semi")
 
 
+def load_items(ws: Workspace, items: DataFrame, table: str, mode: str = "append",
+               shape: Callable[[DataFrame], DataFrame] | None = None, as_text: bool = False,
+               load: Callable[[DataFrame], object] | None = None, partition_by: Sequence[str] | None = None) -> bool:
+    """K4 around inference, shaping and loading of the JSON objects in ``item``.
+
+    What cannot get a schema, a shape or a place in ``table`` lands whole in
+    ``<table>_errors``: the rows as they were inferred if they had a schema,
+    the items as text otherwise. ``load`` replaces the plain load. True if
+    there were rows and they loaded.
+    """
+    received = items
+    try:
+        rows = L.rows_inferred(items, ws.stage(), as_text)
+        if not rows.columns:
+            return False
+        received = rows
+        rows = shape(rows) if shape is not None else rows
+        if load is not None:
+            load(rows)
+        else:
+            K.write(rows, table, mode, partition_by, evolve=True)
+        return True
+    except K.LOAD_ERRORS:
+        K.write(received, f"{table}_errors", mode, evolve=True)
+        return False
+
+
 # --- store entities (C2, C3) -------------------------------------------------
 
+@staged
 def store_entity(ws: Workspace, kind: str, list_landing: str, price_landing: str,
                  info_landing: str | None = None) -> dict[str, str]:
     """Item list (overwrite), price options and details of the live
-    items (loaded, then de-duplicated table-wide)."""
+    items, without copies: an overwritten table gets the distinct rows, an
+    accumulating one those that it lacks (M1)."""
     spark = ws.spark
     key = ITEM_KINDS[kind]
     list_name, price_name, info_name = (ws.table(n) for n in TABLE_NAMES[kind])
 
-    def load(resp: DataFrame, table: str, mode: str) -> bool:
-        rows = L.response_rows_inferred(resp, _stage(ws), column="body")
-        return K.write_or_dead_letter(narrow_numeric(rows), table, mode, evolve=True, received=rows)
+    def load(resp: DataFrame, table: str, mode: str, distinct: bool) -> bool:
+        items = L.response_items(resp, column="body")
+        if not distinct:
+            return load_items(ws, items, table, mode, narrow_numeric)
+        if mode == "append":
+            return load_items(ws, items, table, mode, narrow_numeric, load=lambda rows: K.append_distinct(rows, table, ws.stage()))
+        return load_items(ws, items, table, mode, lambda rows: K.distinct(narrow_numeric(rows)))
 
-    load(responses(ws, list_landing, list_name), list_name, "overwrite")
+    load(responses(ws, list_landing, list_name), list_name, "overwrite", False)
     live = I.live_ids(spark.table(list_name), key)
     out = {"list": list_name}
     mode = "append" if kind == "product" else "overwrite"
@@ -97,8 +136,7 @@ def store_entity(ws: Workspace, kind: str, list_landing: str, price_landing: str
         if landing is None:
             continue
         wanted = I.per_id_requests(live, key, path[kind])
-        if load(requested(responses(ws, landing, table), wanted), table, mode):
-            K.dedup_table(spark, table)
+        load(requested(responses(ws, landing, table), wanted), table, mode, True)
         out[what] = table
     return out
 
@@ -120,36 +158,43 @@ def _pages_wanted(spark, table: str, total: int, page_size: int) -> DataFrame:
     return I.sync_gap(spark, total, loaded, page_size)
 
 
-def _check_complete(spark, table: str, total: int) -> None:
-    loaded = spark.table(table).count() if K.exists(spark, table) else 0
+def _check_complete(spark, table: str, total: int, ids: Sequence[str]) -> None:
+    """Compare the service's total with the distinct ids stored: copies of a page do not stand for another."""
+    loaded = spark.table(table).select(*ids).distinct().count() if K.exists(spark, table) else 0
     if loaded < total:
         raise IncompleteSync(f"{table} holds {loaded} of the service's {total} rows")
 
 
+@staged
 def affiliates_sync(ws: Workspace, landing: str, page_size: int = 100) -> str:
-    """C4: pages still missing (service total vs table count), appended with
-    the inferred schema, then a table-wide distinct. Raises ``IncompleteSync``
-    if rows of the service's total are still missing."""
+    """C4: pages still missing (service total vs table count), the rows that
+    the table lacks appended with the inferred schema (M1). Raises
+    ``IncompleteSync`` if ids of the service's total are still missing."""
     spark = ws.spark
     t = ws.table("affiliates")
     resp = responses(ws, landing, t)
     total = _total(resp, "meta.total")
     pages = _pages_wanted(spark, t, total, page_size)
     wanted = requested(resp, pages, "page")
-    rows = L.rows_inferred(L.listed_items(wanted, "affiliates", "body"), _stage(ws))
-    if rows.columns and K.write_or_dead_letter(rows, t, "append", evolve=True):
-        K.dedup_table(spark, t)
-    _check_complete(spark, t, total)
+    load_items(ws, L.listed_items(wanted, "affiliates", "body"), t,
+               load=lambda rows: K.append_distinct(rows, t, ws.stage()))
+    _check_complete(spark, t, total, ["affiliate_id"])
     return t
 
 
+#: What names a transaction's event, and the two hashes that tell copies of it apart.
+TRANSACTION_KEYS = ("date", "transaction_id", "event_id")
+
+
+@staged
 def transactions_sync(ws: Workspace, landing: str, as_of: dt.date,
                       page_size: int = TRANSACTIONS_PAGE_SIZE) -> str:
-    """Missing pages loaded under the fixed schema (S1). The last page
-    wanted may hold rows that are already stored, so such rows are left out of
-    the batch (compared with the stored rows of the batch's days only); the day
-    slice ``as_of`` is de-duplicated (M2). Raises ``IncompleteSync`` if rows of
-    the service's total are still missing."""
+    """Missing pages loaded under the fixed schema (S1). Pages may be landed
+    twice, and the last page wanted may hold rows that are already stored, so
+    copies are left out of the batch: of rows in it, and of stored rows of its
+    days (equal ids and equal 128-bit fingerprints of the whole row). The day
+    slice ``as_of`` is de-duplicated (M2). Raises ``IncompleteSync`` if events
+    of the service's total are still missing."""
     spark = ws.spark
     t = ws.table("transactions")
     resp = responses(ws, landing, t)
@@ -157,20 +202,26 @@ def transactions_sync(ws: Workspace, landing: str, as_of: dt.date,
     pages = _pages_wanted(spark, t, total, page_size)
     wanted = requested(resp, pages, "page")
     texts = L.listed_items(wanted, "transactions", "body")
-    rows = L.typed_rows(texts, "item", TRANSACTION_DDL)
+    typed = L.typed_rows(texts, "item", TRANSACTION_DDL)
+    stage = ws.stage()
+    try:
+        K.distinct(typed).write.parquet(stage)
+    except K.LOAD_ERRORS:
+        K.write(texts, f"{t}_errors", "append", evolve=True)
+        _check_complete(spark, t, total, TRANSACTION_KEYS)
+        return t
+    rows = spark.read.schema(typed.schema).parquet(stage)
     if K.exists(spark, t):
-        stored = spark.table(t).join(rows.select("date").distinct(), "date", "left_semi").select(
-            [F.col(c).alias(f"__{c}") for c in rows.columns])
-        same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in rows.columns])
-        rows = rows.join(stored, same, "left_anti")
+        rows = K.rows_not_in(rows, spark.table(t), TRANSACTION_KEYS, "date")
     if K.write_or_dead_letter(rows, t, "append", partition_by=["date"], received=texts):
         K.dedup_slice(spark, t, f"date = DATE'{as_of.isoformat()}'")
-    _check_complete(spark, t, total)
+    _check_complete(spark, t, total, TRANSACTION_KEYS)
     return t
 
 
 # --- webinars (C6) -----------------------------------------------------------
 
+@staged
 def registrants_sync(ws: Workspace, platform: str, list_landing: str, detail_landing: str,
                      registrant_landing: str, as_of: dt.date) -> dict[str, str]:
     """Webinar list and details appended; registrants of every listed
@@ -179,33 +230,27 @@ def registrants_sync(ws: Workspace, platform: str, list_landing: str, detail_lan
     spark = ws.spark
     names = {n: ws.table(f"{platform}_{n}") for n in ("webinars", "webinar_details", "registrants")}
 
-    def load(rows: DataFrame, table: str) -> None:
-        if rows.columns:
-            K.write_or_dead_letter(rows, table, "append", evolve=True)
-
     lists = landed(ws, list_landing, "webinars string", "webinars", names["webinars"])
-    webinars = L.rows_inferred(L.listed_items(lists, column="webinars"), _stage(ws))
-    if not webinars.columns:
+    listed = L.listed_items(lists, column="webinars")
+    if not load_items(ws, listed, names["webinars"]):
         return names
-    load(webinars, names["webinars"])
-    ids = I.distinct_ids(webinars, "webinar_id").select(F.col("webinar_id").cast("bigint"))
+    ids = L.item_ids(listed, "webinar_id", "bigint")
 
     details = landed(ws, detail_landing, "webinar string", "webinar", names["webinar_details"])
-    own = F.get_json_object("webinar", "$.webinar_id").cast("bigint")
+    own = F.get_json_object("webinar", "$.webinar_id").try_cast("bigint")
     details = details.withColumn("webinar_id", own).join(ids, "webinar_id", "left_semi")
-    load(L.rows_inferred(details.select(F.col("webinar").alias("item")), _stage(ws)), names["webinar_details"])
+    load_items(ws, details.select(F.col("webinar").alias("item")), names["webinar_details"])
 
     regs = landed(ws, registrant_landing, "webinar_id bigint, registrants string", "registrants",
                   names["registrants"]).join(ids, "webinar_id", "left_semi")
-    texts = L.rows_inferred(L.listed_items(regs, "data", "registrants", keep=["webinar_id"]), _stage(ws),
-                            as_text=True)
-    if not texts.columns:
-        return names
-    rows = repair_registrants(texts, REGISTRANT_TIMESTAMP_FIELDS, REGISTRANT_DURATION_FIELDS,
-                              REGISTRANT_ID_FIELDS, keep=["webinar_id"])
-    rows = rows.withColumn("signup_day", F.to_date("signup_date"))
-    if K.write_or_dead_letter(rows, names["registrants"], "append", partition_by=["signup_day"], evolve=True,
-                              received=texts):
+
+    def repaired(texts: DataFrame) -> DataFrame:
+        rows = repair_registrants(texts, REGISTRANT_TIMESTAMP_FIELDS, REGISTRANT_DURATION_FIELDS,
+                                  REGISTRANT_ID_FIELDS, keep=["webinar_id"])
+        return rows.withColumn("signup_day", F.to_date("signup_date"))
+
+    if load_items(ws, L.listed_items(regs, "data", "registrants", keep=["webinar_id"]), names["registrants"],
+                  shape=repaired, as_text=True, partition_by=["signup_day"]):
         K.dedup_slice(spark, names["registrants"], f"signup_day >= DATE'{as_of.isoformat()}'")
     return names
 
@@ -221,45 +266,61 @@ def _shape_entity(rows: DataFrame) -> DataFrame:
 
 
 def paged_entity_sync(ws: Workspace, entity: str, landing: str, range_key: str,
-                      page_schema: str | None = None, pages_per_batch: int | None = None) -> str:
+                      page_schema: str | None = None, pages_per_batch: int | None = None,
+                      page_field: str | None = None) -> str:
     """Landed pages of a date range streamed into the entity table: rows
     flattened (S7), creation time parsed (T7), lists joined (T6) and appended
     with schema alignment (K6). The fields are those found in each batch
-    unless ``page_schema`` fixes them."""
+    unless ``page_schema`` fixes them. What the table cannot take goes to
+    ``<entity>_errors``. If pages name themselves in ``page_field``, the range
+    must be one whole chain of ``nextPageId`` from its first page to its last;
+    a broken one raises ``BrokenChain`` before anything is loaded."""
     t = ws.table(entity)
+    if page_field is not None:
+        pages = ws.spark.read.text(landing).filter(L.is_json(F.col("value")))
+        I.check_chains(pages.select(F.get_json_object("value", f"$.{page_field}").alias("page"),
+                                    F.get_json_object("value", "$.nextPageId").alias("next")), [], "page", "next")
     X.run_paged_ingest(ws.spark, landing, page_schema, t,
                        X.checkpoint_for(ws.root, t, range_key), shape=_shape_entity,
                        pages_per_batch=pages_per_batch)
     return t
 
 
+@staged
 def entity_load(ws: Workspace, entity: str, landing: str) -> str:
-    """The same in one load, for pages that are all landed; pages that
-    are not whole JSON go to ``<entity>_rejected``."""
+    """The same in one load, for pages that are all landed; pages that are
+    not one whole JSON object or list, and rows that the table cannot take, go
+    to ``<entity>_errors``."""
     t = ws.table(entity)
-    pages = landed(ws, landing, "result string", "result", t)
-    rows = L.rows_inferred(L.listed_items(pages, column="result"), _stage(ws))
-    if rows.columns:
-        K.align_append(_shape_entity(rows), t)
+    pages = ws.spark.read.text(landing).filter(F.trim("value") != "")
+    X.load_pages(pages, t, ws.stage(), shape=_shape_entity)
     return t
 
 
+@staged
 def attribution_replace(ws: Workspace, landing: str, day: dt.date) -> str:
     """Per account, the day's attribution rows replace that account's
-    rows of the day (M5). Accounts without data keep their old rows."""
+    rows of the day (M5). Accounts without data keep their old rows; a batch
+    that cannot load goes whole to ``<table>_errors``."""
     t = ws.table("ad_account_attribution")
     resp = landed(ws, landing, "day string, body string", "body", t).filter(
         F.col("day") == F.lit(day.isoformat()))
     fields = "id string, " + ", ".join(f"`{m}` double" for m in ATTRIBUTION_METRICS)
-    rows = L.typed_rows(L.listed_items(resp, "result", "body"), "item", fields)
-    if rows.isEmpty():
-        return t
-    rows = tag_columns(rows, {"date": F.lit(day)})
+    items = L.listed_items(resp, "result", "body")
+    rows = tag_columns(L.typed_rows(items, "item", fields), {"date": F.lit(day)})
     rows = select_metrics(rows, ["id", "date"], ATTRIBUTION_METRICS)
-    K.replace_keys(rows, t, ["date", "id"])
+    stage = ws.stage()
+    try:
+        rows.write.parquet(stage)
+        rows = ws.spark.read.schema(rows.schema).parquet(stage)
+        if not rows.isEmpty():
+            K.replace_keys(rows, t, ["date", "id"])
+    except K.LOAD_ERRORS:
+        K.write(items.withColumn("date", F.lit(day)), f"{t}_errors", "append", evolve=True)
     return t
 
 
+@staged
 def journey_sync(ws: Workspace, leads_table: str, landing: str, as_of: dt.date,
                  fetched_at: dt.datetime, only_new: bool = False) -> str:
     """Journeys of the leads created since ``as_of`` (one request per
@@ -275,14 +336,12 @@ def journey_sync(ws: Workspace, leads_table: str, landing: str, as_of: dt.date,
         wanted = I.only_new_ids(wanted, spark.table(t), ["leadId"])
     docs = landed(ws, landing, "leadId string, body string", "body", t).join(
         wanted.select(F.col("leadId").cast("string")), "leadId", "left_semi")
-    rows = L.rows_inferred(L.listed_items(docs, "result", "body"), _stage(ws))
-    if not rows.columns:
-        return t
-    rows = tag_columns(rows, {"fetched_at": F.lit(fetched_at).cast("timestamp")})
-    K.write_or_dead_letter(rows, t, "append", evolve=True)
+    load_items(ws, L.listed_items(docs, "result", "body"), t,
+               shape=lambda rows: tag_columns(rows, {"fetched_at": F.lit(fetched_at).cast("timestamp")}))
     return t
 
 
+@staged
 def sources_sync(ws: Workspace, journey_table: str, landing: str,
                  fetched_at: dt.datetime) -> str:
     """Distinct first ad sources of the stored journeys, requested for
@@ -290,9 +349,10 @@ def sources_sync(ws: Workspace, journey_table: str, landing: str,
     tagged with the combination that was requested and appended.
 
     A landed response line carries its request (``integration_type``,
-    ``include_disregarded``, ``include_organic``) beside its body, one line per
-    page (``nextPageId`` of a body names the next one); a row belongs to its
-    own combination only.
+    ``include_disregarded``, ``include_organic``) and its ``page`` beside its
+    body; a row belongs to its own combination only. The pages of a combination
+    must be one whole chain: the ``nextPageId`` of a body names a page that is
+    there, until one page names none; ``BrokenChain`` says which is missing.
     """
     spark = ws.spark
     t = ws.table("sources")
@@ -300,13 +360,10 @@ def sources_sync(ws: Workspace, journey_table: str, landing: str,
                                  "lead.firstSource.adSource.adSourceId", "adSourceId")
     wanted = I.request_grid(src)
     combination = ["integration_type", "include_disregarded", "include_organic"]
-    docs = landed(ws, landing, ", ".join(f"{c} string" for c in [*combination, "body"]), "body", t)
+    docs = landed(ws, landing, ", ".join(f"{c} string" for c in [*combination, "page", "body"]), "body", t)
+    I.check_chains(docs.withColumn("next", F.get_json_object("body", "$.nextPageId")), combination, "page", "next")
     items = L.listed_items(docs, "result", "body", keep=combination).withColumn(
         "adSourceId", F.get_json_object("item", "$.adSourceId"))
     items = items.join(wanted, [*combination, "adSourceId"], "left_semi")
-    rows = L.rows_inferred(items, _stage(ws))
-    if not rows.columns:
-        return t
-    rows = tag_columns(rows, {"fetched_at": F.lit(fetched_at).cast("timestamp")})
-    K.write_or_dead_letter(rows, t, "append", evolve=True)
+    load_items(ws, items, t, shape=lambda rows: tag_columns(rows, {"fetched_at": F.lit(fetched_at).cast("timestamp")}))
     return t

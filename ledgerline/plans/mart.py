@@ -18,9 +18,9 @@ Plan used here, equivalent and cheaper at scale:
   row, so bumps skip that join.
 
 One scan of the day slice (partition-pruned on ``date``), two equi-joins
-against small lookups (Spark broadcasts them while their size is under
-``spark.sql.autoBroadcastJoinThreshold`` and falls back to sort-merge joins
-beyond it; AQE re-checks at runtime), and one shuffle for the distinct.
+against lookups (broadcast while Spark's estimate is under
+``spark.sql.autoBroadcastJoinThreshold``; beyond it null and hot keys are
+spread, see ``spread_left_join``), and one shuffle for the distinct.
 """
 
 from __future__ import annotations
@@ -31,6 +31,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.operators.relational import spread_left_join
 from ledgerline.schemas import ITEM_KINDS, MART_FIELDS
 
 
@@ -45,8 +46,7 @@ def sales_mart(transactions: DataFrame, prices: Mapping[str, DataFrame],
                item_lists: Mapping[str, DataFrame], as_of: dt.date) -> DataFrame:
     """Mart rows for ``as_of``; ``prices`` and ``item_lists`` are keyed by item kind."""
     kinds = list(ITEM_KINDS)
-    tx = transactions.filter((F.col("date") == F.lit(as_of))
-                             & F.col("item_type").isin(kinds)).alias("t")
+    tx = transactions.filter((F.col("date") == F.lit(as_of)) & F.col("item_type").isin(kinds))
 
     price_cols = ["type", "price", "subscription_price", "frequency", "payments",
                   "affiliate_commissions"]
@@ -55,7 +55,7 @@ def sales_mart(transactions: DataFrame, prices: Mapping[str, DataFrame],
         p = prices[kind]
         have = set(p.columns)
         p = (p.select(F.col("id").alias("p_id"), F.col("name").alias("p_name"),
-                      *[F.col(c) for c in price_cols if c in have])
+                      *[F.col(c).alias(f"p_{c}") for c in price_cols if c in have])
               .distinct()
               .withColumn("p_kind", F.lit(kind)))
         tagged_prices = p if tagged_prices is None else tagged_prices.unionByName(
@@ -63,34 +63,30 @@ def sales_mart(transactions: DataFrame, prices: Mapping[str, DataFrame],
 
     tagged_items = None
     for kind in ("product", "downsell", "upsell"):
-        i = (item_lists[kind].select(F.col(ITEM_KINDS[kind]).alias("i_id"),
-                                     "label", "url", "statusString")
+        i = (item_lists[kind].select(F.col(ITEM_KINDS[kind]).alias("i_id"), F.col("label").alias("i_label"),
+                                     F.col("url").alias("i_url"), F.col("statusString").alias("i_status"))
              .distinct()
              .withColumn("i_kind", F.lit(kind)))
         tagged_items = i if tagged_items is None else tagged_items.unionByName(i)
 
-    joined = (tx.join(tagged_prices.alias("p"),
-                      (F.col("t.item_type") == F.col("p.p_kind"))
-                      & (F.col("t.item_pricing_option_id") == F.col("p.p_id"))
-                      & (F.col("t.item_pricing_option_name") == F.col("p.p_name")), "left")
-                .join(tagged_items.alias("i"),
-                      (F.col("t.item_type") == F.col("i.i_kind"))
-                      & (F.col("t.item_id") == F.col("i.i_id")), "left"))
+    joined = spread_left_join(tx, tagged_prices, [("item_type", "p_kind"), ("item_pricing_option_id", "p_id"),
+                                                  ("item_pricing_option_name", "p_name")])
+    joined = spread_left_join(joined, tagged_items, [("item_type", "i_kind"), ("item_id", "i_id")])
 
-    kind = F.col("t.item_type")
-    ac = F.col("p.affiliate_commissions")
+    kind = F.col("item_type")
+    ac = F.col("p_affiliate_commissions")
     is_product = kind == "product"
     is_bump = kind == "bump"
     cols = {
-        "date": F.col("t.date"),
-        "time": F.date_format(F.col("t.time"), "HH:mm:ss"),
-        "option_type": F.col("p.type"),
-        "option_price": F.col("p.price"),
-        "subscription_price": F.when(~is_bump, F.col("p.subscription_price")),
-        "frequency": F.when(is_bump, F.lit("")).otherwise(F.col("p.frequency")),
-        "payments": F.when(~is_bump, F.col("p.payments")),
-        "customer_email": F.col("t.customer.email"),
-        "customer_name": F.col("t.customer.name"),
+        "date": F.col("date"),
+        "time": F.date_format(F.col("time"), "HH:mm:ss"),
+        "option_type": F.col("p_type"),
+        "option_price": F.col("p_price"),
+        "subscription_price": F.when(~is_bump, F.col("p_subscription_price")),
+        "frequency": F.when(is_bump, F.lit("")).otherwise(F.col("p_frequency")),
+        "payments": F.when(~is_bump, F.col("p_payments")),
+        "customer_email": F.col("customer.email"),
+        "customer_name": F.col("customer.name"),
         "commissions_balance_delay": F.when(is_product, ac["balance_delay"]),
         "commissions_bump_percentage": F.when(is_product, ac["bump_percentage"]),
         "commissions_type": F.when(is_bump, F.lit("")).otherwise(ac["type"]),
@@ -100,10 +96,10 @@ def sales_mart(transactions: DataFrame, prices: Mapping[str, DataFrame],
         "commissions_recurring_percentage": F.when(~is_bump, ac["recurring_percentage"]),
         "commissions_upfront_amount": F.when(is_product, ac["upfront_amount"]),
         "commissions_upfront_percentage": F.when(~is_bump, ac["upfront_percentage"]),
-        "label": F.when(is_bump, F.lit("")).otherwise(F.col("i.label")),
-        "url": _by_kind(kind, {"product": F.col("i.url")}, F.lit("")),
-        "status": _by_kind(kind, {"product": F.col("i.statusString")}, F.lit("")),
+        "label": F.when(is_bump, F.lit("")).otherwise(F.col("i_label")),
+        "url": _by_kind(kind, {"product": F.col("i_url")}, F.lit("")),
+        "status": _by_kind(kind, {"product": F.col("i_status")}, F.lit("")),
     }
-    out = [(cols[n] if n in cols else F.col(f"t.{n}")).cast(t).alias(n)
+    out = [(cols[n] if n in cols else F.col(n)).cast(t).alias(n)
            for n, t in MART_FIELDS]
     return joined.select(*out).distinct()

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerline.functions import shape as S
+from ledgerline.plans import jobs as J
 from ledgerline.plans import views
 from ledgerline.plans import oracle as O
 from ledgerline.plans.registry import register
@@ -169,6 +170,35 @@ def q_src_drop_bad_docs(spark, sf_dir):
     return rows
 
 
+@register("src_glued_docs", f"""
+SELECT 'loaded' AS what, CAST(c_custkey AS BIGINT) AS affiliate_id, c_name AS name, CAST(1 AS BIGINT) AS lines
+FROM customer WHERE c_custkey % 10 NOT IN (1, 2, 3, 4)
+UNION ALL
+SELECT 'rejected ' || CASE c_custkey % 10 WHEN 1 THEN 'glued' WHEN 2 THEN 'tailed' WHEN 3 THEN 'cut' ELSE 'quoted' END,
+  NULL, NULL, count(*) FROM customer WHERE c_custkey % 10 IN (1, 2, 3, 4) GROUP BY ALL""")
+def q_src_glued_docs(spark, sf_dir):
+    """Documents with a second one behind them, with other text behind them, cut off or in
+    single quotes are rejected whole and counted; every other one loads."""
+    ws = Workspace(spark)
+    c = views.table(spark, sf_dir, "customer")
+    doc = F.to_json(F.struct(F.col("c_custkey").cast("bigint").alias("affiliate_id"), F.col("c_name").alias("name")))
+    kind = F.col("c_custkey") % 10
+    body = (F.when(kind == 1, F.concat(F.col("x"), F.lit('{"affiliate_id":0}')))
+            .when(kind == 2, F.concat(F.col("x"), F.lit(" <html>502")))
+            .when(kind == 3, F.expr("left(x, length(x) - 1)")).when(kind == 4, F.replace(F.col("x"), F.lit('"'), F.lit("'")))
+            .otherwise(F.col("x")))
+    docs = c.select("c_custkey", doc.alias("x")).select(body.alias("body"))
+    path = L.land_text(docs.select(F.to_json(F.struct("body")).alias("value")), ws.path("landing", "affiliates"))
+    good = J.landed(ws, path, "body string", "body", ws.table("affiliates"))
+    loaded = L.response_rows(good, "affiliate_id bigint, name string", "body").select(
+        F.lit("loaded").alias("what"), "affiliate_id", "name", F.lit(1).cast("bigint").alias("lines"))
+    text = F.get_json_object("record", "$.body")
+    why = (F.when(text.startswith("{'"), "rejected quoted").when(text.endswith("502"), "rejected tailed")
+           .when(text.contains("}{"), "rejected glued").otherwise("rejected cut"))
+    rejected = spark.table(ws.table("affiliates_rejected")).groupBy(why.alias("what")).agg(F.count(F.lit(1)).alias("lines"))
+    return loaded.unionByName(rejected, allowMissingColumns=True)
+
+
 @register("src_lenient_json", O.SRC_LENIENT_JSON)
 def q_src_lenient_json(spark, sf_dir):
     """JSON written as a Python literal (single quotes, True/None)."""

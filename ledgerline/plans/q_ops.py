@@ -5,12 +5,13 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions import shape as S
 from ledgerline.functions.repair import parse_creation_ts
 from ledgerline.operators import ids as I
-from ledgerline.operators.relational import distinct_rows, left_lookup
+from ledgerline.operators.relational import distinct_rows, left_lookup, spread_left_join
 from ledgerline.plans import views
 from ledgerline.plans import oracle as O
 from ledgerline.plans.registry import register
@@ -116,6 +117,39 @@ def q_join_left_one_key(spark, sf_dir):
     return j.select("transaction_id", "label", F.col("statusString").alias("status"))
 
 
+@register("join_left_skewed", """
+SELECT e.event_id, CASE WHEN e.event_type IN ('click', 'view') THEN CAST(NULL AS BIGINT)
+    WHEN e.event_type = 'error' THEN 1 ELSE e.user_id END AS user_id, c.n AS day_events
+FROM events e LEFT JOIN (SELECT user_id, count(*) AS n FROM events GROUP BY user_id) c
+  ON c.user_id = CASE WHEN e.event_type IN ('click', 'view') THEN NULL WHEN e.event_type = 'error' THEN 1 ELSE e.user_id END""")
+def q_join_left_skewed(spark, sf_dir):
+    """J1 without a broadcast, over null and hot keys: rows without a user are split off before the
+    join, a user with many rows is dealt to several tasks."""
+    ev = views.table(spark, sf_dir, "events")
+    user = F.when(F.col("event_type").isin("click", "view"), F.lit(None)).when(
+        F.col("event_type") == "error", F.lit(1)).otherwise(F.col("user_id")).cast("bigint")
+    left = ev.select("event_id", user.alias("user_id"))
+    right = ev.groupBy(F.col("user_id").alias("who")).agg(F.count(F.lit(1)).alias("day_events"))
+    return spread_left_join(left, right, [("user_id", "who")], small=0).select("event_id", "user_id", "day_events")
+
+
+@register("page_chain_breaks", """
+SELECT CAST(user_id AS VARCHAR) AS request, 'missing' AS fault, CAST(n AS VARCHAR) AS page FROM pages_of WHERE n = 2 AND last > 2
+UNION ALL SELECT CAST(user_id AS VARCHAR), 'another start', CAST(n + 1 AS VARCHAR) FROM pages_of WHERE n = 2 AND last > 2""".join([
+    "WITH pages_of AS (SELECT user_id, n, max(n) OVER (PARTITION BY user_id) AS last FROM (SELECT DISTINCT user_id, n FROM ("
+    "SELECT user_id, (row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1) // 5 + 1 AS n FROM events))) ", ""]))
+def q_page_chain_breaks(spark, sf_dir):
+    """Chains of pages, one per user, five events to a page, from which every second page is
+    taken: it is missing, and the page behind it is another start."""
+    ev = views.table(spark, sf_dir, "events").select("user_id", "event_id")
+    n = F.floor((F.row_number().over(Window.partitionBy("user_id").orderBy("event_id")) - 1) / 5).cast("bigint") + 1
+    pages = ev.select("user_id", n.alias("n")).distinct()
+    last = F.max("n").over(Window.partitionBy("user_id"))
+    pages = pages.select("user_id", "n", F.when(F.col("n") < last, F.col("n") + 1).alias("next"), last.alias("last"))
+    kept = pages.filter(~((F.col("n") == 2) & (F.col("last") > 2)))
+    return I.chain_breaks(kept.withColumnRenamed("user_id", "request"), ["request"], "n", "next")
+
+
 @register("distinct_rows", O.DISTINCT_ROWS)
 def q_distinct_rows(spark, sf_dir):
     """A1: full-row distinct over rows with a nested record."""

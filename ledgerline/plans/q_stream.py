@@ -10,7 +10,7 @@ from ledgerline.plans import views
 from ledgerline.plans import oracle as O
 from ledgerline.plans.registry import register
 from ledgerline.session import Workspace
-from ledgerline.sinks.tables import align_append
+from ledgerline.sinks.tables import align_append, align_append_once
 from ledgerline.sources import landing as L
 from ledgerline.streaming import paged as X
 
@@ -80,3 +80,37 @@ def q_stream_resume(spark, sf_dir):
     # a run with nothing new lands nothing
     X.run_paged_ingest(spark, landing, LEAD_PAGE_SCHEMA, t, ckpt, shape=shape_leads)
     return X.table_rows(spark, t)
+
+
+@register("stream_dead_letter", """
+SELECT 'loaded' AS what, user_id AS id, event_id, CAST(NULL AS VARCHAR) AS record FROM events
+WHERE event_id // 250 % 10 <> 3 AND event_id % 100 <> 7
+UNION ALL
+SELECT 'row', NULL, NULL, '{"event_id":"e' || event_id || '","id":' || user_id || '}' FROM events
+WHERE event_id // 250 % 10 <> 3 AND event_id % 100 = 7
+UNION ALL
+SELECT DISTINCT 'page', NULL, NULL, '{"nextPageId":' || (event_id // 250 + 1) || ',"result":[' FROM events
+WHERE event_id // 250 % 10 = 3""")
+def q_stream_dead_letter(spark, sf_dir):
+    """Cut-off pages and rows with text for a number go to <table>_errors as they came, once,
+    also when the run is repeated; everything else loads."""
+    ws = Workspace(spark)
+    t, landing = ws.table("leads"), ws.path("landing", "leads")
+    ckpt = X.checkpoint_for(ws.root, t, "2024-01-01_2024-01-30")
+    leads = views.leads(spark, sf_dir).select("id", "event_id")
+    # an earlier range has fixed the types
+    align_append_once(leads.limit(0), t, X.RUN_COLUMN, "earlier", X.BATCH_COLUMN, 0)
+    page = F.expr("event_id div 250")
+    wrong = F.col("event_id") % 100 == 7
+    item = F.when(wrong, F.to_json(F.struct(F.concat(F.lit("e"), F.col("event_id")).alias("event_id"), "id"))).otherwise(
+        F.to_json(F.struct("event_id", "id")))
+    pages = leads.groupBy(page.alias("page")).agg(F.array_join(F.collect_list(item), ",").alias("items"))
+    head = F.concat(F.lit('{"nextPageId":'), F.col("page") + 1, F.lit(',"result":['))
+    pages.select(F.when(F.col("page") % 10 == 3, head).otherwise(
+        F.concat(head, F.col("items"), F.lit("]}"))).alias("value")).write.text(landing)
+    for _ in range(2):
+        X.run_paged_ingest(spark, landing, None, t, ckpt)
+    errors = spark.table(f"{t}_errors").select(
+        F.when(F.col("record").startswith('{"nextPageId"'), "page").otherwise("row").alias("what"), "record")
+    loaded = spark.table(t).select(F.lit("loaded").alias("what"), "id", "event_id")
+    return loaded.unionByName(errors, allowMissingColumns=True)

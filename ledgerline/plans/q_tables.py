@@ -100,6 +100,20 @@ def q_dedup_full_table(spark, sf_dir):
 _RAW_FLAT = O.flat_tx(O.V_TX_RAW)
 
 
+@register("dedup_incremental", f"SELECT DISTINCT * FROM ({_RAW_FLAT})")
+def q_dedup_incremental(spark, sf_dir):
+    """M1 without rewrites: batches with copies within them, of each other and of stored rows; each
+    batch reads the partitions that it touches alone."""
+    ws = Workspace(spark)
+    t = ws.table("transactions")
+    raw = views.transactions_raw(spark, sf_dir).withColumn("year", F.year("date"))
+    early = raw.filter(F.col("date") < F.lit(views.MART_AS_OF))
+    K.write(early.limit(0), t, "append", partition_by=["year"])
+    for batch in (early, raw.filter(F.col("invoice_id") % 3 == 0), raw):
+        K.append_distinct(batch, t, ws.stage())
+    return flat_output(spark.table(t).drop("year", K.FINGERPRINT))
+
+
 @register("sink_switched", f"SELECT DISTINCT * REPLACE (amount + 1 AS amount) FROM ({_RAW_FLAT})")
 def q_sink_switched(spark, sf_dir):
     """Rewrites that read their own table point the catalog to fresh files (one call for a
@@ -234,6 +248,21 @@ def q_replace_by_key_rebuild(spark, sf_dir):
     return spark.table(t).select(*attr.columns)
 
 
+@register("replace_by_key_bucketed", "SELECT * REPLACE (o_totalprice + 1 AS o_totalprice) FROM "
+          "(SELECT o_custkey, o_orderkey, o_totalprice FROM orders WHERE o_custkey % 50 = 7) "
+          "UNION ALL SELECT o_custkey, o_orderkey, o_totalprice FROM orders WHERE o_custkey % 50 <> 7")
+def q_replace_by_key_bucketed(spark, sf_dir):
+    """M5 where the key makes no natural partition: its hash does, and only the buckets of the
+    replaced customers are rewritten."""
+    ws = Workspace(spark)
+    t = ws.table("customer_orders")
+    orders = views.table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_totalprice")
+    K.replace_keys(orders, t, ["o_custkey"], buckets=16)
+    redo = orders.filter("o_custkey % 50 = 7").withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    K.replace_keys(redo, t, ["o_custkey"])
+    return spark.table(t).drop(K.KEY_BUCKET)
+
+
 @register("resume_state", "SELECT CAST(max(event_id) // 250 + 2 AS BIGINT) AS page_id FROM events")
 def q_resume_state(spark, sf_dir):
     """One-row state table, default 1 when absent, overwritten on save."""

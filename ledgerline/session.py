@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import copy
 import posixpath
 import tempfile
 import uuid
@@ -65,6 +67,17 @@ def shared_dir(spark: SparkSession) -> str:
     return local
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh path under the shared folder for what one call writes and reads back."""
+    return posixpath.join(shared_dir(spark), "ledgerline", "_scratch", f"{name}-{uuid.uuid4().hex}")
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared file system with what is in it."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 class Workspace:
     """A catalog database whose table files live under the shared folder.
 
@@ -76,6 +89,7 @@ class Workspace:
         self.spark = spark
         self.name = name or f"ll_{uuid.uuid4().hex[:12]}"
         self.root = root or posixpath.join(shared_dir(spark), "ledgerline", self.name)
+        self.stages = self.path("_stage", uuid.uuid4().hex)
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.name}` LOCATION '{self.root}'")
 
     def table(self, name: str) -> str:
@@ -87,3 +101,22 @@ class Workspace:
 
     def exists(self, name: str) -> bool:
         return self.spark.catalog.tableExists(name, self.name)
+
+    def stage(self) -> str:
+        """A fresh path for what one run of a job writes and reads back."""
+        return posixpath.join(self.stages, uuid.uuid4().hex)
+
+    @contextlib.contextmanager
+    def run(self):
+        """This workspace with stages of its own, which are deleted at the end."""
+        own = copy.copy(self)
+        own.stages = self.path("_stage", uuid.uuid4().hex)
+        try:
+            yield own
+        finally:
+            delete_folder(self.spark, own.stages)
+
+    def drop(self) -> None:
+        """Drop the database with its tables, and everything under the workspace's folder."""
+        self.spark.sql(f"DROP DATABASE IF EXISTS `{self.name}` CASCADE")
+        delete_folder(self.spark, self.root)

@@ -29,6 +29,8 @@ from urllib.parse import unquote
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.session import delete_folder
+
 CLUSTER_PROPERTY = "ledgerline.cluster_by"
 #: The folder that holds all generations of a table's files.
 FILES = "ledgerline.files"
@@ -77,11 +79,6 @@ def _hadoop(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
-def delete_folder(spark: SparkSession, path: str) -> None:
-    fs, p = _hadoop(spark, path)
-    fs.delete(p, True)
-
-
 def _location(spark: SparkSession, what: str) -> str:
     # of a partition: its own comes first, the table's follows
     return spark.sql(f"DESCRIBE TABLE EXTENDED {what}").filter("col_name = 'Location'").first()["data_type"]

@@ -17,9 +17,11 @@ Rules that keep rewrites safe on parquet tables:
 
 from __future__ import annotations
 
+import posixpath
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -27,8 +29,10 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerline.session import scratch
 from ledgerline.sinks import storage as S
 from ledgerline.sinks.storage import partition_columns
+from ledgerline.sources.landing import is_json, staged_check
 
 WRITE_MODES = ("overwrite", "append", "empty")
 
@@ -165,53 +169,68 @@ def common_type(a: T.DataType, b: T.DataType) -> T.DataType | None:
     return None
 
 
-def _exactly(c: Column, have: T.DataType, want: T.DataType, name: str) -> Column:
-    """``c`` as type ``want``; a value that would change fails the job."""
+def _converted(c: Column, have: T.DataType, want: T.DataType, name: str) -> tuple[Column, Column]:
+    """``c`` as type ``want`` and whether that changed no value; neither ever raises on data."""
+    always = F.lit(True)
     if have.simpleString() == want.simpleString():
-        return c
+        return c, always
     if isinstance(have, T.NullType):
-        return F.lit(None).cast(want)
+        return F.lit(None).cast(want), always
     if isinstance(have, T.StructType) and isinstance(want, T.StructType):
         types = {f.name: f.dataType for f in have.fields}
         lost = [n for n in types if n not in want.names]
         if lost:
             raise SchemaMismatch(f"{name} has fields that its column lacks: {lost}")
-        return F.when(c.isNotNull(), F.struct(*[
-            (_exactly(c.getField(f.name), types[f.name], f.dataType, f"{name}.{f.name}")
-             if f.name in types else F.lit(None).cast(f.dataType)).alias(f.name) for f in want.fields]))
+        parts = {f.name: _converted(c.getField(f.name), types[f.name], f.dataType, f"{name}.{f.name}")
+                 if f.name in types else (F.lit(None).cast(f.dataType), always) for f in want.fields}
+        return (F.when(c.isNotNull(), F.struct(*[v.alias(n) for n, (v, _) in parts.items()])),
+                reduce(and_, [fits for _, fits in parts.values()], always))
     if isinstance(have, T.ArrayType) and isinstance(want, T.ArrayType):
-        return F.transform(c, lambda x: _exactly(x, have.elementType, want.elementType, name))
+        def item(x: Column) -> tuple[Column, Column]:
+            return _converted(x, have.elementType, want.elementType, name)
+
+        return F.transform(c, lambda x: item(x)[0]), F.coalesce(F.forall(c, lambda x: item(x)[1]), always)
     nested = (T.StructType, T.ArrayType, T.MapType)
     if isinstance(want, T.StringType):
-        return F.to_json(c) if isinstance(have, nested) else c.cast("string")
+        return (F.to_json(c) if isinstance(have, nested) else c.cast("string")), always
     if isinstance(have, nested) or isinstance(want, nested):
         raise SchemaMismatch(f"{name}: {have.simpleString()} does not fit {want.simpleString()}")
     if isinstance(have, T.StringType):
         v = F.trim(c).try_cast(want)
-        fits = v.isNotNull()
-    else:
-        try:
-            v = c.try_cast(want)
-            fits = v.isNotNull() & v.try_cast(have).eqNullSafe(c)
-            if isinstance(have, (T.FloatType, T.DoubleType)) or isinstance(want, (T.FloatType, T.DoubleType)):
-                # casts between BIGINT and DOUBLE saturate at 2^63
-                fits = fits & (~F.lit(isinstance(have, T.IntegralType) or isinstance(want, T.IntegralType))
-                               | (F.abs(c.cast("double")) < F.lit(2.0 ** 63)))
-        except PySparkException as e:
-            raise SchemaMismatch(f"{name}: {have.simpleString()} does not fit {want.simpleString()}") from e
-    return F.when(c.isNull() | fits, v).otherwise(F.raise_error(F.concat(
-        F.lit(f"value does not fit {name} {want.simpleString()}: "), c.cast("string"))).cast(want))
+        return v, c.isNull() | v.isNotNull()
+    try:
+        v = c.try_cast(want)
+        fits = v.isNotNull() & v.try_cast(have).eqNullSafe(c)
+        if isinstance(have, (T.FloatType, T.DoubleType)) or isinstance(want, (T.FloatType, T.DoubleType)):
+            # casts between BIGINT and DOUBLE saturate at 2^63
+            fits = fits & (~F.lit(isinstance(have, T.IntegralType) or isinstance(want, T.IntegralType))
+                           | (F.abs(c.cast("double")) < F.lit(2.0 ** 63)))
+    except PySparkException as e:
+        raise SchemaMismatch(f"{name}: {have.simpleString()} does not fit {want.simpleString()}") from e
+    return v, c.isNull() | fits
+
+
+def _exactly(c: Column, have: T.DataType, want: T.DataType, name: str) -> Column:
+    """``c`` as type ``want``; a value that would change fails the job."""
+    if have.simpleString() == want.simpleString():
+        return c
+    v, fits = _converted(c, have, want, name)
+    shown = F.to_json(c) if isinstance(have, (T.StructType, T.ArrayType, T.MapType)) else c.cast("string")
+    return F.when(fits, v).otherwise(F.raise_error(F.concat(
+        F.lit(f"value does not fit {name} {want.simpleString()}: "), shown)).cast(want))
 
 
 def conform(df: DataFrame, table: str, evolve: bool = False,
-            new_type=lambda t: t.simpleString()) -> DataFrame:
+            new_type=lambda t: t.simpleString(), fits: str | None = None) -> DataFrame:
     """``df`` in the columns, order and types of ``table``, no value changed.
 
     Missing columns become null. With ``evolve`` unknown columns are added
     (``new_type`` gives their DDL type) and columns are widened where both
     types have a common one; widening rewrites the table once, since Parquet
     tables cannot alter a column's type. Without it, and where there is no
-    common type, a value must convert exactly or the job fails.
+    common type, a value must convert exactly or the job fails; with ``fits``
+    it does not fail, but a column of that name tells whether the row fits,
+    beside the row as it came (JSON text in ``record``).
     """
     spark = _spark(df)
     current = {f.name: f.dataType for f in spark.table(table).schema.fields}
@@ -237,9 +256,16 @@ def conform(df: DataFrame, table: str, evolve: bool = False,
         if wide or unknown:
             spark.catalog.refreshTable(table)
     have = {f.name: f.dataType for f in df.schema.fields}
-    return df.select(*[
-        (_exactly(F.col(f"`{f.name}`"), have[f.name], f.dataType, f.name) if f.name in have
-         else F.lit(None).cast(f.dataType)).alias(f.name) for f in spark.table(table).schema.fields])
+    fields = spark.table(table).schema.fields
+    if fits is None:
+        return df.select(*[
+            (_exactly(F.col(f"`{f.name}`"), have[f.name], f.dataType, f.name) if f.name in have
+             else F.lit(None).cast(f.dataType)).alias(f.name) for f in fields])
+    made = {f.name: _converted(F.col(f"`{f.name}`"), have[f.name], f.dataType, f.name) if f.name in have
+            else (F.lit(None).cast(f.dataType), F.lit(True)) for f in fields}
+    return df.select(*[v.alias(n) for n, (v, _) in made.items()],
+                     reduce(and_, [ok for _, ok in made.values()]).alias(fits),
+                     F.to_json(F.struct(*[F.col(f"`{n}`") for n in have])).alias("record"))
 
 
 def write_or_dead_letter(df: DataFrame, table: str, mode: str = "overwrite",
@@ -271,29 +297,30 @@ def load_json_capped(spark: SparkSession, path: str, schema: T.StructType | str,
     lines, or a share of up to ``max_share`` of all lines (the caller states at
     least one; a share means the same at every size). Good rows go to
     ``table``, malformed lines to ``<table>_bad_records``; above the limit
-    nothing is written. Lines are counted in a pass of their own, which costs a
-    second read but no copy."""
+    nothing is loaded. The lines are read once: they are counted while they are
+    written, parsed, to a stage. A line counts as malformed if it is not one
+    whole JSON object or list or if a value does not have its type."""
     if cap is None and max_share is None:
         raise ValueError("state the tolerated bad records: cap or max_share")
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
-    parsed = (spark.read.text(path)
-              .select(F.from_json("value", with_corrupt_column(schema),
-                                  {"mode": "PERMISSIVE",
-                                   "columnNameOfCorruptRecord": "_corrupt_record"})
-                      .alias("r"))
-              .select("r.*"))
-    n = parsed.agg(F.count(F.lit(1)).alias("lines"),
-                   F.count_if(F.col("_corrupt_record").isNotNull()).alias("bad")).first()
-    if (cap is not None and n["bad"] > cap) or (max_share is not None and n["bad"] > max_share * n["lines"]):
-        raise TooManyBadRecords(f"{n['bad']} malformed of {n['lines']} records in {path} "
-                                f"(cap {cap}, share {max_share})")
-    bad = parsed.filter(F.col("_corrupt_record").isNotNull())
-    write(parsed.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record"), table, mode)
-    if n["bad"]:
-        write(bad.select(F.col("_corrupt_record").alias("record")),
-              f"{table}_bad_records", "append")
-    return {"bad_records": n["bad"]}
+    lines = spark.read.text(path)
+    parsed = F.from_json("value", with_corrupt_column(schema),
+                         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+    rows = lines.select("value", is_json(F.col("value")).alias("whole"), parsed.alias("r"))
+    stage = scratch(spark, "capped")
+    good, bad, n = staged_check(rows.select("value", "whole", "r.*"),
+                                F.col("whole") & F.col("_corrupt_record").isNull(), F.col("value"), stage)
+    try:
+        if (cap is not None and n["rejected"] > cap) or (max_share is not None and n["rejected"] > max_share * n["rows"]):
+            raise TooManyBadRecords(f"{n['rejected']} malformed of {n['rows']} records in {path} "
+                                    f"(cap {cap}, share {max_share})")
+        write(good.select(*[f"`{f.name}`" for f in schema.fields]), table, mode)
+        if n["rejected"]:
+            write(bad, f"{table}_bad_records", "append")
+    finally:
+        S.delete_folder(spark, stage)
+    return {"bad_records": n["rejected"]}
 
 
 def spark_ddl_type(dtype: T.DataType) -> str:
@@ -317,7 +344,7 @@ def spark_ddl_type(dtype: T.DataType) -> str:
 
 # --- rewrites --------------------------------------------------------------
 
-def _distinct(df: DataFrame) -> DataFrame:
+def distinct(df: DataFrame) -> DataFrame:
     """Full-row distinct; map columns (not comparable in Spark) are compared
     through their JSON text and kept as maps."""
     maps = [f.name for f in df.schema.fields if isinstance(f.dataType, T.MapType)]
@@ -329,8 +356,111 @@ def _distinct(df: DataFrame) -> DataFrame:
 
 
 def dedup_table(spark: SparkSession, table: str) -> None:
-    """M1: rewrite the whole table without duplicate rows."""
-    replace_table(_distinct(spark.table(table)), table)
+    """M1: rewrite the whole table without duplicate rows (once, for a table
+    that has them; ``append_distinct`` keeps it that way without rewrites)."""
+    replace_table(distinct(spark.table(table)), table)
+
+
+#: Column with the fingerprint of its row, in tables that ``append_distinct`` keeps.
+FINGERPRINT = "_row_fp"
+
+
+def _leaf_hashes(c: Column, kind: T.DataType, name: str, seed: int) -> list[Column]:
+    """One hash per value below ``c``, each of its path and value; 0 for a null."""
+    if isinstance(kind, T.StructType):
+        own = [h for f in kind.fields for h in _leaf_hashes(c.getField(f.name), f.dataType, f"{name}.{f.name}", seed)]
+        return [F.when(c.isNull(), F.lit(0).cast("bigint")).otherwise(F.xxhash64(F.lit(seed), F.lit(name))), *own]
+    value = F.to_json(c) if isinstance(kind, (T.ArrayType, T.MapType)) else c
+    return [F.when(c.isNull(), F.lit(0).cast("bigint")).otherwise(F.xxhash64(F.lit(seed), F.lit(name), value))]
+
+
+def fingerprint(schema: T.StructType, columns: Sequence[str] | None = None, seed: int = 0) -> Column:
+    """64 bits of a row: its values' hashes, each with the column's name, put together by XOR.
+
+    Neither the order of columns nor a further column that is null changes it,
+    so it survives columns added to a table.
+    """
+    fields = [f for f in schema.fields if columns is None or f.name in columns]
+    hashes = [h for f in fields for h in _leaf_hashes(F.col(f"`{f.name}`"), f.dataType, f.name, seed)]
+    return reduce(lambda x, y: x.bitwiseXOR(y), hashes, F.lit(0).cast("bigint"))
+
+
+def table_rows(spark: SparkSession, table: str) -> DataFrame:
+    """The table without the columns that rewrites keep beside its rows."""
+    return spark.table(table).drop(FINGERPRINT, KEY_BUCKET)
+
+
+def _in_partitions(rows: DataFrame, parts: Sequence[str]) -> Column:
+    """Filter on the partitions that ``rows`` touches, as literals, so that a scan leaves the others out.
+
+    Their values come to the driver, as the catalog's list of partitions does.
+    """
+    touched = rows.select(*parts).distinct().collect()
+    if len(parts) == 1:
+        c, values = F.col(parts[0]), [r[0] for r in touched]
+        known = [v for v in values if v is not None]
+        found = c.isin(known) if known else F.lit(False)
+        return found | c.isNull() if len(known) < len(values) else found
+    return reduce(or_, [reduce(and_, [F.col(p).eqNullSafe(F.lit(r[p])) for p in parts]) for r in touched], F.lit(False))
+
+
+def append_distinct(df: DataFrame, table: str, stage: str) -> None:
+    """M1 as an append: the rows of ``df`` that ``table`` lacks, each once.
+
+    The table keeps a fingerprint of every row, so a batch is compared with
+    eight bytes per stored row, and with whole rows (null-safe, every column)
+    only where fingerprints are equal. Partitions that the batch does not touch
+    are not read, none is rewritten. A table without fingerprints gets them, and
+    loses its duplicates, in one rewrite; so does one whose types widen.
+    """
+    spark = _spark(df)
+    if not exists(spark, table):
+        rows = distinct(df)
+        _create(rows.withColumn(FINGERPRINT, fingerprint(rows.schema)), table, None, None)
+        return
+    before = dict(spark.table(table).dtypes)
+    rows = conform(df, table, evolve=True)
+    kinds = dict(spark.table(table).dtypes)
+    names = [c for c in kinds if c != FINGERPRINT]
+    own = spark.table(table).select(*[f"`{c}`" for c in names]).schema
+    if FINGERPRINT not in before or any(kinds[c] != before[c] for c in before):
+        old = distinct(spark.table(table).select(*[f"`{c}`" for c in names]))
+        replace_table(old.withColumn(FINGERPRINT, fingerprint(own)), table)
+    batch = distinct(rows.select(*[f"`{c}`" for c in names])).withColumn(FINGERPRINT, fingerprint(own))
+    folder = posixpath.join(stage, "batch")
+    batch.write.parquet(folder)
+    batch = spark.read.schema(batch.schema).parquet(folder)
+    stored = spark.table(table)
+    parts = partition_columns(spark, table)
+    if parts:
+        stored = stored.filter(_in_partitions(batch, parts))
+    suspects = stored.select(FINGERPRINT).join(batch.select(FINGERPRINT), FINGERPRINT, "left_semi").distinct()
+    folder = posixpath.join(stage, "suspects")
+    suspects.write.parquet(folder)
+    suspects = spark.read.schema(suspects.schema).parquet(folder)
+    if not suspects.isEmpty():
+        old = stored.join(suspects, FINGERPRINT, "left_semi")
+        batch = _without_equal(batch, old, [FINGERPRINT, *names])
+    batch.select(*[f"`{c}`" for c in stored.columns]).write.mode("append").insertInto(table)
+
+
+def _without_equal(rows: DataFrame, old: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Rows without an equal one in ``old``: null-safe on every one of ``names``."""
+    kinds = {f.name: f.dataType for f in rows.schema.fields}
+    shown = lambda n: F.to_json(F.col(f"`{n}`")) if isinstance(kinds[n], T.MapType) else F.col(f"`{n}`")
+    right = old.select(*[shown(n).alias(f"__{k}") for k, n in enumerate(names)])
+    same = reduce(and_, [shown(n).eqNullSafe(F.col(f"__{k}")) for k, n in enumerate(names)])
+    return rows.join(right, same, "left_anti")
+
+
+def rows_not_in(rows: DataFrame, stored: DataFrame, keys: Sequence[str], partition: str) -> DataFrame:
+    """Rows without a copy in ``stored``: equal (null-safe) ``keys`` and equal
+    128-bit fingerprints of the whole row. Only the partitions of ``stored``
+    that ``rows`` touches are read; what is shuffled of them is keys and hashes."""
+    marks = {f"__fp{k}": fingerprint(rows.schema, seed=k + 1) for k in range(2)}
+    near = stored.select(*[f"`{c}`" for c in rows.columns]).filter(_in_partitions(rows, [partition]))
+    old = near.withColumns(marks).select(*keys, *marks)
+    return _without_equal(rows.withColumns(marks), old, [*keys, *marks]).drop(*marks)
 
 
 def overwrite_partitions(df: DataFrame, table: str, evolve: bool = False) -> None:
@@ -357,10 +487,10 @@ def dedup_slice(spark: SparkSession, table: str, where: str) -> None:
     t = spark.table(table)
     in_slice = t.filter(where)
     if _reads_only_partitions(spark, table, where):
-        overwrite_partitions(_distinct(in_slice), table)
+        overwrite_partitions(distinct(in_slice), table)
     else:
         rest = t.filter(f"NOT coalesce({where}, false)")
-        replace_table(rest.unionByName(_distinct(in_slice)), table)
+        replace_table(rest.unionByName(distinct(in_slice)), table)
 
 
 def _reads_only_partitions(spark: SparkSession, table: str, where: str) -> bool:
@@ -410,25 +540,52 @@ def replace_slice(df: DataFrame, table: str, values: Mapping[str, object],
     S.delete_folder(spark, folder)
 
 
+#: Partition column and property of tables whose partitions are buckets of their key.
+KEY_BUCKET, BUCKETS_PROPERTY = "_key_bucket", "ledgerline.key_buckets"
+
+
+def _key_buckets(spark: SparkSession, table: str) -> tuple[list[str], int] | None:
+    """The key and the number of buckets of a table that is partitioned by them."""
+    noted = S.properties(spark, table).get(BUCKETS_PROPERTY)
+    if noted is None:
+        return None
+    n, _, keys = noted.partition(":")
+    return keys.split(","), int(n)
+
+
+def _with_bucket(rows: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
+    return rows.withColumn(KEY_BUCKET, F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in keys]), F.lit(n)).cast("int"))
+
+
 def replace_keys(df: DataFrame, table: str, keys: Sequence[str],
-                 partition_by: Sequence[str] | None = None) -> None:
+                 partition_by: Sequence[str] | None = None, buckets: int | None = None) -> None:
     """M5: delete the table rows whose ``keys`` occur in ``df``, append ``df``.
 
-    A new table is partitioned by the first key (or ``partition_by``). If the
-    table's partition columns are among the keys, only the partitions that the
-    batch touches are read and written; otherwise the table is rebuilt as (rows
-    without a new key) and the batch, through a stage table.
+    A new table is partitioned by the first key (or ``partition_by``), or, with
+    ``buckets``, by a hash of the key into so many partitions, for keys that
+    make no natural partition. Where the table's partition columns are among
+    the keys, or are buckets of some of them, only the partitions that the
+    batch touches are read and written; a bucket's rows are written by the
+    tasks that read them, so a hot one is no single task's. Otherwise the table
+    is rebuilt as (rows without a new key) and the batch.
     """
     spark = _spark(df)
     if not exists(spark, table):
-        _create(df, table, list(partition_by or keys[:1]), None)
+        if buckets is None:
+            _create(df, table, list(partition_by or keys[:1]), None)
+        else:
+            _create(_with_bucket(df, keys, buckets), table, [KEY_BUCKET], None)
+            S.set_properties(spark, table, ledgerline__key_buckets=f"{buckets}:{','.join(keys)}")
         return
-    parts = partition_columns(spark, table)
-    rows = conform(df, table)
-    new_keys = df.select(*keys).distinct()
+    parts, bucketed = partition_columns(spark, table), _key_buckets(spark, table)
     old = spark.table(table)
-    if parts and set(parts) <= set(keys):
-        touched = old.join(df.select(*parts).distinct(), parts, "left_semi")
+    rows = conform(df, table)
+    if bucketed:
+        rows = _with_bucket(rows, *bucketed)
+    by_partition = set(bucketed[0]) <= set(keys) if bucketed else parts and set(parts) <= set(keys)
+    new_keys = rows.select(*keys).distinct()
+    if by_partition:
+        touched = old.filter(_in_partitions(rows, parts))
         overwrite_partitions(touched.join(new_keys, list(keys), "left_anti").unionByName(rows), table)
     else:
         replace_table(old.join(new_keys, list(keys), "left_anti").unionByName(rows), table)
@@ -494,6 +651,49 @@ def align_append(df: DataFrame, table: str, partition_by: Sequence[str] | None =
     return added
 
 
+@dataclass
+class Misfits:
+    """Rows that a table could not take: how many, and each as JSON text in ``record``."""
+
+    n: int
+    records: DataFrame | None
+
+
+def append_fitting(df: DataFrame, table: str, tags: Mapping[str, object] | None = None,
+                   may_be_replay: bool = True) -> Misfits:
+    """K6 for the rows whose values fit the table's columns; the others are returned.
+
+    Rows are counted while they are appended; only if some did not fit is the
+    batch computed again, for those. ``tags`` (run column, batch column) make
+    the append exactly once, as in ``align_append_once``.
+    """
+    df = _shape_for_table(df)
+    if not exists(_spark(df), table):
+        _append_tagged(df, table, tags, may_be_replay)
+        return Misfits(0, None)
+    made = conform(df, table, evolve=True, new_type=spark_ddl_type, fits="_fits")
+    wrong = Observation()
+    names = [c for c in made.columns if c not in ("_fits", "record") and c not in (tags or {})]
+    fitting = made.observe(wrong, F.count_if(~F.col("_fits")).alias("n")).filter(F.col("_fits")).select(
+        *[f"`{c}`" for c in names])
+    _append_tagged(fitting, table, tags, may_be_replay)
+    return Misfits(wrong.get["n"], made.filter(~F.col("_fits")).select("record"))
+
+
+def append_errors(records: DataFrame, table: str, tags: Mapping[str, object] | None = None,
+                  may_be_replay: bool = True) -> None:
+    """K4 for what arrived as text in ``record``: appended with its tags, exactly once if it has any."""
+    _append_tagged(records, table, tags, may_be_replay)
+
+
+def _append_tagged(df: DataFrame, table: str, tags: Mapping[str, object] | None, may_be_replay: bool) -> None:
+    if tags is None:
+        align_append(df, table)
+        return
+    (run_col, run), (batch_col, batch_id) = tags.items()
+    align_append_once(df, table, run_col, run, batch_col, batch_id, may_be_replay)
+
+
 def align_append_once(df: DataFrame, table: str, run_col: str, run: str,
                       batch_col: str, batch_id: int, may_be_replay: bool = True) -> bool:
     """K6 for one stream micro-batch, exactly once.

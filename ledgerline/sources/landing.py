@@ -11,12 +11,15 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.functions.shape import flatten_structs, to_ndjson
-from ledgerline.session import shared_dir
+from ledgerline.session import scratch
+
+#: White space around a JSON value.
+BLANKS = " \t\r\n"
 
 # --- writing landing files (used by fixtures, tests and the stream sources) --
 
@@ -122,17 +125,43 @@ def read_ndjson_inferred(spark: SparkSession, path: str, sampling_ratio: float =
 
 
 def is_json(c: Column) -> Column:
-    """Whether a text is one whole JSON object or list (false for null)."""
-    txt = F.trim(c)
-    return F.coalesce(F.when(txt.startswith("["), F.from_json(txt, "array<string>").isNotNull())
-                       .when(txt.startswith("{"), F.from_json(txt, "map<string,string>").isNotNull()),
-                      F.lit(False))
+    """Whether a text is one whole JSON object or list (false for null).
+
+    A JSON reader stops behind the first value it finds, so a text with
+    anything behind that would pass. Here the text is read as the first item of
+    a list that ends in a mark, the text's own hash: only if the text is exactly
+    one value does the list have two items of which the second is the mark.
+    Single quotes are no JSON.
+    """
+    text = F.trim(c, F.lit(BLANKS))
+    mark = F.hex(F.xxhash64(text))
+    items = F.from_json(F.concat(F.lit("["), text, F.lit(',"'), mark, F.lit('"]')), "array<string>",
+                        {"allowSingleQuotes": "false"})
+    return F.coalesce((text.startswith("{") | text.startswith("[")) & (F.size(items) == 2)
+                      & (F.get(items, F.lit(1)) == mark), F.lit(False))
+
+
+def staged_check(rows: DataFrame, good: Column, record: Column, stage: str) -> tuple[DataFrame, DataFrame, dict]:
+    """Split ``rows`` by ``good`` while reading them once.
+
+    They are written to ``stage`` and counted on the way. Returns the good rows,
+    the others as text (``record``), and how many ``rows`` there were and were
+    ``rejected``.
+    """
+    seen = Observation()
+    flagged = rows.withColumn("_good", F.coalesce(good, F.lit(False)))
+    flagged = flagged.withColumn("_record", F.when(~F.col("_good"), record)).observe(
+        seen, F.count(F.lit(1)).alias("rows"), F.count_if(~F.col("_good")).alias("rejected"))
+    flagged.write.partitionBy("_good").parquet(stage)
+    back = rows.sparkSession.read.schema(flagged.schema).parquet(stage)
+    return (back.filter(F.col("_good")).select(*[f"`{c}`" for c in rows.columns]),
+            back.filter(~F.col("_good")).select(F.col("_record").alias("record")), seen.get)
 
 
 def _elements(doc: Column) -> Column:
     """Documents -> JSON text of each row object: an object is one row, a
     list gives its items, a list of lists its flattened items."""
-    txt = F.trim(doc)
+    txt = F.trim(doc, F.lit(BLANKS))
     is_list = txt.startswith("[")
     nested = F.from_json(txt, "array<array<string>>")
     flat = F.from_json(txt, "array<string>")
@@ -152,25 +181,34 @@ def response_rows(docs: DataFrame, schema: T.StructType | str, column: str = "va
                 .select("r.*")
 
 
+def response_items(docs: DataFrame, column: str = "value") -> DataFrame:
+    """S3 as JSON text in ``item``, one per row object (``{}`` for items that are no objects)."""
+    items = docs.filter(is_json(F.col(column))).select(F.explode(_elements(F.col(column))).alias("item"))
+    obj = F.trim(F.col("item")).startswith("{")
+    return items.select(F.when(obj, F.col("item")).otherwise(F.lit("{}")).alias("item"))
+
+
 def response_rows_inferred(docs: DataFrame, stage: str, column: str = "value") -> DataFrame:
     """S3 when the row schema is not known: the row objects are written once
     to ``stage`` (one JSON line each, ``{}`` for non-object items) and read
     back with Spark's schema inference. Only valid rows take part in the
     inference, and the stage cuts the lineage to the landing files."""
-    items = docs.filter(is_json(F.col(column))).select(F.explode(_elements(F.col(column))).alias("item"))
-    obj = F.trim(F.col("item")).startswith("{")
-    items.select(F.when(obj, F.col("item")).otherwise(F.lit("{}")).alias("value")) \
-         .write.mode("errorifexists").text(stage)
+    response_items(docs, column).select(F.col("item").alias("value")).write.mode("errorifexists").text(stage)
     return docs.sparkSession.read.json(stage)
 
 
+def item_ids(items: DataFrame, field: str, kind: str) -> DataFrame:
+    """P2 on JSON objects in ``item``: the distinct values of ``field`` that are of type ``kind``."""
+    return items.select(F.get_json_object("item", f"$.{field}").try_cast(kind).alias(field)).dropna().distinct()
+
+
 def listed_items(docs: DataFrame, path: str | None = None, column: str = "value",
                  keep: Sequence[str] = ()) -> DataFrame:
     """S6 on text: one row per object listed under ``path`` of the documents in
     ``column`` (in the document itself without one), as JSON text in ``item``,
     beside the ``keep`` columns. What is there but is not a list gives no row."""
     text = F.get_json_object(F.col(column), f"$.{path}") if path else F.col(column)
-    items = F.when(F.trim(text).startswith("["), F.from_json(text, "array<string>"))
+    items = F.when(F.trim(text, F.lit(BLANKS)).startswith("["), F.from_json(text, "array<string>"))
     return (docs.select(*keep, F.explode(items).alias("item"))
                 .filter(F.ltrim(F.col("item")).startswith("{")))
 
@@ -224,23 +262,17 @@ def result_rows_flat(docs: DataFrame, key: str = "result") -> DataFrame:
 
 
 def read_valid_documents(spark: SparkSession, path: str, schema: T.StructType | str):
-    """Documents that are valid JSON; returns (rows, number dropped).
-
-    The parsed documents are checkpointed once to the shared folder so the
-    count of dropped documents and the rows come from the same read.
-    """
-    shared_dir(spark)
+    """Documents that are one whole JSON object or list with values of
+    their types; returns (rows, number dropped), both from one read."""
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
     full = T.StructType(list(schema.fields) + [T.StructField("_corrupt_record", T.StringType())])
-    parsed = (spark.read.text(path)
-              .select(F.from_json("value", full,
-                                  {"mode": "PERMISSIVE",
-                                   "columnNameOfCorruptRecord": "_corrupt_record"}).alias("r"))
-              .select("r.*")
-              .checkpoint(eager=True))
-    dropped = parsed.filter(F.col("_corrupt_record").isNotNull()).count()
-    return parsed.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record"), dropped
+    parsed = F.from_json("value", full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+    rows = spark.read.text(path).select("value", is_json(F.col("value")).alias("whole"), parsed.alias("r"))
+    good, _, counts = staged_check(rows.select("value", "whole", "r.*"),
+                                   F.col("whole") & F.col("_corrupt_record").isNull(), F.col("value"),
+                                   scratch(spark, "documents"))
+    return good.select(*[f"`{f.name}`" for f in schema.fields]), counts["rejected"]
 
 
 def lenient_json(c: Column, schema: T.StructType | str) -> Column:

@@ -58,14 +58,15 @@ def test_attribution_day_without_any_rows_keeps_the_table(spark, ws):
     assert not spark.catalog.tableExists(t)
 
 
-def test_truncated_page_fails_the_stream(spark, ws):
+def test_truncated_page_is_quarantined_by_the_stream(spark, ws):
+    """The page goes to <entity>_errors and the other pages load (the stream ended on it before)."""
     landing = ws.path("pages")
     spark.createDataFrame([('{"result": [{"id": 1}], "nextPageId": 2}',), ('{"result": [{"id": 2}',)],
                           "value string").write.text(landing)
-    with pytest.raises(Exception):
-        J.paged_entity_sync(ws, "leads", landing, "r", "result array<struct<id: bigint>>, nextPageId bigint")
-    with pytest.raises(Exception):
-        J.paged_entity_sync(ws, "others", landing, "r")
+    for entity, schema in (("leads", "result array<struct<id: bigint>>, nextPageId bigint"), ("others", None)):
+        t = J.paged_entity_sync(ws, entity, landing, "r", schema)
+        assert [r.id for r in spark.table(t).collect()] == [1]
+        assert [r.record for r in spark.table(f"{t}_errors").collect()] == ['{"result": [{"id": 2}']
 
 
 def lines(spark, path, texts):
@@ -113,3 +114,84 @@ def test_truncated_documents_give_no_rows_and_no_columns(spark, ws):
     assert [r.id for r in J.L.response_rows(docs, "id bigint").collect()] == [3]
     rows = J.L.response_rows_inferred(docs, ws.path("stage"))
     assert rows.columns == ["id"] and [r.id for r in rows.collect()] == [3]
+
+
+WHOLE = '{"request": "a", "page": %d, "body": %s}'
+
+
+def test_a_copied_page_does_not_hide_a_missing_one(spark, ws):
+    rows = lambda a, b: ",".join('{"transaction_id": "t%d", "event_id": %d, "date": "2024-01-01"}' % (i, i) for i in range(a, b))
+    body = lambda a, b: '{"transactions": [%s], "meta": {"total": 200}}' % rows(a, b)
+    path = lines(spark, ws.path("tx"), [WHOLE % (1, body(0, 100))] * 2)
+    with pytest.raises(J.IncompleteSync):
+        J.transactions_sync(ws, path, dt.date(2024, 1, 1))
+    t = ws.table("transactions")
+    assert spark.table(t).count() == 100
+    more = lines(spark, ws.path("tx2"), [WHOLE % (1, body(100, 200)), WHOLE % (2, body(0, 100)), WHOLE % (1, body(100, 200))])
+    J.transactions_sync(ws, more, dt.date(2024, 1, 2))
+    assert spark.table(t).count() == spark.table(t).select("event_id").distinct().count() == 200
+
+
+def test_fields_that_differ_in_case_alone_land_whole_in_errors(spark, ws):
+    path = lines(spark, ws.path("aff"), [WHOLE % (
+        1, '{"affiliates": [{"affiliate_id": 1, "id": 1, "Id": 2}, {"affiliate_id": 2}], "meta": {"total": 2}}')])
+    with pytest.raises(J.IncompleteSync):
+        J.affiliates_sync(ws, path)
+    t = ws.table("affiliates")
+    assert not spark.catalog.tableExists(t)
+    assert sorted(r.item for r in spark.table(f"{t}_errors").collect()) == [
+        '{"affiliate_id":1,"id":1,"Id":2}', '{"affiliate_id":2}']
+
+
+def test_attribution_that_cannot_load_lands_whole_in_errors(spark, ws):
+    path = lines(spark, ws.path("attr"), ['{"day": "2024-01-30", "body": {"result": [{"id": "a", "sales": 1}, {"id": "b", "sales": "x"}]}}'])
+    t = J.attribution_replace(ws, path, dt.date(2024, 1, 30))
+    assert not spark.catalog.tableExists(t) and spark.table(f"{t}_errors").count() == 2
+
+
+SOURCE = ('{"integration_type": "%s", "include_disregarded": "true", "include_organic": "true", "page": "%s", '
+          '"body": {"result": [], "nextPageId": %s}}')
+
+
+def source_pages(spark, ws, name, pages):
+    return spark.createDataFrame([(c, p, n) for c, p, n in pages], "request string, page string, next string")
+
+
+@pytest.mark.parametrize("pages,faults", [
+    ([("a", "1", "2"), ("a", "2", "3"), ("a", "3", None), ("b", "1", None)], []),
+    ([("a", "1", "2"), ("a", "1", "2"), ("a", "2", None)], []),
+    ([("a", "1", "2"), ("a", "3", None)], [("a", "another start", "3"), ("a", "missing", "2")]),
+    ([("a", "1", "2")], [("a", "missing", "2")]),
+    ([("a", "1", None), ("a", "2", None)], [("a", "another end", "2"), ("a", "another start", "2")]),
+    ([("a", "1", "2"), ("a", "2", "1"), ("b", "7", None)], [("a", "no start", "2")]),
+    ([(None, "1", "2"), (None, "2", None)], []),
+    ([], []),
+])
+def test_page_chains(spark, ws, pages, faults):
+    df = source_pages(spark, ws, "p", pages)
+    got = sorted(tuple(r) for r in J.I.chain_breaks(df, ["request"], "page", "next").collect())
+    assert got == faults
+
+
+def test_a_missing_middle_page_is_named(spark, ws):
+    spark.createDataFrame([("x",)], "v string").select(J.F.struct(J.F.struct(J.F.struct(
+        J.F.lit("s").alias("adSourceId")).alias("adSource")).alias("firstSource")).alias("lead")).write.saveAsTable(ws.table("j"))
+    at = dt.datetime(2024, 1, 30)
+    path = lines(spark, ws.path("s"), [SOURCE % ("GOOGLE", 1, '"2"'), SOURCE % ("GOOGLE", 3, "null")])
+    with pytest.raises(J.I.BrokenChain, match="missing: page 2 of integration_type=GOOGLE"):
+        J.sources_sync(ws, ws.table("j"), path, at)
+    pages = lines(spark, ws.path("pages"), ['{"pageId": 1, "result": [{"id": 1}], "nextPageId": 2}',
+                                            '{"pageId": 3, "result": [{"id": 3}]}'])
+    with pytest.raises(J.I.BrokenChain, match="page 2"):
+        J.paged_entity_sync(ws, "leads", pages, "r", page_field="pageId")
+
+
+def test_stages_go_when_a_job_ends(spark, ws):
+    import os
+    path = lines(spark, ws.path("aff"), [WHOLE % (1, '{"affiliates": [{"affiliate_id": 1}], "meta": {"total": 1}}'), "<html>"])
+    t = J.affiliates_sync(ws, path)
+    assert [r.affiliate_id for r in spark.table(t).collect()] == [1]
+    stages = os.path.join(ws.root.removeprefix("file:"), "_files", "_stage")
+    assert not os.path.exists(stages) or os.listdir(stages) == []
+    ws.drop()
+    assert not spark.catalog.databaseExists(ws.name) and not os.path.exists(ws.root.removeprefix("file:"))

@@ -87,3 +87,64 @@ def test_fields_found_per_batch(spark, ws):
     spark.createDataFrame([('{"result": [{"id": 2.5, "vat": "x"}]}',)], "value string").write.mode("append").text(landing)
     X.run_paged_ingest(spark, landing, None, t, ckpt)
     assert sorted((r.id, r.vat) for r in X.table_rows(spark, t).collect()) == [(1.0, None), (2.0, None), (2.5, "x")]
+
+
+def texts(spark, path, pages):
+    spark.createDataFrame([(p,) for p in pages], "value string").write.mode("append").text(path)
+
+
+def errors(spark, t):
+    return sorted(r.record for r in spark.table(f"{t}_errors").collect())
+
+
+def test_rows_that_do_not_fit_are_kept_whole_and_the_rest_loads(spark, ws):
+    t, landing = ws.table("rows"), ws.path("landing5")
+    ckpt = X.checkpoint_for(ws.root, t, "a")
+    texts(spark, landing, ['{"result": [{"id": 1, "n": 2}]}'])
+    X.run_paged_ingest(spark, landing, None, t, ckpt)
+    texts(spark, landing, ['{"result": [{"id": 2, "n": "two"}, {"id": 3, "n": "3"}]}', '{"result": [{"id": 4}', '{"result": []} x'])
+    X.run_paged_ingest(spark, landing, None, t, ckpt)
+    assert sorted((r.id, r.n) for r in X.table_rows(spark, t).collect()) == [(1, 2), (3, 3)]
+    assert errors(spark, t) == ['{"id":2,"n":"two"}', '{"result": []} x', '{"result": [{"id": 4}']
+
+
+def test_a_batch_that_cannot_get_a_schema_or_shape_is_kept_whole(spark, ws):
+    from ledgerline.plans.jobs import _shape_entity
+
+    t, landing = ws.table("rows"), ws.path("landing6")
+    ckpt = X.checkpoint_for(ws.root, t, "a")
+    texts(spark, landing, ['{"result": [{"id": 1, "Id": 2}, {"id": 3}]}'])
+    X.run_paged_ingest(spark, landing, None, t, ckpt)
+    texts(spark, landing, ['{"result": [{"id": 5, "creationDate": "yesterday"}]}'])
+    X.run_paged_ingest(spark, landing, None, t, ckpt, shape=_shape_entity)
+    texts(spark, landing, ['{"result": [{"id": 6, "creationDate": "2024-01-01T00:00:00+00:00"}]}'])
+    X.run_paged_ingest(spark, landing, None, t, ckpt, shape=_shape_entity)
+    assert [r.id for r in X.table_rows(spark, t).collect()] == [6]
+    assert errors(spark, t) == ['{"id":1,"Id":2}', '{"id":3}', '{"id":5,"creationDate":"yesterday"}']
+
+
+def test_errors_of_a_replayed_batch_are_there_once(spark, ws):
+    t = ws.table("rows")
+    pages = spark.createDataFrame([('{"result": [{"id": 1}]}',), ("<html>",)], "value string")
+    more = spark.createDataFrame([('{"result": [{"id": "x"}, {"id": 2}]}',), ("cut {",)], "value string")
+    writer = lambda: X.batch_writer(t, run="r", stage=ws.path("s"))
+    first = writer()
+    first(pages, 0)
+    first(more, 1)
+    for _ in range(2):
+        writer()(more, 1)       # a restarted query replays the batch
+    assert sorted(r.id for r in X.table_rows(spark, t).collect()) == [1, 2]
+    assert errors(spark, t) == ["<html>", "cut {", '{"id":"x"}']
+    assert {(r["_run"], r["_batch_id"]) for r in spark.table(f"{t}_errors").collect()} == {("r", 0), ("r", 1)}
+
+
+def test_a_failing_program_is_no_bad_data(spark, ws):
+    import pytest
+
+    t, landing = ws.table("rows"), ws.path("landing7")
+    texts(spark, landing, ['{"result": [{"id": 1}]}'])
+    ckpt = X.checkpoint_for(ws.root, t, "a")
+    with pytest.raises(Exception, match="no_such_column"):
+        X.run_paged_ingest(spark, landing, None, t, ckpt, shape=lambda rows: rows.select("no_such_column"))
+    X.run_paged_ingest(spark, landing, None, t, ckpt)
+    assert [r.id for r in X.table_rows(spark, t).collect()] == [1]
