@@ -158,9 +158,14 @@ def _pages_wanted(spark, table: str, total: int, page_size: int) -> DataFrame:
     return I.sync_gap(spark, total, loaded, page_size)
 
 
-def _check_complete(spark, table: str, total: int, ids: Sequence[str]) -> None:
-    """Compare the service's total with the distinct ids stored: copies of a page do not stand for another."""
-    loaded = spark.table(table).select(*ids).distinct().count() if K.exists(spark, table) else 0
+def _check_complete(spark, table: str, total: int, ids: Sequence[str] = ()) -> None:
+    """Compare the service's total with what is stored: distinct ``ids``, or rows where
+    the load lets no copy in. Copies of a page do not stand for another page."""
+    if not K.exists(spark, table):
+        loaded = 0
+    else:
+        rows = spark.table(table)
+        loaded = rows.select(*ids).distinct().count() if ids else rows.count()
     if loaded < total:
         raise IncompleteSync(f"{table} holds {loaded} of the service's {total} rows")
 
@@ -182,7 +187,7 @@ def affiliates_sync(ws: Workspace, landing: str, page_size: int = 100) -> str:
     return t
 
 
-#: What names a transaction's event, and the two hashes that tell copies of it apart.
+#: What names a transaction's event; rows that differ may share it.
 TRANSACTION_KEYS = ("date", "transaction_id", "event_id")
 
 
@@ -193,8 +198,8 @@ def transactions_sync(ws: Workspace, landing: str, as_of: dt.date,
     twice, and the last page wanted may hold rows that are already stored, so
     copies are left out of the batch: of rows in it, and of stored rows of its
     days (equal ids and equal 128-bit fingerprints of the whole row). The day
-    slice ``as_of`` is de-duplicated (M2). Raises ``IncompleteSync`` if events
-    of the service's total are still missing."""
+    slice ``as_of`` is de-duplicated (M2). Raises ``IncompleteSync`` if rows of
+    the service's total are still missing."""
     spark = ws.spark
     t = ws.table("transactions")
     resp = responses(ws, landing, t)
@@ -208,14 +213,14 @@ def transactions_sync(ws: Workspace, landing: str, as_of: dt.date,
         K.distinct(typed).write.parquet(stage)
     except K.LOAD_ERRORS:
         K.write(texts, f"{t}_errors", "append", evolve=True)
-        _check_complete(spark, t, total, TRANSACTION_KEYS)
+        _check_complete(spark, t, total)
         return t
     rows = spark.read.schema(typed.schema).parquet(stage)
     if K.exists(spark, t):
         rows = K.rows_not_in(rows, spark.table(t), TRANSACTION_KEYS, "date")
     if K.write_or_dead_letter(rows, t, "append", partition_by=["date"], received=texts):
         K.dedup_slice(spark, t, f"date = DATE'{as_of.isoformat()}'")
-    _check_complete(spark, t, total, TRANSACTION_KEYS)
+    _check_complete(spark, t, total)
     return t
 
 
