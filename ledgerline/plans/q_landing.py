@@ -199,6 +199,28 @@ def q_src_glued_docs(spark, sf_dir):
     return loaded.unionByName(rejected, allowMissingColumns=True)
 
 
+@register("src_variant_typed", """
+SELECT CAST(o_orderkey + 9007199254740992 AS BIGINT) AS id, CAST(o_orderkey AS DECIMAL(30,9)) + 12345678901234567890.123456789 AS exact,
+  CASE WHEN o_orderkey % 3 = 0 THEN CAST(o_custkey AS VARCHAR) ELSE 'c' || o_custkey END AS mixed,
+  CASE WHEN o_orderkey % 2 = 0 THEN o_orderstatus END AS "sta tus" FROM orders""")
+def q_src_variant_typed(spark, sf_dir):
+    """S2/S7 as VARIANT: pages parsed once; numbers beyond 17 digits stay exact, a field of several
+    kinds becomes text."""
+    ws = Workspace(spark)
+    o = views.table(spark, sf_dir, "orders")
+    key = F.col("o_orderkey")
+    big = (key.cast("decimal(30,9)") + F.expr("12345678901234567890.123456789BD")).cast("string")
+    item = F.concat(F.lit('{"id":'), (key + 2**53).cast("string"), F.lit(',"exact":'), big, F.lit(',"mixed":'),
+                    F.when(key % 3 == 0, F.col("o_custkey").cast("string")).otherwise(
+                        F.concat(F.lit('"c'), F.col("o_custkey"), F.lit('"'))),
+                    F.when(key % 2 == 0, F.concat(F.lit(',"sta tus":"'), F.col("o_orderstatus"), F.lit('"'))).otherwise(""), F.lit("}"))
+    pages = o.groupBy(F.expr("o_orderkey div 100")).agg(F.array_join(F.collect_list(item), ",").alias("items"))
+    path = L.land_text(pages.select(F.concat(F.lit('{"result":['), F.col("items"), F.lit("]}")).alias("value")), ws.path("orders"))
+    docs = spark.read.text(path).filter(L.is_json(F.col("value")))
+    rows = L.rows_of_variants(L.listed_variants(docs, "result"), ws.stage())
+    return rows.select("id", F.col("exact").cast("decimal(31,9)").alias("exact"), "mixed", "sta tus")
+
+
 @register("src_lenient_json", O.SRC_LENIENT_JSON)
 def q_src_lenient_json(spark, sf_dir):
     """JSON written as a Python literal (single quotes, True/None)."""

@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerline.errors import SchemaMismatch
 from ledgerline.session import scratch
 from ledgerline.sinks import storage as S
 from ledgerline.sinks.storage import partition_columns
@@ -41,10 +42,6 @@ class TableNotEmpty(RuntimeError):
     """Raised by mode ``empty`` when the target already holds rows."""
 
 
-class SchemaMismatch(RuntimeError):
-    """Raised when a batch has columns or types that the target cannot take."""
-
-
 class TooManyBadRecords(RuntimeError):
     """Raised when a load holds more malformed records than its cap."""
 

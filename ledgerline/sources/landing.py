@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerline.errors import SchemaMismatch
 from ledgerline.functions.shape import flatten_structs, to_ndjson
 from ledgerline.session import scratch
 
@@ -236,6 +237,74 @@ def rows_inferred(items: DataFrame, stage: str, as_text: bool = False) -> DataFr
                          *[F.col("row")[n].alias(n) for n in row.names if n not in kept.names])
 
 
+# --- exact values: documents as VARIANT --------------------------------------------
+
+def listed_variants(docs: DataFrame, path: str | None = None, column: str = "value",
+                    keep: Sequence[str] = ()) -> DataFrame:
+    """``listed_items`` with every object as a VARIANT in ``item``: numbers keep all
+    their digits. A document that VARIANT refuses (``NaN``, a key twice in one
+    object) fails the batch; what is there but is not a list gives no row."""
+    parsed = F.parse_json(F.col(column))
+    whole = F.try_variant_get(parsed, f"$.{path}" if path else "$", "array<variant>")
+    return docs.select(*keep, F.explode(whole).alias("item")).filter(
+        F.schema_of_variant("item").startswith("OBJECT<"))
+
+
+def _settled(t: T.DataType, decimals: bool, at: str = "") -> T.DataType:
+    """Column type for an inferred variant type: text for values of several kinds or none at all."""
+    if isinstance(t, (T.NullType, T.VariantType)):
+        return T.StringType()
+    if isinstance(t, T.DecimalType) and not decimals:
+        return T.DoubleType()
+    if isinstance(t, T.ArrayType):
+        return T.ArrayType(_settled(t.elementType, decimals, at))
+    if isinstance(t, T.StructType):
+        seen: dict[str, str] = {}
+        for name in t.names:
+            if seen.setdefault(name.lower(), name) != name:
+                raise SchemaMismatch(f"fields differ in case alone: {at}{seen[name.lower()]}, {at}{name}")
+        return T.StructType([T.StructField(f.name, _settled(f.dataType, decimals, f"{at}{f.name}.")) for f in t.fields])
+    return t
+
+
+def _ddl(t: T.DataType) -> str:
+    if isinstance(t, T.StructType):
+        return "struct<" + ", ".join(f"`{f.name.replace('`', '``')}`: {_ddl(f.dataType)}" for f in t.fields) + ">"
+    return f"array<{_ddl(t.elementType)}>" if isinstance(t, T.ArrayType) else t.simpleString()
+
+
+def rows_of_variants(items: DataFrame, stage: str, decimals: bool = True) -> DataFrame:
+    """Rows of the VARIANT objects in ``item`` beside the other columns of ``items``, which win over
+    row fields of the same name.
+
+    The landed text is parsed once, into ``stage``; the row type is one
+    aggregation over the parsed values (merged per field: whole numbers BIGINT
+    where they fit, other exact numbers DECIMAL, or DOUBLE without ``decimals``),
+    and every field is read by its path. Values of several kinds become text.
+    Names that differ in case alone are refused (``SchemaMismatch``). Without
+    any object the frame has no columns.
+    """
+    spark = items.sparkSession
+    items.write.mode("errorifexists").parquet(stage)
+    held = spark.read.schema(items.schema).parquet(stage)
+    # a session of its own, in which names that differ in case are not merged
+    strict = spark.newSession()
+    strict.conf.set("spark.sql.caseSensitive", "true")
+    found = strict.read.schema(items.schema).parquet(stage).agg(F.schema_of_variant_agg("item")).first()[0]
+    if not (found or "").startswith("OBJECT<") or found == "OBJECT<>":
+        return spark.createDataFrame([], T.StructType([]))
+    kind = _settled(T.StructType.fromDDL("item " + found.replace("OBJECT<", "STRUCT<"))["item"].dataType, decimals)
+    keep = [c for c in items.columns if c != "item"]
+
+    def field(f: T.StructField) -> Column:
+        quote = '"' if "'" in f.name else "'"
+        if quote == '"' and '"' in f.name:
+            raise SchemaMismatch(f"a field's name holds both kinds of quotes: {f.name}")
+        return F.variant_get("item", f"$[{quote}{f.name}{quote}]", _ddl(f.dataType)).alias(f.name)
+
+    return held.select(*[f"`{c}`" for c in keep], *[field(f) for f in kind.fields if f.name not in keep])
+
+
 def read_documents(spark: SparkSession, path: str, schema: T.StructType | str | None = None):
     """Response documents, one per line, typed by ``schema`` or inferred."""
     reader = spark.read

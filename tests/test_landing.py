@@ -91,3 +91,45 @@ def test_empty_landing(spark, ws):
     spark.createDataFrame([], "value string").write.text(path)
     assert J.responses(ws, path, ws.table("t")).count() == 0
     assert L.read_valid_documents(spark, path, "a bigint")[1] == 0
+
+
+def variants(spark, ws, texts, **options):
+    docs = spark.createDataFrame([(t,) for t in texts], "value string")
+    return L.rows_of_variants(L.listed_variants(docs, "result"), ws.stage(), **options)
+
+
+def test_variants_keep_every_digit(spark, ws):
+    from decimal import Decimal
+
+    rows = variants(spark, ws, ['{"result": [{"id": 9223372036854775807, "n": 1.10, "big": 12345678901234567890.123456789, '
+                                '"a.b": 1, "we ird": [1, 2], "it\'s": {"x": 1}}, 7, null]}',
+                                '{"result": [{"id": 1, "n": 3, "we ird": [], "z": null}]}', '{"result": "none"}', "{}"])
+    assert dict(rows.dtypes) == {"id": "bigint", "n": "decimal(21,1)", "big": "decimal(29,9)", "a.b": "bigint",
+                                 "we ird": "array<bigint>", "it's": "struct<x:bigint>", "z": "string"}
+    got = sorted(rows.collect(), key=lambda r: r["id"])
+    assert got[1]["big"] == Decimal("12345678901234567890.123456789") and got[1]["id"] == 2**63 - 1
+    assert [r["n"] for r in got] == [Decimal("3.0"), Decimal("1.1")] and got[1]["it's"]["x"] == 1
+    assert dict(variants(spark, ws, ['{"result": [{"n": 1.5}]}'], decimals=False).dtypes) == {"n": "double"}
+
+
+def test_variants_of_several_kinds_and_none(spark, ws):
+    rows = variants(spark, ws, ['{"result": [{"v": 1}, {"v": "x"}, {"v": {"a": 1}}, {"v": [1, "b"]}, {"v": null}, {}]}'])
+    assert sorted(str(r.v) for r in rows.collect()) == sorted(["1", "x", '{"a":1}', '[1,"b"]', "None", "None"])
+    assert variants(spark, ws, ['{"result": []}', '{"result": [{}]}']).columns == []
+
+
+def test_names_that_differ_in_case_are_refused(spark, ws):
+    with pytest.raises(K.SchemaMismatch, match="o.k, o.K|o.K, o.k"):
+        variants(spark, ws, ['{"result": [{"o": {"k": 1}}]}', '{"result": [{"o": {"K": 2}}]}'])
+
+
+def test_exact_affiliates(spark, ws):
+    from tests.test_jobs import WHOLE, lines
+
+    path = lines(spark, ws.path("aff"), [WHOLE % (1, '{"affiliates": [{"affiliate_id": 1, "n": 1.5}, {"affiliate_id": 2}], "meta": {"total": 2}}')])
+    t = J.affiliates_sync(ws, path, exact=True)
+    assert sorted((r.affiliate_id, r.n) for r in spark.table(t).collect()) == [(1, 1.5), (2, None)]
+    clash = lines(spark, ws.path("aff2"), [WHOLE % (1, '{"affiliates": [{"affiliate_id": 3, "id": 1, "Id": 2}], "meta": {"total": 3}}')])
+    with pytest.raises(J.IncompleteSync):
+        J.affiliates_sync(ws, clash, exact=True)
+    assert [r.item for r in spark.table(f"{t}_errors").collect()] == ['{"Id":2,"affiliate_id":3,"id":1}']
