@@ -23,6 +23,7 @@ import gc
 import json
 from array import array
 from collections.abc import Iterable
+from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
@@ -139,6 +140,7 @@ class TrieEncoder:
 
     def __init__(self, vocabulary: Vocabulary, remembered: int = REMEMBERED):
         self.v, self.remembered = vocabulary, remembered
+        self.shown = [str(i) for i in range(max(vocabulary.bytes_of) + 1)]
         self.words: dict[str, bytes] = {}
         self.after_space: dict[str, bytes] = {}
         self.agree: dict[int, dict[int, bool]] = {}  # token -> token before it -> compatible
@@ -308,9 +310,27 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
     return arrow_map(encoded.select("doc_id", "ids"), run, f"doc_id {kind}, ids array<int>, text string")
 
 
+def digests(docs: DataFrame, path: str | None = None, batch: int = 2048) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256): digests of every text's ids and of the text
+    decoded from them, in one pass that keeps the ids in the worker."""
+    file = path or default_vocabulary()
+
+    def run(rows: pa.RecordBatch) -> dict:
+        enc, texts = encoder(file), rows.column(1).to_pylist()
+        out: dict[str, list] = {"n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
+        for at in range(0, len(texts), batch):
+            for ids in enc.encode(texts[at:at + batch]):
+                own = ids.tolist()
+                out["n_tokens"].append(len(own))
+                out["ids_sha256"].append(sha256(",".join(map(enc.shown.__getitem__, own)).encode()).hexdigest())
+                out["decoded_sha256"].append(sha256(decode_bytes(enc.v, own).encode()).hexdigest())
+        return {"doc_id": rows.column(0)} | out
+
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return arrow_map(rows, run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contract query over all of ``documents``."""
-    back = decode(encode(table(spark, sf_dir, "documents", "doc_id", "text")))
-    return back.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
-                       F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
-                       F.sha2("text", 256).alias("decoded_sha256"))
+    return digests(table(spark, sf_dir, "documents", "doc_id", "text"))
