@@ -21,9 +21,8 @@ def slow(rows, held, discount=0.75, order=3):
         return [w.decode() for w in (t or "").encode().lower().split()] + [" "]
     train = [tokens(t) for i, t in rows if not held(i)]
     one = Counter(w for t in train for w in t)
-    two = {k: c for k, c in Counter(p for t in train for p in zip([None, *t], t)).items() if c > 1}
-    three = {k: c for k, c in Counter(p for t in train for p in zip([None, *t], t, t[1:])).items() if c > 1}
-    three = {k: c for k, c in three.items()}
+    two = Counter(p for t in train for p in zip([None, *t], t))
+    three = Counter(p for t in train for p in zip([None, *t], t, t[1:]))
     n, v = sum(one.values()), len(one)
     total = lambda w: len(train) if w is None else one[w]
     kept2, kept3 = defaultdict(float), defaultdict(float)
