@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.common import arrow_map, table
 
-REMEMBERED = 300_000
+REMEMBERED = 1_000_000
 MODEL = "piece_bpe_32k.model"
 BLANK = "▁"
 NEVER = float("-inf")
