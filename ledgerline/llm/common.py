@@ -120,12 +120,19 @@ def hash_sample(df: DataFrame, column: str, rows: int, of: int, spare: int = 2)
     ``of`` is the number of rows the hash ranges over; where it is large, a
     share by hash goes first, so that what meets in one place stays bounded.
     """
-    share = spare * rows / max(1, of)
-    if share < 1:
-        df = df.where(F.pmod(F.col(column), F.lit(1 << 20)) < F.lit(max(1, round(share * (1 << 20)))))
+    df = hash_share(df, column, rows, of, spare)
     return df.orderBy(F.pmod(F.col(column), F.lit(1 << 20)), column).limit(rows)
 
 
+def hash_share(df: DataFrame, column: str, rows: int, of: int, spare: int = 2) -> DataFrame:
+    """A share by hash ``column`` that leaves about ``spare`` times ``rows`` of ``of`` rows, so that what
+    a later limit gathers in one place stays bounded; all rows if there are no more."""
+    share = spare * rows / max(1, of)
+    if share >= 1:
+        return df
+    return df.where(F.pmod(F.col(column), F.lit(1 << 20)) < F.lit(max(1, round(share * (1 << 20)))))
+
+
 def text_key(text: Column) -> Column:
     """128 bits of a text, as two longs in hex; null for null."""
     raw = text.cast("string")

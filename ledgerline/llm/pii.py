@@ -2,12 +2,13 @@
 
 The base patterns (e-mail, IP address, card, phone) find their spans by linear
 scans. A bidirectional LSTM over characters with CRF transitions, trained here
-in numpy on windows labelled with base spans, reads every whole text in
-overlapping windows. Spans that two windows see alike are merged; a span cut by
-a window's edge is left to the neighbour that sees it whole. All spans of a
+in numpy on windows labelled with base spans and with variants of them that the
+patterns miss (``respelled``: other separators and prefixes), reads every whole
+text in overlapping windows. Spans that two windows see alike are merged; a
+span that touches a window's edge is decoded again in a window centred on it (spans of up to 200 code points). All spans of a
 text are then reconciled together: base spans stay, model spans that touch
 nothing better are added in the order of their margin. A model span must be
-more confident than any wrong span on validation windows.
+more confident than any wrong span of its kind on validation windows.
 
 Windows without any chance of a span are not decoded by Viterbi: if no
 character's margin over "outside" can pay for leaving and re-entering, the
@@ -16,8 +17,8 @@ all-outside path is the best one, exactly. The LSTM reads all of them.
 Bounded sample: the model is trained on windows from at most ``FIT_DOCS``
 distinct texts with a likely base span and ``FIT_OTHERS`` with digits or signs
 alone (by hash of the text; copies count once) and at most ``FIT_WINDOWS``
-windows. A fifth of the windows sets the margin; if that is fewer than
-``LEAST_CHECKED``, there is no model. Scanning covers all rows and whole texts,
+windows; texts over ``FIT_BYTES`` bytes are read, but not trained on. A fifth of the windows sets the margin;
+if that is fewer than ``LEAST_CHECKED``, there is no model. Scanning covers all rows and whole texts,
 document by document, without a shuffle.
 
 Cases: a null or empty text has no spans; null ids keep their row; repeated
@@ -42,8 +43,11 @@ from ledgerline.llm.common import arrow_map, hash_sample, table, written
 KINDS = ("email", "ip", "card", "phone")
 HIDDEN, SYMBOLS, PAD = 8, 131, 130
 WINDOW, OVERLAP, BATCH = 256, 48, 2048
-FIT_DOCS, FIT_OTHERS, FIT_WINDOWS, FIT_LENGTH, EPOCHS, SEED = 2000, 500, 3000, 96, 10, 11
-LEAST_CHECKED = 30
+FIT_DOCS, FIT_OTHERS, FIT_WINDOWS, FIT_LENGTH, EPOCHS, SEED = 2000, 500, 6000, 96, 10, 11
+LEAST_CHECKED, RESPELLED = 30, 3
+FIT_BYTES = 20_000
+#: How often a span at a window's edge is looked at again in a window around what was seen of it.
+RECENTRED = 4
 
 # The base patterns.
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]+")
@@ -126,7 +130,7 @@ class BiLstmCrf:
     recur: list[np.ndarray]
     emit: np.ndarray      # labels x (2H + 1)
     moves: np.ndarray     # from x to
-    limit: float = np.inf
+    limits: tuple[float, ...] = (np.inf,) * len(KINDS)  # per kind, the margin that an added span must exceed
 
     @classmethod
     def start(cls, rng: np.random.Generator, hidden: int = HIDDEN) -> BiLstmCrf:
@@ -276,16 +280,33 @@ def train(windows: np.ndarray, labels: np.ndarray, epochs: int = EPOCHS, seed: i
                 m += 0.1 * (g - m)
                 v += 0.01 * (g * g - v)
                 w -= rate * (0.5 ** (epoch // 4)) * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.99 ** step)) + 1e-6)
-    wrong = [margin for n, spans in zip(check, model.decode(windows[check])) for kind, a, b, margin in spans
+    wrong = [(kind, margin) for n, spans in zip(check, model.decode(windows[check])) for kind, a, b, margin in spans
              if not (labels[n, a:b] == kind + 1).all() or (b < labels.shape[1] and labels[n, b] == kind + 1)
              or (a and labels[n, a - 1] == kind + 1)]
-    model.limit = max(wrong, default=0.0)
+    model.limits = tuple(max((m for k, m in wrong if k == kind), default=0.0) for kind in range(len(KINDS)))
     return model
 
 
+def respelled(kind: int, text: str, rng: np.random.Generator) -> str:
+    """Personal data as it may be written so that the base pattern misses it."""
+    def one_of(*some: str) -> str:
+        return some[int(rng.integers(len(some)))]
+
+    if KINDS[kind] == "email":
+        name, _, host = text.partition("@")
+        return name + one_of(" at ", " (at) ", "[at]", " @ ") + host.replace(".", one_of(".", " dot ", "[.]"))
+    if KINDS[kind] == "ip":
+        return text.replace(".", one_of("[.]", " . ", "(.)", "-"))
+    digits = re.sub("[^0-9]", "", text)
+    if KINDS[kind] == "card":
+        return one_of(".", "/", "_", " - ").join(digits[k:k + 4] for k in range(0, len(digits), 4))
+    cut_ = max(1, len(digits) - 7)
+    return one_of("tel ", "00", "(+) ", "p:") + one_of("/", "-", ".").join((digits[:cut_], digits[cut_:-4], digits[-4:]))
+
+
 def training_windows(texts: list[str], length: int = FIT_LENGTH, most: int = FIT_WINDOWS,
                      seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
-    """Windows around base spans, around other digits and signs and elsewhere; a label per character (0: outside)."""
+    """Windows around base spans, respelled ones, other digits and signs, and elsewhere; a label per character (0: outside)."""
     rng = np.random.default_rng(seed)
     windows, labels = [], []
     for text in texts:
@@ -298,6 +319,19 @@ def training_windows(texts: list[str], length: int = FIT_LENGTH, most: int = FIT
         hard = rng.choice(signs, min(3, len(signs)), replace=False) if len(signs) else np.empty(0, int)
         hard = np.maximum(0, hard - rng.integers(0, length, len(hard))).tolist()
         away = rng.integers(0, max(1, len(row) - length // 2), 1).tolist()
+        for kind, a, b in spans * RESPELLED:    # the same place with the span respelled, if the patterns then miss it
+            new = respelled(kind, text[a:b], rng)
+            before = text[max(0, a - int(rng.integers(0, max(1, length - len(new))))):a]
+            line = (before + new + text[b:b + length])[:length]
+            if len(before) + len(new) <= length and not any(
+                    x < len(before) + len(new) and len(before) < y for _, x, y in base_spans(line)):
+                w, t = np.full(length, PAD, np.uint8), np.zeros(length, np.int64)
+                w[:len(line)] = symbols(line)
+                for k, x, y in base_spans(line):
+                    t[x:y] = k + 1
+                t[len(before):len(before) + len(new)] = kind + 1
+                windows.append(w)
+                labels.append(t)
         for start in near + hard + away:
             w, t = np.full(length, PAD, np.uint8), np.zeros(length, np.int64)
             w[: len(row[start:start + length])] = row[start:start + length]
@@ -315,7 +349,7 @@ def fitted(docs: DataFrame) -> BiLstmCrf | None:
     Copies are dropped by hash of the text before anything is counted or limited, so that they take no
     place in the sample. None if fewer than ``LEAST_CHECKED`` windows would set the margin.
     """
-    short = docs.where(F.octet_length("text") <= 20_000).select("text", F.xxhash64("text").alias("h"))
+    short = docs.where(F.octet_length("text") <= FIT_BYTES).select("text", F.xxhash64("text").alias("h"))
     known = (short.where(F.col("text").rlike("[0-9@+]")).groupBy("h")
              .agg(F.max(F.col("text").rlike(_LIKELY)).alias("likely")))
     known = written(known, "signs")  # one narrow row per distinct text
@@ -347,6 +381,16 @@ def reconcile(base: list[Span], found: Iterable[tuple[int, int, int, float]], li
     return sorted({*base, *added})
 
 
+def centred(row: np.ndarray, middles: Iterable[int], length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts of windows with the given middles, and the padded windows."""
+    starts = np.unique(np.clip(np.array(sorted(middles), np.int64) - length // 2, 0, max(0, len(row) - length)))
+    windows = np.full((len(starts), length), PAD, np.uint8)
+    for w, start in zip(windows, starts):
+        own = row[start:start + length]
+        w[:len(own)] = own
+    return starts, windows
+
+
 def find(texts: list[str | None], model: BiLstmCrf | None, length: int = WINDOW,
          overlap: int = OVERLAP) -> list[tuple[list[Span], list[Span]]]:
     """(base spans, all spans) of each text."""
@@ -355,6 +399,7 @@ def find(texts: list[str | None], model: BiLstmCrf | None, length: int = WINDOW,
         return [(b, sorted(b)) for b in base]
     found: list[list[tuple[int, int, int, float]]] = [[] for _ in texts]
     rows = [symbols(t or "") for t in texts]
+    edges: list[set[int]] = [set() for _ in texts]
 
     def flush(held: list[tuple[int, np.ndarray, np.ndarray]]) -> None:
         if not held:
@@ -366,7 +411,9 @@ def find(texts: list[str | None], model: BiLstmCrf | None, length: int = WINDOW,
                 size = len(rows[n])
                 for kind, a, b, margin in spans:
                     whole = (a > 0 or start == 0) and (b < length or start + length >= size)
-                    if whole and start + b <= size and margin > model.limit:
+                    if not whole:
+                        edges[n].add(start + (a + b) // 2)
+                    elif start + b <= size and margin > model.limits[kind]:
                         found[n].append((kind, start + a, start + b, margin))
 
     held, count = [], 0
@@ -380,7 +427,12 @@ def find(texts: list[str | None], model: BiLstmCrf | None, length: int = WINDOW,
                     flush(held)
                     held, count = [], 0
     flush(held)
-    return [(b, reconcile(b, f, model.limit)) for b, f in zip(base, found)]
+    for _ in range(RECENTRED):      # a part's middle leads to the span's middle
+        again = [(n, *centred(rows[n], middles, length)) for n, middles in enumerate(edges) if middles]
+        edges = [set() for _ in texts]
+        for at in range(0, len(again), BATCH):
+            flush(again[at:at + BATCH])
+    return [(b, reconcile(b, f, 0.0)) for b, f in zip(base, found)]
 
 
 def spans_of(docs: DataFrame, model: BiLstmCrf | None = None) -> DataFrame:

@@ -3,6 +3,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.llm import pii
@@ -143,3 +144,42 @@ def test_likely_texts_are_all_texts_with_base_spans(spark):
 def test_no_model_from_a_handful_of_windows(spark):
     few = spark.createDataFrame([(n, private(n % 5)) for n in range(500)], "doc_id long, text string")
     assert pii.fitted(few) is None
+
+
+class Marked:
+    """A model that takes runs of Z for personal data."""
+
+    limits = (0.0,) * len(pii.KINDS)
+
+    def decode(self, windows):
+        out = []
+        for w in windows:
+            runs = re.finditer("Z+", "".join(map(chr, np.where(w == pii.PAD, 32, w))))
+            out.append([(0, m.start(), m.end(), 1.0) for m in runs])
+        return out
+
+
+@pytest.mark.parametrize("size", [1, 60, 120, 200])
+def test_spans_over_window_edges_are_seen_whole(size):
+    step = pii.WINDOW - pii.OVERLAP
+    for at in (0, step - 5, step, pii.WINDOW - 1, 2 * step - size // 2, 900 - size):
+        text = "." * max(0, at) + "Z" * size + "." * (900 - max(0, at) - size)
+        (_, spans), = pii.find([text], Marked())
+        assert spans == [(0, max(0, at), max(0, at) + size)]
+
+
+def test_respelled_spans_are_learned_and_prose_is_left_alone():
+    windows, labels = pii.training_windows([private(n) for n in range(500)])
+    model = pii.train(windows, labels)
+    rng, found, tried = np.random.default_rng(3), 0, 0
+    for n in range(500, 620):
+        text = private(n)
+        for kind, a, b in pii.base_spans(text)[:1]:
+            new = pii.respelled(kind, text[a:b], rng)
+            masked = text[:a] + new + text[b:]
+            if any(x < a + len(new) and a < y for _, x, y in pii.base_spans(masked)):
+                continue
+            (_, spans), = pii.find([masked], model)
+            tried, found = tried + 1, found + ((kind, a, a + len(new)) in spans)
+    assert tried > 40 and found > 0.2 * tried
+    assert all(not spans for _, spans in pii.find([words(n, 80) for n in range(200)], model))
