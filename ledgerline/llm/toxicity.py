@@ -39,7 +39,7 @@ import zstandard as zstd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import arrow_map, fold, table, text_key, utf8, without, written
+from ledgerline.llm.common import arrow_map, fold, hash_share, table, text_key, utf8, without, written
 
 FIT_TOXIC, FIT_ORDINARY, FIT_BYTES = 3000, 6000, 48 << 20
 FIT_ID_BYTES = 1 << 20
@@ -182,7 +182,8 @@ def labelled_texts(docs: DataFrame, labels: DataFrame) -> tuple[list[bytes], np.
     known = (labels.where("toxic IN (0, 1) AND doc_id IS NOT NULL").where(fold("doc_id", FOLDS) != HELD_OUT)
              .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
              .withColumn("h", F.xxhash64("doc_id")))
-    parts = [known.where(F.col("toxic") == k).orderBy("h", "doc_id").limit(n)
+    classes = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
+    parts = [hash_share(known.where(F.col("toxic") == k), "h", n, classes.get(k, 0)).orderBy("h", "doc_id").limit(n)
              for k, n in ((1, FIT_TOXIC), (0, FIT_ORDINARY))]
     chosen = written(parts[0].unionByName(parts[1]), "labelled")  # at most FIT_TOXIC + FIT_ORDINARY rows of 20 bytes
     found = docs.where("text IS NOT NULL").join(F.broadcast(chosen), "doc_id")
