@@ -52,6 +52,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import arrow_map, fold, scratch, ship, table, utf8, written
+from ledgerline.session import delete_folder
 
 ORDER = 3
 DISCOUNT = 0.75
@@ -217,7 +218,7 @@ class Level:
         self.pointers = [EliasFano(read(s, "low"), read(s, "high"), read(s, "ranks"), int(read(s, "bits")[0]))
                          for s in segs]
         self.successors = [read(s, "next") for s in segs]
-        self.counts = [read(s, "count") for s in segs]
+        self.read_count = lambda s: read(segs[s], "count")      # of segments that a level above asks for
         self.codes, self.table = [read(s, "code") for s in segs], [read(s, "table") for s in segs]
         self.weights, self.weight_table = [read(s, "weight") for s in segs], [read(s, "weights") for s in segs]
 
@@ -262,7 +263,7 @@ class Level:
         where = np.searchsorted(self.starts, position, side="right") - 1
         for s in np.unique(where):
             own = where == s
-            result[own] = self.counts[s][position[own] - self.starts[s]]
+            result[own] = self.read_count(s)[position[own] - self.starts[s]]
         return result
 
 
@@ -388,7 +389,8 @@ def _write_words(folder: str):
     return run
 
 
-def _write_level(model: Model, n: int, discount: float):
+def _write_level(model: Model, n: int, discount: float, below: bool):
+    """Writer of segments of level n; counts only if it is ``below`` another level, which reads them."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns = _gather(batches)
         if not columns:
@@ -412,10 +414,10 @@ def _write_level(model: Model, n: int, discount: float):
         codes, values = quantise(share)
         weights, weight_values = quantise(weight)
         narrow = np.uint32 if int(successor.max()) < 1 << 32 else np.int64
+        counts = count.astype(np.uint32 if int(count.max()) < 1 << 32 else np.int64)
         for what, array in (("low", ef.low), ("high", ef.high), ("ranks", ef.ranks), ("bits", np.array([ef.bits])),
                             ("next", successor.astype(narrow)), ("code", codes), ("table", values),
-                            ("count", count.astype(np.uint32 if int(count.max()) < 1 << 32 else np.int64)),
-                            ("weight", weights), ("weights", weight_values)):
+                            ("weight", weights), ("weights", weight_values), *([("count", counts)] if below else [])):
             _save(model.folder, f"{n}-{number}-{what}", array)
         yield _manifest((number, len(context), first, int(successor[0]), last, int(sizes[0]), int(sizes[-1]),
                          float(kept[0]), float(kept[-1])))
@@ -512,8 +514,15 @@ def _add(least: int):
     return add
 
 
-def _counted(tokens: DataFrame, model: Model, n: int, shards: int, least: int) -> DataFrame:
-    """(context, successor, count) of the n-grams of order n that occur at least ``least`` times."""
+def _stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` as a table in the shared folder, packed tightly, and its path, to be deleted after its use."""
+    path = scratch(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def _counted(tokens: DataFrame, model: Model, n: int, shards: int, least: int) -> tuple[DataFrame, str]:
+    """(context, successor, count) of the n-grams of order n that occur at least ``least`` times, and their path."""
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, rows = [], 0
         for batch in batches:
@@ -535,7 +544,7 @@ def _counted(tokens: DataFrame, model: Model, n: int, shards: int, least: int) -
             yield from _dealt(held, shards)
 
     blobs = tokens.select("tokens").mapInArrow(count, "shard int, grams binary")
-    return written(blobs.groupBy("shard").applyInArrow(_add(least), "context long, successor long, count long"), "grams")
+    return _stored(blobs.groupBy("shard").applyInArrow(_add(least), "context long, successor long, count long"), "grams")
 
 
 def vocabulary(docs: DataFrame) -> Model:
@@ -556,11 +565,12 @@ def vocabulary(docs: DataFrame) -> Model:
             yield _word_rows(seen)
 
     texts = docs.select(F.col("text").cast("string").alias("text"))
-    counts = written(texts.mapInArrow(words, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")), "words")
+    counts, path = _stored(texts.mapInArrow(words, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")), "words")
     total = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
     ends = counts.where(F.col("h") == F.lit(int(hashed([END])[0]))).first()
     model = Model(_model_folder(spark), int(total["n"] or 0), int(total["v"]), int(ends["c"]) if ends else 0, [])
     model.levels.append(_segments(counts, ["h"], _write_words(model.folder)))
+    delete_folder(spark, path)
     return model
 
 
@@ -583,8 +593,9 @@ def learn(tokens: DataFrame, model: Model, order: int = ORDER, discount: float =
         raise ValueError("orders 1 to 3")
     shards = max(8, -(-model.tokens // SHARD_TOKENS))
     for n in range(2, order + 1 if model.tokens else 0):
-        grams = _counted(tokens, model, n, shards, least)
-        segments = _segments(grams, ["context", "successor"], _write_level(model, n, discount))
+        grams, path = _counted(tokens, model, n, shards, least)
+        segments = _segments(grams, ["context", "successor"], _write_level(model, n, discount, n < order))
+        delete_folder(tokens.sparkSession, path)
         model = replace(model, levels=[*model.levels, segments])
     return model
 
