@@ -57,8 +57,10 @@ def numeric_profile(df: DataFrame, columns: list[str] | None = None) -> dict[str
         c = F.col(f"`{f.name}`")
         t = f.dataType
         if isinstance(t, T.StringType):
+            # most cells are plain integers or plainly something else: the pattern decides the rest
+            integer = F.trim(c).try_cast("bigint").isNotNull()
             blank = c.isNull() | (F.trim(c) == "")
-            numeric = F.bool_and(blank | F.trim(c).rlike(NUMERIC_TEXT))
+            numeric = F.bool_and(F.when(integer | blank, F.lit(True)).otherwise(F.trim(c).rlike(NUMERIC_TEXT)))
         elif isinstance(t, (T.NumericType, T.BooleanType, T.NullType)):
             numeric = F.lit(True)
         else:
@@ -66,8 +68,10 @@ def numeric_profile(df: DataFrame, columns: list[str] | None = None) -> dict[str
         if isinstance(t, (T.IntegralType, T.BooleanType, T.NullType)):
             whole = F.lit(True)
         else:
-            whole = F.coalesce(F.bool_and(_as_double(c, t).isNull() | _as_whole(c, t).isNotNull()),
-                               F.lit(True))
+            fits = _as_double(c, t).isNull() | _as_whole(c, t).isNotNull()
+            if isinstance(t, T.StringType):
+                fits = F.when(integer, F.lit(True)).otherwise(fits)
+            whole = F.coalesce(F.bool_and(fits), F.lit(True))
         aggs += [F.coalesce(numeric, F.lit(True)).alias(f"n{len(names)}"),
                  whole.alias(f"w{len(names)}")]
         names.append(f.name)
