@@ -139,13 +139,34 @@ def text_key(text: Column) -> Column:
     return F.concat(F.hex(F.xxhash64(raw, F.lit(1))), F.hex(F.xxhash64(raw, F.lit(2))))
 
 
+def free(df: DataFrame, name: str) -> str:
+    """``name``, with underscores in front until no column of ``df`` is called so (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def _by_row(docs: DataFrame, named: DataFrame, how: str) -> DataFrame:
+    """Rows of ``docs`` whose (doc_id, text_key) is (left_semi) or is not (left_anti) among ``named`` (doc_id, __text)."""
+    text, other_id, other_text = (free(docs, n) for n in ("_text", "_other_id", "_other_text"))
+    named = named.select(F.col("doc_id").alias(other_id), F.col("__text").alias(other_text))
+    same = F.col("doc_id").eqNullSafe(F.col(other_id)) & F.col(text).eqNullSafe(F.col(other_text))
+    return docs.withColumn(text, text_key(F.col("text"))).join(named, same, how).select(
+        *[f"`{c}`" for c in docs.columns])
+
+
 def without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
     """Rows of ``docs`` whose (doc_id, text_key) is not among ``rejected`` (doc_id, __text); nulls compare equal."""
-    gone = written(rejected.distinct(), "rejected").select(
-        F.col("doc_id").alias("__gone_id"), F.col("__text").alias("__gone_text"))
-    keyed = docs.withColumn("__text", text_key(F.col("text")))
-    same = F.col("doc_id").eqNullSafe(F.col("__gone_id")) & F.col("__text").eqNullSafe(F.col("__gone_text"))
-    return keyed.join(gone, same, "left_anti").select(*docs.columns)
+    return _by_row(docs, written(rejected.distinct(), "rejected"), "left_anti")
+
+
+def only(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose (doc_id, text_key) is among ``kept`` (doc_id, __text), each of these once."""
+    found = _by_row(docs, written(kept.distinct(), "kept"), "left_semi")
+    nth = free(docs, "_nth")
+    same = Window.partitionBy("doc_id", text_key(F.col("text"))).orderBy(F.lit(0))
+    return found.withColumn(nth, F.row_number().over(same)).where(F.col(nth) == 1).drop(nth)
 
 
 def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:

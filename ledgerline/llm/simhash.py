@@ -31,10 +31,10 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import arrow_map, components, table, utf8, written
+from ledgerline.llm.common import arrow_map, components, only, table, text_key, utf8, written
 
 SHINGLE_WORDS = 3
 MAX_BITS = 2
@@ -72,9 +72,8 @@ def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str =
         fps = [fingerprint(t, words, seed) for t in utf8(rows, "text")]
         return {"doc_id": rows.column(0), "fp": pa.array(np.array(fps, np.uint64).view(np.int64))}
 
-    rows = docs.select(F.col(id_column).cast("long").alias("doc_id"),
-                       F.col(text_column).cast("string").alias("text"))
-    return arrow_map(rows, batch, "doc_id long, fp long")
+    rows = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).cast("string").alias("text"))
+    return arrow_map(rows, batch, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, fp long")
 
 
 def _segment_counts(fp: Column, segment: int) -> list[Column]:
@@ -152,14 +151,16 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of each group the document with the smallest id stays.
+    """Pipeline stage: of each group of near copies one row stays, the one of smallest (id, text hash).
 
-    A row repeated with the same id and text stays once; an id that names
-    several different texts stays with all of them if it is kept at all. A row
-    without an id cannot be named as a copy and stays.
+    Rows without an id are compared like others and come last; a row repeated
+    with the same id and text stays once. Of an id that names several texts
+    only those stay that are the first of their group.
     """
-    known = near_duplicates(docs.where("doc_id IS NOT NULL")).where("doc_id = component_id")
-    kept = docs.join(known.select("doc_id").distinct(), "doc_id", "left_semi")
-    same = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.lit(0))
-    once = kept.withColumn("__nth", F.row_number().over(same)).where("__nth = 1").drop("__nth")
-    return once.unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
+    key = F.coalesce(text_key(F.col("text")), F.lit(""))
+    texts = docs.select(key.alias("key"), "text")
+    found = near_duplicates(texts, "key")      # a text, not a row, has a fingerprint
+    groups = written(found.groupBy("doc_id").agg(F.min("component_id").alias("group")), "groups")
+    rows = docs.select("doc_id", key.alias("key")).join(groups.withColumnRenamed("doc_id", "of"), F.col("key") == F.col("of"))
+    first = rows.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key")).alias("row"))
+    return only(docs, first.select("row.doc_id", F.nullif("row.key", F.lit("")).alias("__text")))

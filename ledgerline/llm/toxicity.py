@@ -234,6 +234,6 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """
     labels = table(spark, sf_dir, "labels", "doc_id", "toxic")
     model = fit(*labelled_texts(docs.select("doc_id", "text"), labels))
-    keyed = docs.withColumn("__text", text_key(F.col("text")))
+    keyed = docs.select("doc_id", "text", text_key(F.col("text")).alias("__text"))
     verdicts = scored(keyed, model, row_column="__text")
     return without(docs, verdicts.where(F.col("score") >= PREDICT_AT).select("doc_id", F.col("row").alias("__text")))
