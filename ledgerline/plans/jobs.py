@@ -11,10 +11,11 @@ from __future__ import annotations
 
 import datetime as dt
 import functools
+import logging
 import posixpath
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,11 +25,13 @@ from ledgerline.operators import ids as I
 from ledgerline.schemas import (ATTRIBUTION_METRICS, ITEM_KINDS, REGISTRANT_DURATION_FIELDS,
                                 REGISTRANT_ID_FIELDS, REGISTRANT_TIMESTAMP_FIELDS, TRANSACTION_DDL,
                                 TRANSACTIONS_PAGE_SIZE)
-from ledgerline.session import Workspace
+from ledgerline.session import Workspace, counted
 from ledgerline.sinks import tables as K
 from ledgerline.sources import landing as L
 from ledgerline.streaming import paged as X
 
+LOG = logging.getLogger("ledgerline")
+
 ENVELOPE = "request string, page bigint, body string"
 
 # Request paths of the store service, per item kind (fixed values).
@@ -55,25 +58,31 @@ def staged(job):
 
 # --- responses -------------------------------------------------------------
 
-def landed(ws: Workspace, landing: str, fields: str, body: str, table: str) -> DataFrame:
+def landed(ws: Workspace, landing: str, fields: str, body: str, table: str, literals: bool = False) -> DataFrame:
     """Landed lines under ``fields`` whose ``body`` field is one whole JSON
     object or list, as text. Others (error pages, cut-off bodies, bodies with
     something behind them, lines that are no envelope) are appended to
     ``<table>_rejected`` with the run they came in, and take no part. The
-    landing is read once; what follows reads the stage."""
+    landing is read once; what follows reads the stage. With ``literals`` a body
+    written as a Python literal (single quotes, None, True) is taken as JSON (S10)."""
     env = ws.spark.read.schema(f"{fields}, _corrupt_record string").json(landing)
     names = [c for c in env.columns if c != "_corrupt_record"]
     record = F.coalesce("_corrupt_record", F.to_json(F.struct(*names)))
     stage = ws.stage()
-    good, rejected, counts = L.staged_check(env, L.is_json(F.col(body)), record, stage)
+    if literals:
+        env = env.withColumn("_json", L.json_or_literal(F.col(body)))
+        good, rejected, counts = L.staged_check(env, F.col("_json").isNotNull(), record, stage)
+        good = good.withColumn(body, F.col("_json"))
+    else:
+        good, rejected, counts = L.staged_check(env, L.is_json(F.col(body)), record, stage)
     if counts["rejected"]:
         K.write(rejected.withColumn("run", F.lit(posixpath.basename(stage))), f"{table}_rejected", "append", evolve=True)
     return good.select(*names)
 
 
-def responses(ws: Workspace, landing: str, table: str) -> DataFrame:
+def responses(ws: Workspace, landing: str, table: str, literals: bool = False) -> DataFrame:
     """``landed`` for the envelope of the store service."""
-    return landed(ws, landing, ENVELOPE, "body", table)
+    return landed(ws, landing, ENVELOPE, "body", table, literals)
 
 
 def requested(resp: DataFrame, wanted: DataFrame, on: str = "request") -> DataFrame:
@@ -117,7 +126,7 @@ def load_items(ws: Workspace, items: DataFrame, table: str, mode: str = "append"
 def store_entity(ws: Workspace, kind: str, list_landing: str, price_landing: str,
                  info_landing: str | None = None) -> dict[str, str]:
     """Item list (overwrite), price options and details of the live
-    items, without copies: an overwritten table gets the distinct rows, an
+    items (bodies as JSON or as Python literals, S10), without copies: an overwritten table gets the distinct rows, an
     accumulating one those that it lacks (M1)."""
     spark = ws.spark
     key = ITEM_KINDS[kind]
@@ -131,7 +140,7 @@ def store_entity(ws: Workspace, kind: str, list_landing: str, price_landing: str
             return load_items(ws, items, table, mode, narrow_numeric, load=lambda rows: K.append_distinct(rows, table, ws.stage()))
         return load_items(ws, items, table, mode, lambda rows: K.distinct(narrow_numeric(rows)))
 
-    load(responses(ws, list_landing, list_name), list_name, "overwrite", False)
+    load(responses(ws, list_landing, list_name, literals=True), list_name, "overwrite", False)
     live = I.live_ids(spark.table(list_name), key)
     out = {"list": list_name}
     mode = "append" if kind == "product" else "overwrite"
@@ -140,7 +149,7 @@ def store_entity(ws: Workspace, kind: str, list_landing: str, price_landing: str
         if landing is None:
             continue
         wanted = I.per_id_requests(live, key, path[kind])
-        load(requested(responses(ws, landing, table), wanted), table, mode, True)
+        load(requested(responses(ws, landing, table, literals=True), wanted), table, mode, True)
         out[what] = table
     return out
 
@@ -204,8 +213,9 @@ def transactions_sync(ws: Workspace, landing: str, as_of: dt.date,
     twice, and the last page wanted may hold rows that are already stored, so
     copies are left out of the batch: of rows in it, and of stored rows of its
     days (equal ids and equal 128-bit fingerprints of the whole row). The day
-    slice ``as_of`` is de-duplicated (M2). Raises ``IncompleteSync`` if rows of
-    the service's total are still missing."""
+    slice ``as_of`` is de-duplicated (M2). Rows with fields outside the schema
+    are counted in the log. Raises ``IncompleteSync`` if rows of the service's
+    total are still missing."""
     spark = ws.spark
     t = ws.table("transactions")
     resp = responses(ws, landing, t)
@@ -213,7 +223,9 @@ def transactions_sync(ws: Workspace, landing: str, as_of: dt.date,
     pages = _pages_wanted(spark, t, total, page_size)
     wanted = requested(resp, pages, "page")
     texts = L.listed_items(wanted, "transactions", "body")
-    typed = L.typed_rows(texts, "item", TRANSACTION_DDL)
+    seen = Observation()
+    watched = texts.observe(seen, F.count_if(L.outside_schema(F.col("item"), TRANSACTION_DDL)).alias("outside"))
+    typed = L.typed_rows(watched, "item", TRANSACTION_DDL)
     stage = ws.stage()
     try:
         K.distinct(typed).write.parquet(stage)
@@ -221,6 +233,8 @@ def transactions_sync(ws: Workspace, landing: str, as_of: dt.date,
         K.write(texts, f"{t}_errors", "append", evolve=True)
         _check_complete(spark, t, total)
         return t
+    if outside := counted(seen).get("outside"):
+        LOG.warning("%s: %d rows have fields outside the fixed schema, which are not loaded", t, outside)
     rows = spark.read.schema(typed.schema).parquet(stage)
     if K.exists(spark, t):
         rows = K.rows_not_in(rows, spark.table(t), TRANSACTION_KEYS, "date")

@@ -8,7 +8,8 @@ import posixpath
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Observation, SparkSession
 
 # Settings the engine relies on. Timestamps in the data model are UTC, dynamic
 # partition overwrite is what makes day-slice rewrites safe, and AQE re-plans
@@ -78,6 +79,15 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def counted(seen: Observation) -> dict:
+    """What was observed while rows were written; nothing if there were none (AQE then drops the
+    plan together with its counts)."""
+    try:
+        return dict(seen.get)
+    except Py4JJavaError:
+        return {}
+
+
 class Workspace:
     """A catalog database whose table files live under the shared folder.
 

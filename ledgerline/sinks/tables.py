@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.errors import SchemaMismatch
-from ledgerline.session import scratch
+from ledgerline.session import counted, scratch
 from ledgerline.sinks import storage as S
 from ledgerline.sinks.storage import partition_columns
 from ledgerline.sources.landing import is_json, staged_check
@@ -68,12 +68,18 @@ def drop_table(spark: SparkSession, table: str) -> None:
     S.drop(spark, table)
 
 
+def gathered(df: DataFrame, parts: Sequence[str]) -> DataFrame:
+    """Rows of a partition brought to few tasks, so that it gets few files instead of one from
+    every task; AQE splits a large partition over tasks and joins small ones in one."""
+    return df.hint("rebalance", *parts) if parts else df
+
+
 def _laid_out(df: DataFrame, partition_by: Sequence[str] | None, cluster_by: Sequence[str] | None) -> DataFrame:
     """K7: rows in ranges of the clustering columns (within partitions, if there are any), so
     files hold narrow ranges and a filter on these columns skips most of them. Ranges are cut
     by sampling; a range with many rows of one value is split by the columns that follow."""
     if not cluster_by:
-        return df
+        return gathered(df, partition_by or ())
     order = [*(partition_by or ()), *cluster_by]
     return df.repartitionByRange(*order).sortWithinPartitions(*order)
 
@@ -134,7 +140,12 @@ def write(df: DataFrame, table: str, mode: str = "overwrite",
         return
     if mode == "empty" and not spark.table(table).isEmpty():
         raise TableNotEmpty(table)
-    conform(df, table, evolve).write.mode("append").insertInto(table)
+    _append(conform(df, table, evolve), table)
+
+
+def _append(rows: DataFrame, table: str) -> None:
+    """Append rows that have the table's columns."""
+    gathered(rows, partition_columns(_spark(rows), table)).write.mode("append").insertInto(table)
 
 
 # --- conforming a batch to its table -------------------------------------------
@@ -438,7 +449,7 @@ def append_distinct(df: DataFrame, table: str, stage: str) -> None:
     if not suspects.isEmpty():
         old = stored.join(suspects, FINGERPRINT, "left_semi")
         batch = _without_equal(batch, old, [FINGERPRINT, *names])
-    batch.select(*[f"`{c}`" for c in stored.columns]).write.mode("append").insertInto(table)
+    _append(batch.select(*[f"`{c}`" for c in stored.columns]), table)
 
 
 def _without_equal(rows: DataFrame, old: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -522,9 +533,9 @@ def replace_slice(df: DataFrame, table: str, values: Mapping[str, object],
     files = S.adopt(spark, table) if there else S.files_folder(spark, table)
     folder, whole = S.fresh(files), set(values) <= set(parts)
     rows = conform(df, table) if there else df
-    writer = rows.observe(counts, F.count_if(~inside).alias("outside")).write
+    writer = gathered(rows, parts if whole else ()).observe(counts, F.count_if(~inside).alias("outside")).write
     (writer.partitionBy(*parts) if whole else writer).parquet(folder)
-    if counts.get["outside"]:
+    if counted(counts).get("outside"):
         S.delete_folder(spark, folder)
         raise ValueError(f"rows outside the slice {dict(values)} in the result for {table}")
     if whole:
@@ -644,7 +655,7 @@ def align_append(df: DataFrame, table: str, partition_by: Sequence[str] | None =
     if replace_partitions:
         overwrite_partitions(aligned, table)
     else:
-        aligned.write.mode("append").insertInto(table)
+        _append(aligned, table)
     return added
 
 
@@ -674,7 +685,7 @@ def append_fitting(df: DataFrame, table: str, tags: Mapping[str, object] | None
     fitting = made.observe(wrong, F.count_if(~F.col("_fits")).alias("n")).filter(F.col("_fits")).select(
         *[f"`{c}`" for c in names])
     _append_tagged(fitting, table, tags, may_be_replay)
-    return Misfits(wrong.get["n"], made.filter(~F.col("_fits")).select("record"))
+    return Misfits(counted(wrong).get("n", 0), made.filter(~F.col("_fits")).select("record"))
 
 
 def append_errors(records: DataFrame, table: str, tags: Mapping[str, object] | None = None,

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from ledgerline.errors import SchemaMismatch
 from ledgerline.functions.shape import flatten_structs, to_ndjson
-from ledgerline.session import scratch
+from ledgerline.session import counted, scratch
 
 #: White space around a JSON value.
 BLANKS = " \t\r\n"
@@ -108,15 +108,18 @@ def _cast_fields(raw: DataFrame, schema: T.StructType) -> DataFrame:
                         for f in schema.fields])
 
 
-def fields_outside_schema(spark: SparkSession, path: str, schema: T.StructType | str) -> int:
-    """Number of JSON lines carrying top-level fields the fixed schema does
-    not have (those fields are not loaded; this reports them). One pass."""
+def outside_schema(c: Column, schema: T.StructType | str) -> Column:
+    """Whether a JSON object in text has top-level fields that the fixed schema lacks."""
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
     known = F.array(*[F.lit(f.name) for f in schema.fields])
-    keys = F.json_object_keys("value")
-    extra = F.size(F.array_except(F.coalesce(keys, F.array().cast("array<string>")), known)) > 0
-    return spark.read.text(path).agg(F.count_if(extra)).first()[0]
+    return F.size(F.array_except(F.coalesce(F.json_object_keys(c), F.array().cast("array<string>")), known)) > 0
+
+
+def fields_outside_schema(spark: SparkSession, path: str, schema: T.StructType | str) -> int:
+    """Number of JSON lines carrying top-level fields the fixed schema does
+    not have (those fields are not loaded; this reports them). One pass."""
+    return spark.read.text(path).agg(F.count_if(outside_schema(F.col("value"), schema))).first()[0]
 
 
 def read_ndjson_inferred(spark: SparkSession, path: str, sampling_ratio: float = 1.0) -> DataFrame:
@@ -156,7 +159,8 @@ def staged_check(rows: DataFrame, good: Column, record: Column, stage: str) -> t
     flagged.write.partitionBy("_good").parquet(stage)
     back = rows.sparkSession.read.schema(flagged.schema).parquet(stage)
     return (back.filter(F.col("_good")).select(*[f"`{c}`" for c in rows.columns]),
-            back.filter(~F.col("_good")).select(F.col("_record").alias("record")), seen.get)
+            back.filter(~F.col("_good")).select(F.col("_record").alias("record")),
+            {"rows": 0, "rejected": 0} | counted(seen))
 
 
 def _elements(doc: Column) -> Column:
@@ -363,6 +367,12 @@ def lenient_json(c: Column, schema: T.StructType | str) -> Column:
              .otherwise(F.raise_error(F.concat(F.lit("invalid JSON string provided: "), c)).cast(schema)))
 
 
+def json_or_literal(c: Column) -> Column:
+    """S10 for a whole document: JSON as it is, a Python literal as JSON, null for anything else."""
+    literal = _literal_as_json(c)
+    return F.when(is_json(c), c).when(is_json(literal), literal)
+
+
 def _literal_as_json(c: Column) -> Column:
     """A Python literal as JSON text. The text is cut into quoted and bare
     pieces by one linear expression (no backtracking, so long documents are

@@ -195,3 +195,36 @@ def test_stages_go_when_a_job_ends(spark, ws):
     assert not os.path.exists(stages) or os.listdir(stages) == []
     ws.drop()
     assert not spark.catalog.databaseExists(ws.name) and not os.path.exists(ws.root.removeprefix("file:"))
+
+
+def test_store_bodies_written_as_literals_load(spark, ws):
+    lst = lines(spark, ws.path("l"), [WHOLE.replace('"a"', '"/api/external/bumps"') % (
+        1, json.dumps("[{'bump_id': 1, 'label': 'it\\'s', 'statusString': 'live', 'vat': None}]")),
+        WHOLE % (2, '"<html>"')])
+    prices = lines(spark, ws.path("p"), [WHOLE.replace('"a"', '"/api/external/bumps/1/pricing_options"') % (
+        1, json.dumps("{'id': 7, 'name': 'x', 'price': 5, 'on': True}"))])
+    out = J.store_entity(ws, "bump", lst, prices)
+    assert [(r.bump_id, r.label) for r in spark.table(out["list"]).collect()] == [(1, "it's")]
+    assert [(r.id, r.price) for r in spark.table(out["prices"]).collect()] == [(7, 5)]
+    assert spark.table(out["list"] + "_rejected").count() == 1
+
+
+def test_fields_outside_the_schema_are_counted_in_the_log(spark, ws, caplog):
+    body = ('{"transactions": [{"transaction_id": "t", "event_id": 1, "date": "2024-01-01", "new": 1}, '
+            '{"transaction_id": "u", "event_id": 2, "date": "2024-01-01"}], "meta": {"total": 2}}')
+    J.transactions_sync(ws, lines(spark, ws.path("tx"), [WHOLE % (1, body)]), dt.date(2024, 1, 1))
+    assert any("1 rows have fields outside" in r.getMessage() for r in caplog.records)
+
+
+def test_a_partitioned_load_writes_few_files(spark, ws):
+    t = ws.table("t")
+    df = spark.range(0, 4000, 1, 16).select("id", (J.F.col("id") % 50).alias("p"))
+    J.K.write(df, t, "append", partition_by=["p"])
+    J.K.write(df, t, "append")
+    assert len(spark.table(t).inputFiles()) <= 2 * 50 + 16
+
+
+def test_pages_without_rows(spark, ws):
+    path = lines(spark, ws.path("tx"), [WHOLE % (1, '{"transactions": [], "meta": {"total": 0}}')])
+    t = J.transactions_sync(ws, path, dt.date(2024, 1, 1))
+    assert spark.table(t).count() == 0

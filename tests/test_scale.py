@@ -107,10 +107,16 @@ def test_a_hot_bucket_is_written_by_several_tasks(spark, ws):
     t = ws.table("t")
     many = spark.range(0, 40000, 1, 8).select(F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("id"),
                                               F.col("id").alias("v"))
-    K.replace_keys(many, t, ["id"], buckets=4)
-    K.replace_keys(spark.createDataFrame([("1", 5)], "id string, v bigint"), t, ["id"])
-    hot = spark.table(t).filter("id = 'hot'").select(K.KEY_BUCKET).first()[0]
-    assert len(files(spark, t, f"{K.KEY_BUCKET} = {hot}")) > 1
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "8k")      # a large bucket, in small
+    try:
+        K.replace_keys(many, t, ["id"], buckets=4)
+        hot = spark.table(t).filter("id = 'hot'").select(K.KEY_BUCKET).first()[0]
+        assert len(files(spark, t, f"{K.KEY_BUCKET} = {hot}")) > 1
+        K.replace_keys(spark.createDataFrame([("1", 5)], "id string, v bigint"), t, ["id"])
+    finally:
+        spark.conf.set(size, before)
     assert spark.table(t).count() == 40000
 
 
