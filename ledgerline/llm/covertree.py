@@ -34,6 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerline.llm.common import arrow_map, components, ship, table, written
 
@@ -216,7 +217,9 @@ def _compare(classes: DataFrame, threshold: float, block: int) -> DataFrame:
             sample = (classes.where((F.col("label") == r["label"]) & (F.col("dim") == r["dim"]))
                       .select("emb", F.xxhash64("k1").alias("h")).orderBy("h").limit(count).collect())
             pivots[r["label"], r["dim"]] = _unit(np.array([s["emb"] for s in sample], np.float64))
-    fields = "label string, dim int, cls long, n long, emb array<float>"
+    # components keep their precision: float as float, anything else as double
+    kind = "array<float>" if isinstance(classes.schema["emb"].dataType.elementType, T.FloatType) else "array<double>"
+    fields = f"label string, dim int, cls long, n long, emb {kind}"
     columns = [f.split()[0] for f in fields.split(", ")]
 
     def groups(batch: pa.RecordBatch) -> Iterator[tuple[tuple[str, int], np.ndarray]]:
@@ -231,7 +234,7 @@ def _compare(classes: DataFrame, threshold: float, block: int) -> DataFrame:
             cell[at], far[at] = away.argmin(axis=1), away.min(axis=1)
         return {c: batch.column(i) for i, c in enumerate(columns)} | {"cell": pa.array(cell), "far": pa.array(far)}
 
-    rows = classes.select("label", "dim", "cls", "n", F.col("emb").cast("array<float>").alias("emb"))
+    rows = classes.select("label", "dim", "cls", "n", F.col("emb").cast(kind).alias("emb"))
     homes = written(arrow_map(rows, assign, fields + ", cell int, far double"), "homes")
     radius = {k: np.full(len(p), -1.0) for k, p in pivots.items()}
     if pivots:

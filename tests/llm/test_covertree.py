@@ -88,3 +88,21 @@ def test_levels_nest_and_halve():
             assert any(tree.centre[k] == tree.centre[node] for k in kids)
             assert all(tree.radius[k] <= reach / 2 + 1e-6 for k in kids)
             todo += [(k, reach / 2) for k in kids]
+
+
+def test_double_vectors_at_the_threshold(spark):
+    """Pairs whose cosine is within 1e-9 of the threshold: single precision would misjudge them."""
+    rng, threshold, rows, want = np.random.default_rng(5), 0.93, [], {}
+    for k in range(200):
+        x = rng.normal(size=6)
+        x /= np.sqrt(x @ x)
+        y = rng.normal(size=6)
+        y -= (y @ x) * x
+        y /= np.sqrt(y @ y)
+        cosine = threshold + (1e-9 if k % 2 else -1e-9)
+        z = cosine * x + np.sqrt(1 - cosine * cosine) * y
+        rows += [(2 * k, x.tolist(), k), (2 * k + 1, z.tolist(), k)]
+        want[2 * k] = want[2 * k + 1] = k % 2
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r["vec_id"]: r["n_links"] for r in covertree.linked(frame, threshold).collect()}
+    assert got == want
