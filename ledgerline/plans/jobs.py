@@ -141,8 +141,10 @@ def store_entity(ws: Workspace, kind: str, list_landing: str, price_landing: str
         return load_items(ws, items, table, mode, lambda rows: K.distinct(narrow_numeric(rows)))
 
     load(responses(ws, list_landing, list_name, literals=True), list_name, "overwrite", False)
-    live = I.live_ids(spark.table(list_name), key)
     out = {"list": list_name}
+    if not K.exists(spark, list_name):      # nothing was listed, or it could not load
+        return out
+    live = I.live_ids(spark.table(list_name), key)
     mode = "append" if kind == "product" else "overwrite"
     for what, landing, path, table in (("prices", price_landing, PRICE_PATH, price_name),
                                        ("info", info_landing, INFO_PATH, info_name)):
@@ -257,9 +259,10 @@ def registrants_sync(ws: Workspace, platform: str, list_landing: str, detail_lan
 
     lists = landed(ws, list_landing, "webinars string", "webinars", names["webinars"])
     listed = L.listed_items(lists, column="webinars")
-    if not load_items(ws, listed, names["webinars"]):
-        return names
+    load_items(ws, listed, names["webinars"])
     ids = L.item_ids(listed, "webinar_id", "bigint")
+    if ids.isEmpty():
+        return names
 
     details = landed(ws, detail_landing, "webinar string", "webinar", names["webinar_details"])
     own = F.get_json_object("webinar", "$.webinar_id").try_cast("bigint")

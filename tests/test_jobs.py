@@ -228,3 +228,19 @@ def test_pages_without_rows(spark, ws):
     path = lines(spark, ws.path("tx"), [WHOLE % (1, '{"transactions": [], "meta": {"total": 0}}')])
     t = J.transactions_sync(ws, path, dt.date(2024, 1, 1))
     assert spark.table(t).count() == 0
+
+
+def test_a_list_that_cannot_load_does_not_stop_its_webinars(spark, ws):
+    lists = lines(spark, ws.path("l"), ['{"webinars": [{"webinar_id": 1, "n": 1, "N": 2}]}'])
+    details = lines(spark, ws.path("d"), ['{"webinar": {"webinar_id": 1, "n": 2}}'])
+    regs = lines(spark, ws.path("r"), ['{"webinar_id": 1, "registrants": {"data": [{"id": 7, "signup_date": null}]}}'])
+    out = J.registrants_sync(ws, "webinarjam", lists, details, regs, dt.date(2024, 1, 30))
+    assert spark.table(out["webinars"] + "_errors").count() == 1
+    assert [r.webinar_id for r in spark.table(out["webinar_details"]).collect()] == [1]
+    assert [r.id for r in spark.table(out["registrants"]).collect()] == [7]
+
+
+def test_an_empty_list_of_items(spark, ws):
+    empty = lines(spark, ws.path("l"), [WHOLE % (1, "[]")])
+    out = J.store_entity(ws, "bump", empty, empty)
+    assert not spark.catalog.tableExists(out["list"])
