@@ -147,26 +147,35 @@ def free(df: DataFrame, name: str) -> str:
     return name
 
 
-def _by_row(docs: DataFrame, named: DataFrame, how: str) -> DataFrame:
-    """Rows of ``docs`` whose (doc_id, text_key) is (left_semi) or is not (left_anti) among ``named`` (doc_id, __text)."""
-    text, other_id, other_text = (free(docs, n) for n in ("_text", "_other_id", "_other_text"))
-    named = named.select(F.col("doc_id").alias(other_id), F.col("__text").alias(other_text))
-    same = F.col("doc_id").eqNullSafe(F.col(other_id)) & F.col(text).eqNullSafe(F.col(other_text))
-    return docs.withColumn(text, text_key(F.col("text"))).join(named, same, how).select(
-        *[f"`{c}`" for c in docs.columns])
+def row_key(doc_id: Column, text: Column) -> Column:
+    """One text for an id and a text's key, either of which may be null."""
+    named = [F.when(c.isNull(), F.lit("-")).otherwise(F.concat(F.lit("="), c.cast("string"))) for c in (doc_id, text)]
+    return F.concat(named[0], F.lit(" "), named[1])
+
+
+def _by_row(docs: DataFrame, named: DataFrame, how: str) -> tuple[DataFrame, str]:
+    """Rows of ``docs`` whose (doc_id, text_key) is (left_semi) or is not (left_anti) among ``named``
+    (doc_id, __text), with that key in a column of the name returned."""
+    key = free(docs, "_row")
+    named = named.select(row_key(F.col("doc_id"), F.col("__text")).alias(key))
+    return docs.withColumn(key, row_key(F.col("doc_id"), text_key(F.col("text")))).join(named, key, how), key
 
 
 def without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
     """Rows of ``docs`` whose (doc_id, text_key) is not among ``rejected`` (doc_id, __text); nulls compare equal."""
-    return _by_row(docs, written(rejected.distinct(), "rejected"), "left_anti")
+    found, _ = _by_row(docs, written(rejected.distinct(), "rejected"), "left_anti")
+    return found.select(*[f"`{c}`" for c in docs.columns])
 
 
 def only(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose (doc_id, text_key) is among ``kept`` (doc_id, __text), each of these once."""
-    found = _by_row(docs, written(kept.distinct(), "kept"), "left_semi")
-    nth = free(docs, "_nth")
-    same = Window.partitionBy("doc_id", text_key(F.col("text"))).orderBy(F.lit(0))
-    return found.withColumn(nth, F.row_number().over(same)).where(F.col(nth) == 1).drop(nth)
+    """Rows of ``docs`` whose (doc_id, text_key) is among ``kept`` (doc_id, __text), each of these once.
+
+    The join and the numbering of equal rows share one shuffle by the key.
+    """
+    found, key = _by_row(docs, written(kept.distinct(), "kept"), "left_semi")
+    nth = free(found, "_nth")
+    return found.withColumn(nth, F.row_number().over(Window.partitionBy(key).orderBy(key))).where(
+        F.col(nth) == 1).select(*[f"`{c}`" for c in docs.columns])
 
 
 def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
