@@ -3,6 +3,7 @@ import re
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from ledgerline.llm import quality
 from tests.llm.helpers import awkward, docs, save, words
@@ -83,3 +84,29 @@ def test_empty_table(spark, tmp_path):
     save(docs(spark, []), tmp_path, "documents")
     save(spark.createDataFrame([(1, 1, 0), (None, 0, 0)], "doc_id long, quality int, toxic int"), tmp_path, "labels")
     assert quality.op1_quality(spark, str(tmp_path)).count() == 0
+
+
+def test_all_labelled_rows_take_part(spark):
+    n = 50_000      # more than were read before
+    stats = spark.range(n).select(F.col("id").alias("doc_id"), *[
+        F.lit(0).cast("long").alias(c) if c != "n_words" else F.lit(50).cast("long").alias(c) for c in quality.COUNTS])
+    labels = spark.range(n).select(F.col("id").alias("doc_id"), (F.col("id") % 5 != 0).cast("int").alias("quality"))
+    assert quality.labelled_rows(stats, labels).count() == n
+
+
+def test_numbers_and_order_statistics_over_all_rows(spark):
+    rng = np.random.default_rng(5)
+    rows = [(int(q), int(h), int(h) >> 48, *map(int, c)) for q, h, c in zip(
+        rng.integers(0, 2, 400), rng.integers(-2 ** 63, 2 ** 63 - 1, 400), rng.integers(0, 9, (400, len(quality.COUNTS))))]
+    rows += rows[:50]
+    frame = spark.createDataFrame(rows, "quality int, h long, range long, " + ", ".join(f"{c} long" for c in quality.COUNTS))
+    sizes = Counter((r[0], r[2]) for r in rows)
+    own = {q: sorted((r[1], *r[3:]) for r in rows if r[0] == q) for q in (0, 1)}
+    got = quality.numbered(frame, {q: np.arange(len(own[q])) for q in (0, 1)}, sizes)
+    assert got == {(q, i): list(r[1:]) for q in (0, 1) for i, r in enumerate(own[q])}
+
+    a, b = rng.uniform(size=500), np.repeat(rng.uniform(size=50), 10)
+    bits = spark.createDataFrame([(int(x.view(np.int64)), int(y.view(np.int64))) for x, y in zip(a, b)], "a long, b long")
+    for k in (0, 7, 499):
+        found = quality.kth_largest(bits, {"a": k, "b": k})
+        assert [np.int64(found[n]).view(np.float64) for n in "ab"] == [np.sort(a)[499 - k], np.sort(b)[499 - k]]
