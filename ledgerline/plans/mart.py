@@ -31,7 +31,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.operators.relational import spread_left_join
+from ledgerline.operators.relational import kept, spread_left_join, will_broadcast
 from ledgerline.schemas import ITEM_KINDS, MART_FIELDS
 
 
@@ -42,6 +42,10 @@ def _by_kind(kind: Column, choices: Mapping[str, Column], default: Column) -> Co
     return out.otherwise(default)
 
 
+#: Columns of the transactions that the mart reads.
+_READ = {"customer", "item_id", "item_pricing_option_id", "item_pricing_option_name", *(n for n, _ in MART_FIELDS)}
+
+
 def sales_mart(transactions: DataFrame, prices: Mapping[str, DataFrame],
                item_lists: Mapping[str, DataFrame], as_of: dt.date) -> DataFrame:
     """Mart rows for ``as_of``; ``prices`` and ``item_lists`` are keyed by item kind."""
@@ -69,9 +73,13 @@ def sales_mart(transactions: DataFrame, prices: Mapping[str, DataFrame],
              .withColumn("i_kind", F.lit(kind)))
         tagged_items = i if tagged_items is None else tagged_items.unionByName(i)
 
+    source = None
+    if not (will_broadcast(tagged_prices) and will_broadcast(tagged_items)):
+        # both joins count the keys of the day's rows, which are written once
+        tx = source = kept(tx.select(*[c for c in tx.columns if c in _READ]))
     joined = spread_left_join(tx, tagged_prices, [("item_type", "p_kind"), ("item_pricing_option_id", "p_id"),
-                                                  ("item_pricing_option_name", "p_name")])
-    joined = spread_left_join(joined, tagged_items, [("item_type", "i_kind"), ("item_id", "i_id")])
+                                                  ("item_pricing_option_name", "p_name")], source=source)
+    joined = spread_left_join(joined, tagged_items, [("item_type", "i_kind"), ("item_id", "i_id")], source=source)
 
     kind = F.col("item_type")
     ac = F.col("p_affiliate_commissions")

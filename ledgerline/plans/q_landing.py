@@ -39,7 +39,7 @@ def q_src_ndjson_typed(spark, sf_dir):
                   F.regexp_replace(line, r'"quantity":(\d+)', '"quantity":"$1"')).otherwise(line)
     line = F.when(F.col("event_id") % 5 == 0,
                   F.regexp_replace(line, r'"amount":(\d+)', '"amount":$1.0')).otherwise(line)
-    path = L.land_text(tx.select(line.alias("value")), ws.path("transactions"))
+    path = L.land_text(tx.select(line.alias("value")), ws.path("transactions"), compression="gzip", file_rows=250_000)
     return S.flat_output(L.read_ndjson_typed(spark, path, TRANSACTION_DDL))
 
 
