@@ -69,3 +69,34 @@ def test_a_counted_source_leaves_an_even_join_plain(spark):
     out = R.spread_left_join(left, right, [("k", "rk")], small=0, source=left)
     assert "Union" not in out._jdf.queryExecution().optimizedPlan().toString()
     assert out.filter("rk IS NULL").count() == 1000 and out.count() == 2000
+
+
+def test_a_table_without_copies_is_not_rewritten(spark, ws):
+    t = ws.table("t")
+    K.write(spark.createDataFrame([(1, None, 0.0), (1, None, -0.0), (2, "a", 1.0)], "id long, name string, x double"), t)
+    K.dedup_table(spark, t)
+    once = spark.table(t).inputFiles()
+    assert spark.table(t).count() == 2
+    K.dedup_table(spark, t)
+    assert spark.table(t).inputFiles() == once
+
+
+def test_a_rebuilt_slice_leaves_other_rows_in_their_order(spark, ws):
+    t = ws.table("t")
+    K.write(spark.range(100).select("id", (F.col("id") % 2).alias("day"), (F.col("id") % 3).alias("kind")), t,
+            "append", partition_by=["kind"])
+    gathered = []
+    original = K.gathered
+
+    def watched(df, parts):
+        gathered.append((df.count(), list(parts)))
+        return original(df, parts)
+
+    K.gathered = watched
+    try:
+        K.replace_slice(spark.createDataFrame([(7, 1, 0), (8, 1, None)], "id long, day long, kind long"), t, {"day": 1})
+    finally:
+        K.gathered = original
+    assert max(n for n, parts in gathered if parts) == 2
+    assert rows(spark.table(t).select("id", "kind")) == rows(spark.createDataFrame(
+        [(i, i % 3) for i in range(0, 100, 2)] + [(7, 0), (8, None)], "id long, kind long"))
