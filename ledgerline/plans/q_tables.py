@@ -126,7 +126,7 @@ def q_sink_switched(spark, sf_dir):
     K.write(raw, whole, "append")
     K.dedup_table(spark, whole)
     K.write(spark.table(whole), monthly, "append", partition_by=["month"])
-    K.replace_table(spark.table(monthly).withColumn("amount", F.col("amount") + 1), monthly)
+    K.replace_table(spark.table(monthly).withColumn("amount", F.col("amount") + 1), monthly, laid_out=True)
     K.drop_table(spark, whole)
     if K.exists(spark, whole):
         raise AssertionError("a dropped table came back")

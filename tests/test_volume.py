@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from ledgerline.operators import relational as R
-from ledgerline.plans import q_jobs, views
+from ledgerline.plans import q_jobs, q_tables, views
 from ledgerline.session import INITIAL_PARTITIONS, ensure_engine_conf
 from ledgerline.sinks import tables as K
 
@@ -64,3 +64,11 @@ def test_service_transactions_are_shuffled_as_lines(spark, sf_dir, ws, monkeypat
     assert "customer" not in service.columns and "l_orderkey" in service.columns
     assert not K.exists(spark, ws.table("service_transactions"))
     assert out.count() == views.transactions(spark, sf_dir).count()
+
+
+def test_a_table_rewritten_in_its_own_order_is_not_gathered(spark, sf_dir, ws, monkeypatch):
+    gathers = watched(monkeypatch, K, "gathered")
+    monkeypatch.setattr(q_tables, "Workspace", lambda _: ws)
+    out = q_tables.q_sink_switched(spark, sf_dir)
+    assert len([1 for _, args in gathers if list(args[0]) == ["month"]]) == 1
+    assert out.count() == views.transactions(spark, sf_dir).distinct().count()
