@@ -139,7 +139,7 @@ def q_dedup_day_slice(spark, sf_dir):
     """M2: de-duplicate one day; other days keep their duplicates."""
     ws = Workspace(spark)
     t = ws.table("transactions")
-    K.write(views.transactions_raw(spark, sf_dir), t, "append", partition_by=["date"])
+    K.write(views.transactions_raw(spark, sf_dir, by_date=True), t, "append", partition_by=["date"], laid_out=True)
     K.dedup_slice(spark, t, f"date = DATE'{views.MART_AS_OF}'")
     return flat_output(spark.table(t))
 

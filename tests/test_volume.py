@@ -66,6 +66,17 @@ def test_service_transactions_are_shuffled_as_lines(spark, sf_dir, ws, monkeypat
     assert out.count() == views.transactions(spark, sf_dir).count()
 
 
+def test_one_day_is_not_gathered_after_its_distinct(spark, ws, monkeypatch):
+    t = ws.table("t")
+    K.write(spark.range(20).select((F.col("id") % 5).alias("id"), (F.col("id") % 2).alias("day")), t, "append",
+            partition_by=["day"])
+    gathers = watched(monkeypatch, K, "gathered")
+    K.dedup_slice(spark, t, "day = 1")
+    assert not gathers and spark.table(t).filter("day = 1").count() == 5 and spark.table(t).count() == 15
+    K.dedup_slice(spark, t, "day >= 0")
+    assert gathers and spark.table(t).count() == 10
+
+
 def test_a_table_rewritten_in_its_own_order_is_not_gathered(spark, sf_dir, ws, monkeypatch):
     gathers = watched(monkeypatch, K, "gathered")
     monkeypatch.setattr(q_tables, "Workspace", lambda _: ws)
