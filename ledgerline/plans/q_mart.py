@@ -25,6 +25,6 @@ def q_sales_mart_partitioned(spark, sf_dir):
     partitions instead of scanning every day."""
     ws = Workspace(spark)
     t = ws.table("transactions")
-    K.write(views.transactions(spark, sf_dir), t, "append", partition_by=["date"])
+    K.write(views.transactions(spark, sf_dir, by_date=True), t, "append", partition_by=["date"], laid_out=True)
     prices, lists = mart_inputs(spark, sf_dir)
     return mart.sales_mart(spark.table(t), prices, lists, views.MART_AS_OF)

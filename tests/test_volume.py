@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from ledgerline.operators import relational as R
-from ledgerline.plans import q_jobs, q_tables, views
+from ledgerline.plans import q_jobs, q_mart, q_tables, views
 from ledgerline.session import INITIAL_PARTITIONS, ensure_engine_conf
 from ledgerline.sinks import tables as K
 
@@ -77,6 +77,16 @@ def test_one_day_is_not_gathered_after_its_distinct(spark, ws, monkeypatch):
     assert gathers and spark.table(t).count() == 10
 
 
+def test_partitioned_loads_gather_lines_instead_of_transactions(spark, sf_dir, ws, monkeypatch):
+    assert rows(views.transactions(spark, sf_dir, by_date=True)) == rows(views.transactions(spark, sf_dir))
+    gathers = watched(monkeypatch, K, "gathered")
+    for module, query in ((q_tables, q_tables.q_dedup_day_slice), (q_mart, q_mart.q_sales_mart_partitioned)):
+        monkeypatch.setattr(module, "Workspace", lambda s, ws=ws: ws)
+        query(spark, sf_dir)
+        K.drop_table(spark, ws.table("transactions"))
+    assert not [1 for df, _ in gathers if "transaction_info" in df.columns]
+
+
 def test_a_table_rewritten_in_its_own_order_is_not_gathered(spark, sf_dir, ws, monkeypatch):
     gathers = watched(monkeypatch, K, "gathered")
     monkeypatch.setattr(q_tables, "Workspace", lambda _: ws)
