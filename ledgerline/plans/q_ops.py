@@ -103,7 +103,8 @@ def _day_tx(spark, sf_dir):
 @register("join_left_two_key", O.JOIN_LEFT_TWO_KEY)
 def q_join_left_two_key(spark, sf_dir):
     """Left join on (option id, option name); price versions fan out."""
-    j = left_lookup(_day_tx(spark, sf_dir), views.prices(spark, sf_dir),
+    tx = _day_tx(spark, sf_dir).select("transaction_id", "item_pricing_option_id", "item_pricing_option_name")
+    j = left_lookup(tx, views.prices(spark, sf_dir),
                     [("item_pricing_option_id", "id"), ("item_pricing_option_name", "name")],
                     ["type", "price"], prefix="option_")
     return j.select("transaction_id", "option_type", "option_price")

@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from ledgerline.operators import relational as R
-from ledgerline.plans import q_jobs, q_mart, q_tables, views
+from ledgerline.plans import q_jobs, q_mart, q_ops, q_tables, views
 from ledgerline.session import INITIAL_PARTITIONS, ensure_engine_conf
 from ledgerline.sinks import tables as K
 
@@ -93,3 +93,11 @@ def test_a_table_rewritten_in_its_own_order_is_not_gathered(spark, sf_dir, ws, m
     out = q_tables.q_sink_switched(spark, sf_dir)
     assert len([1 for _, args in gathers if list(args[0]) == ["month"]]) == 1
     assert out.count() == views.transactions(spark, sf_dir).distinct().count()
+
+
+def test_the_two_key_join_keeps_three_columns_of_its_left_side(spark, sf_dir, monkeypatch):
+    wanted = rows(q_ops.q_join_left_two_key(spark, sf_dir))
+    monkeypatch.setattr(R, "will_broadcast", lambda *args: False)
+    written = watched(monkeypatch, R, "kept")
+    assert rows(q_ops.q_join_left_two_key(spark, sf_dir)) == wanted
+    assert [len(df.columns) for df, _ in written] == [3]
