@@ -119,28 +119,33 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 50)
     return w
 
 
-def _recurring(own: list[set[bytes]], other: Counter, others: int, share: float) -> set[bytes]:
-    """Words in at least ``share`` of ``own`` texts and far rarer in the others."""
-    count = Counter(w for words in own for w in words)
-    least = max(2, share * len(own))
+def _recurring(count: Counter, own: int, other: Counter, others: int, share: float) -> set[bytes]:
+    """Words in at least ``share`` of the ``own`` texts and far rarer in the others; counted are texts with a word."""
+    least = max(2, share * own)
     return {w for w, n in count.items()
-            if n >= least and n / len(own) >= CONTRAST * (other[w] + 1) / max(1, others)}
+            if n >= least and n / own >= CONTRAST * (other[w] + 1) / max(1, others)}
 
 
 def fit(texts: list[bytes], toxic: np.ndarray, calibration: np.ndarray) -> Classifier | None:
-    """Dictionaries from the rows outside ``calibration``, weights from those inside."""
+    """Dictionaries from the rows outside ``calibration``, weights from those inside.
+
+    Texts are split again wherever their words are needed: the words of all of them,
+    held at once, would take many times the driver's memory that the texts take.
+    """
     first = {}
     for n, t in enumerate(texts):  # copies would make their words look as if they recurred
         first.setdefault((zlib.crc32(t), len(t), int(toxic[n])), n)
     train = [n for n in first.values() if not calibration[n]]
-    words = {n: texts[n].lower().split() for n in train}
     bad, good = [n for n in train if toxic[n] == 1], [n for n in train if toxic[n] == 0]
     rest = np.flatnonzero(calibration)
     if not bad or not good or len(set(toxic[rest].tolist())) < 2:
         return None
-    shared = _train([w for n in good[::2] for w in windows(words[n], 40, 40)], SHARED_BYTES, 32)
-    sets = {n: set(words[n]) for n in train}
-    seen_good, seen_bad = (Counter(w for n in some for w in sets[n]) for some in (good, bad))
+
+    def words(n: int) -> list[bytes]:
+        return texts[n].lower().split()
+
+    shared = _train([w for n in good[::2] for w in windows(words(n), 40, 40)], SHARED_BYTES, 32)
+    seen_good, seen_bad = (Counter(w for n in some for w in set(words(n))) for some in (good, bad))
     y, half = toxic[rest].astype(float), np.arange(len(rest)) % 2 == 1
 
     def measured(pairs: list[tuple[bytes, bytes]], known: np.ndarray | None = None) -> tuple[float, np.ndarray]:
@@ -156,21 +161,26 @@ def fit(texts: list[bytes], toxic: np.ndarray, calibration: np.ndarray) -> Class
 
     best = None
     for share in MIN_SHARES:
-        marks = _recurring([sets[n] for n in bad], seen_good, len(good), share)
-        plain = _recurring([sets[n] for n in good], seen_bad, len(bad), share)
+        marks = _recurring(seen_bad, len(bad), seen_good, len(good), share)
+        plain = _recurring(seen_good, len(good), seen_bad, len(bad), share)
         own = {}
         for kind, some, keep in (("toxic", bad, marks), ("ordinary", good, plain)):
-            samples = [b" " + b" ".join(hit) + b" " for n in some if (hit := [w for w in words[n] if w in keep])]
+            samples = [b" " + b" ".join(hit) + b" " for n in some if (hit := [w for w in words(n) if w in keep])]
             own[kind] = shared + _train(samples * max(1, 2000 // max(1, len(samples))), OWN_BYTES, 16)
         pairs = [(own["ordinary"], own["toxic"])]
         loss, x = measured(pairs)
         if best is None or loss < best[0]:
             best = loss, pairs, x
     marks, known = best[1], best[2]
-    del sets, seen_good, seen_bad  # room for training on whole texts
-    whole = [[w for n in some for w in windows(words.pop(n))] for some in (good, bad)]
-    for size in WHOLE_BYTES:
-        pairs = [*marks, tuple(shared + _train(w, size, 32) for w in whole)]
+    del seen_good, seen_bad  # room for training on whole texts
+
+    def whole(some: list[int]) -> list[bytes]:
+        """A dictionary of each size from the windows of one kind of texts."""
+        samples = [w for n in some for w in windows(words(n))]
+        return [shared + _train(samples, size, 32) for size in WHOLE_BYTES]
+
+    for pair in zip(whole(good), whole(bad)):
+        pairs = [*marks, pair]
         loss, x = measured(pairs, known)
         if loss < best[0]:
             best = loss, pairs, x

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -90,3 +91,19 @@ def test_one_large_id_does_not_end_the_sample(spark, monkeypatch):
     monkeypatch.setattr(toxicity, "FIT_ID_BYTES", 50_000, raising=False)
     texts, toxic, calibration = toxicity.labelled_texts(large, shown)
     assert len(texts) == len(order) - 2 and toxic.any() and calibration.any()
+
+
+def test_fitting_holds_few_times_the_texts(monkeypatch):
+    rng = random.Random(5)
+    known = words(1, 500).split()
+    bad = np.arange(300) % 4 == 0
+    texts = [" ".join(rng.choices(known, k=800) + ["vilewretch", "foulscum"] * int(b)).encode() for b in bad]
+    monkeypatch.setattr(toxicity, "WHOLE_BYTES", (8192,))
+    monkeypatch.setattr(toxicity, "MIN_SHARES", (0.01,))
+    tracemalloc.start()
+    try:
+        assert toxicity.fit(texts, bad.astype(int), np.arange(300) % 3 == 0)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 4 * sum(map(len, texts))  # all words at once take eight times the texts
