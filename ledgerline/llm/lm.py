@@ -18,10 +18,13 @@ they sum to one over the words seen and one unknown (up to the 8-bit codes).
 All n-grams are stored (``learn(least=...)`` leaves rare ones of level 2 and up
 to the lower order). There is a begin context, and an end token that is counted.
 
-Counting is a shuffle per order: tasks send their distinct n-grams, compressed
-and dealt by hash (no word or context meets in one task), sums come back, are
-range-sorted by (context, successor) - so a frequent context spans segments -
-and every task writes its segment into the shared folder, atomically. The
+Counting is one shuffle per order: tasks send their distinct n-grams, compressed
+and dealt by ranges of (context, successor) - so a frequent context spans
+segments - and every range is summed and written as a segment into the shared
+folder, atomically. The ranges are quantiles of ``RANGE_KEYS`` tokens a range,
+drawn among all training tokens, so a range holds about ``SEGMENT_ROWS`` tokens
+and no more distinct n-grams than that, besides the copies of a frequent one,
+which its tasks have summed already. The
 model grows with the corpus; each worker maps it and reads what it needs. Texts
 are turned into word ids once, in a table in the shared folder. The
 shared folder must be reachable as a file path (a mounted file system).
@@ -60,8 +63,9 @@ LEAST_COUNT = 1
 FOLDS, HELD_OUT = 7, 2
 END = b" "  # no word holds a space
 SEGMENT_ROWS = 2_000_000
-SHARD_TOKENS = 2_000_000
+RANGE_KEYS = 128
 SLICE_TOKENS = 250_000
+SLICE_BYTES = 2 << 20
 RUN_GRAMS = 2_000_000
 REMEMBERED = 300_000
 _SELECT = np.array([[next((i for i in range(8) if b >> i & 1 and bin(b & ((1 << i) - 1)).count("1") == r), 0)
@@ -242,14 +246,16 @@ class Level:
             local = context[own] - self.first[s]
             begin, end = self.pointers[s].get(local), self.pointers[s].get(local + 1)
             weight[own] = np.where(end > begin, self.weight_table[s][self.weights[s][local]], 1.0)
-            low, high, next_ = begin.copy(), end.copy(), self.successors[s]
-            for _ in range(int((end - begin).max(initial=0)).bit_length()):
-                mid = (low + high) >> 1
-                less = (low < high) & (next_[np.minimum(mid, len(next_) - 1)] < successor[own])
-                high = np.where((low < high) & ~less, mid, high)
-                low = np.where(less, mid + 1, low)
+            low, high, next_, wanted = begin.copy(), end.copy(), self.successors[s], successor[own]
+            live = np.flatnonzero(low < high)
+            while len(live):
+                mid = (low[live] + high[live]) >> 1
+                less = next_[mid] < wanted[live]
+                low[live[less]] = mid[less] + 1
+                high[live[~less]] = mid[~less]
+                live = live[low[live] < high[live]]
             hit = low < end
-            hit[hit] = next_[low[hit]] == successor[own[hit]]
+            hit[hit] = next_[low[hit]] == wanted[hit]
             at, to = low[hit], own[hit]
             position[to] = self.starts[s] + at
             rank[to] = at - begin[hit] + np.where(context[to] == self.first[s], self.carry[s], 0)
@@ -277,18 +283,22 @@ class Reader:
 
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
         """Each text's tokens (words, then the end) as ids, 4 bytes each where they fit, else 8."""
-        ids, result, width = self.ids, [], self.model.width
-        for text in texts:
-            words = (text or b"").lower().split()
-            words.append(END)
-            new = [w for w in words if w not in ids]
+        ids, result, width, held, size = self.ids, [], self.model.width, [], 0
+        for n, text in enumerate(texts):
+            held.append((text or b"").lower().split())
+            held[-1].append(END)
+            size += len(text or b"")
+            if size < SLICE_BYTES and n + 1 < len(texts):
+                continue  # the words of many texts are looked up at once
+            seen = set().union(*held)
+            new = list(seen.difference(ids))
+            if len(ids) + len(new) > REMEMBERED + len(seen):
+                ids.clear()
+                new = list(seen)
             if new:
-                if len(ids) > REMEMBERED:
-                    ids.clear()
-                    new = words
-                new = list(set(new))
                 ids.update(zip(new, self.words.find(hashed(new)).tolist()))
-            result.append(array(width, [ids[w] for w in words]).tobytes())
+            result += [array(width, map(ids.__getitem__, words)).tobytes() for words in held]
+            held, size = [], 0
         return result
 
     def contexts(self, token: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -370,11 +380,13 @@ _MANIFEST = ("number int, rows long, first long, first_rel long, last long, rows
              "kept_first double, kept_last double")
 
 
+_KINDS = {"int": pa.int32(), "long": pa.int64(), "double": pa.float64()}
+_MANIFEST_SCHEMA = pa.schema([(name, _KINDS[kind]) for name, kind in (f.split() for f in _MANIFEST.split(", "))])
+
+
 def _manifest(values: tuple) -> pa.RecordBatch:
-    kinds = {"int": pa.int32(), "long": pa.int64(), "double": pa.float64()}
-    fields = [f.split() for f in _MANIFEST.split(", ")]
-    return pa.RecordBatch.from_arrays([pa.array([v], kinds[kind]) for v, (_, kind) in zip(values, fields)],
-                                      names=[name for name, _ in fields])
+    return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, _MANIFEST_SCHEMA)],
+                                      schema=_MANIFEST_SCHEMA)
 
 
 def _write_words(folder: str):
@@ -391,12 +403,8 @@ def _write_words(folder: str):
 
 def _write_level(model: Model, n: int, discount: float, below: bool):
     """Writer of segments of level n; counts only if it is ``below`` another level, which reads them."""
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        columns = _gather(batches)
-        if not columns:
-            return
-        context, successor, count = columns
-        number, own = TaskContext.get().partitionId(), reader(model)
+    def run(number: int, context: np.ndarray, successor: np.ndarray, count: np.ndarray) -> pa.RecordBatch:
+        own = reader(model)
         distinct, where, sizes = np.unique(context, return_inverse=True, return_counts=True)
         if n == 2:
             totals = own.words.count(np.where(distinct < model.words, distinct, -1))
@@ -419,24 +427,22 @@ def _write_level(model: Model, n: int, discount: float, below: bool):
                             ("next", successor.astype(narrow)), ("code", codes), ("table", values),
                             ("weight", weights), ("weights", weight_values), *([("count", counts)] if below else [])):
             _save(model.folder, f"{n}-{number}-{what}", array)
-        yield _manifest((number, len(context), first, int(successor[0]), last, int(sizes[0]), int(sizes[-1]),
-                         float(kept[0]), float(kept[-1])))
+        return _manifest((number, len(context), first, int(successor[0]), last, int(sizes[0]), int(sizes[-1]),
+                          float(kept[0]), float(kept[-1])))
     return run
 
 
-def _segments(df: DataFrame, keys: list[str], write) -> list[Segment]:
-    """Sort rows by ``keys`` into segments and write each; their manifests, in order."""
-    rows = df.count()
-    if not rows:
-        return []
-    sorted_ = df.repartitionByRange(max(1, -(-rows // SEGMENT_ROWS)), *keys).sortWithinPartitions(*keys)
-    found = written(sorted_.mapInArrow(write, _MANIFEST), "manifest").collect()
+def _segments(manifests: DataFrame) -> list[Segment]:
+    """Have the segments written; their manifests, in order."""
+    found = written(manifests, "manifest").collect()
     return sorted((Segment(**r.asDict()) for r in found), key=lambda s: (s.first, s.first_rel))
 
 
 def _pack(*arrays: np.ndarray) -> bytes:
+    """Arrays of integers from 0, 4 bytes each where they fit, else 8."""
     press = zstd.ZstdCompressor(level=1)
-    parts = [press.compress(x.tobytes()) for x in arrays]
+    narrow = [x.astype("<u4" if int(x.max(initial=0)) < 1 << 32 else "<i8") for x in arrays]
+    parts = [bytes([x.itemsize]) + press.compress(x.tobytes()) for x in narrow]
     return b"".join(len(p).to_bytes(8, "little") + p for p in parts)
 
 
@@ -444,7 +450,8 @@ def _unpack(blob: bytes) -> list[np.ndarray]:
     parts, at, press = [], 0, zstd.ZstdDecompressor()
     while at < len(blob):
         size = int.from_bytes(blob[at:at + 8], "little")
-        parts.append(np.frombuffer(press.decompress(blob[at + 8:at + 8 + size]), np.int64))
+        raw = press.decompress(blob[at + 9:at + 8 + size])
+        parts.append(np.frombuffer(raw, "<u4" if blob[at + 8] == 4 else "<i8").astype(np.int64))
         at += 8 + size
     return parts
 
@@ -473,45 +480,41 @@ def _tally(context: np.ndarray, successor: np.ndarray):
     return context, successor, np.diff(np.append(at, rows))
 
 
-def _dealt(held: list[tuple[np.ndarray, np.ndarray]], shards: int) -> Iterator[pa.RecordBatch]:
-    """Distinct n-grams of a run of texts, dealt by hash; counts of 1 are not spelled out."""
+def _dealt(held: list[tuple[np.ndarray, np.ndarray]], bounds: list[tuple[int, int]]) -> Iterator[pa.RecordBatch]:
+    """Distinct n-grams of a run of texts, dealt by ranges that begin at ``bounds``; counts of 1 are not spelled out."""
     context, successor, count = _tally(*[np.concatenate(x) for x in zip(*held)])
-    mixed = (context.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-             ^ successor.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
-    mixed = (mixed ^ mixed >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
-    shard = ((mixed >> np.uint64(33)) % np.uint64(shards)).astype(np.int32)
-    order = np.argsort(shard, kind="stable")
-    bounds = np.searchsorted(shard[order], np.arange(shards + 1))
-    for s in range(shards):
-        own = order[bounds[s]:bounds[s + 1]]
-        if len(own):
-            often = np.flatnonzero(count[own] > 1)
+    cuts = [0]
+    for c, s in bounds:
+        low, high = np.searchsorted(context, [c, c + 1])
+        cuts.append(int(low + np.searchsorted(successor[low:high], s)))
+    for n, (a, b) in enumerate(zip(cuts, [*cuts[1:], len(context)])):
+        if a < b:
+            often = np.flatnonzero(count[a:b] > 1)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([s], pa.int32()),
-                 pa.array([_pack(np.diff(context[own], prepend=0), successor[own], often, count[own][often])], pa.binary())],
+                [pa.array([n], pa.int32()),
+                 pa.array([_pack(np.diff(context[a:b], prepend=0), successor[a:b], often, count[a:b][often])], pa.binary())],
                 names=["shard", "grams"])
 
 
-def _add(least: int):
-    """Sums of a shard's n-grams, of those that occur at least ``least`` times."""
-    def add(rows: pa.Table) -> pa.Table:
-        parts = []
-        for blob in rows["grams"].to_pylist():
-            step, successor, often, times = _unpack(blob)
-            count = np.ones(len(step), np.int64)
-            count[often] = times
-            parts.append((np.cumsum(step), successor, count))
-        context, successor, count = (np.concatenate(x) for x in zip(*parts))
-        if max(int(context.max()), int(successor.max())) < 1 << 31:
-            order = np.argsort(context << 32 | successor)
-        else:
-            order = np.lexsort((successor, context))
-        context, successor = context[order], successor[order]
-        at = _runs(context, successor)
-        total = np.add.reduceat(count[order], at)
-        keep = total >= least
-        return pa.table({"context": context[at[keep]], "successor": successor[at[keep]], "count": total[keep]})
-    return add
+def _summed(rows: pa.Table, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sums of a range's n-grams, of those that occur at least ``least`` times, sorted."""
+    parts = []
+    for blob in rows["grams"].to_pylist():
+        step, successor, often, times = _unpack(blob)
+        count = np.ones(len(step), np.int64)
+        count[often] = times
+        parts.append((np.cumsum(step), successor, count))
+    context, successor, count = (np.concatenate(x) for x in zip(*parts))
+    parts.clear()
+    if max(int(context.max()), int(successor.max())) < 1 << 31:
+        order = np.argsort(context << 32 | successor)
+    else:
+        order = np.lexsort((successor, context))
+    context, successor = context[order], successor[order]
+    at = _runs(context, successor)
+    total = np.add.reduceat(count[order], at)
+    keep = total >= least
+    return context[at[keep]], successor[at[keep]], total[keep]
 
 
 def _stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
@@ -521,30 +524,74 @@ def _stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
-def _counted(tokens: DataFrame, model: Model, n: int, shards: int, least: int) -> tuple[DataFrame, str]:
-    """(context, successor, count) of the n-grams of order n that occur at least ``least`` times, and their path."""
-    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, rows = [], 0
+def _grams(own: Reader, token: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(context, successor) of the n-grams of order n in a slice of texts."""
+    if n == 2:
+        context, successor = own.contexts(token, first), token
+    else:
+        *_, (position, successor, _, _) = own.walk(token, first)
+        context = np.empty(len(token), np.int64)
+        context[1:], context[first] = position[:-1], -1
+    good = (context >= 0) & (successor >= 0)
+    return context[good], successor[good]
+
+
+def _bounds(tokens: DataFrame, model: Model, n: int) -> list[tuple[int, int]]:
+    """Where ranges of n-grams of order n begin, each of about ``SEGMENT_ROWS`` tokens, but the first.
+
+    From tokens drawn among all; only what is drawn is looked up, and about
+    ``RANGE_KEYS`` n-grams for each range reach the driver.
+    """
+    ranges = -(-model.tokens // SEGMENT_ROWS)
+    if ranges < 2:
+        return []
+    share = RANGE_KEYS * ranges / model.tokens
+
+    def draw(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rng, own = np.random.default_rng(TaskContext.get().partitionId()), reader(model)
         for batch in batches:
             for token, first in slices(model, batch.column(0).to_pylist()):
-                own = reader(model)
+                at = np.flatnonzero(rng.random(len(token)) < share)
+                context = own.contexts(token, first)
                 if n == 2:
-                    context, successor = own.contexts(token, first), token
+                    context, successor = context[at], token[at]
                 else:
-                    *_, (position, rank, _, _) = own.walk(token, first)
-                    context, successor = np.empty(len(token), np.int64), rank
-                    context[1:], context[first] = position[:-1], -1
+                    at = at[~np.isin(at, first)]
+                    successor = own.levels[0].find(context[at], token[at])[1]
+                    context = own.levels[0].find(context[at - 1], token[at - 1])[0]
                 good = (context >= 0) & (successor >= 0)
-                held.append((context[good], successor[good]))
+                yield pa.RecordBatch.from_arrays([pa.array(context[good]), pa.array(successor[good])],
+                                                 names=["context", "successor"])
+
+    drawn = tokens.select("tokens").mapInArrow(draw, "context long, successor long").toArrow()
+    context, successor = (c.to_numpy() for c in drawn.columns)
+    order = np.lexsort((successor, context))[np.arange(1, ranges) * len(context) // ranges] if len(context) else []
+    return sorted(set(zip(context[order].tolist(), successor[order].tolist()))) if len(order) else []
+
+
+def _counted(tokens: DataFrame, model: Model, n: int, least: int, write) -> DataFrame:
+    """Manifests of the segments that ``write`` makes of the n-grams of order n that occur at least ``least`` times."""
+    bounds = _bounds(tokens, model, n)
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
+        for batch in batches:
+            for token, first in slices(model, batch.column(0).to_pylist()):
+                held.append(_grams(reader(model), token, first, n))
                 rows += len(held[-1][0])
                 if rows > RUN_GRAMS:
-                    yield from _dealt(held, shards)
+                    yield from _dealt(held, bounds)
                     held, rows = [], 0
         if rows:
-            yield from _dealt(held, shards)
+            yield from _dealt(held, bounds)
+
+    def segment(key: tuple, rows: pa.Table) -> pa.Table:
+        grams = _summed(rows, least)
+        found = [write(key[0].as_py(), *grams)] if len(grams[0]) else []
+        return pa.Table.from_batches(found, schema=_MANIFEST_SCHEMA)
 
     blobs = tokens.select("tokens").mapInArrow(count, "shard int, grams binary")
-    return _stored(blobs.groupBy("shard").applyInArrow(_add(least), "context long, successor long, count long"), "grams")
+    return blobs.groupBy("shard").applyInArrow(segment, _MANIFEST)
 
 
 def vocabulary(docs: DataFrame) -> Model:
@@ -569,7 +616,11 @@ def vocabulary(docs: DataFrame) -> Model:
     total = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
     ends = counts.where(F.col("h") == F.lit(int(hashed([END])[0]))).first()
     model = Model(_model_folder(spark), int(total["n"] or 0), int(total["v"]), int(ends["c"]) if ends else 0, [])
-    model.levels.append(_segments(counts, ["h"], _write_words(model.folder)))
+    if model.words:
+        spread = counts.repartitionByRange(-(-model.words // SEGMENT_ROWS), "h").sortWithinPartitions("h")
+        model.levels.append(_segments(spread.mapInArrow(_write_words(model.folder), _MANIFEST)))
+    else:
+        model.levels.append([])
     delete_folder(spark, path)
     return model
 
@@ -591,11 +642,8 @@ def learn(tokens: DataFrame, model: Model, order: int = ORDER, discount: float =
     """Levels 2 to ``order`` from ``encoded`` training texts, added to the vocabulary's model."""
     if order not in (1, 2, 3):
         raise ValueError("orders 1 to 3")
-    shards = max(8, -(-model.tokens // SHARD_TOKENS))
     for n in range(2, order + 1 if model.tokens else 0):
-        grams, path = _counted(tokens, model, n, shards, least)
-        segments = _segments(grams, ["context", "successor"], _write_level(model, n, discount, n < order))
-        delete_folder(tokens.sparkSession, path)
+        segments = _segments(_counted(tokens, model, n, least, _write_level(model, n, discount, n < order)))
         model = replace(model, levels=[*model.levels, segments])
     return model
 

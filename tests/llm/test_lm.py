@@ -132,3 +132,20 @@ def test_ngrams_that_occur_once_are_scored(spark, tmp_path):
     got = {r["doc_id"]: r["score"] for r in lm.op3_lm(spark, str(tmp_path)).collect()}
     for i, score, tokens in whole(rows, lambda i: remainder(i, 7) == 2):
         assert got[i] == pytest.approx(score, abs=0.005 * tokens)
+
+
+def test_ngrams_are_shuffled_once_into_bounded_segments(spark, monkeypatch):
+    monkeypatch.setattr(lm, "SEGMENT_ROWS", 400)
+    tables = []
+    stored = lm._stored
+    monkeypatch.setattr(lm, "_stored", lambda df, name: tables.append(name) or stored(df, name))
+    rows = spark.createDataFrame([(i, t + " the the the") for i, t in texts()], "doc_id long, text string")
+    model = lm.vocabulary(rows)
+    model = lm.learn(lm.encoded(rows, model), model)
+    assert tables == ["words"]  # n-grams are in the shuffle and in the segments, in no table between
+    three = {(a, b, c) for _, t in texts() for own in [[None, *f"{t} the the the".split(), " "]]
+             for a, b, c in zip(own, own[1:], own[2:])}
+    assert sum(s.rows for s in model.levels[2]) == len(three)
+    for level in model.levels[1:]:
+        assert len(level) > 1 and max(s.rows for s in level) <= 800
+        assert all((a.last, a.number) <= (b.first, b.number) for a, b in zip(level, level[1:]))
