@@ -137,7 +137,7 @@ def _save(folder: str, name: str, array: np.ndarray) -> None:
 
 
 def _load(folder: str, name: str) -> np.ndarray:
-    return np.load(os.path.join(folder, f"{name}.npy"), mmap_mode="r")
+    return np.load(os.path.join(folder, f"{name}.npy"), mmap_mode="r").view(np.ndarray)
 
 
 @dataclass
@@ -228,6 +228,12 @@ class Level:
 
     def find(self, context: np.ndarray, successor: np.ndarray):
         """(position or -1, rank among the context's successors, discounted probability, weight of the lower order)."""
+        if not len(context) or max(int(context.max()), int(successor.max())) >= (1 << 31) - 1:
+            return self._find(context, successor)
+        key, back = np.unique((context + 1) << 32 | (successor + 1), return_inverse=True)  # once each, neighbours in turn
+        return tuple(x[back] for x in self._find((key >> 32) - 1, (key & 0xFFFFFFFF) - 1))
+
+    def _find(self, context: np.ndarray, successor: np.ndarray):
         n = len(context)
         position, rank = np.full(n, -1, np.int64), np.full(n, -1, np.int64)
         share, weight = np.zeros(n), np.ones(n)
@@ -246,14 +252,17 @@ class Level:
             local = context[own] - self.first[s]
             begin, end = self.pointers[s].get(local), self.pointers[s].get(local + 1)
             weight[own] = np.where(end > begin, self.weight_table[s][self.weights[s][local]], 1.0)
-            low, high, next_, wanted = begin.copy(), end.copy(), self.successors[s], successor[own]
-            live = np.flatnonzero(low < high)
+            low, next_, wanted = begin.copy(), self.successors[s], successor[own]
+            live = np.flatnonzero(begin < end)
+            left, right, sought = begin[live], end[live], wanted[live]
             while len(live):
-                mid = (low[live] + high[live]) >> 1
-                less = next_[mid] < wanted[live]
-                low[live[less]] = mid[less] + 1
-                high[live[~less]] = mid[~less]
-                live = live[low[live] < high[live]]
+                mid = (left + right) >> 1
+                less = next_[mid] < sought
+                left, right = np.where(less, mid + 1, left), np.where(less, right, mid)
+                more = left < right
+                if not more.all():
+                    low[live[~more]] = left[~more]
+                    live, left, right, sought = live[more], left[more], right[more], sought[more]
             hit = low < end
             hit[hit] = next_[low[hit]] == wanted[hit]
             at, to = low[hit], own[hit]
