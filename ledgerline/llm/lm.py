@@ -26,7 +26,9 @@ drawn among all training tokens, so a range holds about ``SEGMENT_ROWS`` tokens
 and no more distinct n-grams than that, besides the copies of a frequent one,
 which its tasks have summed already. The
 model grows with the corpus; each worker maps it and reads what it needs. Texts
-are turned into word ids once, in a table in the shared folder. The
+are turned into word ids once, in a table in the shared folder. What a run of
+texts asks for is looked up in order, each n-gram once, so a segment is touched
+once a run, and for what it holds of that run alone. The
 shared folder must be reachable as a file path (a mounted file system).
 
 Cases: a null text is empty and scores its end token; null ids are learned
@@ -41,7 +43,6 @@ import math
 import os
 import shutil
 from array import array
-from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, replace
 from functools import lru_cache
@@ -64,12 +65,17 @@ FOLDS, HELD_OUT = 7, 2
 END = b" "  # no word holds a space
 SEGMENT_ROWS = 2_000_000
 RANGE_KEYS = 128
-SLICE_TOKENS = 250_000
+SLICE_TOKENS = 1_000_000
 SLICE_BYTES = 2 << 20
 RUN_GRAMS = 2_000_000
-REMEMBERED = 300_000
+REMEMBERED = 1_000_000
+READ_THROUGH = 128
 _SELECT = np.array([[next((i for i in range(8) if b >> i & 1 and bin(b & ((1 << i) - 1)).count("1") == r), 0)
                      for r in range(8)] for b in range(256)], np.uint8)
+_U = np.arange(256, dtype=np.uint64)
+_BITS = np.array([0x5555555555555555, 0x3333333333333333, 0x0F0F0F0F0F0F0F0F, 0x0101010101010101, 0x8080808080808080], np.uint64)
+_BLANK = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
+_PRIMES = np.array([0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5], np.uint64)
 
 
 class EliasFano:
@@ -100,14 +106,13 @@ class EliasFano:
         """The i-th values."""
         i = np.asarray(i, np.int64)
         word = np.searchsorted(self.ranks, i, side="right") - 1
-        left = (i - self.ranks[word]).astype(np.int64)
-        at = word * 8
-        for _ in range(7):  # the byte of the word that holds the wanted one
-            ones = np.bitwise_count(self.high[at]).astype(np.int64)
-            on = left >= ones
-            left -= np.where(on, ones, 0)
-            at += on
-        place = at * 8 + _SELECT[self.high[at], left]
+        left, ones = (i - self.ranks[word]).astype(np.uint64), self.high.view("<u8")[word]
+        sums = ones - (ones >> _U[1] & _BITS[0])
+        sums = (sums & _BITS[1]) + (sums >> _U[2] & _BITS[1])
+        sums = (sums + (sums >> _U[4]) & _BITS[2]) * _BITS[3]       # byte k: the ones up to byte k
+        byte = np.bitwise_count(((left * _BITS[3] | _BITS[4]) - sums) & _BITS[4]).astype(np.uint64) << _U[3]
+        left -= (sums << _U[8]) >> byte & _U[255]
+        place = word * 64 + (byte.view(np.int64) + _SELECT[(ones >> byte & _U[255]).view(np.int64), left.view(np.int64)])
         result = (place - i) << self.bits
         if self.bits:
             bit = i * self.bits
@@ -165,6 +170,9 @@ class Model:
     documents: int
     levels: list[list[Segment]]
 
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "reader"}
+
     @property
     def width(self) -> str:
         """The array type of word ids."""
@@ -183,23 +191,27 @@ class Words:
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """Word ids, -1 for unknown words."""
-        ids = np.full(len(hashes), -1, np.int64)
-        where = np.searchsorted(self.firsts, hashes, side="right") - 1
-        for s in np.unique(where[where >= 0]):
-            own = np.flatnonzero(where == s)
-            at = np.searchsorted(self.hashes[s], hashes[own])
-            hit = at < len(self.hashes[s])
-            hit[hit] = self.hashes[s][at[hit]] == hashes[own[hit]]
-            ids[own[hit]] = self.starts[s] + at[hit]
-        return ids
+        key, back = np.unique(hashes, return_inverse=True)  # once each, neighbours in turn
+        ids = np.full(len(key), -1, np.int64)
+        cuts = [*np.searchsorted(key, self.firsts).tolist(), len(key)]
+        for s, (a, b) in enumerate(zip(cuts, cuts[1:])):
+            if a < b:
+                at = np.searchsorted(self.hashes[s], key[a:b])
+                hit = at < len(self.hashes[s])
+                hit[hit] = self.hashes[s][at[hit]] == key[a:b][hit]
+                ids[a:b][hit] = self.starts[s] + at[hit]
+        return ids[back]
 
     def count(self, ids: np.ndarray) -> np.ndarray:
-        result = np.zeros(len(ids), np.int64)
-        where = np.searchsorted(self.starts, ids, side="right") - 1
-        for s in np.unique(where[ids >= 0]):
-            own = np.flatnonzero((where == s) & (ids >= 0))
-            result[own] = self.counts[s][ids[own] - self.starts[s]]
-        return result
+        if len(self.segments) == 1:
+            return np.where(ids < 0, 0, self.counts[0][np.maximum(ids, 0)])
+        key, back = np.unique(ids, return_inverse=True)
+        result = np.zeros(len(key), np.int64)
+        cuts = np.searchsorted(key, self.starts).tolist()
+        for s, (a, b) in enumerate(zip(cuts, cuts[1:])):
+            if a < b:
+                result[a:b] = self.counts[s][key[a:b] - self.starts[s]]
+        return result[back]
 
 
 class Level:
@@ -209,6 +221,7 @@ class Level:
         self.segments = segs = model.levels[n - 1]
         self.first = np.array([s.first for s in segs], np.int64)
         self.first_rel = np.array([s.first_rel for s in segs], np.int64)
+        self.last = np.array([s.last for s in segs], np.int64)
         self.starts = np.cumsum([0, *[s.rows for s in segs]])
         self.carry = np.zeros(len(segs), np.int64)   # entries of the first context in earlier segments
         kept: dict[int, float] = {}                  # of contexts that span segments
@@ -228,86 +241,87 @@ class Level:
 
     def find(self, context: np.ndarray, successor: np.ndarray):
         """(position or -1, rank among the context's successors, discounted probability, weight of the lower order)."""
-        if not len(context) or max(int(context.max()), int(successor.max())) >= (1 << 31) - 1:
+        if not len(context):
             return self._find(context, successor)
-        key, back = np.unique((context + 1) << 32 | (successor + 1), return_inverse=True)  # once each, neighbours in turn
-        return tuple(x[back] for x in self._find((key >> 32) - 1, (key & 0xFFFFFFFF) - 1))
+        if max(int(context.max()), int(successor.max())) < (1 << 31) - 1:
+            key, back = np.unique((context + 1) << 32 | (successor + 1), return_inverse=True)  # once each, neighbours in turn
+            return tuple(x[back] for x in self._find((key >> 32) - 1, (key & 0xFFFFFFFF) - 1))
+        order = np.lexsort((successor, context))
+        at = _runs(context[order], successor[order])
+        back = np.empty(len(context), np.int64)
+        back[order] = np.repeat(np.arange(len(at)), np.diff(np.append(at, len(order))))
+        return tuple(x[back] for x in self._find(context[order[at]], successor[order[at]]))
 
     def _find(self, context: np.ndarray, successor: np.ndarray):
+        """``find`` for distinct (context, successor) in order, of which each segment holds a run."""
         n = len(context)
         position, rank = np.full(n, -1, np.int64), np.full(n, -1, np.int64)
         share, weight = np.zeros(n), np.ones(n)
-        where = np.searchsorted(self.first, context, side="right") - 1
-        while True:  # a context that spans segments: back to the one that holds the successor
-            back = (where > 0) & (context >= 0)
-            back[back] = (self.first[where[back]] == context[back]) & (
-                successor[back] < self.first_rel[where[back]]) & (self.carry[where[back]] > 0)
-            if not back.any():
-                break
-            where[back] -= 1
-        for s in np.unique(where[(where >= 0) & (context >= 0)]):
-            own = np.flatnonzero((where == s) & (context >= 0) & (context <= self.segments[s].last))
-            if not len(own):
-                continue
-            local = context[own] - self.first[s]
-            begin, end = self.pointers[s].get(local), self.pointers[s].get(local + 1)
-            weight[own] = np.where(end > begin, self.weight_table[s][self.weights[s][local]], 1.0)
-            low, next_, wanted = begin.copy(), self.successors[s], successor[own]
-            live = np.flatnonzero(begin < end)
-            left, right, sought = begin[live], end[live], wanted[live]
+        cuts, ends = np.searchsorted(context, self.first), np.searchsorted(context, self.first, side="right")
+        for s in np.flatnonzero((self.carry > 0) & (cuts < ends)):  # a context that spans segments
+            cuts[s] += np.searchsorted(successor[cuts[s]:ends[s]], self.first_rel[s])
+        stops = np.searchsorted(context, self.last, side="right")
+        for s in np.flatnonzero(cuts < np.minimum(stops, np.append(cuts[1:], n))):
+            a, b = int(cuts[s]), int(min(stops[s], cuts[s + 1] if s + 1 < len(cuts) else n))
+            own, wanted = _runs(context[a:b]), successor[a:b]
+            local, asked = context[a:b][own] - self.first[s], np.diff(np.append(own, b - a))
+            begin, end = np.split(self.pointers[s].get(np.concatenate([local, local + 1])), 2)
+            weight[a:b] = np.repeat(np.where(end > begin, self.weight_table[s][self.weights[s][local]], 1.0), asked)
+            of = np.repeat(np.arange(len(own)), asked)
+            at, next_ = begin[of], self.successors[s]
+            # contexts of which much is asked are read through, the others are searched
+            through = (end - begin <= READ_THROUGH * (asked + 1)) & (next_.itemsize == 4)
+            if through.any():
+                sizes = np.where(through, end - begin, 0)
+                upto = np.cumsum(sizes)
+                entry = np.repeat(begin - upto + sizes, sizes) + np.arange(int(upto[-1]))
+                keys = np.repeat(np.arange(len(own)) << 33, sizes) + next_[entry]
+                some = np.flatnonzero(through[of])
+                at[some] += np.searchsorted(keys, (of[some] << 33) + wanted[some]) - (upto - sizes)[of[some]]
+            live = np.flatnonzero((~through & (begin < end))[of])
+            left, right, sought = at[live], end[of[live]], wanted[live]
             while len(live):
                 mid = (left + right) >> 1
                 less = next_[mid] < sought
                 left, right = np.where(less, mid + 1, left), np.where(less, right, mid)
                 more = left < right
                 if not more.all():
-                    low[live[~more]] = left[~more]
+                    at[live[~more]] = left[~more]
                     live, left, right, sought = live[more], left[more], right[more], sought[more]
-            hit = low < end
-            hit[hit] = next_[low[hit]] == wanted[hit]
-            at, to = low[hit], own[hit]
+            hit = at < end[of]
+            hit[hit] = next_[at[hit]] == wanted[hit]
+            at, to = at[hit], a + np.flatnonzero(hit)
             position[to] = self.starts[s] + at
-            rank[to] = at - begin[hit] + np.where(context[to] == self.first[s], self.carry[s], 0)
+            rank[to] = at - begin[of[hit]] + np.where(context[to] == self.first[s], self.carry[s], 0)
             share[to] = self.table[s][self.codes[s][at]]
         for c, w in self.spanning.items():
-            weight[context == c] = w
+            low, high = np.searchsorted(context, [c, c + 1])
+            weight[low:high] = w
         return position, rank, share, weight
 
     def count(self, position: np.ndarray) -> np.ndarray:
         result = np.zeros(len(position), np.int64)
-        where = np.searchsorted(self.starts, position, side="right") - 1
-        for s in np.unique(where):
-            own = where == s
-            result[own] = self.read_count(s)[position[own] - self.starts[s]]
+        order = np.argsort(position)
+        cuts = np.searchsorted(position[order], self.starts).tolist()
+        for s, (a, b) in enumerate(zip(cuts, cuts[1:])):
+            if a < b:
+                result[order[a:b]] = self.read_count(s)[position[order[a:b]] - self.starts[s]]
         return result
 
 
 class Reader:
-    """Words, levels and remembered word ids of a model in a worker."""
+    """Words and levels of a model in a worker."""
 
     def __init__(self, model: Model):
         self.model, self.words = model, Words(model)
         self.levels = [Level(model, n) for n in range(2, len(model.levels) + 1)]
-        self.ids: dict[bytes, int] = {}
 
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
         """Each text's tokens (words, then the end) as ids, 4 bytes each where they fit, else 8."""
-        ids, result, width, held, size = self.ids, [], self.model.width, [], 0
-        for n, text in enumerate(texts):
-            held.append((text or b"").lower().split())
-            held[-1].append(END)
-            size += len(text or b"")
-            if size < SLICE_BYTES and n + 1 < len(texts):
-                continue  # the words of many texts are looked up at once
-            seen = set().union(*held)
-            new = list(seen.difference(ids))
-            if len(ids) + len(new) > REMEMBERED + len(seen):
-                ids.clear()
-                new = list(seen)
-            if new:
-                ids.update(zip(new, self.words.find(hashed(new)).tolist()))
-            result += [array(width, map(ids.__getitem__, words)).tobytes() for words in held]
-            held, size = [], 0
+        result, width = [], self.model.width
+        for hashes, first in tokenised(texts):
+            ids = self.words.find(hashes).astype(width)
+            result += [x.tobytes() for x in np.split(ids, first[1:])]
         return result
 
     def contexts(self, token: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -351,8 +365,62 @@ def slices(model: Model, tokens: list[bytes], most: int = SLICE_TOKENS) -> Itera
             begin, size = n + 1, 0
 
 
+def _turned(h: np.ndarray, bits: int) -> np.ndarray:
+    return h << _U[bits] | h >> _U[64 - bits]
+
+
+def _hashes(raw: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """XXH64 of the words at ``starts`` to ``ends`` of ``raw``, which ends in 8 bytes of no word.
+
+    A step of the hash is taken for all words at once; those of 32 bytes and more are left to the library.
+    """
+    size, one, two, three, four, five = len(raw), *_PRIMES
+    eights, fours = (np.ndarray((size - w + 1,), f"<u{w}", raw, strides=(1,)) for w in (8, 4))
+    length = ends - starts
+    h, at = length.astype(np.uint64) + five, starts.copy()
+    for n in range(3):
+        live = np.flatnonzero((length >= 8 * n + 8) & (length < 32))
+        h[live] = _turned(h[live] ^ _turned(eights[at[live]] * two, 31) * one, 27) * one + four
+        at[live] += 8
+    live = np.flatnonzero((length & 4 > 0) & (length < 32))
+    h[live] = _turned(h[live] ^ fours[at[live]].astype(np.uint64) * one, 23) * two + three
+    at[live] += 4
+    for n in range(3):
+        live = np.flatnonzero(((length & 3) > n) & (length < 32))
+        h[live] = _turned(h[live] ^ (fours[at[live] + n] & 255).astype(np.uint64) * five, 11) * one
+    for shift, factor in ((33, two), (29, three)):
+        h = (h ^ h >> _U[shift]) * factor
+    h ^= h >> _U[32]
+    for k in np.flatnonzero(length >= 32):
+        h[k] = xxhash.xxh64_intdigest(raw[starts[k]:ends[k]])
+    return h.view(np.int64)
+
+
 def hashed(words: list[bytes]) -> np.ndarray:
-    return np.array([xxhash.xxh64_intdigest(w) for w in words], np.uint64).view(np.int64)
+    ends = np.cumsum([len(w) for w in words], dtype=np.int64)
+    return _hashes(b"".join(words) + bytes(8), np.concatenate([[0], ends[:-1]]), ends)
+
+
+def tokenised(texts: list[bytes | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Runs of texts of about ``SLICE_BYTES``: the hashes of their tokens (words, then the end) and each text's first place."""
+    held, size, last = [], 0, hashed([END])
+    for n, text in enumerate(texts):
+        held.append(text or b"")
+        size += len(held[-1])
+        if size < SLICE_BYTES and n + 1 < len(texts):
+            continue
+        raw = b"".join([b" ", b" ".join(held).lower(), bytes(b" " * 8)])
+        blank = _BLANK[np.frombuffer(raw, np.uint8)]
+        edges = np.flatnonzero(blank[1:] != blank[:-1]) + 1
+        words = _hashes(raw, edges[::2], edges[1::2])
+        upto = np.searchsorted(edges[::2], np.cumsum([len(t) + 1 for t in held], dtype=np.int64))  # words up to each text's end
+        tokens = np.empty(len(words) + len(held), np.int64)
+        final = upto + np.arange(len(held))
+        is_word = np.ones(len(tokens), bool)
+        is_word[final] = False
+        tokens[is_word], tokens[final] = words, last
+        yield tokens, np.concatenate([[0], final[:-1] + 1])
+        held, size = [], 0
 
 
 @lru_cache(maxsize=2)
@@ -365,7 +433,9 @@ def _reader(folder: str, levels: int, model: str) -> Reader:
 def reader(model: Model) -> Reader:
     import pickle
 
-    return _reader(model.folder, len(model.levels), pickle.dumps(model).hex())
+    if "reader" not in model.__dict__:  # pickled once a task, not once a slice
+        model.__dict__["reader"] = _reader(model.folder, len(model.levels), pickle.dumps(model).hex())
+    return model.__dict__["reader"]
 
 
 def _model_folder(spark: SparkSession) -> str:
@@ -414,7 +484,9 @@ def _write_level(model: Model, n: int, discount: float, below: bool):
     """Writer of segments of level n; counts only if it is ``below`` another level, which reads them."""
     def run(number: int, context: np.ndarray, successor: np.ndarray, count: np.ndarray) -> pa.RecordBatch:
         own = reader(model)
-        distinct, where, sizes = np.unique(context, return_inverse=True, return_counts=True)
+        at = _runs(context)
+        distinct, sizes = context[at], np.diff(np.append(at, len(context)))
+        where = np.repeat(np.arange(len(at)), sizes)
         if n == 2:
             totals = own.words.count(np.where(distinct < model.words, distinct, -1))
             totals = np.where(distinct == model.words, model.documents, totals)
@@ -609,16 +681,19 @@ def vocabulary(docs: DataFrame) -> Model:
     ship(spark)
 
     def words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter[bytes] = Counter()
+        held, rows = [], 0
         for batch in batches:
-            for text in utf8(batch, "text"):
-                seen.update((text or b"").lower().split())
-                seen[END] += 1
-                if len(seen) > REMEMBERED:
-                    yield _word_rows(seen)
-                    seen = Counter()
-        if seen:
-            yield _word_rows(seen)
+            for hashes, _ in tokenised(utf8(batch, "text")):
+                held.append(np.unique(hashes, return_counts=True))
+                rows += len(held[-1][0])
+                if rows > 2 * REMEMBERED:
+                    held = [_totals(held)]
+                    rows = len(held[0][0])
+                    if rows > REMEMBERED:
+                        yield _word_rows(*held[0])
+                        held, rows = [], 0
+        if held:
+            yield _word_rows(*_totals(held))
 
     texts = docs.select(F.col("text").cast("string").alias("text"))
     counts, path = _stored(texts.mapInArrow(words, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")), "words")
@@ -657,9 +732,16 @@ def learn(tokens: DataFrame, model: Model, order: int = ORDER, discount: float =
     return model
 
 
-def _word_rows(seen: dict[bytes, int]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(hashed(list(seen))), pa.array(list(seen.values()), pa.int64())],
-                                      names=["h", "c"])
+def _totals(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashes of several runs, sorted, and their counts."""
+    hashes, counts = (np.concatenate(x) for x in zip(*held))
+    order = np.argsort(hashes)
+    at = _runs(hashes[order])
+    return hashes[order][at], np.add.reduceat(counts[order], at)
+
+
+def _word_rows(hashes: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(hashes), pa.array(counts, pa.int64())], names=["h", "c"])
 
 
 def forget(model: Model) -> None:

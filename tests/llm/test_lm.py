@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import xxhash
 
 from ledgerline.llm import lm
 from tests.llm.helpers import awkward, docs, remainder, save
@@ -149,3 +150,38 @@ def test_ngrams_are_shuffled_once_into_bounded_segments(spark, monkeypatch):
     for level in model.levels[1:]:
         assert len(level) > 1 and max(s.rows for s in level) <= 800
         assert all((a.last, a.number) <= (b.first, b.number) for a, b in zip(level, level[1:]))
+
+
+def test_words_of_many_texts_are_hashed_at_once():
+    rng = random.Random(3)
+    words = [bytes(rng.randrange(1, 256) for _ in range(n)) for n in [*range(70), 500] for _ in range(4)]
+    assert (lm.hashed(words) == np.array([xxhash.xxh64_intdigest(w) for w in words], np.uint64).view(np.int64)).all()
+    own = [None, b"", b"  One two\x0bTHREE\x1cfour \xc3\x84\x00 ", b"x" * 40 + b"\r\ny\n", b"z"]
+    (tokens, first), = lm.tokenised(own)
+    want = [[*(t or b"").lower().split(), lm.END] for t in own]
+    assert (tokens == lm.hashed(sum(want, []))).all()
+    assert first.tolist() == [sum(map(len, want[:k])) for k in range(len(want))]
+
+
+def test_lookups_leave_alone_the_segments_that_hold_nothing_asked(spark, monkeypatch):
+    monkeypatch.setattr(lm, "SEGMENT_ROWS", 60)
+    rows = spark.createDataFrame(texts(), "doc_id long, text string")
+    model = lm.vocabulary(rows)
+    model = lm.learn(lm.encoded(rows, model), model)
+    own = lm.reader(model)
+    assert lm.reader(model) is own and len(model.levels[1]) > 3
+    read, get = [], lm.EliasFano.get
+    monkeypatch.setattr(lm.EliasFano, "get", lambda self, i: read.append(self) or get(self, i))
+    level = own.levels[0]
+    entry = level.segments[1]
+    asked = [np.array([entry.first]), np.array([entry.first_rel])]
+    found = level.find(*asked)
+    assert found[0][0] == level.starts[1] and read == [level.pointers[1]]
+    # contexts that are read through, those that are searched, and ids beyond 32 bits find the same
+    context, successor = np.divmod(np.random.default_rng(1).integers(-1, 30 * 30, 4000), 30)
+    once = level.find(context, successor)
+    monkeypatch.setattr(lm, "READ_THROUGH", 0)
+    for a, b in zip(once, level.find(context, successor)):
+        assert (a == b).all()
+    wide = level.find(np.append(context, 1 << 40), np.append(successor, 0))
+    assert all((a == b[:-1]).all() for a, b in zip(once, wide)) and wide[0][-1] == -1
