@@ -4,7 +4,9 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from ledgerline.operators import ids as I
 from ledgerline.operators import relational as R
+from ledgerline.plans import jobs as J
 from ledgerline.plans import q_jobs, q_mart, q_ops, q_tables, views
 from ledgerline.session import INITIAL_PARTITIONS, ensure_engine_conf
 from ledgerline.sinks import tables as K
@@ -101,3 +103,24 @@ def test_the_two_key_join_keeps_three_columns_of_its_left_side(spark, sf_dir, mo
     written = watched(monkeypatch, R, "kept")
     assert rows(q_ops.q_join_left_two_key(spark, sf_dir)) == wanted
     assert [len(df.columns) for df, _ in written] == [3]
+
+
+def test_landed_pages_are_scanned_in_small_batches(spark, tmp_path):
+    ensure_engine_conf(spark)
+    pages = spark.range(0, 3000, 1, 1).select("id", F.repeat(F.lit("x"), 2000).alias("body"))
+    pages.write.parquet(str(tmp_path / "pages"))
+    df = spark.read.parquet(str(tmp_path / "pages")).select(F.length("body").alias("n"))
+    assert {r["n"] for r in df.collect()} == {2000}
+    node = df._jdf.queryExecution().executedPlan()
+    while "ColumnarToRow" not in node.nodeName():
+        node = node.children().head()
+    # a task holds the texts of a batch in one array: 3000 pages must not be one batch
+    assert node.metrics().get("numInputBatches").get().value() >= 3000 // 256
+
+
+def test_many_requests_do_not_shuffle_response_bodies(spark):
+    resp = spark.createDataFrame([(1, "a"), (2, "b"), (2, "c"), (3_000_000, "d"), (None, "e")], "page bigint, body string")
+    wanted = I.sync_gap(spark, 200_000_000, 0)     # two million pages: over the broadcast threshold
+    out = J.requested(resp, wanted, "page")
+    assert "BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r["body"] for r in out.collect()) == ["a", "b", "c"]
