@@ -17,8 +17,9 @@ Rules that keep rewrites safe on parquet tables:
 
 from __future__ import annotations
 
+import math
 import posixpath
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from operator import and_, or_
@@ -75,12 +76,31 @@ def gathered(df: DataFrame, parts: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *parts) if parts else df
 
 
+#: A task that loads stored rows unshuffled has about so many bytes for each partition's file.
+FILE_BYTES = 4 << 20
+
+
+def _by_splits(df: DataFrame, parts: Sequence[str]) -> DataFrame | None:
+    """Stored rows (a scan, nothing else) that are so many beside their partitions that a task which
+    reads some splits fills a file of each: gathering them would give no fewer files. None for others."""
+    spark, plan = _spark(df), df._jdf.queryExecution().optimizedPlan()
+    while plan.nodeName() in ("Project", "Filter"):
+        plan = plan.children().head()
+    size, least = int(plan.stats().sizeInBytes()), max(2, spark.sparkContext.defaultParallelism)
+    # an unpruned partitioned table has no size
+    if plan.nodeName() != "LogicalRelation" or not least * FILE_BYTES <= size < 1 << 60:
+        return None
+    tasks = size // (FILE_BYTES * max(1, df.select(*[f"`{c}`" for c in parts]).distinct().count()))
+    return df.coalesce(tasks) if tasks >= least else None
+
+
 def _laid_out(df: DataFrame, partition_by: Sequence[str] | None, cluster_by: Sequence[str] | None) -> DataFrame:
     """K7: rows in ranges of the clustering columns (within partitions, if there are any), so
     files hold narrow ranges and a filter on these columns skips most of them. Ranges are cut
     by sampling; a range with many rows of one value is split by the columns that follow."""
     if not cluster_by:
-        return gathered(df, partition_by or ())
+        spread = _by_splits(df, partition_by) if partition_by else None
+        return gathered(df, partition_by or ()) if spread is None else spread
     order = [*(partition_by or ()), *cluster_by]
     return df.repartitionByRange(*order).sortWithinPartitions(*order)
 
@@ -116,9 +136,18 @@ def replace_table(df: DataFrame, table: str, partition_by: Sequence[str] | None
     if not same or partition_by != parts or cluster_by != clusters:
         S.succeed(rows, table, partition_by, cluster_by)
         return
-    folder = S.fresh(S.adopt(spark, table))
-    writer = rows.write
-    (writer.partitionBy(*parts) if parts else writer).parquet(folder)
+    _switched([rows], table, parts)
+
+
+def _switched(pieces: Iterable[DataFrame], table: str, parts: Sequence[str]) -> None:
+    """Point ``table`` to the rows of all ``pieces``, which are written one after the other."""
+    spark = None
+    for rows in pieces:
+        if spark is None:
+            spark = _spark(rows)
+            folder = S.fresh(S.adopt(spark, table))
+        writer = rows.write.mode("append")
+        (writer.partitionBy(*parts) if parts else writer).parquet(folder)
     if parts:
         S.switch_partitions(spark, table, folder, {})
     else:
@@ -373,16 +402,38 @@ def distinct(df: DataFrame) -> DataFrame:
     return keyed.dropDuplicates(keys).drop(*[f"__k_{m}" for m in maps])
 
 
+#: Whole rows are compared so many at a time, which bounds what their shuffles take on disk.
+SLICE_ROWS = 40_000_000
+
+
+def _slices(rows: int) -> int:
+    return max(1, math.ceil(rows / SLICE_ROWS))
+
+
+def _slice(df: DataFrame, k: int, n: int, fp: Column) -> DataFrame:
+    """The k-th of n slices of ``df`` by its rows' fingerprints: equal rows are in one."""
+    return df if n == 1 else df.filter(F.pmod(fp, F.lit(n)) == k)
+
+
 def dedup_table(spark: SparkSession, table: str) -> None:
     """M1: rewrite the whole table without duplicate rows (once, for a table
     that has them; ``append_distinct`` keeps it that way without rewrites). Equal
     rows have equal fingerprints, so a table in which no two are equal stays as
-    it is: eight bytes per row are compared instead of whole rows."""
+    it is: eight bytes per row are compared instead of whole rows. A large one is
+    written slice by slice, and then switched as a whole."""
+    slices = 1
     if exists(spark, table) and _hashes_tell(spark.table(table).schema):
         rows = spark.table(table)
-        if rows.groupBy(fingerprint(rows.schema).alias("fp")).count().filter("count > 1").isEmpty():
+        fp = fingerprint(rows.schema)
+        n, most = rows.groupBy(fp.alias("fp")).count().agg(F.sum("count"), F.max("count")).first()
+        if (most or 0) < 2:
             return
-    replace_table(distinct(spark.table(table)), table)
+        slices = 1 if cluster_columns(spark, table) else _slices(n)
+    if slices == 1:
+        replace_table(distinct(spark.table(table)), table)
+        return
+    parts = partition_columns(spark, table)
+    _switched((_laid_out(distinct(_slice(rows, k, slices, fp)), parts, None) for k in range(slices)), table, parts)
 
 
 def _hashes_tell(schema: T.StructType) -> bool:

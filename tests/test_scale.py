@@ -1,6 +1,7 @@
 """Rewrites and joins whose cost must not grow with what they do not touch."""
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -81,6 +82,39 @@ def test_untouched_partitions_are_not_read(spark, ws, monkeypatch):
     assert rows(spark.table(t).select("id")) == [(0,), (1,), (2,), (3,), (4,)]
 
 
+# --- M1 as a rewrite, loads of stored rows ------------------------------------------
+
+@pytest.mark.parametrize("partition_by", [None, ["day"]])
+def test_a_large_table_is_rewritten_in_slices(spark, ws, monkeypatch, partition_by):
+    monkeypatch.setattr(K, "SLICE_ROWS", 30)
+    t, ddl, seen, made = ws.table("t"), "id bigint, v string, x double, day bigint", [], K.distinct
+    own = [(i, None if i % 3 else f"v{i}", -0.0 if i % 2 else 0.0, i % 4) for i in range(60)]
+    again = [(i, v, 0.0, d) for i, v, _, d in own[:40]]
+    K.write(spark.createDataFrame(own + again, ddl), t, "append", partition_by=partition_by)
+    before = files(spark, t)
+    monkeypatch.setattr(K, "distinct", lambda df: seen.append(df.count()) or made(df))
+    K.dedup_table(spark, t)
+    assert len(seen) == 4 and sum(seen) == 100 and max(seen) < 60
+    assert [r[0] for r in rows(spark.table(t).select("id"))] == sorted(range(60), key=lambda i: str((i,)))
+    assert not files(spark, t) & before
+
+
+def test_stored_rows_that_fill_their_files_are_not_gathered(spark, ws, monkeypatch):
+    many = spark.range(0, 40000, 1, 16).select("id", F.sha2(F.col("id").cast("string"), 256).alias("v"), (F.col("id") % 3).alias("part"))
+    K.write(many, ws.table("whole"))
+    gathered, made = [], K.gathered
+    monkeypatch.setattr(K, "gathered", lambda df, parts: gathered.append(parts) or made(df, parts))
+    K.write(spark.table(ws.table("whole")), ws.table("small"), "append", partition_by=["part"])
+    assert gathered == [["part"]]       # a small table is gathered
+    monkeypatch.setattr(K, "FILE_BYTES", 1 << 17)
+    K.write(spark.table(ws.table("whole")).filter("id >= 0"), ws.table("large"), "append", partition_by=["part"])
+    assert len(gathered) == 1
+    K.write(many.join(spark.range(3).withColumnRenamed("id", "part"), "part"), ws.table("made"), "append", partition_by=["part"])
+    assert len(gathered) == 2           # rows that are not a scan are gathered
+    assert values(spark, ws.table("large")) == values(spark, ws.table("small"))
+    assert len(files(spark, ws.table("large"))) <= 3 * 16
+
+
 # --- M5 in buckets ----------------------------------------------------------------
 
 def test_a_batch_of_keys_rewrites_its_buckets_alone(spark, ws):
