@@ -29,9 +29,9 @@ def _all(conditions: list[Column]) -> Column:
     return reduce(and_, conditions)
 
 
-def kept(df: DataFrame) -> DataFrame:
-    """``df`` written once, for what reads it several times."""
-    folder = scratch(df.sparkSession, "spread")
+def kept(df: DataFrame, folder: str | None = None) -> DataFrame:
+    """``df`` written once (to ``folder``), for what reads it several times."""
+    folder = folder or scratch(df.sparkSession, "spread")
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 

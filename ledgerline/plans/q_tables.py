@@ -108,11 +108,14 @@ def q_dedup_incremental(spark, sf_dir):
     batch reads the partitions that it touches alone."""
     ws = Workspace(spark)
     t = ws.table("transactions")
-    raw = kept(views.transactions_raw(spark, sf_dir).withColumn("year", F.year("date")))
-    early = raw.filter(F.col("date") < F.lit(views.MART_AS_OF))
-    K.write(early.limit(0), t, "append", partition_by=["year"])
-    for batch in (early, raw.filter(F.col("invoice_id") % 3 == 0), raw):
-        K.append_distinct(batch, t, ws.stage())
+    with ws.run() as own:
+        # derived once, and kept as narrow lines: every batch makes its transactions of them
+        lines = kept(views.transaction_lines(spark, sf_dir), own.stage())
+        raw = views.transactions_raw(spark, sf_dir, lines=lines).withColumn("year", F.year("date"))
+        early = raw.filter(F.col("date") < F.lit(views.MART_AS_OF))
+        K.write(early.limit(0), t, "append", partition_by=["year"])
+        for batch in (early, raw.filter(F.col("invoice_id") % 3 == 0), raw):
+            K.append_distinct(batch, t, own.stage())
     return flat_output(spark.table(t).drop("year", K.FINGERPRINT))
 
 

@@ -120,10 +120,11 @@ def lines_by_date(lines: DataFrame) -> DataFrame:
     return gathered(lines.withColumn("_date", _transaction_columns()["date"]), ["_date"])
 
 
-def transactions_raw(spark: SparkSession, sf_dir: str, by_date: bool = False) -> DataFrame:
-    """Transactions with exact duplicate deliveries (every first line twice)."""
+def transactions_raw(spark: SparkSession, sf_dir: str, by_date: bool = False, lines: DataFrame | None = None) -> DataFrame:
+    """Transactions with exact duplicate deliveries (every first line twice); of ``lines``, if they are derived already."""
     copies = F.when(F.col("invoice_id") % 10 == 1, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    return transactions(spark, sf_dir, by_date=by_date).withColumn("_copy", F.explode(copies)).drop("_copy")
+    tx = transactions(spark, sf_dir, by_date=by_date) if lines is None else transaction_rows(lines)
+    return tx.withColumn("_copy", F.explode(copies)).drop("_copy")
 
 
 def _commissions() -> Column:

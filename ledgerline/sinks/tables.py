@@ -494,6 +494,11 @@ def append_distinct(df: DataFrame, table: str, stage: str) -> None:
     only where fingerprints are equal. Partitions that the batch does not touch
     are not read, none is rewritten. A table without fingerprints gets them, and
     loses its duplicates, in one rewrite; so does one whose types widen.
+
+    All values are computed, and conformed, before the first row is appended.
+    Whole rows are shuffled once to be compared. A batch of more than
+    ``SLICE_ROWS`` rows (with the stored ones it meets) is compared and appended
+    slice by slice; one that is cut short can be appended again.
     """
     spark = _spark(df)
     if not exists(spark, table):
@@ -508,22 +513,46 @@ def append_distinct(df: DataFrame, table: str, stage: str) -> None:
     if FINGERPRINT not in before or any(kinds[c] != before[c] for c in before):
         old = distinct(spark.table(table).select(*[f"`{c}`" for c in names]))
         replace_table(old.withColumn(FINGERPRINT, fingerprint(own)), table)
-    batch = distinct(rows.select(*[f"`{c}`" for c in names])).withColumn(FINGERPRINT, fingerprint(own))
-    folder = posixpath.join(stage, "batch")
-    batch.write.parquet(folder)
+    rows, counts = rows.select(*[f"`{c}`" for c in names]), Observation()
+    # copies within the batch go with those of stored rows, where they have equal fingerprints for certain
+    batch = (rows if _hashes_tell(own) else distinct(rows)).withColumn(FINGERPRINT, fingerprint(own))
+    folder, found = posixpath.join(stage, "batch"), posixpath.join(stage, "suspects")
+    batch.observe(counts, F.count(F.lit(1)).alias("rows")).write.parquet(folder)
     batch = spark.read.schema(batch.schema).parquet(folder)
-    stored = spark.table(table)
+    stored, n = spark.table(table), counted(counts).get("rows", 0)
     parts = partition_columns(spark, table)
     if parts:
         stored = stored.filter(_in_partitions(batch, parts))
     suspects = stored.select(FINGERPRINT).join(batch.select(FINGERPRINT), FINGERPRINT, "left_semi").distinct()
-    folder = posixpath.join(stage, "suspects")
-    suspects.write.parquet(folder)
-    suspects = spark.read.schema(suspects.schema).parquet(folder)
+    suspects.write.parquet(found)
+    suspects = spark.read.schema(suspects.schema).parquet(found)
+    old = None
     if not suspects.isEmpty():
-        old = stored.join(suspects, FINGERPRINT, "left_semi")
-        batch = _without_equal(batch, old, [FINGERPRINT, *names])
-    _append(batch.select(*[f"`{c}`" for c in stored.columns]), table)
+        # too many to broadcast: stored rows are not shuffled once more for them
+        few = will_broadcast(suspects)
+        old = stored.join(F.broadcast(suspects), FINGERPRINT, "left_semi") if few else stored
+        n += 0 if few else stored.count()
+    slices, fp = _slices(n), F.col(FINGERPRINT)
+    for k in range(slices):
+        new = _new_rows(_slice(batch, k, slices, fp), None if old is None else _slice(old, k, slices, fp), [FINGERPRINT, *names])
+        _append(new.select(*[f"`{c}`" for c in stored.columns]), table)
+    for path in (folder, found):
+        S.delete_folder(spark, path)
+
+
+def _new_rows(rows: DataFrame, old: DataFrame | None, names: Sequence[str]) -> DataFrame:
+    """The distinct ``rows`` without an equal one in ``old``: null-safe on every one of ``names``.
+
+    Rows of both sides meet in one shuffle. Maps are compared through their JSON text.
+    """
+    if old is None:
+        return distinct(rows)
+    maps = [f.name for f in rows.schema.fields if isinstance(f.dataType, T.MapType)]
+    cols = [F.col(f"`{c}`") for c in names]
+    both = rows.select(*cols, F.lit(True).alias("__new")).union(old.select(*cols, F.lit(False).alias("__new")))
+    keys = [F.to_json(F.col(f"`{c}`")).alias(f"__k_{c}") if c in maps else F.col(f"`{c}`") for c in names]
+    kept_maps = [F.first(F.col(f"`{c}`")).alias(c) for c in maps]
+    return both.groupBy(*keys).agg(F.bool_and("__new").alias("__new"), *kept_maps).filter("__new").select(*cols)
 
 
 def _without_equal(rows: DataFrame, old: DataFrame, names: Sequence[str]) -> DataFrame:

@@ -82,6 +82,31 @@ def test_untouched_partitions_are_not_read(spark, ws, monkeypatch):
     assert rows(spark.table(t).select("id")) == [(0,), (1,), (2,), (3,), (4,)]
 
 
+def test_a_large_batch_is_compared_in_slices_and_its_stage_goes(spark, ws, monkeypatch):
+    monkeypatch.setattr(K, "SLICE_ROWS", 25)
+    parts, made = [], K._new_rows
+    monkeypatch.setattr(K, "_new_rows", lambda *a: parts.append(made(*a)) or parts[-1])
+    t, ddl = ws.table("t"), "id bigint, v string, m map<string,int>, date date"
+    row = lambda i: (i, None if i % 3 else f"v{i}", {"a": i} if i % 2 else None, D1 if i % 5 else None)
+    K.write(spark.createDataFrame([], ddl), t, "append", partition_by=["date"])
+    for own in ([*range(60), *range(0, 60, 2)], [*range(30, 90), 89, 89], range(5)):
+        stage = str(ws.stage())
+        K.append_distinct(spark.createDataFrame([row(i) for i in own], ddl), t, stage)
+        assert not any(os.path.exists(os.path.join(stage.removeprefix("file:"), x)) for x in ("batch", "suspects"))
+    assert len(parts) > 6
+    assert values(spark, t) == rows(spark.createDataFrame([row(i) for i in range(90)], ddl))
+
+
+def test_whole_rows_meet_in_one_shuffle(spark, ws):
+    ddl = "id bigint, v string, x double, m map<string,int>"
+    old = [(1, None, 0.0, {"a": 1}), (2, "b", float("nan"), None), (2, "b", None, None)]
+    new = [(1, None, -0.0, {"a": 1}), (1, None, 0.0, {"a": 2}), (2, "b", float("nan"), None), (3, "c", 1.0, None), (3, "c", 1.0, None)]
+    batch, stored = spark.createDataFrame(new, ddl), spark.createDataFrame(old, ddl)
+    found = K._new_rows(batch, stored, batch.columns)
+    assert found._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert rows(found) == rows(spark.createDataFrame([new[1], new[3]], ddl))
+
+
 # --- M1 as a rewrite, loads of stored rows ------------------------------------------
 
 @pytest.mark.parametrize("partition_by", [None, ["day"]])
