@@ -131,7 +131,7 @@ def test_stored_rows_that_fill_their_files_are_not_gathered(spark, ws, monkeypat
     monkeypatch.setattr(K, "gathered", lambda df, parts: gathered.append(parts) or made(df, parts))
     K.write(spark.table(ws.table("whole")), ws.table("small"), "append", partition_by=["part"])
     assert gathered == [["part"]]       # a small table is gathered
-    monkeypatch.setattr(K, "FILE_BYTES", 1 << 17)
+    monkeypatch.setattr(K, "FILE_BYTES", 1 << 15)
     K.write(spark.table(ws.table("whole")).filter("id >= 0"), ws.table("large"), "append", partition_by=["part"])
     assert len(gathered) == 1
     K.write(many.join(spark.range(3).withColumnRenamed("id", "part"), "part"), ws.table("made"), "append", partition_by=["part"])
